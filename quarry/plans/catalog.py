@@ -172,3 +172,383 @@ def q_tf_idf_top_terms(spark, root):
     weighted = tm.tf_idf(terms, docs.count())
     top = tm.top_terms(weighted, 5)
     return top.select("doc_id", big("rank").alias("rank"), "term", "tf", "df", r6("tfidf").alias("tfidf"))
+
+
+# ---------------------------------------------------------------------------------
+# S1..S6, S9: sources and sinks (written to and read back from the shared folder)
+# ---------------------------------------------------------------------------------
+
+from quarry.operators import encoders as en  # noqa: E402
+from quarry.operators import filters as fl  # noqa: E402
+from quarry.operators import metrics as mt  # noqa: E402
+from quarry.operators import sampling as sp  # noqa: E402
+from quarry.session import shared_path  # noqa: E402
+from quarry.sources import files as fs  # noqa: E402
+
+PART_SCHEMA = ("p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, "
+               "p_size INT, p_retailprice DOUBLE")
+
+
+@register("typed_csv_part", "SELECT * FROM part")
+def q_typed_csv_part(spark, root):
+    path = fs.write_csv(read_table(spark, root, "part"), shared_path(spark, "csv", "part"))
+    return fs.read_typed_csv(spark, path, PART_SCHEMA)
+
+
+@register("inferred_csv_part", """
+SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part
+""")
+def q_inferred_csv_part(spark, root):
+    path = fs.write_csv(read_table(spark, root, "part"), shared_path(spark, "csv", "part"))
+    return fs.read_inferred_csv(spark, path)
+
+
+@register("labeled_text_lines", """
+SELECT lang AS label, line FROM (SELECT lang, unnest(string_split(text, chr(10))) AS line FROM documents)
+WHERE line <> '' AND contains(line, ' ')
+""")
+def q_labeled_text_lines(spark, root):
+    docs = read_table(spark, root, "documents")
+    path = fs.write_labeled_text(docs, shared_path(spark, "text", "documents"), "lang", "text")
+    return fs.read_labeled_text(spark, path).select(F.col("lang").alias("label"), F.col("value").alias("line"))
+
+
+@register("union_labeled", """
+SELECT doc_id, lang AS label FROM documents WHERE lang IN ('en', 'fr', 'de', 'es')
+""")
+def q_union_labeled(spark, root):
+    docs = read_table(spark, root, "documents").select("doc_id", "lang")
+    parts = {k: docs.filter(F.col("lang") == k).select("doc_id") for k in ("en", "fr", "de", "es")}
+    return sp.union_labeled(parts)
+
+
+@register("labeled_vectors_roundtrip", """
+SELECT CAST(label AS DOUBLE) AS label, CAST(len(embedding) AS BIGINT) AS dims,
+       round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 6) AS v_sum,
+       round(CAST(embedding[1] AS DOUBLE), 6) AS v_first
+FROM embeddings
+""")
+def q_labeled_vectors_roundtrip(spark, root):
+    from pyspark.ml.functions import vector_to_array
+    emb = read_table(spark, root, "embeddings")
+    path = fs.write_labeled_vectors(emb, shared_path(spark, "vectors", "embeddings"), "label", "embedding")
+    back = spark.read.parquet(path).select("label", vector_to_array("features").alias("a"))
+    return back.select("label", big(F.size("a")).alias("dims"),
+                       r6(F.aggregate("a", F.lit(0.0), lambda acc, x: acc + x)).alias("v_sum"),
+                       r6(F.col("a")[0]).alias("v_first"))
+
+
+@register("request_lines", f"""
+SELECT conv_id, turn, role, CAST(line_no AS BIGINT) AS line_no, line FROM (
+  SELECT conv_id, turn, role, unnest(generate_series(1, len(ls))) AS line_no, unnest(ls) AS line
+  FROM (SELECT conv_id, turn, role,
+               list_filter(regexp_split_to_array(text, {sq.q(r'\r?\n')}), lambda l: trim(l) <> '') AS ls
+        FROM conversations))
+""")
+def q_request_lines(spark, root):
+    conv = read_table(spark, root, "conversations")
+    return fs.requests_to_df(conv).select("conv_id", "turn", "role", big("line_no").alias("line_no"), "line")
+
+
+@register("labeled_csv_records", """
+SELECT CAST(label AS DOUBLE) AS label, CAST(len(embedding) AS BIGINT) AS dims,
+       round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 3) AS v_sum
+FROM embeddings
+""")
+def q_labeled_csv_records(spark, root):
+    emb = read_table(spark, root, "embeddings")
+    path = fs.write_text(fs.to_labeled_csv(emb, "label", "embedding"), shared_path(spark, "records", "emb"))
+    back = fs.parse_labeled_csv(spark, path)
+    return back.select("label", big(F.size("values")).alias("dims"),
+                       F.round(F.aggregate("values", F.lit(0.0), lambda a, x: a + x), 3).alias("v_sum"))
+
+
+# ---------------------------------------------------------------------------------
+# P1, P4..P6: projections and filters
+# ---------------------------------------------------------------------------------
+
+@register("role_filter_parts", """
+SELECT p_partkey, p_name, p_type FROM part
+WHERE contains(p_type, 'PRO') OR p_type IN ('LARGE', 'SMALL')
+""")
+def q_role_filter_parts(spark, root):
+    part = read_table(spark, root, "part")
+    return fl.role_filter(part, "p_type", contains=("PRO",), equals=("LARGE", "SMALL")).select(
+        "p_partkey", "p_name", "p_type")
+
+
+@register("required_columns_docs", """
+SELECT d.doc_id, d.lang, l.quality, l.toxic FROM documents d LEFT JOIN labels l USING (doc_id)
+WHERE l.quality IS NOT NULL AND l.toxic IS NOT NULL
+""")
+def q_required_columns_docs(spark, root):
+    docs = read_table(spark, root, "documents").select("doc_id", "lang")
+    lab = read_table(spark, root, "labels")
+    return fl.require_columns(docs.join(lab, "doc_id", "left"), ["quality", "toxic"]).select(
+        "doc_id", "lang", "quality", "toxic")
+
+
+@register("unknown_label_docs", """
+SELECT doc_id, CAST(-1.0 AS DOUBLE) AS label, 'unknown' AS id FROM documents
+WHERE doc_id NOT IN (SELECT doc_id FROM labels)
+""")
+def q_unknown_label_docs(spark, root):
+    docs = read_table(spark, root, "documents").select("doc_id")
+    lab = read_table(spark, root, "labels").select("doc_id")
+    return fl.with_unknown_label(docs.join(lab, "doc_id", "left_anti"), "label", -1.0, id="id")
+
+
+# ---------------------------------------------------------------------------------
+# F1..F9, F14, F15: encoders
+# ---------------------------------------------------------------------------------
+
+# fixed values: ordinal levels of part types and of order priorities
+TYPE_LEVELS = {"ECONOMY": 1, "STANDARD": 2, "MEDIUM": 3, "LARGE": 4, "PROMO": 5}
+PRIORITY_LEVELS = {"5-LOW": 1, "3-MEDIUM": 2, "2-HIGH": 3, "1-URGENT": 4}
+# fixed values: brand slots (unknown brands go to the slot after the last)
+BRAND_SLOTS = ["Brand#1", "Brand#2", "Brand#3", "Brand#4", "Brand#5", "Brand#6", "Brand#7",
+               "Brand#8", "Brand#9", "Brand#10", "Brand#11"]
+# fixed values: class values of document languages
+LANG_CLASSES = {"en": 0.0, "fr": 1.0, "de": 2.0, "es": 3.0}
+
+
+def _case_sql(col: str, mapping: dict, default) -> str:
+    whens = " ".join(f"WHEN {sq.q(k) if isinstance(k, str) else k} THEN {v}" for k, v in mapping.items())
+    return f"CASE {col} {whens} ELSE {default} END"
+
+
+_LVL_SQL = f"CAST({_case_sql('p_type', TYPE_LEVELS, 0)} AS DOUBLE)"
+_SLOT_SQL = _case_sql("trim(p_brand)", {b: i for i, b in enumerate(BRAND_SLOTS)}, len(BRAND_SLOTS))
+
+
+@register("ordinal_part_types", f"""
+SELECT p_partkey, p_type, {_LVL_SQL} AS level FROM part
+""")
+def q_ordinal_part_types(spark, root):
+    part = read_table(spark, root, "part")
+    return en.ordinal_encode(part, "p_type", TYPE_LEVELS, 0.0, "level").select("p_partkey", "p_type", "level")
+
+
+@register("ordinal_order_priority", f"""
+SELECT o_orderpriority, CAST({_case_sql('o_orderpriority', PRIORITY_LEVELS, 0)} AS DOUBLE) AS level,
+       count(*) AS n FROM orders GROUP BY 1, 2
+""")
+def q_ordinal_order_priority(spark, root):
+    o = read_table(spark, root, "orders")
+    e = en.ordinal_encode(o, "o_orderpriority", PRIORITY_LEVELS, 0.0, "level")
+    return e.groupBy("o_orderpriority", "level").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("brand_slots", f"""
+SELECT p_partkey, p_brand, CAST({_SLOT_SQL} AS INTEGER) AS slot,
+       CASE WHEN {_SLOT_SQL} = {len(BRAND_SLOTS)} THEN 'Other' ELSE trim(p_brand) END AS slot_name FROM part
+""")
+def q_brand_slots(spark, root):
+    part = read_table(spark, root, "part").select("p_partkey", "p_brand")
+    e = en.slot_encode(part, "p_brand", BRAND_SLOTS, out="slot")
+    return en.slot_decode(e, "slot", BRAND_SLOTS, out="slot_name")
+
+
+_ONEHOT_SQL = ", ".join(f"CASE WHEN {_SLOT_SQL} = {i} THEN 1.0 ELSE 0.0 END" for i in range(len(BRAND_SLOTS) + 1))
+
+
+@register("regression_examples", f"""
+SELECT p_partkey, p_retailprice AS label,
+       [CAST(p_size AS DOUBLE), {_LVL_SQL}, {_ONEHOT_SQL}]::DOUBLE[] AS features FROM part
+""")
+def q_regression_examples(spark, root):
+    from pyspark.ml.functions import vector_to_array
+    part = read_table(spark, root, "part")
+    ex = en.regression_examples(part, "p_retailprice", "p_size", "p_type", TYPE_LEVELS, "p_brand", BRAND_SLOTS)
+    return ex.select("p_partkey", "label", vector_to_array("features").alias("features"))
+
+
+@register("clustering_examples", f"""
+SELECT p_partkey, [p_retailprice, CAST(p_size AS DOUBLE), {_LVL_SQL}]::DOUBLE[] AS features FROM part
+""")
+def q_clustering_examples(spark, root):
+    from pyspark.ml.functions import vector_to_array
+    part = read_table(spark, root, "part")
+    ex = en.clustering_examples(part, "p_retailprice", "p_size", "p_type", TYPE_LEVELS)
+    return ex.select("p_partkey", vector_to_array("features").alias("features"))
+
+
+@register("wide_examples", """
+SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS features FROM embeddings
+""")
+def q_wide_examples(spark, root):
+    from pyspark.ml.functions import vector_to_array
+    emb = read_table(spark, root, "embeddings")
+    dim = len(emb.select("embedding").first()[0])
+    wide = en.widen(emb, "embedding", dim).drop("embedding")
+    ex = en.wide_examples(wide, [f"feat_{i + 1}" for i in range(dim)], "label")
+    return ex.select("vec_id", "label", vector_to_array("features").alias("features"))
+
+
+@register("lang_index", """
+WITH c AS (SELECT lang, count(*) AS n FROM documents GROUP BY lang),
+i AS (SELECT lang, CAST(row_number() OVER (ORDER BY n DESC, lang) - 1 AS DOUBLE) AS lang_index FROM c)
+SELECT doc_id, lang, lang_index, lang AS lang_back FROM documents JOIN i USING (lang)
+""")
+def q_lang_index(spark, root):
+    docs = read_table(spark, root, "documents").select("doc_id", "lang")
+    d, model = en.string_index(docs, "lang", "lang_index")
+    return en.index_to_string(d, "lang_index", model.labels, out="lang_back")
+
+
+@register("brand_index", """
+WITH c AS (SELECT p_brand, count(*) AS n FROM part GROUP BY p_brand)
+SELECT p_brand, n, CAST(row_number() OVER (ORDER BY n DESC, p_brand) - 1 AS DOUBLE) AS brand_index FROM c
+""")
+def q_brand_index(spark, root):
+    part = read_table(spark, root, "part").select("p_brand")
+    d, _ = en.string_index(part, "p_brand", "brand_index")
+    return d.groupBy("p_brand", "brand_index").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("vector_index_parts", f"""
+WITH b AS (SELECT p_partkey, CAST(p_size AS DOUBLE) AS p_size, {_LVL_SQL} - 2.0 AS shifted FROM part),
+v AS (SELECT DISTINCT shifted FROM b),
+m AS (SELECT shifted, CASE WHEN shifted = 0 THEN 0.0 ELSE CAST(row_number() OVER (ORDER BY shifted) AS DOUBLE)
+        - (CASE WHEN shifted > 0 AND EXISTS (SELECT 1 FROM v WHERE shifted = 0) THEN 1 ELSE 0 END)
+        + (CASE WHEN EXISTS (SELECT 1 FROM v WHERE shifted = 0) THEN 0 ELSE -1 END) END AS code
+      FROM v)
+SELECT p_partkey, b.shifted, p_size AS size_out, code AS shifted_code FROM b JOIN m USING (shifted)
+""")
+def q_vector_index_parts(spark, root):
+    from pyspark.ml.functions import vector_to_array
+    part = read_table(spark, root, "part")
+    d = en.ordinal_encode(part, "p_type", TYPE_LEVELS, 0.0, "level").withColumn("shifted", F.col("level") - 2.0)
+    d = en.assemble(d.withColumn("p_size_d", F.col("p_size").cast("double")), ["p_size_d", "shifted"], "features")
+    out, _ = en.vector_index(d, "features", "indexed", 10)
+    a = vector_to_array("indexed")
+    return out.select("p_partkey", "shifted", a[0].alias("size_out"), a[1].alias("shifted_code"))
+
+
+@register("max_abs_parts", f"""
+WITH b AS (SELECT p_partkey, p_retailprice, CAST(p_size AS DOUBLE) AS p_size, {_LVL_SQL} AS level FROM part),
+m AS (SELECT max(abs(p_retailprice)) AS a, max(abs(p_size)) AS b, max(abs(level)) AS c FROM b)
+SELECT p_partkey, round(p_retailprice / CASE WHEN a = 0 THEN 1 ELSE a END, 6) AS price_scaled,
+       round(p_size / CASE WHEN m.b = 0 THEN 1 ELSE m.b END, 6) AS size_scaled,
+       round(level / CASE WHEN c = 0 THEN 1 ELSE c END, 6) AS level_scaled FROM b CROSS JOIN m
+""")
+def q_max_abs_parts(spark, root):
+    part = read_table(spark, root, "part")
+    d = en.ordinal_encode(part, "p_type", TYPE_LEVELS, 0.0, "level")
+    s = en.max_abs_scale(d, ["p_retailprice", "p_size", "level"])
+    return s.select("p_partkey", r6("p_retailprice_scaled").alias("price_scaled"),
+                    r6("p_size_scaled").alias("size_scaled"), r6("level_scaled").alias("level_scaled"))
+
+
+@register("class_lookup", f"""
+SELECT doc_id, lang, CAST({_case_sql('lower(trim(lang))', LANG_CLASSES, -1)} AS DOUBLE) AS class_value,
+       CASE WHEN lower(trim(lang)) IN ('en', 'fr', 'de', 'es') THEN lower(trim(lang)) ELSE 'unknown' END AS class_name
+FROM documents
+""")
+def q_class_lookup(spark, root):
+    docs = read_table(spark, root, "documents").select("doc_id", "lang")
+    d = en.class_by_name(docs, "lang", LANG_CLASSES, "class_value")
+    return en.class_by_value(d, "class_value", LANG_CLASSES, "class_name")
+
+
+# ---------------------------------------------------------------------------------
+# hashed terms, vocabulary, count vectors
+# ---------------------------------------------------------------------------------
+
+@register("hashed_terms", f"""
+SELECT doc_id, CAST({sq.hash_bucket('word', 4096)} AS INTEGER) AS bucket, count(*) AS tf
+FROM ({sq.DOC_WORDS}) GROUP BY 1, 2
+""")
+def q_hashed_terms(spark, root):
+    docs = read_table(spark, root, "documents").select("doc_id", "text")
+    words = docs.select("doc_id", tx.document_words("text").alias("words"))
+    return tm.hashing_tf(words, "doc_id", "words", 4096)
+
+
+_VOCAB_SQL = f"""
+WITH tf AS ({_DOC_TERMS_SQL}),
+st AS (SELECT term, sum(tf) AS term_count, count(*) AS doc_freq FROM tf GROUP BY term HAVING count(*) >= 3)
+SELECT CAST(row_number() OVER (ORDER BY term_count DESC, term) - 1 AS INTEGER) AS term_index, term,
+       term_count, doc_freq FROM st ORDER BY term_count DESC, term LIMIT 2000
+"""
+
+
+@register("vocabulary", _VOCAB_SQL)
+def q_vocabulary(spark, root):
+    _, terms = _doc_terms(spark, root)
+    return tm.vocabulary(terms, vocab_size=2000, min_df=3)
+
+
+@register("count_vectors", f"""
+WITH v AS ({_VOCAB_SQL}), tf AS ({_DOC_TERMS_SQL})
+SELECT doc_id, term_index, tf FROM tf JOIN v USING (term)
+""")
+def q_count_vectors(spark, root):
+    _, terms = _doc_terms(spark, root)
+    vocab = tm.vocabulary(terms, vocab_size=2000, min_df=3)
+    return tm.count_terms(terms, vocab).select("doc_id", "term_index", "tf")
+
+
+# ---------------------------------------------------------------------------------
+# R1, R2, U2, E2 folds; A1, A2
+# ---------------------------------------------------------------------------------
+
+_HB = sq.hash_bucket("doc_id", 100)
+
+
+@register("hash_split_docs", f"""
+SELECT doc_id, CASE WHEN {_HB} < 80 THEN 'train' ELSE 'test' END AS split FROM documents
+""")
+def q_hash_split_docs(spark, root):
+    docs = read_table(spark, root, "documents").select("doc_id")
+    return sp.hash_split(docs, "doc_id", (0.8, 0.2), ("train", "test"))
+
+
+_LI_KEY_SQL = "concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber)"
+_LI_COLS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+            "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus")
+
+
+def _lineitem_sample(spark, root):
+    li = read_table(spark, root, "lineitem")
+    keyed = li.withColumn("_k", sp.row_key(["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]))
+    return li, sp.hash_sample(keyed, "_k", 0.7).drop("_k")
+
+
+@register("hash_sample_lineitem", f"""
+SELECT {', '.join(_LI_COLS)} FROM lineitem WHERE {sq.hash_bucket(_LI_KEY_SQL, 10000)} < 7000
+""")
+def q_hash_sample_lineitem(spark, root):
+    _, s = _lineitem_sample(spark, root)
+    return s.select(*_LI_COLS)
+
+
+@register("holdout_complement", f"""
+SELECT {', '.join(_LI_COLS)} FROM lineitem l WHERE NOT EXISTS (
+  SELECT 1 FROM (SELECT * FROM lineitem WHERE {sq.hash_bucket(_LI_KEY_SQL, 10000)} < 7000) s
+  WHERE {' AND '.join(f's.{c} IS NOT DISTINCT FROM l.{c}' for c in _LI_COLS + ('l_shipdate',))})
+""")
+def q_holdout_complement(spark, root):
+    li, s = _lineitem_sample(spark, root)
+    return sp.holdout_complement(li, s).select(*_LI_COLS)
+
+
+@register("fold_assignment", f"""
+SELECT doc_id, CAST({sq.hash_bucket('doc_id', 10)} AS INTEGER) AS fold FROM documents
+""")
+def q_fold_assignment(spark, root):
+    docs = read_table(spark, root, "documents").select("doc_id")
+    return sp.assign_folds(docs, "doc_id", 10)
+
+
+@register("dataset_overview", """
+SELECT count(*) AS n_rows, CAST(sum(length(text)) AS BIGINT) AS n_chars,
+       count(CASE WHEN text <> '' THEN 1 END) AS n_nonempty FROM documents
+""")
+def q_dataset_overview(spark, root):
+    return mt.dataset_overview(read_table(spark, root, "documents"), "text")
+
+
+@register("class_distribution", "SELECT lang, count(*) AS n FROM documents GROUP BY lang")
+def q_class_distribution(spark, root):
+    return mt.class_distribution(read_table(spark, root, "documents"), "lang")
