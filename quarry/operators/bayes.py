@@ -97,12 +97,19 @@ def class_probabilities(scored: DataFrame, classes: list[str], prob: str = "prob
 
 
 def ranked_probabilities(scored: DataFrame, classes: list[str], id: str = "doc_id",
-                         prob: str = "probability", prediction: str = "prediction") -> DataFrame:
-    """One row per (document, class): probability, rank (desc, ties by class), share %, predicted flag."""
+                         prob: str = "probability", prediction: str = "prediction",
+                         scores: str = "scores") -> DataFrame:
+    """One row per (document, class): probability, rank, share %, predicted flag.
+
+    Ranked by raw score (the same order as probability, without ties from underflow),
+    then by class. The window is per document and holds one row per class.
+    """
     names = _lit_array(classes)
-    long = scored.select(id, prediction, F.posexplode(prob).alias("_i", "probability"))
-    long = long.withColumn("class", names[F.col("_i")]).drop("_i")
-    w = Window.partitionBy(id).orderBy(F.col("probability").desc(), F.col("class"))
+    z = F.arrays_zip(F.col(prob).alias("p"), F.col(scores).alias("s"))
+    long = scored.select(id, prediction, F.posexplode(z).alias("_i", "_z"))
+    long = long.select(id, prediction, names[F.col("_i")].alias("class"),
+                       F.col("_z.p").alias("probability"), F.col("_z.s").alias("score"))
+    w = Window.partitionBy(id).orderBy(F.col("score").desc(), F.col("class"))
     tot = F.sum("probability").over(Window.partitionBy(id))
     return (long.withColumn("rank", F.row_number().over(w))
             .withColumn("share", F.col("probability") / tot * 100.0)

@@ -552,3 +552,299 @@ def q_dataset_overview(spark, root):
 @register("class_distribution", "SELECT lang, count(*) AS n FROM documents GROUP BY lang")
 def q_class_distribution(spark, root):
     return mt.class_distribution(read_table(spark, root, "documents"), "lang")
+
+
+# ---------------------------------------------------------------------------------
+# M4 (relational naive Bayes), C1..C3, A3, E3, E6, E7, O2
+# ---------------------------------------------------------------------------------
+
+from quarry.operators import bayes as nb  # noqa: E402
+
+_NB_SQL = f"""
+docs AS (SELECT doc_id, lang, CASE WHEN {_HB} < 80 THEN 'train' ELSE 'test' END AS split FROM documents),
+words AS (SELECT doc_id, word FROM ({sq.DOC_WORDS})),
+train_docs AS (SELECT * FROM docs WHERE split = 'train'),
+test_docs AS (SELECT * FROM docs WHERE split = 'test'),
+cls AS (SELECT lang AS class, count(*) AS n_c FROM train_docs GROUP BY lang),
+tot AS (SELECT sum(n_c) AS n, count(*) AS c FROM cls),
+ctf AS (SELECT d.lang AS class, w.word AS term, count(*) AS tf FROM words w JOIN train_docs d USING (doc_id) GROUP BY 1, 2),
+voc AS (SELECT count(DISTINCT term) AS v FROM ctf),
+sc AS (SELECT class, sum(tf) AS s FROM ctf GROUP BY class),
+cc AS (SELECT cls.class, ln(cls.n_c + 1.0) - ln(tot.n + tot.c) AS prior, ln(coalesce(sc.s, 0) + voc.v) AS den
+       FROM cls CROSS JOIN tot CROSS JOIN voc LEFT JOIN sc USING (class)),
+tw AS (SELECT w.doc_id, w.word AS term FROM words w JOIN test_docs USING (doc_id)
+       WHERE w.word IN (SELECT term FROM ctf)),
+xd AS (SELECT doc_id, count(*) AS x FROM tw GROUP BY doc_id),
+pt AS (SELECT tw.doc_id, ctf.class, sum(ln(ctf.tf + 1.0)) AS s FROM tw JOIN ctf USING (term) GROUP BY 1, 2),
+scores AS (SELECT t.doc_id, t.lang AS label, cc.class,
+                  cc.prior - coalesce(xd.x, 0) * cc.den + coalesce(pt.s, 0) AS score
+           FROM test_docs t CROSS JOIN cc LEFT JOIN xd ON xd.doc_id = t.doc_id
+           LEFT JOIN pt ON pt.doc_id = t.doc_id AND pt.class = cc.class),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, class) AS rk,
+                  exp(score - max(score) OVER (PARTITION BY doc_id)) AS e FROM scores),
+probs AS (SELECT *, e / sum(e) OVER (PARTITION BY doc_id) AS p FROM ranked),
+pred AS (SELECT doc_id, label, class AS prediction FROM probs WHERE rk = 1)
+"""
+
+
+def _nb_scored(spark, root):
+    docs = read_table(spark, root, "documents").select("doc_id", "text", "lang")
+    words = docs.select("doc_id", "lang", tx.document_words("text").alias("words"))
+    words = sp.hash_split(words, "doc_id", (0.8, 0.2), ("train", "test"))
+    train = words.filter(F.col("split") == "train")
+    test = words.filter(F.col("split") == "test")
+    model = nb.nb_model(train, label="lang", words="words")
+    scored = nb.nb_score(model, test, "doc_id", "words", carry=("lang",)).withColumnRenamed("lang", "label")
+    return model, scored
+
+
+@register("nb_predictions", f"""
+WITH {_NB_SQL}
+SELECT doc_id, label, prediction, CAST(label = prediction AS BOOLEAN) AS correct FROM pred
+""")
+def q_nb_predictions(spark, root):
+    _, scored = _nb_scored(spark, root)
+    pairs = scored.select("doc_id", "label", "prediction")
+    return pairs.withColumn("correct", F.col("label") == F.col("prediction"))
+
+
+@register("nb_confusion", f"""
+WITH {_NB_SQL}
+SELECT label, prediction, count(*) AS n FROM pred GROUP BY 1, 2
+""")
+def q_nb_confusion(spark, root):
+    _, scored = _nb_scored(spark, root)
+    return mt.confusion_counts(scored, "label", "prediction")
+
+
+@register("nb_metrics", f"""
+WITH {_NB_SQL},
+cm AS (SELECT label AS l, prediction AS p, count(*) AS n FROM pred GROUP BY 1, 2),
+bl AS (SELECT l AS c, sum(n) AS n_true, sum(CASE WHEN l = p THEN n ELSE 0 END) AS tp FROM cm GROUP BY 1),
+bp AS (SELECT p AS c, sum(n) AS n_pred FROM cm GROUP BY 1),
+per AS (SELECT bl.c, CAST(bl.n_true AS DOUBLE) AS n_true, CAST(bl.tp AS DOUBLE) AS tp,
+               CASE WHEN coalesce(bp.n_pred, 0) > 0 THEN bl.tp / CAST(bp.n_pred AS DOUBLE) ELSE 0.0 END AS prec,
+               bl.tp / CAST(bl.n_true AS DOUBLE) AS rec FROM bl LEFT JOIN bp USING (c))
+SELECT round(sum(tp) / sum(n_true), 6) AS accuracy,
+       round(sum(CASE WHEN prec + rec > 0 THEN 2 * prec * rec / (prec + rec) ELSE 0 END * n_true) / sum(n_true), 6) AS f1,
+       round(sum(prec * n_true) / sum(n_true), 6) AS weighted_precision,
+       round(sum(rec * n_true) / sum(n_true), 6) AS weighted_recall FROM per
+""")
+def q_nb_metrics(spark, root):
+    _, scored = _nb_scored(spark, root)
+    m = mt.multiclass_metrics(scored, "label", "prediction")
+    return m.select(*[r6(c).alias(c) for c in m.columns])
+
+
+@register("nb_class_probabilities", f"""
+WITH {_NB_SQL}
+SELECT doc_id, class, round(p, 4) AS probability FROM probs
+""")
+def q_nb_class_probabilities(spark, root):
+    model, scored = _nb_scored(spark, root)
+    m = nb.class_probabilities(scored, model.classes)
+    return m.select("doc_id", F.explode("class_probabilities").alias("class", "p")).select(
+        "doc_id", "class", F.round("p", 4).alias("probability"))
+
+
+@register("nb_ranked_probabilities", f"""
+WITH {_NB_SQL}
+SELECT doc_id, class, round(p, 4) AS probability, CAST(rk AS BIGINT) AS rank,
+       round(p / sum(p) OVER (PARTITION BY doc_id) * 100.0, 4) AS share, rk = 1 AS is_predicted FROM probs
+""")
+def q_nb_ranked_probabilities(spark, root):
+    model, scored = _nb_scored(spark, root)
+    r = nb.ranked_probabilities(scored, model.classes, "doc_id")
+    return r.select("doc_id", "class", F.round("probability", 4).alias("probability"), big("rank").alias("rank"),
+                    F.round("share", 4).alias("share"), "is_predicted")
+
+
+@register("nb_sample_predictions", f"""
+WITH {_NB_SQL}
+SELECT doc_id, label, prediction FROM pred ORDER BY doc_id LIMIT 20
+""")
+def q_nb_sample_predictions(spark, root):
+    _, scored = _nb_scored(spark, root)
+    return mt.sample_predictions(scored.select("doc_id", "label", "prediction"), 20, ("doc_id",))
+
+
+# ---------------------------------------------------------------------------------
+# E4 AUC, M1 closed-form least squares, E5
+# ---------------------------------------------------------------------------------
+
+@register("auc_quality_by_length", """
+WITH d AS (SELECT CAST(n_chars AS DOUBLE) AS s, CAST(quality AS DOUBLE) AS y FROM documents JOIN labels USING (doc_id)),
+r AS (SELECT y, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2.0 AS ar FROM d),
+t AS (SELECT sum(CASE WHEN y > 0.5 THEN 1 ELSE 0 END) AS p, sum(CASE WHEN y > 0.5 THEN 0 ELSE 1 END) AS n,
+             sum(CASE WHEN y > 0.5 THEN ar ELSE 0 END) AS rs FROM r)
+SELECT round((rs - p * (p + 1) / 2.0) / (CAST(p AS DOUBLE) * n), 6) AS auc,
+       CAST(p AS BIGINT) AS n_pos, CAST(n AS BIGINT) AS n_neg FROM t
+""")
+def q_auc_quality_by_length(spark, root):
+    docs = read_table(spark, root, "documents").select("doc_id", "n_chars")
+    lab = read_table(spark, root, "labels").select("doc_id", "quality")
+    a = mt.auc_roc(docs.join(lab, "doc_id"), "n_chars", "quality")
+    return a.select(r6("auc").alias("auc"), "n_pos", "n_neg")
+
+
+def ols_fit(df: DataFrame, x: str, y: str) -> tuple[float, float]:
+    """One-feature least squares with intercept: one aggregation, two numbers back."""
+    r = df.agg(F.covar_pop(y, x).alias("c"), F.var_pop(x).alias("v"),
+               F.avg(x).alias("mx"), F.avg(y).alias("my")).collect()[0]
+    slope = r["c"] / r["v"] if r["v"] else 0.0
+    return slope, r["my"] - slope * r["mx"]
+
+
+@register("linear_fit_lineitem", """
+WITH f AS (SELECT regr_slope(l_extendedprice, l_quantity) AS b, regr_intercept(l_extendedprice, l_quantity) AS a
+           FROM lineitem)
+SELECT round(any_value(b), 6) AS slope, round(any_value(a), 6) AS intercept,
+       round(sqrt(avg(power(a + b * l_quantity - l_extendedprice, 2))), 6) AS rmse
+FROM lineitem CROSS JOIN f
+""")
+def q_linear_fit_lineitem(spark, root):
+    li = read_table(spark, root, "lineitem").select("l_quantity", "l_extendedprice")
+    b, a = ols_fit(li, "l_quantity", "l_extendedprice")
+    pred = li.select((F.lit(a) + F.lit(b) * F.col("l_quantity")).alias("prediction"),
+                     F.col("l_extendedprice").alias("label"))
+    m = mt.regression_metrics(pred)
+    return m.select(F.round(F.lit(b), 6).alias("slope"), F.round(F.lit(a), 6).alias("intercept"), r6("rmse").alias("rmse"))
+
+
+@register("regression_metrics_lineitem", """
+WITH f AS (SELECT regr_slope(l_extendedprice, l_quantity) AS b, regr_intercept(l_extendedprice, l_quantity) AS a
+           FROM lineitem),
+e AS (SELECT a + b * l_quantity - l_extendedprice AS err, l_extendedprice AS y FROM lineitem CROSS JOIN f)
+SELECT round(sqrt(avg(err * err)), 6) AS rmse, round(avg(err * err), 4) AS mse, round(avg(abs(err)), 6) AS mae,
+       round(1 - avg(err * err) / var_pop(y), 6) AS r2 FROM e
+""")
+def q_regression_metrics_lineitem(spark, root):
+    li = read_table(spark, root, "lineitem").select("l_quantity", "l_extendedprice")
+    b, a = ols_fit(li, "l_quantity", "l_extendedprice")
+    pred = li.select((F.lit(a) + F.lit(b) * F.col("l_quantity")).alias("prediction"),
+                     F.col("l_extendedprice").alias("label"))
+    m = mt.regression_metrics(pred)
+    return m.select(r6("rmse").alias("rmse"), F.round("mse", 4).alias("mse"), r6("mae").alias("mae"),
+                    r6("r2").alias("r2"))
+
+
+# ---------------------------------------------------------------------------------
+# Cosine against class centroids; nearest members
+# ---------------------------------------------------------------------------------
+
+from quarry.operators import pairs as pr  # noqa: E402
+
+_COS_SQL = """
+e AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS v, unnest(generate_series(1, len(embedding))) AS i FROM embeddings),
+c AS (SELECT label AS c_label, i, avg(v) AS m FROM e GROUP BY label, i),
+cn AS (SELECT c_label, sqrt(sum(m * m)) AS n FROM c GROUP BY c_label),
+en AS (SELECT vec_id, sqrt(sum(v * v)) AS n FROM e GROUP BY vec_id),
+dots AS (SELECT e.vec_id, c.c_label, sum(e.v * c.m) AS dot FROM e JOIN c USING (i) GROUP BY 1, 2),
+cos AS (SELECT dots.c_label AS label, dots.vec_id,
+               CASE WHEN en.n * cn.n > 0 THEN dot / (en.n * cn.n) END AS cosine
+        FROM dots JOIN en USING (vec_id) JOIN cn USING (c_label))
+"""
+
+
+def _centroid_cos(spark, root):
+    emb = read_table(spark, root, "embeddings")
+    cents = pr.centroids(emb, "label", "embedding")
+    return emb, cents
+
+
+@register("centroid_cosines", f"""
+WITH {_COS_SQL}
+SELECT label, vec_id, round(cosine, 6) AS cosine FROM cos
+""")
+def q_centroid_cosines(spark, root):
+    emb, cents = _centroid_cos(spark, root)
+    p = pr.cosine_pairs(emb, cents, "vec_id", "embedding", "label", "centroid")
+    return p.select("label", "vec_id", r6("cosine").alias("cosine"))
+
+
+@register("centroid_neighbors", f"""
+WITH {_COS_SQL}
+SELECT label, CAST(rank AS BIGINT) AS rank, vec_id, round(cosine, 6) AS cosine FROM (
+  SELECT *, row_number() OVER (PARTITION BY label ORDER BY cosine DESC, vec_id) AS rank FROM cos
+  WHERE cosine IS NOT NULL) WHERE rank <= 5
+""")
+def q_centroid_neighbors(spark, root):
+    emb, cents = _centroid_cos(spark, root)
+    nn = pr.nearest_neighbors(emb, cents, 5, "vec_id", "embedding", "label", "centroid")
+    return nn.select("label", big("rank").alias("rank"), "vec_id", r6("cosine").alias("cosine"))
+
+
+# ---------------------------------------------------------------------------------
+# M2 assignment + one Lloyd step, E10 profile, C4 named levels
+# ---------------------------------------------------------------------------------
+
+from quarry.operators import clusters as cl  # noqa: E402
+
+# fixed values: three starting centres in max-abs scaled units (price, size, level)
+START_CENTERS = [[0.45, 0.25, 0.2], [0.6, 0.5, 0.6], [0.8, 0.8, 0.9]]
+LEVEL_NAMES = ["junior", "middle", "senior"]
+_FEATS = ["price_s", "size_s", "level_s"]
+
+
+def _scaled_parts(spark, root):
+    part = read_table(spark, root, "part").select("p_partkey", "p_retailprice", "p_size", "p_type")
+    d = en.ordinal_encode(part, "p_type", TYPE_LEVELS, 0.0, "level")
+    s = en.max_abs_scale(d, ["p_retailprice", "p_size", "level"])
+    s = (s.withColumnRenamed("p_retailprice_scaled", "price_s").withColumnRenamed("p_size_scaled", "size_s")
+         .withColumnRenamed("level_scaled", "level_s"))
+    return cl.assign_clusters(s, _FEATS, START_CENTERS)
+
+
+_CL_SQL = f"""
+b AS (SELECT p_partkey, p_retailprice, CAST(p_size AS DOUBLE) AS p_size, {_LVL_SQL} AS level FROM part),
+m AS (SELECT max(abs(p_retailprice)) AS ma, max(abs(p_size)) AS mb, max(abs(level)) AS mc FROM b),
+s AS (SELECT b.*, p_retailprice / ma AS price_s, p_size / mb AS size_s, level / mc AS level_s FROM b CROSS JOIN m),
+d AS (SELECT *, [{', '.join('+'.join(f'power({f} - {v}, 2)' for f, v in zip(_FEATS, c)) for c in START_CENTERS)}] AS dist
+      FROM s),
+a AS (SELECT *, CAST(list_position(dist, list_min(dist)) - 1 AS INTEGER) AS cluster FROM d),
+prof AS (SELECT cluster, count(*) AS n, avg(p_retailprice) AS avg_price, avg(p_size) AS avg_size,
+                avg(level) AS avg_level FROM a GROUP BY cluster)
+"""
+
+
+@register("cluster_assignment", f"""
+WITH {_CL_SQL}
+SELECT p_partkey, cluster FROM a
+""")
+def q_cluster_assignment(spark, root):
+    return _scaled_parts(spark, root).select("p_partkey", "cluster")
+
+
+@register("cluster_update", f"""
+WITH {_CL_SQL}
+SELECT cluster, round(avg(price_s), 6) AS price_s, round(avg(size_s), 6) AS size_s,
+       round(avg(level_s), 6) AS level_s FROM a GROUP BY cluster
+""")
+def q_cluster_update(spark, root):
+    u = cl.update_centers(_scaled_parts(spark, root), _FEATS)
+    return u.select("cluster", *[r6(c).alias(c) for c in _FEATS])
+
+
+@register("cluster_profile", f"""
+WITH {_CL_SQL}
+SELECT cluster, n, round(avg_price, 6) AS avg_price, round(avg_size, 6) AS avg_size,
+       round(avg_level, 6) AS avg_level FROM prof
+""")
+def q_cluster_profile(spark, root):
+    a = _scaled_parts(spark, root).withColumnRenamed("p_retailprice", "price").withColumnRenamed(
+        "p_size", "size")
+    p = cl.cluster_profile(a, ["price", "size", "level"])
+    return p.select("cluster", "n", r6("avg_price").alias("avg_price"), r6("avg_size").alias("avg_size"),
+                    r6("avg_level").alias("avg_level"))
+
+
+@register("cluster_levels", f"""
+WITH {_CL_SQL}
+SELECT cluster, CAST(rk AS INTEGER) AS level_rank,
+       CASE rk {' '.join(f"WHEN {i + 1} THEN '{n}'" for i, n in enumerate(LEVEL_NAMES))} ELSE 'unknown' END AS level
+FROM (SELECT cluster, dense_rank() OVER (ORDER BY avg_price, cluster) AS rk FROM prof)
+""")
+def q_cluster_levels(spark, root):
+    a = _scaled_parts(spark, root).withColumnRenamed("p_retailprice", "price")
+    p = cl.cluster_profile(a, ["price"])
+    return cl.level_from_cluster(p, "avg_price", LEVEL_NAMES).select("cluster", "level_rank", "level")
