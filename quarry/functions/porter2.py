@@ -1,0 +1,203 @@
+"""English Snowball ("Porter2") stemmer, written from the published algorithm description.
+
+A small per-word helper. Spark calls it through Arrow-batched pandas UDFs over word
+arrays; each Python worker memoises stems, so a word is stemmed about once per
+worker however often it occurs, and the corpus is not shuffled for stemming.
+"""
+
+from __future__ import annotations
+
+from functools import lru_cache
+
+import pandas as pd
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# --- fixed values of the algorithm ---------------------------------------------
+VOWELS = frozenset("aeiouy")
+DOUBLES = ("bb", "dd", "ff", "gg", "mm", "nn", "pp", "rr", "tt")
+LI_ENDINGS = frozenset("cdeghkmnrt")
+R1_PREFIXES = ("gener", "commun", "arsen")
+EXCEPTIONS = {
+    "skis": "ski", "skies": "sky", "dying": "die", "lying": "lie", "tying": "tie",
+    "idly": "idl", "gently": "gentl", "ugly": "ugli", "early": "earli", "only": "onli",
+    "singly": "singl", "sky": "sky", "news": "news", "howe": "howe", "atlas": "atlas",
+    "cosmos": "cosmos", "bias": "bias", "andes": "andes",
+}
+AFTER_1A = frozenset(["inning", "outing", "canning", "herring", "earring", "proceed", "exceed", "succeed"])
+STEP2 = [
+    ("ization", "ize"), ("ational", "ate"), ("fulness", "ful"), ("ousness", "ous"), ("iveness", "ive"),
+    ("tional", "tion"), ("biliti", "ble"), ("lessli", "less"), ("entli", "ent"), ("ation", "ate"),
+    ("alism", "al"), ("aliti", "al"), ("ousli", "ous"), ("iviti", "ive"), ("fulli", "ful"),
+    ("enci", "ence"), ("anci", "ance"), ("abli", "able"), ("izer", "ize"), ("ator", "ate"),
+    ("alli", "al"), ("bli", "ble"), ("ogi", "og"), ("li", ""),
+]
+STEP3 = [
+    ("ational", "ate"), ("tional", "tion"), ("alize", "al"), ("icate", "ic"), ("iciti", "ic"),
+    ("ative", ""), ("ical", "ic"), ("ness", ""), ("ful", ""),
+]
+STEP4 = ["ement", "ance", "ence", "able", "ible", "ment", "ant", "ent", "ism", "ate", "iti", "ous",
+         "ive", "ize", "ion", "al", "er", "ic"]
+# ------------------------------------------------------------------------------
+
+
+def _is_vowel(w: str, i: int) -> bool:
+    return w[i] in VOWELS
+
+
+def _region_after(w: str, start: int) -> int:
+    for i in range(start + 1, len(w)):
+        if not _is_vowel(w, i) and _is_vowel(w, i - 1):
+            return i + 1
+    return len(w)
+
+
+def _regions(w: str) -> tuple[int, int]:
+    r1 = None
+    for p in R1_PREFIXES:
+        if w.startswith(p):
+            r1 = len(p)
+            break
+    if r1 is None:
+        r1 = _region_after(w, 0)
+    r2 = _region_after(w, r1) if r1 < len(w) else len(w)
+    return r1, r2
+
+
+def _short_syllable_at_end(w: str) -> bool:
+    n = len(w)
+    if n == 2:
+        return _is_vowel(w, 0) and not _is_vowel(w, 1)
+    if n >= 3:
+        return (not _is_vowel(w, n - 3) and _is_vowel(w, n - 2) and not _is_vowel(w, n - 1)
+                and w[n - 1] not in "wxY")
+    return False
+
+
+def _is_short(w: str, r1: int) -> bool:
+    return r1 >= len(w) and _short_syllable_at_end(w)
+
+
+def _has_vowel(s: str) -> bool:
+    return any(c in VOWELS for c in s)
+
+
+@lru_cache(maxsize=200_000)
+def stem(word: str) -> str:
+    """Stem one lower-case English word."""
+    if word is None:
+        return None
+    w = word
+    if len(w) <= 2:
+        return w
+    if w in EXCEPTIONS:
+        return EXCEPTIONS[w]
+    if w.startswith("'"):
+        w = w[1:]
+    # mark consonant y
+    chars = list(w)
+    for i, c in enumerate(chars):
+        if c == "y" and (i == 0 or chars[i - 1] in VOWELS):
+            chars[i] = "Y"
+    w = "".join(chars)
+    r1, r2 = _regions(w)
+
+    # step 0
+    for suf in ("'s'", "'s", "'"):
+        if w.endswith(suf):
+            w = w[: -len(suf)]
+            break
+    # step 1a
+    if w.endswith("sses"):
+        w = w[:-2]
+    elif w.endswith("ied") or w.endswith("ies"):
+        w = w[:-2] if len(w) > 4 else w[:-1]
+    elif w.endswith("us") or w.endswith("ss"):
+        pass
+    elif w.endswith("s"):
+        if _has_vowel(w[:-2]):
+            w = w[:-1]
+    if w in AFTER_1A:
+        return w
+    # step 1b
+    for suf in ("eedly", "ingly", "edly", "eed", "ing", "ed"):
+        if w.endswith(suf):
+            if suf in ("eed", "eedly"):
+                if len(w) - len(suf) >= r1:
+                    w = w[: -len(suf)] + "ee"
+            else:
+                stem_part = w[: -len(suf)]
+                if _has_vowel(stem_part):
+                    w = stem_part
+                    if w.endswith(("at", "bl", "iz")):
+                        w += "e"
+                    elif w.endswith(DOUBLES):
+                        w = w[:-1]
+                    elif _is_short(w, r1):
+                        w += "e"
+            break
+    # step 1c
+    if len(w) > 2 and w[-1] in "yY" and not _is_vowel(w, len(w) - 2):
+        w = w[:-1] + "i"
+    # step 2
+    for suf, rep in STEP2:
+        if w.endswith(suf):
+            if len(w) - len(suf) >= r1:
+                if suf == "ogi":
+                    if w[-4:-3] == "l":
+                        w = w[:-3] + rep
+                elif suf == "li":
+                    if len(w) >= 3 and w[-3] in LI_ENDINGS:
+                        w = w[:-2]
+                else:
+                    w = w[: -len(suf)] + rep
+            break
+    # step 3
+    for suf, rep in STEP3:
+        if w.endswith(suf):
+            if len(w) - len(suf) >= r1:
+                if suf == "ative":
+                    if len(w) - len(suf) >= r2:
+                        w = w[: -len(suf)]
+                else:
+                    w = w[: -len(suf)] + rep
+            break
+    # step 4
+    for suf in STEP4:
+        if w.endswith(suf):
+            if len(w) - len(suf) >= r2:
+                if suf == "ion":
+                    if len(w) >= 4 and w[-4] in "st":
+                        w = w[:-3]
+                else:
+                    w = w[: -len(suf)]
+            break
+    # step 5
+    if w.endswith("e"):
+        if len(w) - 1 >= r2 or (len(w) - 1 >= r1 and not _short_syllable_at_end(w[:-1])):
+            w = w[:-1]
+    elif w.endswith("l"):
+        if len(w) - 1 >= r2 and w.endswith("ll"):
+            w = w[:-1]
+    return w.replace("Y", "y")
+
+
+def _stem_list(ws):
+    if ws is None:
+        return None
+    return [stem(x) if x is not None else None for x in ws]
+
+
+@F.pandas_udf(T.StringType())
+def porter2_word(s: pd.Series) -> pd.Series:
+    return s.map(lambda x: stem(x) if x is not None else None)
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def porter2_words(s: pd.Series) -> pd.Series:
+    return s.map(_stem_list)
+
+
+@F.pandas_udf(T.ArrayType(T.ArrayType(T.StringType())))
+def porter2_lines(s: pd.Series) -> pd.Series:
+    return s.map(lambda lines: None if lines is None else [_stem_list(l) for l in lines])

@@ -848,3 +848,246 @@ def q_cluster_levels(spark, root):
     a = _scaled_parts(spark, root).withColumnRenamed("p_retailprice", "price")
     p = cl.cluster_profile(a, ["price"])
     return cl.level_from_cluster(p, "avg_price", LEVEL_NAMES).select("cluster", "level_rank", "level")
+
+
+# ---------------------------------------------------------------------------------
+# T5 porter2; M1..M8, F13, E8, E11 (pyspark.ml); jobs JB1..JB13; C5 streaming
+# ---------------------------------------------------------------------------------
+
+from pyspark.ml.functions import array_to_vector, vector_to_array  # noqa: E402
+
+from quarry.plans import jobs as jb  # noqa: E402
+from quarry.plans import models as md  # noqa: E402
+
+
+@register("porter2_stems")
+def q_porter2_stems(spark, root):
+    """Distinct words with their English Snowball stems and occurrence counts (rows check)."""
+    docs = read_table(spark, root, "documents").select("doc_id", "text")
+    words = docs.select(F.explode(tx.document_words("text")).alias("word"))
+    counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("occurrences"))
+    return tx.stem_words(counted, "word", "stem", mode="porter2")
+
+
+@register("linear_normal_equation", """
+SELECT round(regr_slope(l_extendedprice, l_quantity), 4) AS slope,
+       round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept FROM lineitem
+""")
+def q_linear_normal_equation(spark, root):
+    """LinearRegression(solver=normal, reg 0) on one feature equals closed-form least squares."""
+    li = read_table(spark, root, "lineitem").select(
+        array_to_vector(F.array(F.col("l_quantity"))).alias("features"), F.col("l_extendedprice").alias("label"))
+    m = md.train_linear(li, reg=0.0, elastic_net=0.0, solver="normal")
+    return spark.createDataFrame([(round(float(m.coefficients[0]), 4), round(float(m.intercept), 4))],
+                                 "slope double, intercept double")
+
+
+def _part_examples(spark, root):
+    part = read_table(spark, root, "part")
+    return en.regression_examples(part, "p_retailprice", "p_size", "p_type", TYPE_LEVELS, "p_brand", BRAND_SLOTS)
+
+
+@register("train_linear_parts")
+def q_train_linear_parts(spark, root):
+    ex = _part_examples(spark, root)
+    m = md.train_linear(ex, reg=0.3, elastic_net=0.8, max_iter=50)
+    return m.transform(ex).select("p_partkey", "label", r6("prediction").alias("prediction"))
+
+
+@register("training_summary_parts")
+def q_training_summary_parts(spark, root):
+    ex = _part_examples(spark, root)
+    return md.training_summary(md.train_linear(ex, reg=0.3, elastic_net=0.8, max_iter=50))
+
+
+@register("kmeans_parts")
+def q_kmeans_parts(spark, root):
+    part = read_table(spark, root, "part")
+    ex = en.clustering_examples(part, "p_retailprice", "p_size", "p_type", TYPE_LEVELS)
+    m = md.train_kmeans(ex, 3, seed=1)
+    return m.transform(ex).select("p_partkey", F.col("prediction").alias("cluster"))
+
+
+def _quality_docs(spark, root):
+    docs = read_table(spark, root, "documents").select("doc_id", "text")
+    lab = read_table(spark, root, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
+    return docs.join(lab, "doc_id")
+
+
+@register("logistic_quality_docs")
+def q_logistic_quality_docs(spark, root):
+    """TF-IDF of document words -> binary logistic regression (M3)."""
+    from pyspark.ml.feature import IDF, HashingTF
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml import Pipeline
+    from quarry.plans.stages import DocumentWords
+    d = _quality_docs(spark, root)
+    pipe = Pipeline(stages=[DocumentWords(), HashingTF(inputCol="words", outputCol="tf", numFeatures=4096),
+                            IDF(inputCol="tf", outputCol="features"), LogisticRegression(maxIter=50, regParam=0.01)])
+    return pipe.fit(d).transform(d).select("doc_id", "label", "prediction")
+
+
+@register("nb_ml_predictions", ORACLES["nb_predictions"])
+def q_nb_ml_predictions(spark, root):
+    """Count vectors over the training vocabulary + ml NaiveBayes equals the relational NB."""
+    from pyspark.ml.classification import NaiveBayes
+    from pyspark.ml.feature import CountVectorizer, IndexToString, StringIndexer
+    from pyspark.ml import Pipeline
+    docs = read_table(spark, root, "documents").select("doc_id", "text", "lang")
+    words = docs.select("doc_id", "lang", tx.document_words("text").alias("words"))
+    words = sp.hash_split(words, "doc_id", (0.8, 0.2), ("train", "test"))
+    train, test = words.filter(F.col("split") == "train"), words.filter(F.col("split") == "test")
+    # alphabetical class order, so ties resolve to the same class as the relational form
+    idx = StringIndexer(inputCol="lang", outputCol="label", stringOrderType="alphabetAsc")
+    pipe = Pipeline(stages=[idx, CountVectorizer(inputCol="words", outputCol="features", vocabSize=1 << 24),
+                            NaiveBayes(smoothing=1.0)])
+    model = pipe.fit(train)
+    pred = IndexToString(inputCol="prediction", outputCol="pred_lang", labels=model.stages[0].labels).transform(
+        model.transform(test))
+    return pred.select("doc_id", F.col("lang").alias("label"), F.col("pred_lang").alias("prediction"),
+                       (F.col("lang") == F.col("pred_lang")).alias("correct"))
+
+
+def _emb_vectors(spark, root):
+    emb = read_table(spark, root, "embeddings")
+    return emb.select("vec_id", F.col("label").cast("double").alias("label"),
+                      array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+
+
+@register("forest_embeddings")
+def q_forest_embeddings(spark, root):
+    d = _emb_vectors(spark, root)
+    m = md.train_forest(d, num_trees=20, max_depth=6)
+    return m.transform(d).select("vec_id", "label", "prediction")
+
+
+@register("mlp_embeddings")
+def q_mlp_embeddings(spark, root):
+    d = _emb_vectors(spark, root)
+    m = md.train_mlp(d, hidden=(50,), max_iter=100)
+    return m.transform(d).select("vec_id", "label", "prediction")
+
+
+@register("svm_embeddings")
+def q_svm_embeddings(spark, root):
+    d = _emb_vectors(spark, root).withColumn("label", (F.col("label") > 4).cast("double"))
+    m = md.train_svm(d, max_iter=50)
+    return m.transform(d).select("vec_id", "label", "prediction")
+
+
+@register("logistic_multinomial_embeddings")
+def q_logistic_multinomial_embeddings(spark, root):
+    d = _emb_vectors(spark, root)
+    m = md.train_logistic(d, family="multinomial", max_iter=50)
+    return m.transform(d).select("vec_id", "label", "prediction")
+
+
+@register("word2vec_synonyms")
+def q_word2vec_synonyms(spark, root):
+    """Word2Vec over 4-line verses; 5 synonyms of the 3 most frequent words."""
+    docs = read_table(spark, root, "documents").select("doc_id", "text")
+    syn, _ = jb.embeddings_job(docs, read_table(spark, root, "conversations").limit(0).select(
+        F.lit(0).alias("request_id"), "text"), vector_size=32)
+    return syn.select("word", big("rank").alias("rank"), "synonym", r6("similarity").alias("similarity"))
+
+
+@register("similar_verses")
+def q_similar_verses(spark, root):
+    """For each line of each request of a conversation turn, the 3 most similar corpus verses."""
+    docs = read_table(spark, root, "documents").select("doc_id", "text")
+    conv = read_table(spark, root, "conversations").filter(F.col("role") == "user")
+    req = conv.select(F.concat_ws("-", "conv_id", "turn").alias("request_id"), "text")
+    _, sim = jb.embeddings_job(docs, req, k=3, vector_size=32)
+    return sim.select("qid", big("rank").alias("rank"), "vid", r6("cosine").alias("cosine"))
+
+
+@register("salary_regression_job")
+def q_salary_regression_job(spark, root):
+    part = read_table(spark, root, "part")
+    return jb.salary_regression_job(part, "p_retailprice", "p_size", "p_type", TYPE_LEVELS, "p_brand",
+                                    BRAND_SLOTS, folds=3, model_path=shared_path(spark, "models", "salary"))
+
+
+@register("level_clustering_job")
+def q_level_clustering_job(spark, root):
+    part = read_table(spark, root, "part")
+    return jb.level_clustering_job(part, "p_retailprice", "p_size", "p_type", TYPE_LEVELS,
+                                   model_path=shared_path(spark, "models", "levels"))
+
+
+def _verse_job(kind):
+    def run(spark, root):
+        return jb.verse_classifier_job(_quality_docs(spark, root), kind, sentences_in_verse=(4,), folds=2,
+                                       vector_size=32)
+    run.__name__ = f"q_verse_classifier_{kind}"
+    return run
+
+
+for _k in ("logistic", "forest", "mlp", "nb_counts", "nb_tfidf"):
+    register(f"verse_classifier_{_k}")(_verse_job(_k))
+
+
+@register("multiclass_text_nb")
+def q_multiclass_text_nb(spark, root):
+    return jb.multiclass_text_job(read_table(spark, root, "documents"), "nb", folds=2)
+
+
+@register("multiclass_text_lr")
+def q_multiclass_text_lr(spark, root):
+    return jb.multiclass_text_job(read_table(spark, root, "documents"), "lr", folds=2,
+                                  model_path=shared_path(spark, "models", "text-lr"))
+
+
+@register("product_classifier_job")
+def q_product_classifier_job(spark, root):
+    emb = read_table(spark, root, "embeddings")
+    dim = len(emb.select("embedding").first()[0])
+    wide = en.widen(emb, "embedding", dim).drop("embedding")
+    return jb.product_classifier_job(wide, [f"feat_{i + 1}" for i in range(dim)], "label", "vec_id", folds=2)
+
+
+@register("vector_classifier_job")
+def q_vector_classifier_job(spark, root):
+    emb = read_table(spark, root, "embeddings")
+    return jb.vector_classifier_job(spark, emb, "label", "embedding", "vec_id", shared_path(spark, "digits"))
+
+
+@register("baseline_trainers_job")
+def q_baseline_trainers_job(spark, root):
+    return jb.baseline_trainers_job(read_table(spark, root, "embeddings"), "label", "embedding", "vec_id")
+
+
+@register("model_statistics")
+def q_model_statistics(spark, root):
+    """Parameters and sizes of every stage of a fitted text pipeline."""
+    from pyspark.ml.classification import NaiveBayes
+    from pyspark.ml.feature import CountVectorizer, StringIndexer
+    from pyspark.ml import Pipeline
+    from quarry.plans.stages import DocumentWords
+    docs = read_table(spark, root, "documents").select("text", "lang")
+    pipe = Pipeline(stages=[StringIndexer(inputCol="lang", outputCol="label"), DocumentWords(),
+                            CountVectorizer(inputCol="words", outputCol="features", minDF=3.0),
+                            NaiveBayes()])
+    return md.model_statistics(pipe.fit(docs))
+
+
+@register("stream_scored_documents")
+def q_stream_scored_documents(spark, root):
+    """Documents arriving as Parquet files are scored by a saved pipeline in a stream."""
+    from pyspark.ml.classification import NaiveBayes
+    from pyspark.ml.feature import CountVectorizer, StringIndexer
+    from pyspark.ml import Pipeline, PipelineModel
+    from quarry.plans.stages import DocumentWords
+    from quarry.sources.models import save_model
+    from quarry.streaming import score_stream
+    docs = read_table(spark, root, "documents").select("doc_id", "text", "lang")
+    base = shared_path(spark, "stream")
+    pipe = Pipeline(stages=[StringIndexer(inputCol="lang", outputCol="label", handleInvalid="keep"),
+                            DocumentWords(), CountVectorizer(inputCol="words", outputCol="features"),
+                            NaiveBayes()])
+    model = save_model(pipe.fit(docs), f"{base}/model")
+    src = f"{base}/incoming"
+    docs.repartition(4, "doc_id").write.mode("overwrite").parquet(src)
+    score_stream(spark, PipelineModel.load(model), src, docs.schema, f"{base}/scored", f"{base}/checkpoint",
+                 select=["doc_id", "lang", "prediction"])
+    return spark.read.parquet(f"{base}/scored")
