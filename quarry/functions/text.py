@@ -31,6 +31,7 @@ WS_CLASS = r" \t\n\x0B\f\r"
 NON_WORD = r"[^0-9A-Za-z_" + WS_CLASS + r"]"
 WS_RUN = r"[" + WS_CLASS + r"]{2,}"
 WS_ONE = r"[" + WS_CLASS + r"]"
+WS_SPLIT = r"[" + WS_CLASS + r"]+"
 # Line break of a request or document body.
 LINE_BREAK = r"\r?\n"
 # --------------------------------------------------------------------------
@@ -60,6 +61,29 @@ def tokens(c) -> Column:
     return F.filter(F.split(F.lower(_c(c)), WS_ONE), lambda w: w != F.lit(""))
 
 
+def clean_tokens(c, stop_words=ENGLISH_STOP_WORDS) -> Column:
+    """``drop_stop_words(tokens(cleanse(c)))`` in one regex pass and one split.
+
+    Trimming and collapsing whitespace only change how many empty tokens a split
+    yields, and empty tokens are dropped, so they are skipped here. Lower-casing
+    comes after the removal of non-ASCII characters, as in the full chain.
+    """
+    parts = F.split(F.lower(F.regexp_replace(_c(c), NON_WORD, "")), WS_SPLIT)
+    if stop_words:
+        ws = sorted({w.lower() for w in stop_words})
+        return F.filter(parts, lambda w: (w != F.lit("")) & ~w.isin(ws))
+    return F.filter(parts, lambda w: w != F.lit(""))
+
+
+def document_tokens(text, stop_words=ENGLISH_STOP_WORDS) -> Column:
+    """All clean tokens of the kept lines of a text, in order, with one regex pass per text.
+
+    Tokens never span a line break (it is whitespace), so joining the kept lines
+    and tokenizing once equals tokenizing line by line.
+    """
+    return clean_tokens(F.array_join(nonempty_multiword_lines(text), "\n"), stop_words)
+
+
 def drop_stop_words(arr, words=ENGLISH_STOP_WORDS) -> Column:
     """Remove stop words from a token array, keeping order and duplicates.
 

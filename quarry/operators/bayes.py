@@ -45,7 +45,8 @@ def nb_model(docs: DataFrame, label: str = "label", words: str = "words",
     C = len(classes)
     log_prior = [math.log(n + smoothing) - math.log(n_total + C * smoothing) for _, n in crow]
 
-    exploded = docs.select(F.col(label).cast("string").alias("_c"), F.explode(words).alias("term"))
+    from quarry.operators.text import explode_rows
+    exploded = explode_rows(docs.withColumn("_c", F.col(label).cast("string")), ["_c"], F.col(words), "term")
     per_term = exploded.groupBy("term").agg(
         *[F.sum(F.when(F.col("_c") == c, 1).otherwise(0)).alias(f"_n{i}") for i, c in enumerate(classes)])
     per_term = per_term.persist()
@@ -106,7 +107,7 @@ def ranked_probabilities(scored: DataFrame, classes: list[str], id: str = "doc_i
     """
     names = _lit_array(classes)
     z = F.arrays_zip(F.col(prob).alias("p"), F.col(scores).alias("s"))
-    long = scored.select(id, prediction, F.posexplode(z).alias("_i", "_z"))
+    long = scored.select(id, prediction, F.posexplode_outer(z).alias("_i", "_z")).filter(F.col("_i").isNotNull())
     long = long.select(id, prediction, names[F.col("_i")].alias("class"),
                        F.col("_z.p").alias("probability"), F.col("_z.s").alias("score"))
     w = Window.partitionBy(id).orderBy(F.col("score").desc(), F.col("class"))

@@ -20,7 +20,8 @@ from quarry.functions.hashing import hash_bucket
 def document_terms(df: DataFrame, id: str = "doc_id", words: str = "words",
                    carry: Sequence[str] = (), out: str = "term") -> DataFrame:
     """(id, *carry, term, tf): occurrences of each term in each document (F11 long form)."""
-    return (df.select(id, *carry, F.explode(words).alias(out))
+    from quarry.operators.text import explode_rows
+    return (explode_rows(df, [id, *carry], F.col(words), out)
             .groupBy(id, *carry, out).agg(F.count(F.lit(1)).alias("tf")))
 
 
@@ -80,7 +81,8 @@ def count_terms(terms: DataFrame, vocab: DataFrame, term: str = "term") -> DataF
 def hashing_tf(df: DataFrame, id: str = "doc_id", words: str = "words", num_features: int = 1 << 18,
                carry: Sequence[str] = ()) -> DataFrame:
     """Hashed term counts in long form (F10, portable md5 buckets): (id, bucket, tf)."""
-    return (df.select(id, *carry, F.explode(words).alias("_t"))
+    from quarry.operators.text import explode_rows
+    return (explode_rows(df, [id, *carry], F.col(words), "_t")
             .withColumn("bucket", hash_bucket("_t", num_features).cast("int"))
             .groupBy(id, *carry, "bucket").agg(F.count(F.lit(1)).alias("tf")))
 

@@ -25,6 +25,21 @@ def _is_array(df: DataFrame, c: str) -> bool:
     return isinstance(df.schema[c].dataType, T.ArrayType)
 
 
+def explode_rows(df: DataFrame, keep, arr, out: str, pos: str | None = None) -> DataFrame:
+    """explode / posexplode that keeps Catalyst from copying ``arr`` into a pushed-down filter.
+
+    A plain ``explode`` makes the optimizer infer ``size(arr) > 0`` and push it below
+    the projection, so an expensive ``arr`` (the whole text chain) would be computed
+    twice, once before any exchange. The outer form infers nothing; rows of empty
+    arrays are dropped by a filter on the generated column instead.
+    """
+    if pos is None:
+        g = df.select(*keep, F.explode_outer(arr).alias(out))
+        return g.filter(F.col(out).isNotNull())
+    g = df.select(*keep, F.posexplode_outer(arr).alias("_p", out))
+    return g.filter(F.col("_p").isNotNull()).withColumn(pos, (F.col("_p") + 1).cast("int")).drop("_p")
+
+
 # --- row-lane operators ------------------------------------------------------------
 
 def split_lines(df: DataFrame, text: str = "text", out: str = "line", pos: str = "line_no",
@@ -37,8 +52,7 @@ def split_lines(df: DataFrame, text: str = "text", out: str = "line", pos: str =
     """
     arr = tf.nonempty_multiword_lines(text) if reader_filter else tf.lines(text)
     cols = [c for c in df.columns if c != text] if keep is None else list(keep)
-    return (df.select(*cols, F.posexplode(arr).alias("_p", out))
-            .withColumn(pos, F.col("_p") + 1).drop("_p"))
+    return explode_rows(df, cols, arr, out, pos)
 
 
 def keep_nonempty(df: DataFrame, c: str = "value") -> DataFrame:
@@ -80,8 +94,7 @@ def explode_words(df: DataFrame, c: str = "filtered", out: str = "word",
                   pos: str = "word_pos") -> DataFrame:
     """One row per word with its 1-based position; empty arrays give no rows (T4)."""
     cols = [x for x in df.columns if x != c]
-    return (df.select(*cols, F.posexplode(c).alias("_p", out))
-            .withColumn(pos, F.col("_p") + 1).drop("_p"))
+    return explode_rows(df, cols, F.col(c), out, pos)
 
 
 def stem_column(c, mode: str = "s", is_array: bool = True) -> Column:
@@ -154,13 +167,7 @@ def line_word_arrays(text, stop_words: Sequence[str] | None = tf.ENGLISH_STOP_WO
     """array<array<string>>: per kept line, its cleaned tokens without stop words, stemmed."""
     arr = tf.nonempty_multiword_lines(text) if reader_filter else tf.lines(text)
 
-    def per_line(l):
-        w = tf.tokens(tf.cleanse(l))
-        if stop_words:
-            w = tf.drop_stop_words(w, stop_words)
-        return w
-
-    lw = F.transform(arr, per_line)
+    lw = F.transform(arr, lambda l: tf.clean_tokens(l, stop_words))
     if stem and stem != "none":
         if stem == "s":
             lw = F.transform(lw, lambda ws: F.transform(ws, tf.s_stem))
@@ -171,8 +178,11 @@ def line_word_arrays(text, stop_words: Sequence[str] | None = tf.ENGLISH_STOP_WO
 
 
 def document_words(text, stop_words=tf.ENGLISH_STOP_WORDS, stem=None) -> Column:
-    """All kept words of a document in order (flattened line words)."""
-    return F.flatten(line_word_arrays(text, stop_words, stem))
+    """All kept words of a document in order (equals the flattened line words)."""
+    w = tf.document_tokens(text, stop_words)
+    if stem and stem != "none":
+        w = stem_column(w, stem, True)
+    return w
 
 
 def text_verses(df: DataFrame, n: int = 1, id: str = "doc_id", text: str = "text",
@@ -190,7 +200,5 @@ def text_verses(df: DataFrame, n: int = 1, id: str = "doc_id", text: str = "text
                     F.transform(F.sequence(F.lit(1), F.greatest(nv, F.lit(1))),
                                 lambda v: F.flatten(F.slice(F.col("_lw"), (v - 1) * n + 1, n)))
                     ).otherwise(F.array().cast("array<array<string>>"))
-    return (staged.select(*keep, F.posexplode(verses).alias("_v", out))
-            .filter(F.size(out) > 0)
-            .withColumn("verse_id", (F.col("_v") + 1).cast("int"))
-            .select(id, "verse_id", *([label] if label else []), out))
+    v = explode_rows(staged, keep, verses, out, "verse_id")
+    return v.filter(F.size(out) > 0).select(id, "verse_id", *([label] if label else []), out)

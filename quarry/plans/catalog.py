@@ -88,7 +88,7 @@ SELECT word, {sq.s_stem('word')} AS stem, count(*) AS occurrences FROM ({sq.DOC_
 """)
 def q_stemmed_words(spark, root):
     docs = read_table(spark, root, "documents").select("doc_id", "text")
-    words = docs.select(F.explode(tx.document_words("text")).alias("word"))
+    words = tx.explode_rows(docs, [], tx.document_words("text"), "word")
     return (tx.stem_words(words, "word", "stem", mode="s")
             .groupBy("word", "stem").agg(F.count(F.lit(1)).alias("occurrences")))
 
@@ -141,8 +141,8 @@ def q_bigrams(spark, root):
     docs = read_table(spark, root, "documents").select("doc_id", "text")
     d = tx.remove_stop_words(tx.tokenize(tx.cleanse_text(tx.split_lines(docs))))
     g = tx.ngrams(d, "filtered", "grams", 2)
-    return (g.select("doc_id", "line_no", F.posexplode("grams").alias("p", "gram"))
-            .select("doc_id", big("line_no").alias("line_no"), big(F.col("p") + 1).alias("gram_pos"), "gram"))
+    g = tx.explode_rows(g, ["doc_id", "line_no"], F.col("grams"), "gram", "gram_pos")
+    return g.select("doc_id", big("line_no").alias("line_no"), big("gram_pos").alias("gram_pos"), "gram")
 
 
 # ---------------------------------------------------------------------------------
@@ -864,7 +864,7 @@ from quarry.plans import models as md  # noqa: E402
 def q_porter2_stems(spark, root):
     """Distinct words with their English Snowball stems and occurrence counts (rows check)."""
     docs = read_table(spark, root, "documents").select("doc_id", "text")
-    words = docs.select(F.explode(tx.document_words("text")).alias("word"))
+    words = tx.explode_rows(docs, [], tx.document_words("text"), "word")
     counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("occurrences"))
     return tx.stem_words(counted, "word", "stem", mode="porter2")
 

@@ -174,7 +174,8 @@ def embeddings_job(docs: DataFrame, requests: DataFrame, request_text: str = "te
     from quarry.operators.pairs import nearest_neighbors
     verses = VerseSplitter(carryCols=[], sentencesInVerse=sentences_in_verse).transform(docs)
     model = md.train_word2vec(verses, "verse", "vec", vector_size=vector_size, seed=seed)
-    top_words = (verses.select(F.explode("verse").alias("word")).groupBy("word").count()
+    from quarry.operators.text import explode_rows
+    top_words = (explode_rows(verses, [], F.col("verse"), "word").groupBy("word").count()
                  .orderBy(F.col("count").desc(), F.col("word")).limit(n_query_words))
     syn = md.synonyms(model, top_words, "word", k)
     req_verses = VerseSplitter(idCol="request_id", textCol=request_text, carryCols=[], sentencesInVerse=1,

@@ -54,8 +54,7 @@ class VerseSplitter(Transformer, DefaultParamsReadable, DefaultParamsWritable):
             lambda v: F.flatten(F.slice(F.col("_lw"), (v - 1) * n + 1, n)))).otherwise(
             F.array().cast("array<array<string>>"))
         out = g(self.outputCol)
-        return (staged.select(idc, *carry, F.posexplode(verses).alias("_v", out))
-                .filter(F.size(out) > 0).withColumn("verse_id", (F.col("_v") + 1).cast("int")).drop("_v"))
+        return tx.explode_rows(staged, [idc, *carry], verses, out, "verse_id").filter(F.size(out) > 0)
 
 
 class DocumentWords(Transformer, DefaultParamsReadable, DefaultParamsWritable):

@@ -78,14 +78,25 @@ def apply_recommended(spark: SparkSession) -> None:
             spark.conf.set(k, v)
 
 
-def spread(df):
-    """Round-robin a scan that has fewer partitions than the cluster has cores.
-
-    A no-op on a cluster reading many files (the scan already has thousands of
-    splits); on a small single-file table it lets CPU-heavy text work use every core.
+def spread(df, bytes_per_partition: int = 1 << 20):
+    """Round-robin a scan that has fewer splits than the cluster has cores.
+
+    A no-op on a cluster reading many files (the scan already has at least as many
+    splits as cores). A small single-file table (one row group, one split) gets one
+    partition per ``bytes_per_partition`` of input, capped at the core count, so
+    CPU-heavy text work uses every core while a tiny table stays in one partition.
+    Filters and column pruning still reach the scan below the exchange.
     """
     spark = df.sparkSession
     want = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    have = df.rdd.getNumPartitions()
+    if have >= want:
+        return df
+    sc = spark.sparkContext
+    conf = sc._jsc.hadoopConfiguration()
+    size = 0
+    for f in df.inputFiles():
+        p = sc._jvm.org.apache.hadoop.fs.Path(f)
+        size += p.getFileSystem(conf).getFileStatus(p).getLen()
+    n = int(min(want, max(1, size // bytes_per_partition)))
+    return df.repartition(n) if n > have else df

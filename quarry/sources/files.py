@@ -72,8 +72,8 @@ def requests_to_df(df: DataFrame, text: str = "text", keep=None) -> DataFrame:
     """Request bodies -> one row per line (S6, T9): (..., line_no, line), empty lines kept out."""
     cols = [c for c in df.columns if c != text] if keep is None else list(keep)
     arr = F.filter(tf.lines(text), lambda l: F.trim(l) != F.lit(""))
-    return (df.select(*cols, F.posexplode(arr).alias("_p", "line"))
-            .withColumn("line_no", F.col("_p") + 1).drop("_p"))
+    from quarry.operators.text import explode_rows
+    return explode_rows(df, cols, arr, "line", "line_no")
 
 
 def to_labeled_csv(df: DataFrame, label, arr: str, out: str = "record") -> DataFrame:

@@ -4,7 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quarry.session import spread
 
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Read ``<root>/<name>.parquet``; filters and projections push into the scan."""
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
+
+def read_table(spark: SparkSession, root: str, name: str, spread_small: bool = True) -> DataFrame:
+    """Read ``<root>/<name>.parquet``; filters and projections push into the scan.
+
+    ``spread_small`` spreads a scan with fewer splits than cores (see ``spread``).
+    """
+    df = spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
+    return spread(df) if spread_small else df
