@@ -34,6 +34,14 @@ WS_ONE = r"[" + WS_CLASS + r"]"
 WS_SPLIT = r"[" + WS_CLASS + r"]+"
 # Line break of a request or document body.
 LINE_BREAK = r"\r?\n"
+# The same classes in Java regex syntax, as Spark runs them. Without UNICODE_CHARACTER_CLASS,
+# Java's \w is [a-zA-Z_0-9] and \s is [ \t\n\x0B\f\r], so these equal the explicit classes
+# above (kept for engines whose \s differs) and run several times faster. Removing runs of
+# non-word characters at once gives the same text as removing them one by one.
+J_NON_WORD = r"[^\w\s]+"
+J_WS_RUN = r"\s{2,}"
+J_WS_ONE = r"\s"
+J_WS_SPLIT = r"\s+"
 # --------------------------------------------------------------------------
 
 
@@ -53,12 +61,12 @@ def nonempty_multiword_lines(text) -> Column:
 
 def cleanse(c) -> Column:
     """Trim spaces, drop every non-word non-space character, collapse whitespace runs."""
-    return F.regexp_replace(F.regexp_replace(F.trim(_c(c)), NON_WORD, ""), WS_RUN, " ")
+    return F.regexp_replace(F.regexp_replace(F.trim(_c(c)), J_NON_WORD, ""), J_WS_RUN, " ")
 
 
 def tokens(c) -> Column:
     """Lower-case and split on single whitespace characters; empty tokens are dropped."""
-    return F.filter(F.split(F.lower(_c(c)), WS_ONE), lambda w: w != F.lit(""))
+    return F.filter(F.split(F.lower(_c(c)), J_WS_ONE), lambda w: w != F.lit(""))
 
 
 def clean_tokens(c, stop_words=ENGLISH_STOP_WORDS) -> Column:
@@ -68,7 +76,7 @@ def clean_tokens(c, stop_words=ENGLISH_STOP_WORDS) -> Column:
     yields, and empty tokens are dropped, so they are skipped here. Lower-casing
     comes after the removal of non-ASCII characters, as in the full chain.
     """
-    parts = F.split(F.lower(F.regexp_replace(_c(c), NON_WORD, "")), WS_SPLIT)
+    parts = F.split(F.lower(F.regexp_replace(_c(c), J_NON_WORD, "")), J_WS_SPLIT)
     if stop_words:
         ws = sorted({w.lower() for w in stop_words})
         return F.filter(parts, lambda w: (w != F.lit("")) & ~w.isin(ws))
