@@ -26,8 +26,13 @@ def document_terms(df: DataFrame, id: str = "doc_id", words: str = "words",
 
 
 def document_frequency(terms: DataFrame, term: str = "term") -> DataFrame:
-    """(term, df): number of documents containing each term."""
-    return terms.groupBy(term).agg(F.count(F.lit(1)).alias("df"))
+    """(term, df): number of documents containing each term.
+
+    Counts the ``tf`` column rather than rows so the (doc, term) aggregation below stays
+    identical to the one that produced ``terms``; Spark then reuses that shuffle
+    instead of running the text chain a second time.
+    """
+    return terms.groupBy(term).agg(F.count(F.when(F.col("tf") > 0, True)).alias("df"))
 
 
 def tf_idf(terms: DataFrame, n_docs: int, term: str = "term", min_doc_freq: int = 0) -> DataFrame:
@@ -61,7 +66,7 @@ def vocabulary(terms: DataFrame, vocab_size: int = 1 << 18, min_df: float = 1.0,
     ``vocab_size`` survivors are numbered.
     """
     stats = terms.groupBy(term).agg(F.sum("tf").alias("term_count"),
-                                    F.count(F.lit(1)).alias("doc_freq"))
+                                    F.count(F.when(F.col("tf") > 0, True)).alias("doc_freq"))
     if min_df < 1.0:
         if n_docs is None:
             raise ValueError("fractional min_df needs n_docs")
