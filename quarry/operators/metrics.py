@@ -87,6 +87,8 @@ def _bucketize(df: DataFrame, score: str, n_buckets: int) -> DataFrame:
     from pyspark.ml.feature import Bucketizer
     qs = df.approxQuantile(score, [i / n_buckets for i in range(1, n_buckets)], 0.001) if n_buckets > 1 else []
     splits = [float("-inf")] + sorted(set(float(q) for q in qs)) + [float("inf")]
+    if len(splits) < 3:
+        return df.withColumn("_bucket", F.lit(0.0))
     return Bucketizer(splits=splits, inputCol=score, outputCol="_bucket",
                       handleInvalid="keep").transform(df)
 
