@@ -65,13 +65,26 @@ def keep_multiword(df: DataFrame, c: str = "value") -> DataFrame:
     return df.filter(F.col(c).contains(" "))
 
 
-def number_lines(df: DataFrame, by: str, order: str, out: str = "line_no") -> DataFrame:
+def number_lines(df: DataFrame, by: str, order: str, out: str = "line_no",
+                 bucket_size: int = 4096) -> DataFrame:
     """Row number per ``by`` in ``order`` (W1) for rows that are already one per line.
 
-    Needs a shuffle on ``by``; prefer :func:`split_lines`, which numbers lines for free.
+    Prefer :func:`split_lines`, which numbers lines of a text for free. For row input,
+    a plain window over ``by`` would put a hot file (a third of all lines) into one
+    task, so numbering is a two-level prefix count instead:
+    rows are cut into position buckets of ``bucket_size`` (numeric ``order``); a row's
+    number is the rows of earlier buckets of its file (a prefix over the small per-bucket
+    counts, pre-aggregated before any shuffle) plus its rank inside its bucket
+    (a window over at most ``bucket_size`` positions).
     """
-    w = Window.partitionBy(by).orderBy(order)
-    return df.withColumn(out, F.row_number().over(w))
+    b = F.floor(F.col(order) / F.lit(bucket_size))
+    d = df.withColumn("_b", b)
+    counts = d.groupBy(by, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(
+        Window.partitionBy(by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    inner = F.row_number().over(Window.partitionBy(by, "_b").orderBy(order))
+    return (d.withColumn("_r", inner).join(before.select(by, "_b", "_before"), [by, "_b"])
+            .withColumn(out, (F.col("_before") + F.col("_r")).cast("int")).drop("_b", "_r", "_before"))
 
 
 def cleanse_text(df: DataFrame, c: str = "line", out: str = "clean") -> DataFrame:

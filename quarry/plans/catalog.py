@@ -986,19 +986,19 @@ def q_logistic_multinomial_embeddings(spark, root):
 def q_word2vec_synonyms(spark, root):
     """Word2Vec over 4-line verses; 5 synonyms of the 3 most frequent words."""
     docs = read_table(spark, root, "documents").select("doc_id", "text")
-    syn, _ = jb.embeddings_job(docs, read_table(spark, root, "conversations").limit(0).select(
-        F.lit(0).alias("request_id"), "text"), vector_size=32)
+    syn = jb.synonyms_job(docs, k=5, n_query_words=3, vector_size=32)
     return syn.select("word", big("rank").alias("rank"), "synonym", r6("similarity").alias("similarity"))
 
 
 @register("similar_verses")
 def q_similar_verses(spark, root):
-    """For each line of each request of a conversation turn, the 3 most similar corpus verses."""
+    """For each line of each user request, the most similar other line of that request."""
     docs = read_table(spark, root, "documents").select("doc_id", "text")
     conv = read_table(spark, root, "conversations").filter(F.col("role") == "user")
     req = conv.select(F.concat_ws("-", "conv_id", "turn").alias("request_id"), "text")
-    _, sim = jb.embeddings_job(docs, req, k=3, vector_size=32)
-    return sim.select("qid", big("rank").alias("rank"), "vid", r6("cosine").alias("cosine"))
+    sim = jb.request_similarity_job(docs, req, vector_size=32)
+    return sim.select("request_id", big("verse_id").alias("verse_id"), big("best_id").alias("best_id"),
+                      r6("cosine").alias("cosine"))
 
 
 @register("salary_regression_job")
@@ -1091,3 +1091,19 @@ def q_stream_scored_documents(spark, root):
     score_stream(spark, PipelineModel.load(model), src, docs.schema, f"{base}/scored", f"{base}/checkpoint",
                  select=["doc_id", "lang", "prediction"])
     return spark.read.parquet(f"{base}/scored")
+
+
+@register("document_word_numbers", f"""
+SELECT doc_id, CAST(line_no AS BIGINT) AS line_no, CAST(word_pos AS BIGINT) AS word_pos,
+       CAST(row_number() OVER (PARTITION BY doc_id ORDER BY line_no, word_pos) AS BIGINT) AS word_no
+FROM ({sq.DOC_WORDS})
+""")
+def q_document_word_numbers(spark, root):
+    """Consecutive word numbers per document over word rows (W1, row lane, skew-safe numbering)."""
+    docs = read_table(spark, root, "documents").select("doc_id", "text")
+    d = tx.remove_stop_words(tx.tokenize(tx.cleanse_text(tx.split_lines(docs))))
+    e = tx.explode_words(d.select("doc_id", "line_no", "filtered"))
+    e = e.withColumn("_ord", F.col("line_no").cast("bigint") * 1_000_000 + F.col("word_pos"))
+    n = tx.number_lines(e, "doc_id", "_ord", "word_no", bucket_size=256)
+    return n.select("doc_id", big("line_no").alias("line_no"), big("word_pos").alias("word_pos"),
+                    big("word_no").alias("word_no"))

@@ -164,27 +164,36 @@ def multiclass_text_job(docs: DataFrame, kind: str = "nb", id: str = "doc_id", t
 
 # --- JB10: embeddings, synonyms, similarity ---------------------------------------------
 
-def embeddings_job(docs: DataFrame, requests: DataFrame, request_text: str = "text", k: int = 5,
-                   sentences_in_verse: int = 4, vector_size: int = 50, seed: int = 1, n_query_words: int = 3):
-    """Word2Vec over verses (F13); synonyms of the most frequent words (J2); for each request
-    line, the k most similar corpus verses (J1 against a bounded request side).
+def verse_embeddings(docs: DataFrame, sentences_in_verse: int = 4, vector_size: int = 50, seed: int = 1,
+                     id: str = "doc_id", text: str = "text"):
+    """Word2Vec over the verses of a corpus (F13). Returns (model, verses)."""
+    verses = VerseSplitter(idCol=id, textCol=text, carryCols=[], sentencesInVerse=sentences_in_verse
+                           ).transform(docs)
+    return md.train_word2vec(verses, "verse", "vec", vector_size=vector_size, seed=seed), verses
 
-    Returns (synonyms, similar_verses).
-    """
-    from quarry.operators.pairs import nearest_neighbors
-    verses = VerseSplitter(carryCols=[], sentencesInVerse=sentences_in_verse).transform(docs)
-    model = md.train_word2vec(verses, "verse", "vec", vector_size=vector_size, seed=seed)
+
+def synonyms_job(docs: DataFrame, k: int = 5, n_query_words: int = 3, **w2v) -> DataFrame:
+    """Synonyms (J2) of the ``n_query_words`` most frequent corpus words (a top-k report)."""
     from quarry.operators.text import explode_rows
+    model, verses = verse_embeddings(docs, **w2v)
     top_words = (explode_rows(verses, [], F.col("verse"), "word").groupBy("word").count()
                  .orderBy(F.col("count").desc(), F.col("word")).limit(n_query_words))
-    syn = md.synonyms(model, top_words, "word", k)
-    req_verses = VerseSplitter(idCol="request_id", textCol=request_text, carryCols=[], sentencesInVerse=1,
-                               outputCol="verse").transform(requests)
-    q = model.transform(req_verses).select(F.concat_ws(":", "request_id", "verse_id").alias("qid"),
-                                           F.col("vec").alias("qv"))
-    corpus = model.transform(verses).select(F.concat_ws(":", "doc_id", "verse_id").alias("vid"), "vec")
-    sim = nearest_neighbors(corpus, q, k, "vid", "vec", "qid", "qv")
-    return syn, sim
+    return md.synonyms(model, top_words, "word", k)
+
+
+def request_similarity_job(docs: DataFrame, requests: DataFrame, request_id: str = "request_id",
+                           request_text: str = "text", **w2v) -> DataFrame:
+    """For every line of every request, the most similar other line of the same request.
+
+    Embeddings are trained on the corpus; each request's line vectors are gathered per
+    request (a group is one request text) and compared inside that group.
+    """
+    from quarry.operators.pairs import best_match_within
+    model, _ = verse_embeddings(docs, **w2v)
+    lines = VerseSplitter(idCol=request_id, textCol=request_text, carryCols=[], sentencesInVerse=1,
+                          outputCol="verse").transform(requests)
+    vec = model.transform(lines).select(request_id, "verse_id", F.col("vec"))
+    return best_match_within(vec, request_id, "verse_id", "vec")
 
 
 # --- JB11: wide-feature classifier -----------------------------------------------

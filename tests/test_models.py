@@ -142,3 +142,13 @@ def test_synonyms_unknown_word_gives_no_rows(spark):
     known = m.getVectors().first()["word"]
     got = md.synonyms(m, spark.createDataFrame([(known,)], "word string"), k=3).collect()
     assert len(got) == 3 and all(r["synonym"] != known for r in got)
+
+
+def test_best_match_within_group(spark):
+    rows = [("r1", 1, [1.0, 0.0]), ("r1", 2, [0.9, 0.1]), ("r1", 3, [0.0, 1.0]), ("r2", 1, [1.0, 1.0]),
+            ("r3", 1, [0.0, 0.0]), ("r3", 2, [1.0, 0.0])]
+    df = spark.createDataFrame(rows, "g string, id long, v array<double>")
+    got = {(r["g"], r["id"]): (r["best_id"], r["cosine"]) for r in pr.best_match_within(df, "g", "id", "v").collect()}
+    assert got[("r1", 1)][0] == 2 and got[("r1", 3)][0] == 2
+    assert got[("r2", 1)] == (None, None)
+    assert got[("r3", 1)] == (None, None) and got[("r3", 2)] == (None, None)

@@ -107,3 +107,13 @@ def test_request_lines_skip_blank(spark):
     df = spark.createDataFrame([(1, "a b\r\n\r\n  \nc d")], ["id", "text"])
     got = [(r["line_no"], r["line"]) for r in requests_to_df(df).orderBy("line_no").collect()]
     assert got == [(1, "a b"), (2, "c d")]
+
+
+def test_number_lines_bucketed_equals_window(spark):
+    from pyspark.sql import Window
+    rows = [(d, p) for d in (1, 2) for p in range(0, 300, 3)] + [(3, 5)]
+    df = spark.createDataFrame(rows, "doc int, pos int").repartition(4)
+    got = sorted(map(tuple, tx.number_lines(df, "doc", "pos", bucket_size=16).collect()))
+    want = sorted(map(tuple, df.withColumn("line_no", F.row_number().over(
+        Window.partitionBy("doc").orderBy("pos"))).collect()))
+    assert got == want
