@@ -87,16 +87,19 @@ def spread(df, bytes_per_partition: int = 1 << 20):
     CPU-heavy text work uses every core while a tiny table stays in one partition.
     Filters and column pruning still reach the scan below the exchange.
     """
-    spark = df.sparkSession
-    want = spark.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
-    if have >= want:
+    try:
+        spark = df.sparkSession
+        sc = spark.sparkContext
+        want = sc.defaultParallelism
+        have = df.rdd.getNumPartitions()
+        if have >= want:
+            return df
+        conf = sc._jsc.hadoopConfiguration()
+        size = 0
+        for f in df.inputFiles():
+            p = sc._jvm.org.apache.hadoop.fs.Path(f)
+            size += p.getFileSystem(conf).getFileStatus(p).getLen()
+    except Exception:  # noqa: BLE001 - no RDD/JVM access (e.g. a remote session): leave the plan as is
         return df
-    sc = spark.sparkContext
-    conf = sc._jsc.hadoopConfiguration()
-    size = 0
-    for f in df.inputFiles():
-        p = sc._jvm.org.apache.hadoop.fs.Path(f)
-        size += p.getFileSystem(conf).getFileStatus(p).getLen()
     n = int(min(want, max(1, size // bytes_per_partition)))
     return df.repartition(n) if n > have else df
