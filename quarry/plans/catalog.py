@@ -1107,3 +1107,22 @@ def q_document_word_numbers(spark, root):
     n = tx.number_lines(e, "doc_id", "_ord", "word_no", bucket_size=256)
     return n.select("doc_id", big("line_no").alias("line_no"), big("word_pos").alias("word_pos"),
                     big("word_no").alias("word_no"))
+
+
+@register("document_genre_scores")
+def q_document_genre_scores(spark, root):
+    """Verse classifier (4-line verses, counts + NB) scored per document by mean verse probability."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import NaiveBayes
+    from pyspark.ml.feature import CountVectorizer, StringIndexer
+    from quarry.plans.scoring import score_documents
+    from quarry.plans.stages import VerseSplitter
+    docs = read_table(spark, root, "documents").select("doc_id", "text", "lang")
+    d = sp.hash_split(docs, "doc_id")
+    pipe = Pipeline(stages=[StringIndexer(inputCol="lang", outputCol="label", handleInvalid="keep"),
+                            VerseSplitter(carryCols=["label"], sentencesInVerse=4),
+                            CountVectorizer(inputCol="verse", outputCol="features", minDF=2.0), NaiveBayes()])
+    model = pipe.fit(d.filter(F.col("split") == "train"))
+    pred = model.transform(d.filter(F.col("split") == "test"))
+    return score_documents(pred, "doc_id", model.stages[0].labels).select(
+        "doc_id", "n_verses", "predicted_label")

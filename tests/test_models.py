@@ -152,3 +152,22 @@ def test_best_match_within_group(spark):
     assert got[("r1", 1)][0] == 2 and got[("r1", 3)][0] == 2
     assert got[("r2", 1)] == (None, None)
     assert got[("r3", 1)] == (None, None) and got[("r3", 2)] == (None, None)
+
+
+def test_probability_map_drops_keep_bucket_and_document_vote(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import StringIndexer, VectorAssembler
+    from quarry.plans.scoring import probability_map, score_documents
+    train = spark.createDataFrame([(1, "a", 0.0), (2, "a", 0.2), (3, "b", 1.0), (4, "b", 0.9)], "d int, y string, x double")
+    pipe = Pipeline(stages=[StringIndexer(inputCol="y", outputCol="label", handleInvalid="keep"),
+                            VectorAssembler(inputCols=["x"], outputCol="features"), LogisticRegression(maxIter=20)])
+    model = pipe.fit(train)
+    labels = model.stages[0].labels
+    test = spark.createDataFrame([(9, "zz", 0.1), (9, "zz", 0.05), (8, "zz", 0.95)], "d int, y string, x double")
+    pred = model.transform(test)
+    assert len(pred.first()["probability"]) == 3          # two labels + the keep bucket
+    m = probability_map(pred, labels).first()["class_probabilities"]
+    assert set(m) == {"a", "b"}
+    got = {r["d"]: r["predicted_label"] for r in score_documents(pred, "d", labels).collect()}
+    assert got == {9: "a", 8: "b"}
