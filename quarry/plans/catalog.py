@@ -1109,8 +1109,8 @@ def q_document_word_numbers(spark, root):
                     big("word_no").alias("word_no"))
 
 
-@register("document_genre_scores")
-def q_document_genre_scores(spark, root):
+@register("document_class_scores")
+def q_document_class_scores(spark, root):
     """Verse classifier (4-line verses, counts + NB) scored per document by mean verse probability."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import NaiveBayes

@@ -236,16 +236,15 @@ def vector_classifier_job(spark: SparkSession, table: DataFrame, label: str, arr
     model_path = f"{path}/model"
 
     def fit():
-        return md.train_logistic(train.persist(), family="multinomial", max_iter=max_iter)
+        cached = train.persist()
+        try:
+            return md.train_logistic(cached, family="multinomial", max_iter=max_iter)
+        finally:
+            cached.unpersist()
 
-    if ms.path_exists(spark, model_path):
-        model = LogisticRegressionModel.load(model_path)
-    else:
-        model = fit()
-        ms.save_model(model, model_path)
+    model = ms.load_or_train(spark, model_path, fit, kind=LogisticRegressionModel)
     pairs = mt.prediction_pairs(model.transform(test))
     m = mt.multiclass_metrics(pairs).first()
-    train.unpersist()
     return _metric_rows(list(m.asDict().items()))
 
 

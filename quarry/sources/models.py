@@ -23,8 +23,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def load_model(path: str, kind: str = "pipeline"):
-    """Load a saved ``PipelineModel`` / ``CrossValidatorModel``."""
+def load_model(path: str, kind="pipeline"):
+    """Load a saved ``PipelineModel`` / ``CrossValidatorModel`` (S8), or any model class with ``load``."""
+    if not isinstance(kind, str):
+        return kind.load(path)
     if kind == "cv":
         from pyspark.ml.tuning import CrossValidatorModel
         return CrossValidatorModel.load(path)
@@ -32,7 +34,7 @@ def load_model(path: str, kind: str = "pipeline"):
     return PipelineModel.load(path)
 
 
-def load_or_train(spark: SparkSession, path: str, train_fn: Callable[[], object], kind: str = "pipeline"):
+def load_or_train(spark: SparkSession, path: str, train_fn: Callable[[], object], kind="pipeline"):
     """Load the model at ``path`` (memoised per process); train, save and return it when missing."""
     if path in _CACHE:
         return _CACHE[path]

@@ -171,3 +171,22 @@ def test_probability_map_drops_keep_bucket_and_document_vote(spark):
     assert set(m) == {"a", "b"}
     got = {r["d"]: r["predicted_label"] for r in score_documents(pred, "d", labels).collect()}
     assert got == {9: "a", 8: "b"}
+
+
+def test_load_or_train_trains_once(spark, tmp_path):
+    from pyspark.ml.classification import LogisticRegressionModel
+    from quarry.sources import models as ms
+    d = spark.createDataFrame([(0.0, 0.0), (1.0, 1.0), (0.0, 0.1), (1.0, 0.9)], "label double, x double").select(
+        "label", array_to_vector(F.array("x")).alias("features"))
+    calls = []
+
+    def train():
+        calls.append(1)
+        return md.train_logistic(d, max_iter=10)
+
+    p = str(tmp_path / "m")
+    a = ms.load_or_train(spark, p, train, kind=LogisticRegressionModel)
+    ms._CACHE.clear()
+    b = ms.load_or_train(spark, p, train, kind=LogisticRegressionModel)
+    assert len(calls) == 1 and isinstance(b, LogisticRegressionModel)
+    assert a.coefficients == b.coefficients
