@@ -44,7 +44,7 @@ def read_labeled_text(spark: SparkSession, path: str, label: str = "label",
     that are not empty and contain a space (P2, P3). ``whole=True``: one row per file
     (value = whole text), for the array lane, where line numbers are positions.
     """
-    r = spark.read.option("wholetext", whole).text(path)
+    r = spark.read.text(path, wholetext=whole)   # the keyword: text() would reset an .option()
     r = r.withColumn("id", F.col("_metadata.file_path"))
     if not whole:
         r = r.filter((F.col("value") != "") & F.col("value").contains(" "))

@@ -117,3 +117,21 @@ def test_number_lines_bucketed_equals_window(spark):
     want = sorted(map(tuple, df.withColumn("line_no", F.row_number().over(
         Window.partitionBy("doc").orderBy("pos"))).collect()))
     assert got == want
+
+
+def test_labeled_text_readers(spark, tmp_path):
+    from quarry.sources import files as fs
+    for label, body in (("pop", "a b\n\nsingle\nc d"), ("rock", "e f")):
+        d = tmp_path / "dirs" / label
+        d.mkdir(parents=True)
+        (d / "one.txt").write_text(body)
+    dirs = {k: str(tmp_path / "dirs" / k / "*") for k in ("pop", "rock")}
+    lines = fs.read_class_dirs(spark, dirs)
+    assert sorted((r["label"], r["value"]) for r in lines.collect()) == [("pop", "a b"), ("pop", "c d"), ("rock", "e f")]
+    assert all(r["id"].endswith("one.txt") for r in lines.collect())
+    docs = spark.createDataFrame([("x", "p q\nr"), ("y", "s t")], "lang string, text string")
+    path = fs.write_labeled_text(docs, str(tmp_path / "part"), "lang", "text")
+    whole = fs.read_labeled_text(spark, path, whole=True)
+    assert sorted((r["lang"], r["value"].strip()) for r in whole.collect()) == [("x", "p q\nr"), ("y", "s t")]
+    per_line = fs.read_labeled_text(spark, path)
+    assert sorted(r["value"] for r in per_line.collect()) == ["p q", "s t"]
