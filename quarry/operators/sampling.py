@@ -64,8 +64,11 @@ def union_labeled(parts: dict) -> DataFrame:
 def holdout_complement(full: DataFrame, part: DataFrame) -> DataFrame:
     """Rows of ``full`` that equal no row of ``part`` (null-safe, whole row); all equal copies go.
 
-    A left-anti equi-join on every column: hash-partitioned on the whole row, so it is
-    one shuffle, and AQE splits a partition that a hot row makes large.
+    A left-anti equi-join on every column. The right side only has to prove existence,
+    so it is de-duplicated first: a row repeated across a third of the table collapses
+    to one row per map task (partial aggregation) before its shuffle. On the left, AQE
+    splits a partition that a hot row makes large.
     """
-    cond = [full[c].eqNullSafe(part[c]) for c in full.columns]
-    return full.join(part, cond, "left_anti")
+    right = part.select(*full.columns).dropDuplicates()
+    cond = [full[c].eqNullSafe(right[c]) for c in full.columns]
+    return full.join(right, cond, "left_anti")
