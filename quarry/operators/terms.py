@@ -84,8 +84,16 @@ def count_terms(terms: DataFrame, vocab: DataFrame, term: str = "term") -> DataF
 
 
 def hashing_tf(df: DataFrame, id: str = "doc_id", words: str = "words", num_features: int = 1 << 18,
-               carry: Sequence[str] = ()) -> DataFrame:
-    """Hashed term counts in long form (F10, portable md5 buckets): (id, bucket, tf)."""
+               carry: Sequence[str] = (), mode: str = "md5") -> DataFrame:
+    """Hashed term counts.
+
+    ``mode="md5"``: long form (id, bucket, tf) with portable md5 buckets (the same in SQL).
+    ``mode="murmur3"``: Spark's ``HashingTF`` vector column ``tf`` for model pipelines.
+    """
+    if mode == "murmur3":
+        return hashing_tf_vectors(df, words, "tf", num_features)
+    if mode != "md5":
+        raise ValueError(f"unknown mode {mode!r}")
     from quarry.operators.text import explode_rows
     return (explode_rows(df, [id, *carry], F.col(words), "_t")
             .withColumn("bucket", hash_bucket("_t", num_features).cast("int"))

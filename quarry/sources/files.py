@@ -36,14 +36,18 @@ def write_labeled_text(df: DataFrame, path: str, label: str, text: str) -> str:
     return path
 
 
-def read_labeled_text(spark: SparkSession, path: str, label: str = "label",
+def read_labeled_text(spark: SparkSession, path, label: str = "label",
                       whole: bool = False) -> DataFrame:
     """Labelled text directory (S3): one folder per class, class from the folder name.
 
+    ``path`` may also be a ``{label: glob}`` mapping (see :func:`read_class_dirs`).
+
     ``whole=False``: one row per line (value, label, id = file path), keeping lines
     that are not empty and contain a space (P2, P3). ``whole=True``: one row per file
     (value = whole text), for the array lane, where line numbers are positions.
     """
+    if isinstance(path, Mapping):
+        return read_class_dirs(spark, path, whole)
     r = spark.read.text(path, wholetext=whole)   # the keyword: text() would reset an .option()
     r = r.withColumn("id", F.col("_metadata.file_path"))
     if not whole:
@@ -51,12 +55,14 @@ def read_labeled_text(spark: SparkSession, path: str, label: str = "label",
     return r
 
 
-def read_class_dirs(spark: SparkSession, dirs: Mapping[str, str]) -> DataFrame:
+def read_class_dirs(spark: SparkSession, dirs: Mapping[str, str], whole: bool = False) -> DataFrame:
     """Union of per-class folders given as {label: glob} (S3 + U1)."""
     out = None
     for label, glob in dirs.items():
-        r = (spark.read.text(glob).filter((F.col("value") != "") & F.col("value").contains(" "))
-             .withColumn("id", F.col("_metadata.file_path")).withColumn("label", F.lit(label)))
+        r = spark.read.text(glob, wholetext=whole).withColumn("id", F.col("_metadata.file_path"))
+        if not whole:
+            r = r.filter((F.col("value") != "") & F.col("value").contains(" "))
+        r = r.withColumn("label", F.lit(label))
         out = r if out is None else out.unionByName(r)
     return out
 
