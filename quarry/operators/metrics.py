@@ -78,8 +78,9 @@ def regression_metrics(pred: DataFrame, label: str = "label", prediction: str =
     e = F.col(prediction) - F.col(label)
     a = pred.agg(F.avg(e * e).alias("mse"), F.avg(F.abs(e)).alias("mae"),
                  F.var_pop(label).alias("_v"))
+    # a constant label has no variance: r2 is null rather than a division error (ANSI mode)
     return a.select(F.sqrt("mse").alias("rmse"), "mse", "mae",
-                    (1 - F.col("mse") / F.col("_v")).alias("r2"))
+                    (F.lit(1.0) - F.try_divide(F.col("mse"), F.col("_v"))).alias("r2"))
 
 
 def _bucketize(df: DataFrame, score: str, n_buckets: int) -> DataFrame:
@@ -112,7 +113,8 @@ def auc_roc(df: DataFrame, score: str, label: str, n_buckets: int = 64) -> DataF
     inner = Window.partitionBy("_bucket").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     g = (g.join(F.broadcast(bt.select("_bucket", "before")), "_bucket")
          .withColumn("below", F.col("before") + F.coalesce(F.sum("n").over(inner), F.lit(0))))
+    # only one class present: AUC is undefined -> null, not a division error
     return g.agg(
-        (F.sum(F.col("p") * (F.col("below") + F.col("n") / 2.0))
-         / (F.sum("p").cast("double") * F.sum("n").cast("double"))).alias("auc"),
+        F.try_divide(F.sum(F.col("p") * (F.col("below") + F.col("n") / 2.0)),
+                     F.sum("p").cast("double") * F.sum("n").cast("double")).alias("auc"),
         F.sum("p").cast("bigint").alias("n_pos"), F.sum("n").cast("bigint").alias("n_neg"))

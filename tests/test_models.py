@@ -190,3 +190,11 @@ def test_load_or_train_trains_once(spark, tmp_path):
     b = ms.load_or_train(spark, p, train, kind=LogisticRegressionModel)
     assert len(calls) == 1 and isinstance(b, LogisticRegressionModel)
     assert a.coefficients == b.coefficients
+
+
+def test_metrics_degenerate_inputs_give_null(spark):
+    one_class = spark.createDataFrame([(0.1, 1.0), (0.4, 1.0)], "s double, y double")
+    assert mt.auc_roc(one_class, "s", "y").first()["auc"] is None
+    const = spark.createDataFrame([(1.0, 2.0), (3.0, 2.0)], "prediction double, label double")
+    r = mt.regression_metrics(const).first()
+    assert r["r2"] is None and abs(r["rmse"] - 1.0) < 1e-12
