@@ -1126,3 +1126,20 @@ def q_document_class_scores(spark, root):
     pred = model.transform(d.filter(F.col("split") == "test"))
     return score_documents(pred, "doc_id", model.stages[0].labels).select(
         "doc_id", "n_verses", "predicted_label")
+
+
+@register("salary_predictions")
+def q_salary_predictions(spark, root):
+    """Tuned salary-like regression loaded or trained once, then every part scored."""
+    part = read_table(spark, root, "part")
+    out = jb.salary_predictions_job(spark, part, shared_path(spark, "models", "salary-cv"), "p_retailprice",
+                                    "p_size", "p_type", TYPE_LEVELS, "p_brand", BRAND_SLOTS, "p_partkey")
+    return out.select("p_partkey", "label", r6("prediction").alias("prediction"))
+
+
+@register("level_predictions")
+def q_level_predictions(spark, root):
+    """Clustering pipeline loaded or trained once; every part gets a cluster and a named level (C4)."""
+    part = read_table(spark, root, "part")
+    return jb.level_predictions_job(spark, part, shared_path(spark, "models", "levels-km"), "p_retailprice",
+                                    "p_size", "p_type", TYPE_LEVELS, "p_partkey")

@@ -284,3 +284,42 @@ def baseline_trainers_job(table: DataFrame, label: str, arr: str, key: str, seed
     rows.append(("kmeans_cost", km.summary.trainingCost))
     train.unpersist()
     return _metric_rows(rows)
+
+
+# --- predict side of JB1 / JB2 -------------------------------------------------------
+
+def salary_predictions_job(spark: SparkSession, table: DataFrame, model_path: str, label: str, numeric: str,
+                           level: str, level_map, category: str, names: Sequence[str], key: str) -> DataFrame:
+    """Load the tuned regression (or train and save it once) and score a whole table."""
+    from pyspark.ml.tuning import CrossValidatorModel
+    from pyspark.ml.regression import LinearRegression
+    ex = en.regression_examples(table, label, numeric, level, level_map, category, names)
+
+    def train():
+        lr = LinearRegression(featuresCol="features", labelCol="label", maxIter=50)
+        grid = ParamGridBuilder().addGrid(lr.regParam, [0.1, 0.8]).addGrid(lr.elasticNetParam, [0.0, 0.8]).build()
+        return md.tune(lr, grid, RegressionEvaluator(metricName="rmse"), sp.assign_folds(ex, key, 3), "fold")
+
+    model = ms.load_or_train(spark, model_path, train, kind=CrossValidatorModel)
+    return model.bestModel.transform(ex).select(key, "label", "prediction")
+
+
+def level_predictions_job(spark: SparkSession, table: DataFrame, model_path: str, value: str, numeric: str,
+                          level: str, level_map, key: str, k: int = 3,
+                          names=("junior", "middle", "senior")) -> DataFrame:
+    """Load the clustering pipeline (or train and save it once); every row gets its cluster and the
+    cluster's named level (C4), ranked by mean ``value`` in original units."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.clustering import KMeans
+    ex = en.clustering_examples(table, value, numeric, level, level_map)
+
+    def train():
+        return Pipeline(stages=[MaxAbsScaler(inputCol="features", outputCol="scaled"),
+                                KMeans(k=k, featuresCol="scaled", seed=1, maxIter=20,
+                                       predictionCol="cluster")]).fit(ex)
+
+    model = ms.load_or_train(spark, model_path, train, kind=PipelineModel)
+    assigned = model.transform(ex).withColumn(value, F.col(value).cast("double"))
+    levels = cl.level_from_cluster(cl.cluster_profile(assigned, [value]), f"avg_{value}", list(names))
+    # one row per cluster (k rows): a broadcast of a table bounded by k
+    return assigned.join(F.broadcast(levels.select("cluster", "level")), "cluster").select(key, "cluster", "level")
