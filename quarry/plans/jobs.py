@@ -136,13 +136,19 @@ def verse_classifier_job(docs: DataFrame, kind: str = "logistic", sentences_in_v
 def multiclass_text_job(docs: DataFrame, kind: str = "nb", id: str = "doc_id", text: str = "text",
                         label: str = "lang", folds: int = 3, parallelism: int = 4,
                         model_path: str | None = None) -> DataFrame:
-    """80/20 document split, label index (F6), words, TF-IDF, NB or LR tuned by CV; test metrics."""
+    """80/20 document split, label index (F6), words, TF-IDF, NB or LR tuned by CV; test metrics.
+
+    The words do not depend on any grid parameter, so they are computed once before
+    the search (and cached by ``tune``) instead of once per grid point and fold; the
+    saved model gets the word stage back in front of the tuned stages.
+    """
+    from pyspark.ml import PipelineModel
     from pyspark.ml.classification import LogisticRegression, NaiveBayes
+    words = DocumentWords(textCol=text, outputCol="words")
     d = sp.hash_split(docs.select(id, text, label).na.drop(subset=[text, label]), id)
-    train = sp.assign_folds(d.filter(F.col("split") == "train"), id, folds)
+    train = sp.assign_folds(words.transform(d.filter(F.col("split") == "train")), id, folds)
     test = d.filter(F.col("split") == "test")
     idx = StringIndexer(inputCol=label, outputCol="label_index", handleInvalid="keep")
-    words = DocumentWords(textCol=text, outputCol="words")
     if kind == "nb":
         tfs = HashingTF(inputCol="words", outputCol="tf", numFeatures=4096)
         clf = NaiveBayes(labelCol="label_index", smoothing=1.0)
@@ -151,12 +157,13 @@ def multiclass_text_job(docs: DataFrame, kind: str = "nb", id: str = "doc_id", t
         tfs = CountVectorizer(inputCol="words", outputCol="tf", vocabSize=15000, minDF=3)
         clf = LogisticRegression(labelCol="label_index", maxIter=30)
         grid = ParamGridBuilder().addGrid(clf.regParam, [0.01, 0.1, 1.0]).build()
-    pipe = Pipeline(stages=[idx, words, tfs, IDF(inputCol="tf", outputCol="features"), clf])
+    pipe = Pipeline(stages=[idx, tfs, IDF(inputCol="tf", outputCol="features"), clf])
     ev = MulticlassClassificationEvaluator(labelCol="label_index", metricName="accuracy")
     cvm = md.tune(pipe, grid, ev, train, "fold", parallelism)
+    full = PipelineModel(stages=[words, *cvm.bestModel.stages])
     if model_path:
-        ms.save_model(cvm.bestModel, model_path)
-    pred = cvm.bestModel.transform(test)
+        ms.save_model(full, model_path)
+    pred = full.transform(test)
     m = mt.multiclass_metrics(pred, "label_index", "prediction").first()
     _, best = md.best_of_grid(cvm, ev)
     return _metric_rows(list(m.asDict().items()) + [("cv_accuracy", best)])
