@@ -61,11 +61,17 @@ def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataF
 
 
 def regression_examples(df: DataFrame, label: str, numeric: str, level: str, level_map: Mapping[str, float],
-                        category: str, names: Sequence[str], out: str = "features") -> DataFrame:
-    """(label, features): [numeric, level code, one-hot slot of category incl. the other slot]."""
+                        category: str, names: Sequence[str], out: str = "features",
+                        other: int | None = None) -> DataFrame:
+    """(label, features): [numeric, level code, one-hot slot of category incl. the other slot].
+
+    ``other`` is the slot of unknown categories: by default one slot after ``names``;
+    it may also be the position of an "Other" entry inside ``names``.
+    """
+    other = len(names) if other is None else other
     d = ordinal_encode(df, level, level_map, out="_lvl")
-    d = slot_encode(d, category, names, out="_slot")
-    n_slots = len(names) + 1
+    d = slot_encode(d, category, names, other=other, out="_slot")
+    n_slots = max(len(names), other + 1)
     d = d.select("*", *one_hot_columns("_slot", n_slots, "_oh"))
     d = d.withColumn("_x", F.col(numeric).cast("double"))
     d = assemble(d, ["_x", "_lvl"] + [f"_oh_{i}" for i in range(n_slots)], out)

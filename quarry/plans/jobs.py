@@ -39,11 +39,12 @@ def _metric_rows(rows) -> DataFrame:
 
 def salary_regression_job(table: DataFrame, label: str, numeric: str, level: str, level_map, category: str,
                           names: Sequence[str], folds: int = 3, regs=(0.1, 0.3, 0.8), nets=(0.0, 0.8),
-                          model_path: str | None = None, parallelism: int = 4) -> DataFrame:
+                          model_path: str | None = None, parallelism: int = 4, other: int | None = None,
+                          key: str | None = None) -> DataFrame:
     """Examples (F3) -> elastic-net regression tuned by k-fold CV (E1, E2, E5) -> coefficients."""
     from pyspark.ml.regression import LinearRegression
-    ex = en.regression_examples(table, label, numeric, level, level_map, category, names)
-    key = table.columns[0]
+    ex = en.regression_examples(table, label, numeric, level, level_map, category, names, other=other)
+    key = key or table.columns[0]
     ex = sp.assign_folds(ex, key, folds)
     lr = LinearRegression(featuresCol="features", labelCol="label", maxIter=50)
     grid = ParamGridBuilder().addGrid(lr.regParam, list(regs)).addGrid(lr.elasticNetParam, list(nets)).build()
@@ -52,7 +53,8 @@ def salary_regression_job(table: DataFrame, label: str, numeric: str, level: str
     best_i, best_m = md.best_of_grid(cv, ev)
     if model_path:
         ms.save_model(cv, model_path)
-    slot_names = [numeric, level] + [f"{category}={n}" for n in names] + [f"{category}=Other"]
+    slots = list(names) + (["Other"] if (other is None or other >= len(names)) else [])
+    slot_names = [numeric, level] + [f"{category}={n}" for n in slots]
     params = {p.name: v for p, v in grid[best_i].items()} | {"cv_rmse": best_m}
     return md.explain_linear(cv.bestModel, slot_names, params)
 
@@ -330,3 +332,50 @@ def level_predictions_job(spark: SparkSession, table: DataFrame, model_path: str
     levels = cl.level_from_cluster(cl.cluster_profile(assigned, [value]), f"avg_{value}", list(names))
     # one row per cluster (k rows): a broadcast of a table bounded by k
     return assigned.join(F.broadcast(levels.select("cluster", "level")), "cluster").select(key, "cluster", "level")
+
+
+# --- the jobs on their original input formats ------------------------------------------
+
+def survey_salary_job(spark: SparkSession, csv_path: str, folds: int = 10, model_path: str | None = None):
+    """JB1 on a survey CSV: role filter before projection (P4), [experience, English level,
+    19 language slots] (F3), elastic-net regression tuned by CV, coefficients (E9)."""
+    from quarry.operators.filters import role_filter
+    from quarry.sources import formats as fm
+    from quarry.sources.files import read_typed_csv
+    raw = read_typed_csv(spark, csv_path, fm.SURVEY_SCHEMA)
+    kept = role_filter(raw, "position", fm.ROLE_CONTAINS, fm.ROLE_EQUALS).filter(F.col("salary").isNotNull())
+    table = kept.select("id", "salary", "experience", "english_level", "programming_language")
+    return salary_regression_job(table, "salary", "experience", "english_level", fm.ENGLISH_LEVELS,
+                                 "programming_language", fm.LANGUAGE_SLOTS, folds=folds, model_path=model_path,
+                                 other=fm.OTHER_LANGUAGE_SLOT, key="id")
+
+
+def survey_levels_job(spark: SparkSession, csv_path: str, k: int = 3, model_path: str | None = None):
+    """JB2 on a survey CSV: [salary, experience, English level], max-abs scaling, k-means, named levels."""
+    from quarry.operators.filters import role_filter
+    from quarry.sources import formats as fm
+    from quarry.sources.files import read_typed_csv
+    raw = read_typed_csv(spark, csv_path, fm.SURVEY_SCHEMA)
+    kept = role_filter(raw, "position", fm.ROLE_CONTAINS, fm.ROLE_EQUALS).na.drop(subset=["salary", "experience"])
+    return level_clustering_job(kept, "salary", "experience", "english_level", fm.ENGLISH_LEVELS, k=k,
+                                model_path=model_path)
+
+
+def product_csv_job(spark: SparkSession, csv_path: str, folds: int = 10, n_features: int = 93):
+    """JB11 on a product CSV (id, feat_1..feat_n, target)."""
+    from quarry.sources import formats as fm
+    from quarry.sources.files import read_typed_csv
+    table = read_typed_csv(spark, csv_path, fm.product_schema(n_features))
+    return product_classifier_job(table, fm.product_features(n_features), "target", "id", folds=folds)
+
+
+def text_csv_job(spark: SparkSession, csv_path: str, text: str = "lyrics", label: str = "genre",
+                 kind: str = "nb", folds: int = 5):
+    """JB8 / JB9 on a CSV with a text and a class column (inferred schema, rows with nulls dropped).
+
+    Rows carry no id, so the split and folds hash the text itself.
+    """
+    from quarry.sources.files import read_inferred_csv
+    raw = read_inferred_csv(spark, csv_path).select(text, label).na.drop()
+    docs = raw.withColumn("row_key", F.md5(F.col(text)))
+    return multiclass_text_job(docs, kind, id="row_key", text=text, label=label, folds=folds)
