@@ -17,6 +17,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.operators import clusters as cl
 from quarry.operators import encoders as en
@@ -120,6 +121,10 @@ def verse_classifier_job(docs: DataFrame, kind: str = "logistic", sentences_in_v
     """
     rows = []
     ev = BinaryClassificationEvaluator(metricName="areaUnderROC")
+    if not isinstance(docs.schema[label].dataType, (T.NumericType, T.BooleanType)):
+        # class names -> 0..k-1 by frequency, so the evaluator and the models see numeric labels
+        docs = StringIndexer(inputCol=label, outputCol="_label_index").fit(docs).transform(docs).drop(label) \
+            .withColumnRenamed("_label_index", label)
     for n in sentences_in_verse:
         verses = VerseSplitter(idCol=id, textCol=text, carryCols=[label], sentencesInVerse=n,
                                stem=stem).transform(docs)
@@ -379,3 +384,14 @@ def text_csv_job(spark: SparkSession, csv_path: str, text: str = "lyrics", label
     raw = read_inferred_csv(spark, csv_path).select(text, label).na.drop()
     docs = raw.withColumn("row_key", F.md5(F.col(text)))
     return multiclass_text_job(docs, kind, id="row_key", text=text, label=label, folds=folds)
+
+
+def text_dirs_verse_job(spark: SparkSession, dirs, kind: str = "nb_counts", sentences_in_verse=(4,),
+                        folds: int = 3, vector_size: int = 50) -> DataFrame:
+    """JB3..JB7 on a class-per-folder text tree ({label: glob}): each file is one document,
+    its folder the class; folds are drawn per file."""
+    from quarry.sources.files import read_labeled_text
+    docs = read_labeled_text(spark, dirs, whole=True).select(F.col("id").alias("doc_id"),
+                                                             F.col("value").alias("text"), "label")
+    return verse_classifier_job(docs, kind, sentences_in_verse=sentences_in_verse, folds=folds,
+                                vector_size=vector_size)
