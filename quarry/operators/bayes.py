@@ -50,6 +50,8 @@ def nb_model(docs: DataFrame, label: str = "label", words: str = "words",
     per_term = exploded.groupBy("term").agg(
         *[F.sum(F.when(F.col("_c") == c, 1).otherwise(0)).alias(f"_n{i}") for i, c in enumerate(classes)])
     # the model's per-term table: cut its lineage once (reliable checkpoint in the shared folder)
+    from quarry.session import shared_root
+    shared_root(docs.sparkSession)
     per_term = per_term.checkpoint()
     tot = per_term.agg(F.count(F.lit(1)).alias("v"),
                        *[F.sum(f"_n{i}").alias(f"s{i}") for i in range(C)]).collect()[0]
