@@ -200,13 +200,15 @@ def document_words(text, stop_words=tf.ENGLISH_STOP_WORDS, stem=None) -> Column:
 
 def text_verses(df: DataFrame, n: int = 1, id: str = "doc_id", text: str = "text",
                 label: str | None = None, stop_words=tf.ENGLISH_STOP_WORDS, stem: str | None = None,
-                out: str = "verse") -> DataFrame:
+                out: str = "verse", carry: Sequence[str] = ()) -> DataFrame:
     """Array lane T1..T7: a document row becomes its verses, with no shuffle.
 
     Equals ``split_lines -> cleanse -> tokenize -> remove_stop_words -> build_verses``.
+    ``label`` and ``carry`` columns are kept on every verse.
     """
     lw = line_word_arrays(text, stop_words, stem)
-    keep = [id] + ([label] if label else [])
+    extra = ([label] if label else []) + [c for c in carry if c != label]
+    keep = [id] + extra
     staged = df.select(*keep, lw.alias("_lw"))
     nv = F.ceil(F.size("_lw") / F.lit(n)).cast("int")
     verses = F.when(F.size("_lw") > 0,
@@ -214,4 +216,4 @@ def text_verses(df: DataFrame, n: int = 1, id: str = "doc_id", text: str = "text
                                 lambda v: F.flatten(F.slice(F.col("_lw"), (v - 1) * n + 1, n)))
                     ).otherwise(F.array().cast("array<array<string>>"))
     v = explode_rows(staged, keep, verses, out, "verse_id")
-    return v.filter(F.size(out) > 0).select(id, "verse_id", *([label] if label else []), out)
+    return v.filter(F.size(out) > 0).select(id, "verse_id", *extra, out)

@@ -10,7 +10,6 @@ from pyspark.ml import Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from quarry.functions import text as tf
 from quarry.operators import text as tx
@@ -43,18 +42,9 @@ class VerseSplitter(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     def _transform(self, df: DataFrame) -> DataFrame:
         g = self.getOrDefault
         carry = [c for c in g(self.carryCols) if c in df.columns]
-        idc = g(self.idCol)
         stop = tf.ENGLISH_STOP_WORDS if g(self.removeStopWords) else None
-        lw = tx.line_word_arrays(g(self.textCol), stop, g(self.stem))
-        n = g(self.sentencesInVerse)
-        staged = df.select(idc, *carry, lw.alias("_lw"))
-        nv = F.ceil(F.size("_lw") / F.lit(n)).cast("int")
-        verses = F.when(F.size("_lw") > 0, F.transform(
-            F.sequence(F.lit(1), F.greatest(nv, F.lit(1))),
-            lambda v: F.flatten(F.slice(F.col("_lw"), (v - 1) * n + 1, n)))).otherwise(
-            F.array().cast("array<array<string>>"))
-        out = g(self.outputCol)
-        return tx.explode_rows(staged, [idc, *carry], verses, out, "verse_id").filter(F.size(out) > 0)
+        return tx.text_verses(df, n=g(self.sentencesInVerse), id=g(self.idCol), text=g(self.textCol),
+                              stop_words=stop, stem=g(self.stem), out=g(self.outputCol), carry=carry)
 
 
 class DocumentWords(Transformer, DefaultParamsReadable, DefaultParamsWritable):
