@@ -1143,3 +1143,19 @@ def q_level_predictions(spark, root):
     part = read_table(spark, root, "part")
     return jb.level_predictions_job(spark, part, shared_path(spark, "models", "levels-km"), "p_retailprice",
                                     "p_size", "p_type", TYPE_LEVELS, "p_partkey")
+
+
+@register("nb_correct_flags", f"""
+WITH {_NB_SQL}
+SELECT doc_id, CAST({_case_sql('label', LANG_CLASSES, -1)} AS DOUBLE) AS label_value,
+       CAST({_case_sql('prediction', LANG_CLASSES, -1)} AS DOUBLE) AS prediction_value,
+       CAST({_case_sql('label', LANG_CLASSES, -1)} AS BIGINT) = CAST({_case_sql('prediction', LANG_CLASSES, -1)} AS BIGINT)
+         AS correct
+FROM pred
+""")
+def q_nb_correct_flags(spark, root):
+    """Predictions as class values; the correct flag compares integer parts."""
+    _, scored = _nb_scored(spark, root)
+    v = en.class_by_name(scored, "label", LANG_CLASSES, "label_value")
+    v = en.class_by_name(v, "prediction", LANG_CLASSES, "prediction_value")
+    return mt.is_correct(v.select("doc_id", "label_value", "prediction_value"), "label_value", "prediction_value")
