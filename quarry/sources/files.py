@@ -150,3 +150,10 @@ def read_idx(spark: SparkSession, images: str, labels: str) -> DataFrame:
            .mapInPandas(_idx_rows("labels"), "path string, idx long, label double"))
     return img.drop("path").join(lab.drop("path"), "idx").select(
         "idx", "label", array_to_vector("pixels").alias("features"))
+
+
+def idx_to_parquet(spark: SparkSession, images: str, labels: str, out: str) -> str:
+    """IDX image + label records -> (label double, features vector) Parquet (S5), all records,
+    decoded and written by the executors."""
+    read_idx(spark, images, labels).select("label", "features").write.mode("overwrite").parquet(out)
+    return out

@@ -79,6 +79,10 @@ def test_idx_records_roundtrip(spark, tmp_path):
         "idx", "label", vector_to_array("features").alias("a")).orderBy("idx").collect()
     assert [r["label"] for r in got] == [float(x) for x in labs]
     assert all(r["a"] == [float(v) for v in imgs[r["idx"]].reshape(-1)] for r in got)
+    from quarry.sources.files import idx_to_parquet
+    out = idx_to_parquet(spark, str(tmp_path / "img"), str(tmp_path / "lab"), str(tmp_path / "pq"))
+    back = spark.read.parquet(out)
+    assert back.columns == ["label", "features"] and back.count() == 7
 
 
 def test_text_dirs_verse_job(spark, tmp_path):
