@@ -1159,3 +1159,16 @@ def q_nb_correct_flags(spark, root):
     v = en.class_by_name(scored, "label", LANG_CLASSES, "label_value")
     v = en.class_by_name(v, "prediction", LANG_CLASSES, "prediction_value")
     return mt.is_correct(v.select("doc_id", "label_value", "prediction_value"), "label_value", "prediction_value")
+
+
+@register("vocabulary_full", f"""
+WITH tf AS ({_DOC_TERMS_SQL}),
+st AS (SELECT term, sum(tf) AS term_count, count(*) AS doc_freq FROM tf GROUP BY term)
+SELECT CAST(row_number() OVER (ORDER BY term_count DESC, term) - 1 AS INTEGER) AS term_index, term,
+       term_count, doc_freq FROM st ORDER BY term_count DESC, term LIMIT 200000
+""")
+def q_vocabulary_full(spark, root):
+    """Count-vector vocabulary with Spark's default-sized limit (200,000 terms): numbered by the
+    exact distributed global index instead of a single merge (F11)."""
+    _, terms = _doc_terms(spark, root)
+    return tm.vocabulary(terms, vocab_size=200_000, min_df=1)

@@ -98,3 +98,22 @@ def test_hashing_tf_md5_bucket_matches_python(spark):
     df = spark.createDataFrame([(1, ["hello"])], "doc_id int, words array<string>")
     b = tm.hashing_tf(df, "doc_id", "words", 4096).first()["bucket"]
     assert b == int(hashlib.md5(b"hello").hexdigest()[:8], 16) % 4096
+
+
+def test_global_index_equals_window(spark):
+    from pyspark.sql import Window
+    from quarry.operators.ranking import global_index
+    df = spark.range(5000).select((F.col("id") * 7919 % 1000).alias("k"), F.col("id")).repartition(7)
+    got = {(r["k"], r["id"]): r["index"] for r in global_index(df, ["k", "id"]).collect()}
+    want = {(r["k"], r["id"]): r["rn"] - 1 for r in df.withColumn(
+        "rn", F.row_number().over(Window.orderBy("k", "id"))).collect()}
+    assert got == want
+
+
+def test_vocabulary_large_path_equals_merge_path(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    from quarry.operators import text as tx
+    terms = tm.document_terms(docs.select("doc_id", tx.document_words("text").alias("words")), "doc_id", "words")
+    a = sorted(map(tuple, tm.vocabulary(terms, vocab_size=300).collect()))
+    b = sorted(map(tuple, tm.vocabulary(terms, vocab_size=300, merge_limit=10).collect()))
+    assert a == b and len(a) == 300
