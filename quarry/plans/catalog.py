@@ -1071,7 +1071,27 @@ def q_model_statistics(spark, root):
     return md.model_statistics(pipe.fit(docs))
 
 
-@register("stream_scored_documents")
+_STREAM_NB_SQL = f"""
+WITH words AS (SELECT doc_id, word FROM ({sq.DOC_WORDS})),
+cls AS (SELECT lang AS class, count(*) AS n_c FROM documents GROUP BY lang),
+idx AS (SELECT class, CAST(row_number() OVER (ORDER BY n_c DESC, class) - 1 AS DOUBLE) AS ci FROM cls),
+tot AS (SELECT sum(n_c) AS n, count(*) AS c FROM cls),
+ctf AS (SELECT d.lang AS class, w.word AS term, count(*) AS tf FROM words w JOIN documents d USING (doc_id) GROUP BY 1, 2),
+voc AS (SELECT count(DISTINCT term) AS v FROM ctf),
+sc AS (SELECT class, sum(tf) AS s FROM ctf GROUP BY class),
+cc AS (SELECT cls.class, idx.ci, ln(cls.n_c + 1.0) - ln(tot.n + tot.c) AS prior, ln(coalesce(sc.s, 0) + voc.v) AS den
+       FROM cls JOIN idx USING (class) CROSS JOIN tot CROSS JOIN voc LEFT JOIN sc USING (class)),
+xd AS (SELECT doc_id, count(*) AS x FROM words GROUP BY doc_id),
+pt AS (SELECT w.doc_id, ctf.class, sum(ln(ctf.tf + 1.0)) AS s FROM words w JOIN ctf ON ctf.term = w.word GROUP BY 1, 2),
+scores AS (SELECT d.doc_id, d.lang, cc.ci, cc.prior - coalesce(xd.x, 0) * cc.den + coalesce(pt.s, 0) AS score
+           FROM documents d CROSS JOIN cc LEFT JOIN xd ON xd.doc_id = d.doc_id
+           LEFT JOIN pt ON pt.doc_id = d.doc_id AND pt.class = cc.class)
+SELECT doc_id, lang, ci AS prediction FROM (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, ci) AS rk FROM scores) WHERE rk = 1
+"""
+
+
+@register("stream_scored_documents", _STREAM_NB_SQL)
 def q_stream_scored_documents(spark, root):
     """Documents arriving as Parquet files are scored by a saved pipeline in a stream."""
     from pyspark.ml.classification import NaiveBayes
