@@ -198,3 +198,17 @@ def test_metrics_degenerate_inputs_give_null(spark):
     const = spark.createDataFrame([(1.0, 2.0), (3.0, 2.0)], "prediction double, label double")
     r = mt.regression_metrics(const).first()
     assert r["r2"] is None and abs(r["rmse"] - 1.0) < 1e-12
+
+
+def test_synonyms_match_spark_find_synonyms(spark):
+    from quarry.plans.stages import VerseSplitter
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    verses = VerseSplitter(carryCols=[], sentencesInVerse=2).transform(docs)
+    m = md.train_word2vec(verses, vector_size=16, seed=3)
+    words = [r["word"] for r in m.getVectors().orderBy("word").limit(3).collect()]
+    req = spark.createDataFrame([(w,) for w in words], "word string")
+    ours = md.synonyms(m, req, k=5).collect()
+    for w in words:
+        spark_syn = [r["word"] for r in m.findSynonyms(w, 5).collect()]
+        mine = [r["synonym"] for r in sorted((r for r in ours if r["word"] == w), key=lambda r: r["rank"])]
+        assert mine == spark_syn
