@@ -71,4 +71,6 @@ def holdout_complement(full: DataFrame, part: DataFrame) -> DataFrame:
     """
     right = part.select(*full.columns).dropDuplicates()
     cond = [full[c].eqNullSafe(right[c]) for c in full.columns]
-    return full.join(right, cond, "left_anti")
+    # the de-duplicated side is the hash table (one row per distinct row, so a hot row
+    # costs one entry); the full side streams through without a sort on every column
+    return full.join(right.hint("shuffle_hash"), cond, "left_anti")

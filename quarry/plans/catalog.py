@@ -168,8 +168,10 @@ SELECT doc_id, CAST(rank AS BIGINT) AS rank, term, tf, df, round(x, 6) AS tfidf
   SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY x DESC, term) AS rank FROM w) WHERE rank <= 5
 """)
 def q_tf_idf_top_terms(spark, root):
-    docs, terms = _doc_terms(spark, root)
-    weighted = tm.tf_idf(terms, docs.count())
+    _, terms = _doc_terms(spark, root)
+    # m = number of documents: counted on the plain scan (no text read, no spreading)
+    n_docs = read_table(spark, root, "documents", spread_small=False).count()
+    weighted = tm.tf_idf(terms, n_docs)
     top = tm.top_terms(weighted, 5)
     return top.select("doc_id", big("rank").alias("rank"), "term", "tf", "df", r6("tfidf").alias("tfidf"))
 
