@@ -117,3 +117,12 @@ def test_vocabulary_large_path_equals_merge_path(spark):
     a = sorted(map(tuple, tm.vocabulary(terms, vocab_size=300).collect()))
     b = sorted(map(tuple, tm.vocabulary(terms, vocab_size=300, merge_limit=10).collect()))
     assert a == b and len(a) == 300
+
+
+def test_folds_are_per_document(spark):
+    from quarry.operators import text as tx
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    verses = sp.assign_folds(tx.text_verses(docs, n=1), "doc_id", 5)
+    per_doc = verses.groupBy("doc_id").agg(F.countDistinct("fold").alias("k"))
+    assert per_doc.filter(F.col("k") > 1).count() == 0
+    assert verses.select("fold").distinct().count() == 5
