@@ -154,7 +154,8 @@ def tune(estimator, grid, evaluator, data: DataFrame, fold_col: str = "fold", pa
     from pyspark.ml.tuning import CrossValidator
     data = data.persist()
     try:
-        n_folds = data.select(fold_col).distinct().count()
+        # fold values must lie in [0, numFolds): take the largest present, not the count of distinct ones
+        n_folds = int(data.agg(F.max(fold_col)).first()[0]) + 1
         cv = CrossValidator(estimator=estimator, estimatorParamMaps=grid, evaluator=evaluator,
                             numFolds=max(2, n_folds), foldCol=fold_col, parallelism=parallelism, seed=seed)
         return cv.fit(data)
