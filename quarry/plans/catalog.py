@@ -469,7 +469,7 @@ def q_hashed_terms(spark, root):
 
 _VOCAB_SQL = f"""
 WITH tf AS ({_DOC_TERMS_SQL}),
-st AS (SELECT term, sum(tf) AS term_count, count(*) AS doc_freq FROM tf GROUP BY term HAVING count(*) >= 3)
+st AS (SELECT term, CAST(sum(tf) AS BIGINT) AS term_count, count(*) AS doc_freq FROM tf GROUP BY term HAVING count(*) >= 3)
 SELECT CAST(row_number() OVER (ORDER BY term_count DESC, term) - 1 AS INTEGER) AS term_index, term,
        term_count, doc_freq FROM st ORDER BY term_count DESC, term LIMIT 2000
 """
@@ -1185,7 +1185,7 @@ def q_nb_correct_flags(spark, root):
 
 @register("vocabulary_full", f"""
 WITH tf AS ({_DOC_TERMS_SQL}),
-st AS (SELECT term, sum(tf) AS term_count, count(*) AS doc_freq FROM tf GROUP BY term)
+st AS (SELECT term, CAST(sum(tf) AS BIGINT) AS term_count, count(*) AS doc_freq FROM tf GROUP BY term)
 SELECT CAST(row_number() OVER (ORDER BY term_count DESC, term) - 1 AS INTEGER) AS term_index, term,
        term_count, doc_freq FROM st ORDER BY term_count DESC, term LIMIT 200000
 """)
