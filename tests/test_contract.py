@@ -27,9 +27,17 @@ def con():
     return c
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "array<double>": "DOUBLE[]", "float": "FLOAT"}
+
+
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
+    rel = con.sql(E.oracle_sql()[name])
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    for f in df.schema.fields:
+        assert SPARK_TO_DUCK.get(f.dataType.simpleString()) == duck_types.get(f.name), f.name
     res = con.execute(E.oracle_sql()[name])
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
