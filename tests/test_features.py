@@ -126,3 +126,24 @@ def test_folds_are_per_document(spark):
     per_doc = verses.groupBy("doc_id").agg(F.countDistinct("fold").alias("k"))
     assert per_doc.filter(F.col("k") > 1).count() == 0
     assert verses.select("fold").distinct().count() == 5
+
+
+def test_labeled_records_with_name_rule(spark, tmp_path):
+    from quarry.sources import files as fs
+    df = spark.createDataFrame([("/x/cat_01.jpg", [1.0, 2.5]), ("/x/dog_02.jpg", [0.0, 3.0])],
+                               "path string, px array<double>")
+    rule = F.when(F.col("path").contains("cat"), 1).otherwise(0)
+    path = fs.write_text(fs.to_labeled_csv(df, rule, "px"), str(tmp_path / "rec"))
+    back = sorted((r["label"], r["values"]) for r in fs.parse_labeled_csv(spark, path).collect())
+    assert back == [(0.0, [0.0, 3.0]), (1.0, [1.0, 2.5])]
+
+
+def test_spread_is_a_noop_on_wide_scans(spark, tmp_path):
+    from quarry.session import spread
+    p = str(tmp_path / "wide")
+    spark.range(1000).repartition(8).write.parquet(p)
+    wide = spark.read.parquet(p)
+    assert wide.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert spread(wide) is wide
+    tiny = spark.read.parquet("/root/testdata/sf0.001/region.parquet")
+    assert spread(tiny) is tiny          # a few KB: one partition is enough

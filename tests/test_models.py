@@ -212,3 +212,14 @@ def test_synonyms_match_spark_find_synonyms(spark):
         spark_syn = [r["word"] for r in m.findSynonyms(w, 5).collect()]
         mine = [r["synonym"] for r in sorted((r for r in ours if r["word"] == w), key=lambda r: r["rank"])]
         assert mine == spark_syn
+
+
+def test_ranked_probabilities_shares(spark):
+    docs = spark.createDataFrame([(1, "a", ["x", "x"]), (2, "b", ["y"]), (3, "c", ["z"])],
+                                 "doc_id int, label string, words array<string>")
+    model = nb.nb_model(docs, "label", "words")
+    scored = nb.nb_score(model, spark.createDataFrame([(9, ["x", "y"])], "doc_id int, words array<string>"))
+    r = nb.ranked_probabilities(scored, model.classes).orderBy("rank").collect()
+    assert [x["rank"] for x in r] == [1, 2, 3]
+    assert abs(sum(x["share"] for x in r) - 100.0) < 1e-9
+    assert sum(x["is_predicted"] for x in r) == 1 and r[0]["is_predicted"]
