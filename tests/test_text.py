@@ -135,3 +135,15 @@ def test_labeled_text_readers(spark, tmp_path):
     assert sorted((r["lang"], r["value"].strip()) for r in whole.collect()) == [("x", "p q\nr"), ("y", "s t")]
     per_line = fs.read_labeled_text(spark, path)
     assert sorted(r["value"] for r in per_line.collect()) == ["p q", "s t"]
+
+
+def test_number_lines_hot_document(spark):
+    from pyspark.sql import Window
+    rows = [(1, p) for p in range(3000)] + [(d, p) for d in range(2, 12) for p in range(5)]
+    df = spark.createDataFrame(rows, "doc int, pos int").repartition(8)
+    got = tx.number_lines(df, "doc", "pos", bucket_size=100)
+    want = df.withColumn("line_no", F.row_number().over(Window.partitionBy("doc").orderBy("pos")))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    # no bucket group holds more than bucket_size rows
+    sizes = df.groupBy("doc", F.floor(F.col("pos") / 100).alias("b")).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 100
