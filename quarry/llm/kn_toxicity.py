@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from quarry.llm.common import as_bytes, map_rows, seeded_key
 
 WINDOW = 32
+MARGIN = 0.85
+FLOOR = 1e-3
 START = 0x5851F42D4C957F2D  # stands before the first word
 # ASCII upper case becomes lower case, ASCII other than letters, digits and ' a space
 FOLD = bytes(c + 32 if 65 <= c <= 90 else (c if c > 127 or chr(c).isalnum() or c == 39 else 32) for c in range(256))
@@ -70,34 +72,41 @@ class Lookup:
         return self.values[np.where(self.keys[at] == keys, at + 1, 0)]
 
 
+def discounts(counts: np.ndarray) -> np.ndarray:
+    """Kneser-Ney discounts of counts 1, 2 and 3 or more, from the counts of counts."""
+    n = [max(1.0, float((counts == k).sum())) for k in (1, 2, 3, 4)]
+    y = n[0] / (n[0] + 2 * n[1])
+    d = [k - (k + 1) * y * n[k] / n[k - 1] for k in (1, 2, 3)]
+    return np.clip(d, [0.5, 0.7, 0.9], [1.0, 2.0, 3.0])
+
+
 class KneserNey:
     """Both classes' interpolated bigram models over one vocabulary."""
 
     def __init__(self, first: np.ndarray, second: np.ndarray, pair: np.ndarray, counts: np.ndarray):
         """Bigram types: hashes of both words and of the pair, counts (types x 2 classes)."""
-        counts = counts.astype(np.float64)
         met = (counts > 0).astype(np.float64)
-        once, twice = (counts == 1).sum(axis=0), (counts == 2).sum(axis=0)
-        self.d = np.clip(once / np.maximum(1, once + 2 * twice), 0.1, 0.95)
         words, at = np.unique(np.concatenate([first, second]), return_inverse=True)
         a, b = at[:len(first)], at[len(first):]
 
         def per(index: np.ndarray, values: np.ndarray) -> np.ndarray:
             return np.stack([np.bincount(index, values[:, c], len(words)) for c in (0, 1)], axis=1)
 
-        history, follow, cont = per(a, counts), per(a, met), per(b, met)
-        types, shared = met.sum(axis=0), np.bincount(b, minlength=len(words)).astype(np.float64)
-        vocabulary = np.maximum(1, (cont > 0).sum(axis=0))
-        common = (shared + 1.0) / (len(first) + len(words) + 1.0)
+        def discounted(c: np.ndarray) -> np.ndarray:
+            return np.stack([np.maximum(0.0, c[:, k] - np.append(0.0, discounts(c[:, k]))[np.minimum(c[:, k], 3).astype(int)])
+                             for k in (0, 1)], axis=1)
+
+        history, cont, types = per(a, counts), per(b, met), np.maximum(1.0, met.sum(axis=0))
+        kept, kept_cont = discounted(counts.astype(np.float64)), discounted(cont)
+        # backed-off mass of a class's lower order, and of each history
+        self.rest = 1.0 - kept_cont.sum(axis=0) / types
+        weight = np.where(history > 0, 1.0 - per(a, kept) / np.maximum(1, history), 1.0)
+        common = (np.bincount(b, minlength=len(words)) + 1.0) / (len(first) + len(words) + 1.0)
+        lower = kept_cont / types + self.rest * common[:, None]
         self.unseen = 1.0 / (len(first) + len(words) + 1.0)
-        rest = self.d * vocabulary / np.maximum(1, types)
-        lower = np.maximum(cont - self.d, 0) / np.maximum(1, types) + rest * common[:, None]
-        self.rest = rest
-        weight = np.where(history > 0, self.d * follow / np.maximum(1, history), 1.0)
-        # per word: lower-order probability as second word, backoff weight as first word
-        self.words = Lookup(words, np.hstack([lower, weight]).astype(np.float32))
-        share = np.maximum(counts - self.d, 0) / np.maximum(1, history[a])
-        self.pairs = Lookup(pair, share.astype(np.float32))
+        # per word: lower-order probabilities as second word, backoff weights as first word, shared probability
+        self.words = Lookup(words, np.hstack([lower, weight, common[:, None]]).astype(np.float32))
+        self.pairs = Lookup(pair, (kept / np.maximum(1, history[a])).astype(np.float32))
 
     def arrays(self) -> tuple:
         """The model as plain arrays, for a broadcast."""
@@ -110,52 +119,60 @@ class KneserNey:
         m.words.keys, m.words.values, m.pairs.keys, m.pairs.values, m.rest, m.unseen = arrays
         return m
 
-    def evidence(self, h: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """log p(word | toxic) - log p(word | ordinary) of each word; ``starts``: first words of texts."""
+    def evidence(self, h: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log p(word | toxic) - log p(word | ordinary) of each word, by bigrams and by the
+        lower order; ``starts``: first words of texts. In the lower order the classes' backed-off
+        masses are set equal, so a word that neither class kept says nothing."""
         got = self.words(h)
-        known = got[:, 0] > 0
+        known = got[:, 4] > 0
         lower = np.where(known[:, None], got[:, :2], (self.rest * self.unseen)[None, :])
+        shared = np.where(known, got[:, 4], self.unseen)[:, None] * self.rest[None, :]
+        alone = np.log(lower / shared)
         back = np.ones((len(h), 2))
-        if len(h) > 1:
-            back[1:] = np.where((got[:-1, 2] > 0)[:, None], got[:-1, 2:], 1.0)
-        back[starts] = self.words(np.array([START], dtype=np.uint64))[0, 2:] if len(self.words.keys) else 1.0
-        back[back <= 0] = 1.0
+        back[1:] = np.where((got[:-1, 4] > 0)[:, None], got[:-1, 2:4], 1.0)
+        back[starts] = self.words(np.array([START], dtype=np.uint64))[0, 2:4]
         x = np.concatenate([np.array([START], dtype=np.uint64), h[:-1]])
         x[starts] = START
         key = x * np.uint64(0x9E3779B97F4A7C15) ^ (h + np.uint64(0x632BE59BD9B4E019)) * np.uint64(0xC2B2AE3D27D4EB4F)
-        key ^= key >> np.uint64(32)
-        p = self.pairs(key) + back * lower
-        return np.log(p[:, 1] / p[:, 0])
+        p = self.pairs(key ^ (key >> np.uint64(32))) + np.maximum(back, 1e-9) * lower
+        return np.log(p[:, 1] / p[:, 0]), alone[:, 1] - alone[:, 0]
 
 
 def text_evidence(model: KneserNey, hashes: list[np.ndarray]) -> np.ndarray:
-    """(mean evidence, mean evidence of the most toxic window) of each text."""
-    out = np.zeros((len(hashes), 2))
+    """Of each text: mean bigram evidence, mean strong lower-order evidence, the same in its most toxic window.
+
+    Strong evidence is what exceeds ``MARGIN`` of the most that a word of one class alone can
+    have, either way: sampling noise of common and rare words stays below it. Means are on a
+    log scale, where both ordinary and toxic documents are compact groups.
+    """
+    out = np.zeros((len(hashes), 3))
     sizes = np.array([len(h) for h in hashes])
     full = np.flatnonzero(sizes)
     if not len(full):
         return out
     starts = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
-    e = model.evidence(np.concatenate([hashes[i] for i in full]), starts)
-    run = np.concatenate([[0.0], np.cumsum(e)])
-    out[full, 0] = (run[starts + sizes[full]] - run[starts]) / sizes[full]
-    at = np.arange(len(e))
-    end = np.repeat(starts + sizes[full], sizes[full])
+    pairs, alone = model.evidence(np.concatenate([hashes[i] for i in full]), starts)
+    margin = MARGIN * np.log1p(2.0 / max(1e-3, float(np.mean(model.rest))))
+    strong = np.sign(alone) * np.maximum(0.0, np.abs(alone) - margin)
+    out[full, 0] = np.add.reduceat(pairs, starts) / sizes[full]
+    run = np.concatenate([[0.0], np.cumsum(strong)])
+    out[full, 1] = (run[starts + sizes[full]] - run[starts]) / sizes[full]
+    at, end = np.arange(len(strong)), np.repeat(starts + sizes[full], sizes[full])
     first = np.maximum(np.repeat(starts, sizes[full]), np.minimum(at, end - WINDOW))
-    window = run[np.minimum(first + WINDOW, end)] - run[first]
-    out[full, 1] = np.maximum.reduceat(window, starts) / WINDOW
+    out[full, 2] = np.maximum.reduceat(run[np.minimum(first + WINDOW, end)] - run[first], starts) / WINDOW
+    out[:, 1:] = np.log((np.maximum(0.0, out[:, 1:]) + FLOOR) / FLOOR)
     return out
 
 
-def fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 60, l2: float = 1e-3) -> np.ndarray:
+def fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 60, l2: float = 0.1) -> np.ndarray:
     """Logistic regression by Newton steps; the last coefficient is the bias."""
     scale = x.std(axis=0) + 1e-9
     z = np.hstack([x / scale, np.ones((len(x), 1))])
     w = np.zeros(z.shape[1])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        g = z.T @ (weight * (p - y)) + l2 * w
-        hess = (z * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ z + l2 * np.eye(len(w))
+        g = z.T @ (weight * (p - y)) + l2 * np.append(w[:-1], 0.0)
+        hess = (z * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ z + l2 * np.diag(np.append(np.ones(len(w) - 1), 1e-6))
         step = np.linalg.solve(hess, g)
         w -= step * min(1.0, 2.0 / (np.abs(step).max() + 1e-9))
     return np.concatenate([w[:-1] / scale, w[-1:]])
@@ -171,7 +188,7 @@ class Judge:
         if self.model is None:
             return np.zeros(len(hashes))
         x = text_evidence(self.model, hashes)
-        return 1 / (1 + np.exp(-np.clip(x @ self.curve[:2] + self.curve[2], -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(x @ self.curve[:-1] + self.curve[-1], -30, 30)))
 
 
 def sample_counts(picked: DataFrame) -> DataFrame:
@@ -212,6 +229,7 @@ def fit_judge(docs: DataFrame, labels: DataFrame, use: Column | None = None, sam
     sizes = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(sizes) < 2:
         return Judge(None, None)
+    sample = min(sample, *sizes.values())  # equal shares: continuation counts of unequal samples don't compare
     fold = F.pmod(F.crc32("key"), F.lit(2)).cast("int").alias("fold")
     picked = [rows.where(F.col("y") == y).orderBy("key", "text").limit(sample) for y in (0, 1)]
     picked = picked[0].unionByName(picked[1]).select(fold, "y", "text", "key")
@@ -224,11 +242,11 @@ def fit_judge(docs: DataFrame, labels: DataFrame, use: Column | None = None, sam
     def crossed(batch: pa.RecordBatch, cache: _Hashes):
         folds, found = batch.column(0).to_pylist(), [word_hashes(t or b"", cache) for t in as_bytes(batch, 2)]
         both = [text_evidence(KneserNey.from_arrays(m), found) for m in halves.value]
-        return [batch.column(3), batch.column(1), [both[f][i, 0] for i, f in enumerate(folds)], [both[f][i, 1] for i, f in enumerate(folds)]]
+        return [batch.column(3), batch.column(1), [both[f][i].tolist() for i, f in enumerate(folds)]]
 
-    fitted = map_rows(picked, crossed, "key string, y int, mean double, window double", _Hashes).orderBy("key", "y", "mean").collect()
+    fitted = map_rows(picked, crossed, "key string, y int, x array<double>", _Hashes).orderBy("key", "y", "x").collect()
     y = np.array([r["y"] for r in fitted], dtype=float)
-    x = np.array([[r["mean"], r["window"]] for r in fitted])
+    x = np.array([r["x"] for r in fitted])
     drawn = {k: max(1.0, float((y == k).sum())) for k in (0, 1)}
     weight = np.where(y > 0, sizes[1] / drawn[1], sizes[0] / drawn[0])  # back to the labels' own shares
     curve = fit_curve(x, y, weight / weight.mean())
