@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm import (
     apportion,
+    combo_join,
     crf_quality,
     kn_toxicity,
     prefix_tokens,
@@ -40,6 +41,10 @@ def op3_vector_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def op4_combo_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return combo_join.jaccard_components(read_docs(spark, sf_dir), width=3, percent=90)
+
+
 def op5_prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_tokens.token_counts(read_docs(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
@@ -64,6 +69,6 @@ def op10_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_crf_quality, op2_sainte_lague_mix, op3_vector_shards, op5_prefix_tokens, op7_kn_toxicity, op8_warc_chunks,
+    op1_crf_quality, op2_sainte_lague_mix, op3_vector_shards, op4_combo_jaccard, op5_prefix_tokens, op7_kn_toxicity, op8_warc_chunks,
     op9_tput_topk, op10_word_bpe)}
 ORACLES: dict[str, str] = {}
