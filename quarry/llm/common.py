@@ -98,3 +98,20 @@ def running_start(df: DataFrame, keys: Sequence[str], order: Sequence[str], valu
     joined = b.join(per, [*keys, "_rb"])
     return (joined.withColumn(out, F.col("_ro") + F.coalesce(F.sum("_rv").over(inside), F.lit(0)))
             .drop("_rb", "_rv", "_ro"))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, sample: int, seed: int,
+                    use: Column | None = None) -> tuple[DataFrame, dict[int, int]]:
+    """(key, y, text) of at most ``sample`` labelled rows of each class, and the classes' sizes.
+
+    The rows with the smallest seeded keys are chosen by id alone; the chosen ids (bounded
+    by ``sample``) go to the texts, so no other text moves.
+    """
+    known = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("y")).where("y in (0, 1)")
+    rows = docs if use is None else docs.where(use)
+    ids = rows.select(F.col(id_col).alias("_id")).join(known, "_id").withColumn("key", seeded_key("_id", seed))
+    sizes = {r["y"]: r["n"] for r in ids.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    picked = [ids.where(F.col("y") == y).orderBy("key").limit(sample) for y in (0, 1)]
+    chosen = F.broadcast(picked[0].unionByName(picked[1]).distinct())
+    texts = rows.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text")).join(chosen, "_id")
+    return texts.select("key", "y", "text"), sizes

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import as_bytes, map_rows, seeded_key
+from quarry.llm.common import as_bytes, cut, labelled_sample, map_rows
 
 SEQUENCE = 64
 MIN_WORDS = 20
@@ -192,11 +192,8 @@ def sample_sequences(docs: DataFrame, labels: DataFrame, id_col: str, text_col:
             out += [(f"{key}{k:08d}", y, [list(r) for r in rows[k:k + SEQUENCE]]) for k in range(0, len(rows), SEQUENCE)]
         return list(zip(*out, strict=True)) if out else ([], [], [])
 
-    known = labels.select(F.col(id_col).alias("_lid"), F.col(label_col).cast("int").alias("y")).where("y in (0, 1)")
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(known, F.col("_id") == F.col("_lid"))
-    rows = rows.select(seeded_key("_id", seed).alias("key"), "y", "text")
-    picked = [rows.where(F.col("y") == y).orderBy("key").limit(sample) for y in (0, 1)]
-    seq = map_rows(picked[0].unionByName(picked[1]), sequences, "key string, y int, x array<array<double>>")
+    rows, _ = labelled_sample(docs, labels, id_col, text_col, label_col, sample, seed)
+    seq = cut(map_rows(rows, sequences, "key string, y int, x array<array<double>>"))
     got = [seq.where(F.col("y") == y).orderBy("key").limit(sample).collect() for y in (0, 1)]
     return [(r["y"], r["x"]) for part in got for r in part]
 
