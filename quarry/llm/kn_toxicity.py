@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import as_bytes, map_rows, seeded_key
+from quarry.llm.common import as_bytes, cut, labelled_sample, map_rows
 
 WINDOW = 32
 MARGIN = 0.85
@@ -222,17 +222,13 @@ def model_of(table: dict[str, np.ndarray], use: np.ndarray) -> KneserNey:
 def fit_judge(docs: DataFrame, labels: DataFrame, use: Column | None = None, sample: int = 1500, seed: int = 23,
               id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Judge:
     """Fit on at most ``sample`` labelled documents of each class (rows of ``docs`` where ``use``)."""
-    known = labels.select(F.col(id_col).alias("_lid"), F.col(label_col).cast("int").alias("y")).where("y in (0, 1)")
-    rows = docs if use is None else docs.where(use)
-    rows = (rows.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text"))
-            .join(known, F.col("_id") == F.col("_lid")).select(seeded_key("_id", seed).alias("key"), "y", "text"))
-    sizes = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows, sizes = labelled_sample(docs, labels, id_col, text_col, label_col, sample, seed, use)
     if len(sizes) < 2:
         return Judge(None, None)
     sample = min(sample, *sizes.values())  # equal shares: continuation counts of unequal samples don't compare
     fold = F.pmod(F.crc32("key"), F.lit(2)).cast("int").alias("fold")
     picked = [rows.where(F.col("y") == y).orderBy("key", "text").limit(sample) for y in (0, 1)]
-    picked = picked[0].unionByName(picked[1]).select(fold, "y", "text", "key")
+    picked = cut(picked[0].unionByName(picked[1]).select(fold, "y", "text", "key"))
     pdf = sample_counts(picked.select("fold", "y", "text")).toPandas()
     table = {c: pdf[c].to_numpy() for c in pdf.columns}
     order = np.lexsort((table["second"], table["first"], table["y"], table["fold"]))
