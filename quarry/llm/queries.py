@@ -10,6 +10,7 @@ from quarry.llm import (
     apportion,
     combo_join,
     crf_quality,
+    gru_lm,
     kn_toxicity,
     prefix_tokens,
     tput_topk,
@@ -49,6 +50,10 @@ def op5_prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_tokens.token_counts(read_docs(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
 
+def op6_gru_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gru_lm.lm_scores(read_docs(spark, sf_dir), ~held_out("doc_id", 7, 2))
+
+
 def op7_kn_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, out = read_docs(spark, sf_dir), held_out("doc_id", 5, 0)
     judge = kn_toxicity.fit_judge(docs, read_docs(spark, sf_dir, "labels"), ~out)
@@ -69,6 +74,6 @@ def op10_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_crf_quality, op2_sainte_lague_mix, op3_vector_shards, op4_combo_jaccard, op5_prefix_tokens, op7_kn_toxicity, op8_warc_chunks,
+    op1_crf_quality, op2_sainte_lague_mix, op3_vector_shards, op4_combo_jaccard, op5_prefix_tokens, op6_gru_lm, op7_kn_toxicity, op8_warc_chunks,
     op9_tput_topk, op10_word_bpe)}
 ORACLES: dict[str, str] = {}
