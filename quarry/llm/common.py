@@ -58,6 +58,22 @@ def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[Sequence] |
     return df.mapInArrow(run, schema)
 
 
+def filter_rows(df: DataFrame, text_col: str, keep: Callable[[list, object], Sequence[bool]],
+                setup: Callable[[], object] | None = None) -> DataFrame:
+    """The rows of ``df``, all columns as they are, for whose texts (UTF-8 bytes or None) ``keep`` says so."""
+    at = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = setup() if setup else None
+        for b in batches:
+            if b.num_rows:
+                out = b.filter(pa.array([bool(k) for k in keep(as_bytes(b, at), state)], pa.bool_()))
+                if out.num_rows:
+                    yield out
+
+    return df.mapInArrow(run, df.schema)
+
+
 def doc_crc(col: str | Column) -> Column:
     """CRC-32 of the id as decimal text; a null id counts as the empty text."""
     c = F.col(col) if isinstance(col, str) else col

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import as_bytes, cut, labelled_sample, map_rows
+from quarry.llm.common import as_bytes, cut, filter_rows, labelled_sample, map_rows
 
 SEQUENCE = 64
 MIN_WORDS = 20
@@ -210,20 +210,22 @@ def train_chain(sequences: list[tuple[int, list[list[float]]]]) -> Chain:
     return fit_chain(x, y)
 
 
+def judged(raw: bytes | None, chain: Chain, min_share: float) -> tuple:
+    """Base counts, base_failed, content share, kept and line labels of one text."""
+    n, chars, symbols, dup, repeat, sizes, rows = read_text(raw)
+    failed = n < MIN_WORDS or 100 * repeat > MAX_REPEAT_PERCENT * n
+    marks = chain.viterbi(rows) if rows else []
+    share = sum(k for k, s in zip(sizes, marks, strict=True) if s) / n if n else 0.0
+    return n, chars, symbols, dup, repeat, failed, share, not failed and share >= min_share, marks
+
+
 def quality_rules(docs: DataFrame, chain: Chain, min_share: float = 0.5, id_col: str = "doc_id", text_col: str = "text",
                   with_lines: bool = False) -> DataFrame:
     """One row per document: the base counts, base_failed, content_share, kept (and line labels)."""
     def judge(batch: pa.RecordBatch, _):
-        cols: list[list] = [[] for _ in range(9)]
-        for raw in as_bytes(batch, 1):
-            n, chars, symbols, dup, repeat, sizes, rows = read_text(raw)
-            failed = n < MIN_WORDS or 100 * repeat > MAX_REPEAT_PERCENT * n
-            marks = chain.viterbi(rows) if rows else []
-            share = sum(k for k, s in zip(sizes, marks, strict=True) if s) / n if n else 0.0
-            for c, v in zip(cols, (n, chars, symbols, dup, repeat, failed, share, not failed and share >= min_share,
-                                   marks if with_lines else None), strict=True):
-                c.append(v)
-        return [batch.column(0), *cols]
+        rows = [judged(raw, chain, min_share) for raw in as_bytes(batch, 1)]
+        cols = list(zip(*rows, strict=True))
+        return [batch.column(0), *cols[:8], cols[8] if with_lines else [None] * len(rows)]
 
     t = docs.schema[id_col].dataType.simpleString()
     return map_rows(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")), judge,
@@ -236,3 +238,10 @@ def trained_quality_rules(docs: DataFrame, labels: DataFrame, sample: int = 1000
     """Train on at most ``sample`` labelled sequences of each class, then judge every document."""
     chain = train_chain(sample_sequences(docs, labels, id_col, text_col, label_col, sample, seed))
     return quality_rules(docs, chain, min_share, id_col, text_col, **kw)
+
+
+def kept_documents(docs: DataFrame, labels: DataFrame, sample: int = 1000, min_share: float = 0.5, seed: int = 11,
+                   id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
+    """The rows of ``docs`` that the trained rules keep, with all their columns."""
+    chain = train_chain(sample_sequences(docs, labels, id_col, text_col, label_col, sample, seed))
+    return filter_rows(docs, text_col, lambda texts, _: [judged(t, chain, min_share)[7] for t in texts])

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import as_bytes, cut, labelled_sample, map_rows
+from quarry.llm.common import as_bytes, cut, filter_rows, labelled_sample, map_rows
 
 WINDOW = 32
 MARGIN = 0.85
@@ -261,3 +261,15 @@ def toxicity(docs: DataFrame, judge: Judge, threshold: float = 0.5, id_col: str
     t = docs.schema[id_col].dataType.simpleString()
     return map_rows(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")), score,
                     f"doc_id {t}, score double, predicted int", _Hashes)
+
+
+def clean_documents(docs: DataFrame, judge: Judge, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score below the threshold, with all their columns."""
+    sent = docs.sparkSession.sparkContext.broadcast((judge.model.arrays() if judge.model else None, judge.curve))
+
+    def keep(texts: list, cache: _Hashes) -> np.ndarray:
+        arrays, curve = sent.value
+        return Judge(KneserNey.from_arrays(arrays) if arrays else None, curve).scores(
+            [word_hashes(t or b"", cache) for t in texts]) < threshold
+
+    return filter_rows(docs, text_col, keep, _Hashes)
