@@ -229,8 +229,8 @@ def fit_judge(docs: DataFrame, labels: DataFrame, use: Column | None = None, sam
     fold = F.pmod(F.crc32("key"), F.lit(2)).cast("int").alias("fold")
     picked = [rows.where(F.col("y") == y).orderBy("key", "text").limit(sample) for y in (0, 1)]
     picked = cut(picked[0].unionByName(picked[1]).select(fold, "y", "text", "key"))
-    pdf = sample_counts(picked.select("fold", "y", "text")).toPandas()
-    table = {c: pdf[c].to_numpy() for c in pdf.columns}
+    got = sample_counts(picked.select("fold", "y", "text")).toArrow()
+    table = {c: got.column(c).to_numpy() for c in got.column_names}
     order = np.lexsort((table["second"], table["first"], table["y"], table["fold"]))
     table = {c: v[order] for c, v in table.items()}
     halves = docs.sparkSession.sparkContext.broadcast([model_of(table, table["fold"] != k).arrays() for k in (0, 1)])
