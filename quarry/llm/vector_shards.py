@@ -47,11 +47,11 @@ def text_vectors(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def pack(weights: np.ndarray, residual: np.ndarray) -> np.ndarray:
     """Shard of each weight vector; ``residual`` (shards x dimensions) is used up in place.
 
-    Largest first. Among shards that the vector fits into, the highest dot product with
-    the residual capacity; else the most bytes (first dimension) left.
+    Most bytes (first dimension) first. Among shards that the vector fits into, the highest
+    dot product with the residual capacity; else the most bytes left.
     """
     chosen = np.zeros(len(weights), dtype=np.int64)
-    order = np.lexsort((np.arange(len(weights)), -weights.max(axis=1))) if len(weights) else []
+    order = np.lexsort((np.arange(len(weights)), -weights[:, 0])) if len(weights) else []
     for i in order:
         w = weights[i]
         fits = (residual >= w).all(axis=1)
@@ -93,15 +93,16 @@ def vector_shards(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id", t
     cells = max(1, -(-n_groups // cell_groups))
     columns = [*group, "gb", "gt", "gr"]
 
-    def place(pdf: pd.DataFrame) -> pd.DataFrame:
+    def place(pdf: pd.DataFrame, cell: int) -> pd.DataFrame:
         pdf = pdf.sort_values(group, kind="stable")
         w = pdf[["gb", "gt", "gr"]].to_numpy(dtype=float)
         mine = w.sum(axis=0)
         w = w / np.where(mine > 0, mine, 1.0)
-        return pdf[group].assign(shard=pack(w, spare.copy()).astype("int32"))
+        turn = int(cell) % n_shards  # cells begin at different shards, so ties don't add up in one
+        return pdf[group].assign(shard=((pack(w, np.roll(spare, turn, axis=0)) - turn) % n_shards).astype("int32"))
 
     light = (groups.where(F.col("_top") <= limit).select(*columns, F.pmod("text_hash", F.lit(cells)).alias("_cell"))
-             .groupBy("_cell").applyInPandas(lambda pdf: place(pdf[columns]),
+             .groupBy("_cell").applyInPandas(lambda key, pdf: place(pdf[columns], key[0]),
                                              "text_hash long, text_crc32 long, size long, shard int"))
     marks = spark.createDataFrame(
         [(heavy[g]["text_hash"], heavy[g]["text_crc32"], heavy[g]["size"], heavy[g]["gr"], k, parts, int(s))

@@ -1,8 +1,8 @@
 """WARC archives and the chunked record table.
 
 ``write_archives`` streams one record per page into gzip archives (a member per record)
-in the shared folder. Payloads go out in chunks through one compressor and one digest,
-so no second copy of a record is made. ``read_chunks`` streams the archives back as rows
+in the shared folder. Payloads go out in chunks through one compressor, so no second copy
+of a record is made. ``read_chunks`` streams the archives back as rows
 (record_id, chunk_no): each row holds at most ``chunk_bytes`` of payload and the SHA-1 of
 the payload up to its end, so the last chunk's digest is that of the whole payload and a
 reader never needs the whole record in memory.
@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm.common import as_bytes
@@ -42,20 +42,36 @@ def base32_digest(raw: bytes) -> str:
     return base64.b32encode(raw).decode("ascii")
 
 
-def revisit_decisions(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
-    """(row, record_type, refers_to record id) of pages with columns row, page_id, html."""
-    body = F.coalesce(F.col("html"), F.lit(""))
-    slim = pages.select("row", "page_id", F.sha1(body.cast("binary")).alias("sha"), F.octet_length(body).alias("n"))
-    first = slim.groupBy("sha", "n").agg(F.max(F.struct("page_id", "row")).alias("first"))
-    shared = (F.col("n") >= F.lit(min_revisit_bytes)) & (F.col("row") != F.col("first.row"))
-    return slim.join(first, ["sha", "n"]).select(
-        "row", F.when(shared, "revisit").otherwise("response").alias("record_type"),
-        F.when(shared, record_id(F.col("first.page_id"), F.col("first.row"))).alias("refers_to"))
-
+def records(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
+    """(record_id, html, url, record_type, refers_to, sha) of pages with columns page_id, html, url.
 
-def record_id(page_id, row):
-    """The WARC-Record-ID of a page row."""
-    return F.concat(F.lit("urn:page:"), F.coalesce(page_id.cast("string"), F.lit("")), F.lit(":"), row.cast("string"))
+    Payloads move once: equal ones meet in their response row, with a partial aggregation
+    before the shuffle. Revisits are counted by page and digest without the payloads.
+    """
+    body = F.coalesce(F.col("html"), F.lit(""))
+    full = pages.select("page_id", "url", body.alias("html"), F.sha1(body.cast("binary")).alias("sha"), F.octet_length(body).alias("n"))
+    shared, own = full.where(F.col("n") >= min_revisit_bytes), full.where(F.col("n") < min_revisit_bytes)
+    responses = (shared.groupBy("sha", "n").agg(F.max("page_id").alias("page_id"), F.first("html").alias("html"),
+                                                F.max_by("url", "page_id").alias("url"))
+                 .select(record_id("page_id", "sha", F.lit(0)).alias("record_id"), "html", "url", F.lit("response").alias("record_type"),
+                         F.lit(None).cast("string").alias("refers_to"), "sha"))
+    heads = shared.groupBy("sha", "n").agg(F.max("page_id").alias("head"))
+    copies = F.col("k") - F.col("page_id").eqNullSafe(F.col("head")).cast("long")
+    counts = shared.groupBy("page_id", "sha", "n").agg(F.count(F.lit(1)).alias("k"), F.max("url").alias("url"))
+    again = (counts.join(heads, ["sha", "n"]).withColumn("copies", copies).where("copies > 0")
+             .withColumn("no", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))))
+    revisits = again.select(record_id("page_id", "sha", F.col("no")).alias("record_id"), F.lit("").alias("html"), "url",
+                            F.lit("revisit").alias("record_type"), record_id("head", "sha", F.lit(0)).alias("refers_to"), "sha")
+    small = own.groupBy("page_id", "sha", "n").agg(F.count(F.lit(1)).alias("k"), F.max("url").alias("url"), F.first("html").alias("html"))
+    small = small.withColumn("no", F.explode(F.sequence(F.lit(1), F.col("k").cast("int"))))
+    alone = small.select(record_id("page_id", "sha", F.col("no")).alias("record_id"), "html", "url", F.lit("response").alias("record_type"),
+                         F.lit(None).cast("string").alias("refers_to"), "sha")
+    return responses.unionByName(revisits).unionByName(alone)
+
+
+def record_id(page_id: str, sha: str, no: Column) -> Column:
+    """The WARC-Record-ID of a page: its id, payload digest and number among equal rows (0: the shared response)."""
+    return F.concat_ws(":", F.lit("urn:page"), F.coalesce(F.col(page_id).cast("string"), F.lit("")), F.col(sha), no.cast("string"))
 
 
 def page_of(col):
@@ -73,10 +89,8 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", html_
     """
     spark = pages.sparkSession
     url = F.col(url_col).cast("string") if url_col and url_col in pages.columns else F.lit(None).cast("string")
-    rows = pages.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("page_id"),
-                        F.col(html_col).cast("string").alias("html"), url.alias("url"))
-    full = rows.join(revisit_decisions(rows, min_revisit_bytes), "row").select(
-        record_id(F.col("page_id"), F.col("row")).alias("record_id"), "html", "url", "record_type", "refers_to")
+    full = records(pages.select(F.col(id_col).alias("page_id"), F.col(html_col).cast("string").alias("html"), url.alias("url")),
+                   min_revisit_bytes)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = pafs.FileSystem.from_uri(folder)
@@ -88,13 +102,13 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", html_
                                               schema=pa.schema([("path", pa.string()), ("records", pa.int64()), ("n_bytes", pa.int64())]))
 
         for b in batches:
-            ids, bodies, urls, kinds, refs = b.column(0).to_pylist(), as_bytes(b, 1), *(b.column(i).to_pylist() for i in (2, 3, 4))
+            ids, bodies, urls, kinds, refs, shas = b.column(0).to_pylist(), as_bytes(b, 1), *(b.column(i).to_pylist() for i in (2, 3, 4, 5))
             for i, body in enumerate(bodies):
                 if out is None:
                     path, records, size = f"{base}/pages-{uuid.uuid4().hex}.warc.gz", 0, 0
                     fs.create_dir(base, recursive=True)
-                    out = fs.open_output_stream(path)
-                for piece in _record(ids[i], kinds[i], refs[i], urls[i], body or b"", chunk_bytes):
+                    out = fs.open_output_stream(path, compression=None)  # members are compressed here
+                for piece in _record(ids[i], kinds[i], refs[i], urls[i], shas[i], body or b"", chunk_bytes):
                     out.write(piece)
                     size += len(piece)
                 records += 1
@@ -109,14 +123,12 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", html_
     return spark.read.schema("path string, records long, n_bytes long").parquet(listing)
 
 
-def _record(rid: str, kind: str, refers: str | None, url: str | None, body: bytes, chunk_bytes: int) -> Iterator[bytes]:
-    """One gzip member, in pieces of a chunk at most."""
-    digest, view = hashlib.sha1(), memoryview(body)
-    for at in range(0, len(body), chunk_bytes):
-        digest.update(view[at:at + chunk_bytes])
+def _record(rid: str, kind: str, refers: str | None, url: str | None, sha: str, body: bytes, chunk_bytes: int) -> Iterator[bytes]:
+    """One gzip member, in pieces of a chunk at most; ``sha``: the full payload's SHA-1 in hex."""
+    view = memoryview(body)
     http = (HTTP_OK % len(body)).encode("ascii")
     head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <{rid}>", f"WARC-Date: {_DATE}",
-            f"WARC-Payload-Digest: sha1:{base32_digest(digest.digest())}"]
+            f"WARC-Payload-Digest: sha1:{base32_digest(bytes.fromhex(sha))}"]
     if url:
         head.append("WARC-Target-URI: " + "".join(c for c in url if c > " "))
     if refers is not None:
@@ -220,7 +232,7 @@ def read_chunks(spark: SparkSession, manifest: DataFrame, folder: str, chunk_byt
         fs, _ = pafs.FileSystem.from_uri(folder)
         for b in batches:
             for path in b.column(0).to_pylist():
-                with fs.open_input_stream(path) as source:
+                with fs.open_input_stream(path, compression=None) as source:
                     rows, held = [], 0
                     for r in record_chunks(source, chunk_bytes):
                         rows.append(r if with_data else (*r[:4], None, *r[5:]))
@@ -247,7 +259,7 @@ def archived_pages(chunks: DataFrame) -> DataFrame:
     held = last.where("record_type = 'response'")
     responses = held.select(F.col("record_id").alias("refers_to"), F.col("n").alias("_n"), F.col("digest").alias("_d"))
     revisits = (last.where("record_type = 'revisit'").drop("n", "digest")
-                .join(responses, "refers_to", "left").where(F.col("_d") == F.col("stated_digest")))
+                .join(responses.hint("merge"), "refers_to", "left").where(F.col("_d") == F.col("stated_digest")))
     return held.select("record_id", "n", "digest", "record_type", "refers_to").unionByName(
         revisits.select("record_id", F.col("_n").alias("n"), F.col("_d").alias("digest"), "record_type", "refers_to"))
 
