@@ -29,6 +29,7 @@ from quarry.llm.common import as_bytes, cut, filter_rows, labelled_sample, map_r
 WINDOW = 32
 MARGIN = 0.85
 FLOOR = 1e-3
+GROUP = 200_000
 START = 0x5851F42D4C957F2D  # stands before the first word
 # ASCII upper case becomes lower case, ASCII other than letters, digits and ' a space
 FOLD = bytes(c + 32 if 65 <= c <= 90 else (c if c > 127 or chr(c).isalnum() or c == 39 else 32) for c in range(256))
@@ -184,11 +185,20 @@ class Judge:
     def __init__(self, model: KneserNey | None, curve: np.ndarray | None):
         self.model, self.curve = model, curve
 
-    def scores(self, hashes: list[np.ndarray]) -> np.ndarray:
+    def scores(self, texts: list[bytes | None], cache: _Hashes) -> np.ndarray:
+        """Scores of whole texts; about ``GROUP`` words are worked on at a time."""
         if self.model is None:
-            return np.zeros(len(hashes))
-        x = text_evidence(self.model, hashes)
-        return 1 / (1 + np.exp(-np.clip(x @ self.curve[:-1] + self.curve[-1], -30, 30)))
+            return np.zeros(len(texts))
+        parts, group, words = [np.zeros((0, 3))], [], 0
+        for t in texts:
+            group.append(word_hashes(t or b"", cache))
+            words += len(group[-1])
+            if words >= GROUP:
+                parts.append(text_evidence(self.model, group))
+                group, words = [], 0
+        if group:
+            parts.append(text_evidence(self.model, group))
+        return 1 / (1 + np.exp(-np.clip(np.concatenate(parts) @ self.curve[:-1] + self.curve[-1], -30, 30)))
 
 
 def sample_counts(picked: DataFrame) -> DataFrame:
@@ -255,7 +265,7 @@ def toxicity(docs: DataFrame, judge: Judge, threshold: float = 0.5, id_col: str
 
     def score(batch: pa.RecordBatch, cache: _Hashes):
         arrays, curve = sent.value
-        s = Judge(KneserNey.from_arrays(arrays) if arrays else None, curve).scores([word_hashes(t or b"", cache) for t in as_bytes(batch, 1)])
+        s = Judge(KneserNey.from_arrays(arrays) if arrays else None, curve).scores(as_bytes(batch, 1), cache)
         return [batch.column(0), s, (s >= threshold).astype(np.int32)]
 
     t = docs.schema[id_col].dataType.simpleString()
@@ -269,7 +279,6 @@ def clean_documents(docs: DataFrame, judge: Judge, threshold: float = 0.5, text_
 
     def keep(texts: list, cache: _Hashes) -> np.ndarray:
         arrays, curve = sent.value
-        return Judge(KneserNey.from_arrays(arrays) if arrays else None, curve).scores(
-            [word_hashes(t or b"", cache) for t in texts]) < threshold
+        return Judge(KneserNey.from_arrays(arrays) if arrays else None, curve).scores(texts, cache) < threshold
 
     return filter_rows(docs, text_col, keep, _Hashes)
