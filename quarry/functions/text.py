@@ -83,13 +83,16 @@ def clean_tokens(c, stop_words=ENGLISH_STOP_WORDS) -> Column:
     return F.filter(parts, lambda w: w != F.lit(""))
 
 
-def document_tokens(text, stop_words=ENGLISH_STOP_WORDS) -> Column:
-    """All clean tokens of the kept lines of a text, in order, with one regex pass per text.
+def document_tokens(text, stop_words=ENGLISH_STOP_WORDS, multiword_lines: bool = False) -> Column:
+    """All clean tokens of a text, in order, with one regex pass per text.
+
+    ``multiword_lines`` leaves out the lines without a space, as the labelled-text reader does.
 
     Tokens never span a line break (it is whitespace), so joining the kept lines
     and tokenizing once equals tokenizing line by line.
     """
-    return clean_tokens(F.array_join(nonempty_multiword_lines(text), "\n"), stop_words)
+    body = F.array_join(nonempty_multiword_lines(text), "\n") if multiword_lines else _c(text)
+    return clean_tokens(body, stop_words)
 
 
 def drop_stop_words(arr, words=ENGLISH_STOP_WORDS) -> Column:

@@ -5,10 +5,11 @@ Model, with smoothing l, classes c, vocabulary V (terms seen in training):
   theta_ct = ln(tf_ct + l) - ln(S_c + |V|*l)        S_c = sum_t tf_ct
   score_dc = prior_c + sum_t x_dt * theta_ct          (t in V)
            = prior_c - X_d * ln(S_c + |V| l) + sum_t x_dt * ln(tf_ct + l)
-The per-term table holds ln(tf_ct + l) for every class (ln l where unseen), so unseen
-(class, term) pairs need no rows. This equals ``pyspark.ml.classification.NaiveBayes``
-(multinomial) on count vectors over the same vocabulary; ties go to the first class.
-The class set is small by nature and is count-checked before it is inlined as literals.
+The sparse table holds, for each (class, term) seen in training, what the term adds over
+an unseen one: ln(tf_ct + l) - ln(l); a known term adds ln(l) to every class. Both tables
+are rows, so neither plan nor row width grows with the classes. This equals
+``pyspark.ml.classification.NaiveBayes`` (multinomial) on count vectors over the same
+vocabulary; ties go to the first class. Documents without a label train nothing.
 """
 
 from __future__ import annotations
@@ -19,46 +20,37 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_CLASSES = 10_000
-
 
 @dataclass
 class NBModel:
     classes: list[str]           # sorted class names; index = class position
     log_prior: list[float]
     log_denom: list[float]       # ln(S_c + |V| l)
-    term_weights: DataFrame      # (term, w array<double>) with w[c] = ln(tf_ct + l)
+    term_weights: DataFrame      # (term, w array<struct<c int, g double>>): gains of the classes that saw the term
     vocab_size: int
     smoothing: float
 
 
-def nb_model(docs: DataFrame, label: str = "label", words: str = "words",
-             smoothing: float = 1.0, max_classes: int = MAX_CLASSES) -> NBModel:
-    """Fit from training documents (one row each: label, word array)."""
-    counts = docs.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    rows = counts.limit(max_classes + 1).collect()      # one job; the class set is checked, not trusted
-    if len(rows) > max_classes:
-        raise ValueError(f"more than {max_classes} classes")
-    crow = sorted(((str(r[0]), int(r[1])) for r in rows), key=lambda x: x[0])
-    classes = [c for c, _ in crow]
+def nb_model(docs: DataFrame, label: str = "label", words: str = "words", smoothing: float = 1.0) -> NBModel:
+    """Fit from training documents (one row each: label, word array); null labels take no part."""
+    from quarry.operators.text import explode_rows
+    from quarry.session import shared_root
+    known = docs.filter(F.col(label).isNotNull()).withColumn("_c", F.col(label).cast("string"))
+    crow = sorted((r["_c"], int(r["n"])) for r in known.groupBy("_c").agg(F.count(F.lit(1)).alias("n")).collect())
+    classes, C = [c for c, _ in crow], len(crow)
     n_total = sum(n for _, n in crow)
-    C = len(classes)
     log_prior = [math.log(n + smoothing) - math.log(n_total + C * smoothing) for _, n in crow]
 
-    from quarry.operators.text import explode_rows
-    exploded = explode_rows(docs.withColumn("_c", F.col(label).cast("string")), ["_c"], F.col(words), "term")
-    per_term = exploded.groupBy("term").agg(
-        *[F.sum(F.when(F.col("_c") == c, 1).otherwise(0)).alias(f"_n{i}") for i, c in enumerate(classes)])
-    # the model's per-term table: cut its lineage once (reliable checkpoint in the shared folder)
-    from quarry.session import shared_root
+    number = docs.sparkSession.createDataFrame([(c, i) for i, c in enumerate(classes)], "_c string, c int")
+    counts = (explode_rows(known, ["_c"], F.col(words), "term").groupBy("term", "_c").agg(F.count(F.lit(1)).alias("tf")))
+    # the model's table: cut its lineage once (reliable checkpoint in the shared folder)
     shared_root(docs.sparkSession)
-    per_term = per_term.checkpoint()
-    tot = per_term.agg(F.count(F.lit(1)).alias("v"),
-                       *[F.sum(f"_n{i}").alias(f"s{i}") for i in range(C)]).collect()[0]
-    V = int(tot["v"])
-    log_denom = [math.log((tot[f"s{i}"] or 0) + V * smoothing) for i in range(C)]
-    weights = per_term.select(
-        "term", F.array(*[F.log(F.col(f"_n{i}") + F.lit(smoothing)) for i in range(C)]).alias("w"))
+    counts = counts.join(number, "_c").select("term", "c", "tf").checkpoint()
+    sums = {r["c"]: r["s"] for r in counts.groupBy("c").agg(F.sum("tf").alias("s")).collect()}
+    gain = F.log(F.col("tf") + F.lit(smoothing)) - F.lit(math.log(smoothing))
+    weights = counts.groupBy("term").agg(F.collect_list(F.struct("c", gain.alias("g"))).alias("w"))  # at most a row per class
+    V = counts.select("term").distinct().count()
+    log_denom = [math.log(sums.get(i, 0) + V * smoothing) for i in range(C)]
     return NBModel(classes, log_prior, log_denom, weights, V, smoothing)
 
 
@@ -68,16 +60,26 @@ def _lit_array(xs) -> Column:
 
 def nb_scores(model: NBModel, docs: DataFrame, id: str = "doc_id", words: str = "words",
               carry: tuple[str, ...] = ()) -> DataFrame:
-    """(id, *carry, scores array<double>) for every document, also those with no known word."""
-    C = len(model.classes)
-    ex = docs.select(id, *carry, F.explode_outer(words).alias("term"))
-    j = ex.join(model.term_weights, "term", "left")
-    agg = j.groupBy(id, *carry).agg(
-        F.count("w").alias("_x"),
-        *[F.coalesce(F.sum(F.col("w")[i]), F.lit(0.0)).alias(f"_s{i}") for i in range(C)])
-    scores = F.array(*[F.lit(model.log_prior[i]) - F.col("_x") * F.lit(model.log_denom[i]) + F.col(f"_s{i}")
-                       for i in range(C)])
-    return agg.select(id, *carry, scores.alias("scores"))
+    """(id, *carry, scores array<double>) for every document, also those with no known word.
+
+    Terms are counted per document before the join, so a frequent word costs one row a
+    document; documents without a known word join the sums as rows of their own.
+    """
+    from quarry.operators.text import explode_rows
+    keys = [id, *carry]
+    tf = explode_rows(docs, keys, F.col(words), "term").groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf"))
+    seen = tf.join(model.term_weights, "term")
+    # one row per class that saw the term; the term's own count rides on the first
+    gains = seen.select(*keys, "tf", F.posexplode("w").alias("_p", "_g")).select(
+        *keys, F.col("_g.c").alias("_c"), (F.col("tf") * F.col("_g.g")).alias("_s"),
+        F.when(F.col("_p") == 0, F.col("tf")).otherwise(F.lit(0)).alias("_x"))
+    every = docs.select(*keys, F.lit(-1).alias("_c"), F.lit(0.0).alias("_s"), F.lit(0).cast("long").alias("_x"))
+    per_class = gains.unionByName(every).groupBy(*keys, "_c").agg(F.sum("_s").alias("_s"), F.sum("_x").alias("_x"))
+    per_doc = per_class.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_c", "_s"))).alias("_m"), F.sum("_x").alias("_x"))
+    base = F.arrays_zip(_lit_array(model.log_prior).alias("p"), _lit_array(model.log_denom).alias("d"))
+    unseen = F.lit(math.log(model.smoothing))
+    scores = F.transform(base, lambda b, i: b["p"] + F.col("_x") * (unseen - b["d"]) + F.coalesce(F.col("_m")[i], F.lit(0.0)))
+    return per_doc.select(*keys, scores.alias("scores"))
 
 
 def nb_score(model: NBModel, docs: DataFrame, id: str = "doc_id", words: str = "words",

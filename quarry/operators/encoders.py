@@ -12,8 +12,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_LABELS = 1_000_000
-
 
 def _map(mapping: Mapping) -> Column:
     kv = []
@@ -86,6 +84,15 @@ def clustering_examples(df: DataFrame, value: str, numeric: str, level: str,
     return assemble(d, ["_v", "_n", "_lvl"], out).drop("_v", "_n", "_lvl")
 
 
+def vector_width(df: DataFrame, arr: str) -> int:
+    """The one length of all arrays of a column (null arrays aside); different lengths are an error."""
+    n = F.when(F.col(arr).isNotNull(), F.size(arr))
+    r = df.agg(F.min(n).alias("lo"), F.max(n).alias("hi")).first()
+    if r["lo"] != r["hi"]:
+        raise ValueError(f"{arr}: lengths from {r['lo']} to {r['hi']}")
+    return r["lo"] or 0
+
+
 def widen(df: DataFrame, arr: str, n: int, prefix: str = "feat_") -> DataFrame:
     """Array column -> ``n`` scalar columns ``feat_1..feat_n``."""
     return df.select("*", *[F.col(arr)[i].cast("double").alias(f"{prefix}{i + 1}") for i in range(n)])
@@ -96,17 +103,13 @@ def wide_examples(df: DataFrame, cols: Sequence[str], label: str, out: str = "fe
     return assemble(df, cols, out).select(*[c for c in df.columns if c not in cols], out)
 
 
-def string_index(df: DataFrame, c: str, out: str | None = None, handle_invalid: str = "keep",
-                 max_labels: int = MAX_LABELS):
+def string_index(df: DataFrame, c: str, out: str | None = None, handle_invalid: str = "keep"):
     """Most frequent value -> 0, ties alphabetical (F6). Returns (frame, fitted model).
 
-    The fit is one aggregation; its labels array is bounded by the column's
-    cardinality, which is checked first.
+    The fit is one aggregation; its labels array has the column's cardinality, so this
+    is for class columns (``ranking.global_index`` numbers values of any cardinality).
     """
     from pyspark.ml.feature import StringIndexer
-    n = df.select(c).distinct().count()
-    if n > max_labels:
-        raise ValueError(f"{c} has {n} distinct values, above the bound {max_labels}")
     model = StringIndexer(inputCol=c, outputCol=out or f"{c}_index", handleInvalid=handle_invalid,
                           stringOrderType="frequencyDesc").fit(df)
     return model.transform(df), model
@@ -115,8 +118,10 @@ def string_index(df: DataFrame, c: str, out: str | None = None, handle_invalid:
 def index_to_string(df: DataFrame, c: str, labels: Sequence[str], out: str | None = None,
                     unknown: str = "Unknown") -> DataFrame:
     """Index -> label; indices outside the labels -> ``unknown``."""
-    m = _map({float(i): s for i, s in enumerate(labels)})
-    return df.withColumn(out or f"{c}_label", F.coalesce(m[F.col(c).cast("double")], F.lit(unknown)))
+    target, pos = out or f"{c}_label", f"_{c}_pos"
+    names = df.sparkSession.createDataFrame([(float(i), s) for i, s in enumerate(labels)], f"{pos} double, {target} string")
+    joined = df.drop(target).withColumn(pos, F.col(c).cast("double")).join(names, pos, "left").drop(pos)
+    return joined.withColumn(target, F.coalesce(F.col(target), F.lit(unknown)))
 
 
 def vector_index(df: DataFrame, c: str = "features", out: str = "indexed", max_categories: int = 10):

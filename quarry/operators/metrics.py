@@ -2,7 +2,7 @@
 
 Each metric is one or two aggregations over the prediction table; per-class tables
 are bounded by the number of classes. AUC uses a distributed prefix sum over the
-distinct scores (range buckets) instead of a global sort into one task.
+distinct scores (range partitions) instead of a global sort into one task.
 """
 
 from __future__ import annotations
@@ -54,13 +54,19 @@ def multiclass_metrics(pred: DataFrame, label: str = "label", prediction: str =
     Same definitions as ``MulticlassClassificationEvaluator``: precision of a class
     that is never predicted is 0; weights are true-class shares.
     """
-    cm = pred.groupBy(F.col(label).alias("l"), F.col(prediction).alias("p")).agg(
+    # both sides as one type, so that a class is the same value whether true or predicted
+    kinds = {pred.schema[c].dataType.simpleString() for c in (label, prediction)}
+    kind = kinds.pop() if len(kinds) == 1 else ("string" if "string" in kinds else "double")
+    cm = pred.groupBy(F.col(label).cast(kind).alias("l"), F.col(prediction).cast(kind).alias("p")).agg(
         F.count(F.lit(1)).alias("n"))
-    by_l = cm.groupBy(F.col("l").alias("c")).agg(F.sum("n").alias("n_true"),
-                                                  F.sum(F.when(F.col("l") == F.col("p"), F.col("n"))
-                                                        .otherwise(0)).alias("tp"))
-    by_p = cm.groupBy(F.col("p").alias("c")).agg(F.sum("n").alias("n_pred"))
-    per = by_l.join(by_p, "c", "left").fillna(0, ["n_pred"])
+    # each confusion row is one row of its true class and one of its predicted class: one more aggregation
+    none = F.lit(0).cast("long")
+    hit = F.when(F.col("l") == F.col("p"), F.col("n")).otherwise(none)
+    sides = F.array(F.struct(F.col("l").alias("c"), F.col("n").alias("t"), none.alias("q"), hit.alias("h")),
+                    F.struct(F.col("p").alias("c"), none.alias("t"), F.col("n").alias("q"), none.alias("h")))
+    per = (cm.select(F.explode(sides).alias("x")).groupBy("x.c")
+           .agg(F.sum("x.t").alias("n_true"), F.sum("x.q").alias("n_pred"), F.sum("x.h").alias("tp"))
+           .filter((F.col("n_true") > 0) & F.col("c").isNotNull()))
     prec = F.when(F.col("n_pred") > 0, F.col("tp") / F.col("n_pred")).otherwise(0.0)
     rec = F.col("tp") / F.col("n_true")
     per = per.withColumn("prec", prec).withColumn("rec", rec)
@@ -73,6 +79,12 @@ def multiclass_metrics(pred: DataFrame, label: str = "label", prediction: str =
                    (F.sum(F.col("rec") * F.col("n_true")) / tot).alias("weighted_recall"))
 
 
+def least_squares(df: DataFrame, x: str, y: str) -> tuple[float, float]:
+    """(slope, intercept) of one-feature least squares; rows with a null on either side take no part (M1)."""
+    r = df.agg(F.regr_slope(y, x).alias("b"), F.regr_intercept(y, x).alias("a")).first()
+    return (0.0 if r["b"] is None else r["b"]), (0.0 if r["a"] is None else r["a"])
+
+
 def regression_metrics(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """rmse, mse, mae, r2 in one aggregation (E5)."""
     e = F.col(prediction) - F.col(label)
@@ -83,35 +95,29 @@ def regression_metrics(pred: DataFrame, label: str = "label", prediction: str =
                     (F.lit(1.0) - F.try_divide(F.col("mse"), F.col("_v"))).alias("r2"))
 
 
-def _bucketize(df: DataFrame, score: str, n_buckets: int) -> DataFrame:
-    """Range bucket per score from approximate quantiles (bounded: n_buckets numbers)."""
-    from pyspark.ml.feature import Bucketizer
-    qs = df.approxQuantile(score, [i / n_buckets for i in range(1, n_buckets)], 0.001) if n_buckets > 1 else []
-    splits = [float("-inf")] + sorted(set(float(q) for q in qs)) + [float("inf")]
-    if len(splits) < 3:
-        return df.withColumn("_bucket", F.lit(0.0))
-    return Bucketizer(splits=splits, inputCol=score, outputCol="_bucket",
-                      handleInvalid="keep").transform(df)
-
-
-def auc_roc(df: DataFrame, score: str, label: str, n_buckets: int = 64) -> DataFrame:
+def auc_roc(df: DataFrame, score: str, label: str) -> DataFrame:
     """Area under ROC with average ranks for ties (Mann-Whitney), exact.
 
+    Rows without a label or a score take no part.
     1. per distinct score: positives p_s, negatives n_s (partial aggregation);
-    2. negatives below each score = earlier buckets (a prefix over ``n_buckets`` rows)
-       + earlier scores of the same bucket (window inside one range bucket);
+    2. the scores are range-partitioned once, their layout is fixed by a reliable
+       checkpoint; negatives below a score = those of earlier partitions (a prefix over
+       one row per partition) + those of earlier scores of its partition;
     3. AUC = sum_s p_s * (neg_below_s + n_s / 2) / (P * N).
     """
-    y = F.col(label).cast("double")
-    g = df.select(F.col(score).cast("double").alias("s"), y.alias("y")).groupBy("s").agg(
+    from quarry.session import shared_root
+    shared_root(df.sparkSession)
+    s, y = F.col(score).cast("double"), F.col(label).cast("double")
+    g = df.select(s.alias("s"), y.alias("y")).filter(F.col("s").isNotNull() & F.col("y").isNotNull()).groupBy("s").agg(
         F.sum(F.when(F.col("y") > 0.5, 1).otherwise(0)).alias("p"),
         F.sum(F.when(F.col("y") > 0.5, 0).otherwise(1)).alias("n"))
-    g = _bucketize(g, "s", n_buckets)
-    bt = g.groupBy("_bucket").agg(F.sum("n").alias("bn"))
-    bt = bt.withColumn("before", F.coalesce(F.sum("bn").over(
-        Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    inner = Window.partitionBy("_bucket").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    g = (g.join(F.broadcast(bt.select("_bucket", "before")), "_bucket")
+    g = g.repartitionByRange("s").checkpoint().withColumn("_pid", F.spark_partition_id())
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (g.groupBy("_pid").agg(F.sum("n").alias("_n"))
+               .select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("before")))
+    inner = Window.partitionBy("_pid").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per partition: bounded by the partition count
+    g = (g.join(F.broadcast(offsets), "_pid")
          .withColumn("below", F.col("before") + F.coalesce(F.sum("n").over(inner), F.lit(0))))
     # only one class present: AUC is undefined -> null, not a division error
     return g.agg(

@@ -11,40 +11,43 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.hashing import hash_bucket
+from quarry.functions.hashing import hash_fraction, seeded_hash
 
-BUCKETS = 100
+# The seeds of the original jobs' split and sample.
+SPLIT_SEED = 42
+SAMPLE_SEED = 0
+FOLD_SEED = 1   # independent of the split, so folds stay level after it
 
 
 def hash_split(df: DataFrame, key: str, weights: Sequence[float] = (0.8, 0.2),
-               names: Sequence[str] = ("train", "test"), out: str = "split",
-               buckets: int = BUCKETS) -> DataFrame:
-    """Label each row with a part name by ``hash_bucket(key) < cumulative weight``."""
+               names: Sequence[str] = ("train", "test"), out: str = "split", seed: int = SPLIT_SEED) -> DataFrame:
+    """Label each row with a part name by its key's 32-bit hash against the cumulative weights."""
     total = float(sum(weights))
-    b = hash_bucket(key, buckets)
-    expr, acc = None, 0.0
-    for w, n in zip(weights, names):
+    expr, acc = F.lit(names[-1]), 0.0
+    conds = []
+    for w, n in zip(weights[:-1], names[:-1], strict=True):
         acc += w / total
-        cond = b < F.lit(round(acc * buckets))
-        expr = F.when(cond, F.lit(n)) if expr is None else expr.when(cond, F.lit(n))
-    return df.withColumn(out, expr.otherwise(F.lit(names[-1])))
+        conds.append((hash_fraction(key, seed, acc), n))
+    for cond, n in reversed(conds):
+        expr = F.when(cond, F.lit(n)).otherwise(expr)
+    return df.withColumn(out, expr)
 
 
-def split_parts(df: DataFrame, key: str, weights=(0.8, 0.2), buckets: int = BUCKETS) -> list[DataFrame]:
+def split_parts(df: DataFrame, key: str, weights=(0.8, 0.2), seed: int = SPLIT_SEED) -> list[DataFrame]:
     """``randomSplit``-like list of frames, one per weight, from :func:`hash_split`."""
     names = [f"p{i}" for i in range(len(weights))]
-    s = hash_split(df, key, weights, names, "_part", buckets)
+    s = hash_split(df, key, weights, names, "_part", seed)
     return [s.filter(F.col("_part") == n).drop("_part") for n in names]
 
 
-def hash_sample(df: DataFrame, key: str, fraction: float, buckets: int = 10_000) -> DataFrame:
-    """Bernoulli-like sample without replacement, fixed by the key hash (R2)."""
-    return df.filter(hash_bucket(key, buckets) < F.lit(round(fraction * buckets)))
+def hash_sample(df: DataFrame, key: str, fraction: float, seed: int = SAMPLE_SEED) -> DataFrame:
+    """Bernoulli-like sample without replacement, fixed by the key's hash (R2)."""
+    return df.filter(hash_fraction(key, seed, fraction))
 
 
-def assign_folds(df: DataFrame, key: str, k: int, out: str = "fold") -> DataFrame:
+def assign_folds(df: DataFrame, key: str, k: int, out: str = "fold", seed: int = FOLD_SEED) -> DataFrame:
     """Fold number 0..k-1 by key hash; rows of one key (one document) share a fold."""
-    return df.withColumn(out, hash_bucket(key, k).cast("int"))
+    return df.withColumn(out, F.pmod(seeded_hash(key, seed), F.lit(k)).cast("int"))
 
 
 def row_key(cols: Sequence[str]):
@@ -56,7 +59,7 @@ def union_labeled(parts: dict) -> DataFrame:
     """UNION ALL of per-class frames, each given a constant ``label``."""
     out = None
     for label, frame in parts.items():
-        f = frame.withColumn("label", F.lit(label))
+        f = frame.withColumn("label", F.lit(label) if label is not None else F.lit(None).cast("string"))
         out = f if out is None else out.unionByName(f, allowMissingColumns=True)
     return out
 
@@ -71,6 +74,4 @@ def holdout_complement(full: DataFrame, part: DataFrame) -> DataFrame:
     """
     right = part.select(*full.columns).dropDuplicates()
     cond = [full[c].eqNullSafe(right[c]) for c in full.columns]
-    # the de-duplicated side is the hash table (one row per distinct row, so a hot row
-    # costs one entry); the full side streams through without a sort on every column
-    return full.join(right.hint("shuffle_hash"), cond, "left_anti")
+    return full.join(right, cond, "left_anti")

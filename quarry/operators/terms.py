@@ -56,16 +56,14 @@ def top_terms(weighted: DataFrame, k: int, id: str = "doc_id", weight: str = "tf
     return weighted.withColumn(out, F.row_number().over(w)).filter(F.col(out) <= k)
 
 
-def vocabulary(terms: DataFrame, vocab_size: int = 1 << 18, min_df: float = 1.0,
-               n_docs: int | None = None, term: str = "term", merge_limit: int = 100_000) -> DataFrame:
+def vocabulary(terms: DataFrame, vocab_size: int | None = None, min_df: float = 1.0,
+               n_docs: int | None = None, term: str = "term") -> DataFrame:
     """(term_index, term, term_count, doc_freq): the count-vector vocabulary.
 
-    Terms in at least ``min_df`` documents (a fraction of ``n_docs`` when below 1), the
-    ``vocab_size`` most frequent by corpus count, ties by term; index 0 is the most
-    frequent. Up to ``merge_limit`` terms the top-k runs distributed (per-partition
-    top-k, then one merge) and only the survivors are numbered; above it, terms are
-    numbered by an exact distributed global index and cut at ``vocab_size``, so no
-    task ever merges vocab_size rows per partition.
+    Terms in at least ``min_df`` documents (a fraction of ``n_docs`` when below 1), all of
+    them or the ``vocab_size`` most frequent by corpus count, ties by term; index 0 is the
+    most frequent. Terms are numbered by an exact distributed global index, so no task
+    merges the vocabulary.
     """
     stats = terms.groupBy(term).agg(F.sum("tf").alias("term_count"),
                                     F.count(F.when(F.col("tf") > 0, True)).alias("doc_freq"))
@@ -75,14 +73,11 @@ def vocabulary(terms: DataFrame, vocab_size: int = 1 << 18, min_df: float = 1.0,
         min_df = min_df * n_docs
     kept = stats.filter(F.col("doc_freq") >= F.lit(min_df))
     order = [F.col("term_count").desc(), F.col(term)]
-    if vocab_size > merge_limit:
-        from quarry.operators.ranking import global_index
-        return (global_index(kept, order, "term_index").filter(F.col("term_index") < vocab_size)
-                .select(F.col("term_index").cast("int").alias("term_index"), term, "term_count", "doc_freq"))
-    top = kept.orderBy(*order).limit(vocab_size)
-    w = Window.orderBy(F.col("term_count").desc(), F.col(term))
-    return top.withColumn("term_index", (F.row_number().over(w) - 1).cast("int")).select(
-        "term_index", term, "term_count", "doc_freq")
+    from quarry.operators.ranking import global_index
+    numbered = global_index(kept, order, "term_index")
+    if vocab_size is not None:
+        numbered = numbered.filter(F.col("term_index") < vocab_size)
+    return numbered.select(F.col("term_index").cast("int").alias("term_index"), term, "term_count", "doc_freq")
 
 
 def count_terms(terms: DataFrame, vocab: DataFrame, term: str = "term") -> DataFrame:

@@ -31,13 +31,13 @@ def explode_rows(df: DataFrame, keep, arr, out: str, pos: str | None = None) ->
     A plain ``explode`` makes the optimizer infer ``size(arr) > 0`` and push it below
     the projection, so an expensive ``arr`` (the whole text chain) would be computed
     twice, once before any exchange. The outer form infers nothing; rows of empty
-    arrays are dropped by a filter on the generated column instead.
+    arrays, and null elements, are dropped by a filter on the generated column instead.
     """
     if pos is None:
         g = df.select(*keep, F.explode_outer(arr).alias(out))
         return g.filter(F.col(out).isNotNull())
     g = df.select(*keep, F.posexplode_outer(arr).alias("_p", out))
-    return g.filter(F.col("_p").isNotNull()).withColumn(pos, (F.col("_p") + 1).cast("int")).drop("_p")
+    return g.filter(F.col(out).isNotNull()).withColumn(pos, (F.col("_p") + 1).cast("int")).drop("_p")
 
 
 # --- row-lane operators ------------------------------------------------------------
@@ -83,10 +83,28 @@ def number_lines(df: DataFrame, by: str, order: str, out: str = "line_no",
     before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(
         Window.partitionBy(by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     inner = F.row_number().over(Window.partitionBy(by, "_b").orderBy(order))
-    return (d.withColumn("_r", inner).join(before.select(by, "_b", "_before"), [by, "_b"])
+    # null keys and null positions are keys of their own: rows are numbered, not dropped
+    right = before.select(F.col(by).alias("_k"), F.col("_b").alias("_kb"), "_before")
+    match = F.col(by).eqNullSafe(F.col("_k")) & F.col("_b").eqNullSafe(F.col("_kb"))
+    return (d.withColumn("_r", inner).join(right, match).drop("_k", "_kb")
             .withColumn(out, (F.col("_before") + F.col("_r")).cast("int")).drop("_b", "_r", "_before"))
 
 
+def number_words(df: DataFrame, by: str, line: str, pos: str, out: str = "word_no") -> DataFrame:
+    """Consecutive numbers per ``by`` over word rows in the order (line, pos).
+
+    A line is a bucket: the words of each line are counted first, a prefix over the lines
+    gives what lies before a line, and the number is that plus the rank in the line.
+    """
+    counts = df.groupBy(by, line).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(by).orderBy(line).rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(F.col(by).alias("_k"), F.col(line).alias("_kl"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    rank = F.row_number().over(Window.partitionBy(by, line).orderBy(pos))
+    match = F.col(by).eqNullSafe(F.col("_k")) & F.col(line).eqNullSafe(F.col("_kl"))
+    return (df.withColumn("_r", rank).join(before, match)
+            .withColumn(out, F.col("_before") + F.col("_r")).drop("_k", "_kl", "_before", "_r"))
+
+
 def cleanse_text(df: DataFrame, c: str = "line", out: str = "clean") -> DataFrame:
     """Trim, strip punctuation and non-ASCII letters, collapse whitespace."""
     return df.withColumn(out, tf.cleanse(c))
@@ -190,9 +208,9 @@ def line_word_arrays(text, stop_words: Sequence[str] | None = tf.ENGLISH_STOP_WO
     return lw
 
 
-def document_words(text, stop_words=tf.ENGLISH_STOP_WORDS, stem=None) -> Column:
+def document_words(text, stop_words=tf.ENGLISH_STOP_WORDS, stem=None, multiword_lines: bool = False) -> Column:
     """All kept words of a document in order (equals the flattened line words)."""
-    w = tf.document_tokens(text, stop_words)
+    w = tf.document_tokens(text, stop_words, multiword_lines)
     if stem and stem != "none":
         w = stem_column(w, stem, True)
     return w
@@ -200,13 +218,13 @@ def document_words(text, stop_words=tf.ENGLISH_STOP_WORDS, stem=None) -> Column:
 
 def text_verses(df: DataFrame, n: int = 1, id: str = "doc_id", text: str = "text",
                 label: str | None = None, stop_words=tf.ENGLISH_STOP_WORDS, stem: str | None = None,
-                out: str = "verse", carry: Sequence[str] = ()) -> DataFrame:
+                out: str = "verse", carry: Sequence[str] = (), multiword_lines: bool = True) -> DataFrame:
     """Array lane T1..T7: a document row becomes its verses, with no shuffle.
 
     Equals ``split_lines -> cleanse -> tokenize -> remove_stop_words -> build_verses``.
     ``label`` and ``carry`` columns are kept on every verse.
     """
-    lw = line_word_arrays(text, stop_words, stem)
+    lw = line_word_arrays(text, stop_words, stem, multiword_lines)
     extra = ([label] if label else []) + [c for c in carry if c != label]
     keep = [id] + extra
     staged = df.select(*keep, lw.alias("_lw"))

@@ -84,7 +84,7 @@ def q_exploded_words(spark, root):
 
 
 @register("stemmed_words", f"""
-SELECT word, {sq.s_stem('word')} AS stem, count(*) AS occurrences FROM ({sq.DOC_WORDS}) GROUP BY 1, 2
+SELECT word, {sq.s_stem('word')} AS stem, count(*) AS occurrences FROM ({sq.DOC_BAG}) GROUP BY 1, 2
 """)
 def q_stemmed_words(spark, root):
     docs = read_table(spark, root, "documents").select("doc_id", "text")
@@ -149,7 +149,7 @@ def q_bigrams(spark, root):
 # F10..F12: term statistics (the flagship is tf_idf_top_terms)
 # ---------------------------------------------------------------------------------
 
-_DOC_TERMS_SQL = f"SELECT doc_id, word AS term, count(*) AS tf FROM ({sq.DOC_WORDS}) GROUP BY 1, 2"
+_DOC_TERMS_SQL = f"SELECT doc_id, word AS term, count(*) AS tf FROM ({sq.DOC_BAG}) GROUP BY 1, 2"
 
 
 def _doc_terms(spark, root) -> tuple[DataFrame, DataFrame]:
@@ -169,8 +169,8 @@ SELECT doc_id, CAST(rank AS BIGINT) AS rank, term, tf, df, round(x, 6) AS tfidf
 """)
 def q_tf_idf_top_terms(spark, root):
     _, terms = _doc_terms(spark, root)
-    # m = number of documents: counted on the plain scan (no text read, no spreading)
-    n_docs = read_table(spark, root, "documents", spread_small=False).count()
+    # m = number of documents: counted on the plain scan (no text read)
+    n_docs = read_table(spark, root, "documents").count()
     weighted = tm.tf_idf(terms, n_docs)
     top = tm.top_terms(weighted, 5)
     return top.select("doc_id", big("rank").alias("rank"), "term", "tf", "df", r6("tfidf").alias("tfidf"))
@@ -215,29 +215,22 @@ def q_labeled_text_lines(spark, root):
     return fs.read_labeled_text(spark, path).select(F.col("lang").alias("label"), F.col("value").alias("line"))
 
 
-@register("union_labeled", """
-SELECT doc_id, lang AS label FROM documents WHERE lang IN ('en', 'fr', 'de', 'es')
-""")
+@register("union_labeled", "SELECT doc_id, lang AS label FROM documents")
 def q_union_labeled(spark, root):
+    """One frame per class found in the table, null included, each given its label again."""
     docs = read_table(spark, root, "documents").select("doc_id", "lang")
-    parts = {k: docs.filter(F.col("lang") == k).select("doc_id") for k in ("en", "fr", "de", "es")}
-    return sp.union_labeled(parts)
+    classes = [r["lang"] for r in docs.select("lang").distinct().collect()]  # a row per class
+    return sp.union_labeled({k: docs.filter(F.col("lang").eqNullSafe(F.lit(k))).select("doc_id") for k in classes})
 
 
 @register("labeled_vectors_roundtrip", """
-SELECT CAST(label AS DOUBLE) AS label, CAST(len(embedding) AS BIGINT) AS dims,
-       round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 6) AS v_sum,
-       round(CAST(embedding[1] AS DOUBLE), 6) AS v_first
-FROM embeddings
+SELECT CAST(label AS DOUBLE) AS label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS features FROM embeddings
 """)
 def q_labeled_vectors_roundtrip(spark, root):
     from pyspark.ml.functions import vector_to_array
     emb = read_table(spark, root, "embeddings")
     path = fs.write_labeled_vectors(emb, shared_path(spark, "vectors", "embeddings"), "label", "embedding")
-    back = spark.read.parquet(path).select("label", vector_to_array("features").alias("a"))
-    return back.select("label", big(F.size("a")).alias("dims"),
-                       r6(F.aggregate("a", F.lit(0.0), lambda acc, x: acc + x)).alias("v_sum"),
-                       r6(F.col("a")[0]).alias("v_first"))
+    return spark.read.parquet(path).select("label", vector_to_array("features").alias("features"))
 
 
 @register("request_lines", f"""
@@ -253,16 +246,14 @@ def q_request_lines(spark, root):
 
 
 @register("labeled_csv_records", """
-SELECT CAST(label AS DOUBLE) AS label, CAST(len(embedding) AS BIGINT) AS dims,
-       round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 3) AS v_sum
+SELECT CAST(label AS DOUBLE) AS label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS features
 FROM embeddings
 """)
 def q_labeled_csv_records(spark, root):
     emb = read_table(spark, root, "embeddings")
     path = fs.write_text(fs.to_labeled_csv(emb, "label", "embedding"), shared_path(spark, "records", "emb"))
     back = fs.parse_labeled_csv(spark, path)
-    return back.select("label", big(F.size("values")).alias("dims"),
-                       F.round(F.aggregate("values", F.lit(0.0), lambda a, x: a + x), 3).alias("v_sum"))
+    return back.select("label", F.transform("values", lambda x: x.cast("float").cast("double")).alias("features"))
 
 
 # ---------------------------------------------------------------------------------
@@ -381,7 +372,7 @@ SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS
 def q_wide_examples(spark, root):
     from pyspark.ml.functions import vector_to_array
     emb = read_table(spark, root, "embeddings")
-    dim = len(emb.select("embedding").first()[0])
+    dim = en.vector_width(emb, "embedding")
     wide = en.widen(emb, "embedding", dim).drop("embedding")
     ex = en.wide_examples(wide, [f"feat_{i + 1}" for i in range(dim)], "label")
     return ex.select("vec_id", "label", vector_to_array("features").alias("features"))
@@ -459,7 +450,7 @@ def q_class_lookup(spark, root):
 
 @register("hashed_terms", f"""
 SELECT doc_id, CAST({sq.hash_bucket('word', 4096)} AS INTEGER) AS bucket, count(*) AS tf
-FROM ({sq.DOC_WORDS}) GROUP BY 1, 2
+FROM ({sq.DOC_BAG}) GROUP BY 1, 2
 """)
 def q_hashed_terms(spark, root):
     docs = read_table(spark, root, "documents").select("doc_id", "text")
@@ -467,18 +458,20 @@ def q_hashed_terms(spark, root):
     return tm.hashing_tf(words, "doc_id", "words", 4096)
 
 
+VOCABULARY = 15_000  # fixed value: the original job's vocabulary size, with terms of 3 documents or more
+
 _VOCAB_SQL = f"""
 WITH tf AS ({_DOC_TERMS_SQL}),
 st AS (SELECT term, CAST(sum(tf) AS BIGINT) AS term_count, count(*) AS doc_freq FROM tf GROUP BY term HAVING count(*) >= 3)
 SELECT CAST(row_number() OVER (ORDER BY term_count DESC, term) - 1 AS INTEGER) AS term_index, term,
-       term_count, doc_freq FROM st ORDER BY term_count DESC, term LIMIT 2000
+       term_count, doc_freq FROM st ORDER BY term_count DESC, term LIMIT 15000
 """
 
 
 @register("vocabulary", _VOCAB_SQL)
 def q_vocabulary(spark, root):
     _, terms = _doc_terms(spark, root)
-    return tm.vocabulary(terms, vocab_size=2000, min_df=3)
+    return tm.vocabulary(terms, vocab_size=VOCABULARY, min_df=3)
 
 
 @register("count_vectors", f"""
@@ -487,7 +480,7 @@ SELECT doc_id, term_index, tf FROM tf JOIN v USING (term)
 """)
 def q_count_vectors(spark, root):
     _, terms = _doc_terms(spark, root)
-    vocab = tm.vocabulary(terms, vocab_size=2000, min_df=3)
+    vocab = tm.vocabulary(terms, vocab_size=VOCABULARY, min_df=3)
     return tm.count_terms(terms, vocab).select("doc_id", "term_index", "tf")
 
 
@@ -495,11 +488,11 @@ def q_count_vectors(spark, root):
 # R1, R2, U2, E2 folds; A1, A2
 # ---------------------------------------------------------------------------------
 
-_HB = sq.hash_bucket("doc_id", 100)
+_TRAIN = sq.below("doc_id", sp.SPLIT_SEED, 0.8)
 
 
 @register("hash_split_docs", f"""
-SELECT doc_id, CASE WHEN {_HB} < 80 THEN 'train' ELSE 'test' END AS split FROM documents
+SELECT doc_id, CASE WHEN {_TRAIN} THEN 'train' ELSE 'test' END AS split FROM documents
 """)
 def q_hash_split_docs(spark, root):
     docs = read_table(spark, root, "documents").select("doc_id")
@@ -508,7 +501,13 @@ def q_hash_split_docs(spark, root):
 
 _LI_KEY_SQL = "concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber)"
 _LI_COLS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-            "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus")
+            "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+_LI_OUT = ", ".join(_LI_COLS[:-1]) + ", strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate"
+
+
+def _li_out(df):
+    return df.select(*_LI_COLS[:-1], F.date_format("l_shipdate", "yyyy-MM-dd").alias("l_shipdate"))
+
 
 
 def _lineitem_sample(spark, root):
@@ -518,25 +517,25 @@ def _lineitem_sample(spark, root):
 
 
 @register("hash_sample_lineitem", f"""
-SELECT {', '.join(_LI_COLS)} FROM lineitem WHERE {sq.hash_bucket(_LI_KEY_SQL, 10000)} < 7000
+SELECT {_LI_OUT} FROM lineitem WHERE {sq.below(_LI_KEY_SQL, sp.SAMPLE_SEED, 0.7)}
 """)
 def q_hash_sample_lineitem(spark, root):
     _, s = _lineitem_sample(spark, root)
-    return s.select(*_LI_COLS)
+    return _li_out(s)
 
 
 @register("holdout_complement", f"""
-SELECT {', '.join(_LI_COLS)} FROM lineitem l WHERE NOT EXISTS (
-  SELECT 1 FROM (SELECT * FROM lineitem WHERE {sq.hash_bucket(_LI_KEY_SQL, 10000)} < 7000) s
-  WHERE {' AND '.join(f's.{c} IS NOT DISTINCT FROM l.{c}' for c in _LI_COLS + ('l_shipdate',))})
+SELECT {_LI_OUT} FROM lineitem l WHERE NOT EXISTS (
+  SELECT 1 FROM (SELECT * FROM lineitem WHERE {sq.below(_LI_KEY_SQL, sp.SAMPLE_SEED, 0.7)}) s
+  WHERE {' AND '.join(f's.{c} IS NOT DISTINCT FROM l.{c}' for c in _LI_COLS)})
 """)
 def q_holdout_complement(spark, root):
     li, s = _lineitem_sample(spark, root)
-    return sp.holdout_complement(li, s).select(*_LI_COLS)
+    return _li_out(sp.holdout_complement(li, s))
 
 
 @register("fold_assignment", f"""
-SELECT doc_id, CAST({sq.hash_bucket('doc_id', 10)} AS INTEGER) AS fold FROM documents
+SELECT doc_id, CAST({sq.seeded_hash('doc_id', sp.FOLD_SEED)} % 10 AS INTEGER) AS fold FROM documents
 """)
 def q_fold_assignment(spark, root):
     docs = read_table(spark, root, "documents").select("doc_id")
@@ -562,9 +561,10 @@ def q_class_distribution(spark, root):
 
 from quarry.operators import bayes as nb  # noqa: E402
 
-_NB_SQL = f"""
-docs AS (SELECT doc_id, lang, CASE WHEN {_HB} < 80 THEN 'train' ELSE 'test' END AS split FROM documents),
-words AS (SELECT doc_id, word FROM ({sq.DOC_WORDS})),
+def _nb_sql(bag: str) -> str:
+    return f"""
+docs AS (SELECT doc_id, lang, CASE WHEN {_TRAIN} THEN 'train' ELSE 'test' END AS split FROM documents),
+words AS (SELECT doc_id, word FROM ({bag})),
 train_docs AS (SELECT * FROM docs WHERE split = 'train'),
 test_docs AS (SELECT * FROM docs WHERE split = 'test'),
 cls AS (SELECT lang AS class, count(*) AS n_c FROM train_docs GROUP BY lang),
@@ -589,9 +589,12 @@ pred AS (SELECT doc_id, label, class AS prediction FROM probs WHERE rk = 1)
 """
 
 
-def _nb_scored(spark, root):
+_NB_SQL = _nb_sql(sq.DOC_BAG)
+
+
+def _nb_scored(spark, root, bag=None):
     docs = read_table(spark, root, "documents").select("doc_id", "text", "lang")
-    words = docs.select("doc_id", "lang", tx.document_words("text").alias("words"))
+    words = docs.select("doc_id", "lang", (tx.document_words("text") if bag is None else bag).alias("words"))
     words = sp.hash_split(words, "doc_id", (0.8, 0.2), ("train", "test"))
     train = words.filter(F.col("split") == "train")
     test = words.filter(F.col("split") == "test")
@@ -689,14 +692,6 @@ def q_auc_quality_by_length(spark, root):
     return a.select(r6("auc").alias("auc"), "n_pos", "n_neg")
 
 
-def ols_fit(df: DataFrame, x: str, y: str) -> tuple[float, float]:
-    """One-feature least squares with intercept: one aggregation, two numbers back."""
-    r = df.agg(F.covar_pop(y, x).alias("c"), F.var_pop(x).alias("v"),
-               F.avg(x).alias("mx"), F.avg(y).alias("my")).collect()[0]
-    slope = r["c"] / r["v"] if r["v"] else 0.0
-    return slope, r["my"] - slope * r["mx"]
-
-
 @register("linear_fit_lineitem", """
 WITH f AS (SELECT regr_slope(l_extendedprice, l_quantity) AS b, regr_intercept(l_extendedprice, l_quantity) AS a
            FROM lineitem)
@@ -706,7 +701,7 @@ FROM lineitem CROSS JOIN f
 """)
 def q_linear_fit_lineitem(spark, root):
     li = read_table(spark, root, "lineitem").select("l_quantity", "l_extendedprice")
-    b, a = ols_fit(li, "l_quantity", "l_extendedprice")
+    b, a = mt.least_squares(li, "l_quantity", "l_extendedprice")
     pred = li.select((F.lit(a) + F.lit(b) * F.col("l_quantity")).alias("prediction"),
                      F.col("l_extendedprice").alias("label"))
     m = mt.regression_metrics(pred)
@@ -722,7 +717,7 @@ SELECT round(sqrt(avg(err * err)), 6) AS rmse, round(avg(err * err), 4) AS mse,
 """)
 def q_regression_metrics_lineitem(spark, root):
     li = read_table(spark, root, "lineitem").select("l_quantity", "l_extendedprice")
-    b, a = ols_fit(li, "l_quantity", "l_extendedprice")
+    b, a = mt.least_squares(li, "l_quantity", "l_extendedprice")
     pred = li.select((F.lit(a) + F.lit(b) * F.col("l_quantity")).alias("prediction"),
                      F.col("l_extendedprice").alias("label"))
     m = mt.regression_metrics(pred)
@@ -941,7 +936,8 @@ def q_nb_ml_predictions(spark, root):
     train, test = words.filter(F.col("split") == "train"), words.filter(F.col("split") == "test")
     # alphabetical class order, so ties resolve to the same class as the relational form
     idx = StringIndexer(inputCol="lang", outputCol="label", stringOrderType="alphabetAsc")
-    pipe = Pipeline(stages=[idx, CountVectorizer(inputCol="words", outputCol="features", vocabSize=1 << 24),
+    terms = train.select(F.explode("words").alias("w")).agg(F.count_distinct("w")).first()[0]  # all of them
+    pipe = Pipeline(stages=[idx, CountVectorizer(inputCol="words", outputCol="features", vocabSize=max(1, terms)),
                             NaiveBayes(smoothing=1.0)])
     model = pipe.fit(train)
     pred = IndexToString(inputCol="prediction", outputCol="pred_lang", labels=model.stages[0].labels).transform(
@@ -994,9 +990,9 @@ def q_word2vec_synonyms(spark, root):
 
 @register("similar_verses")
 def q_similar_verses(spark, root):
-    """For each line of each user request, the most similar other line of that request."""
+    """For each line of each turn, the most similar other line of that request."""
     docs = read_table(spark, root, "documents").select("doc_id", "text")
-    conv = read_table(spark, root, "conversations").filter(F.col("role") == "user")
+    conv = read_table(spark, root, "conversations")
     req = conv.select(F.concat_ws("-", "conv_id", "turn").alias("request_id"), "text")
     sim = jb.request_similarity_job(docs, req, vector_size=32)
     return sim.select("request_id", big("verse_id").alias("verse_id"), big("best_id").alias("best_id"),
@@ -1007,7 +1003,7 @@ def q_similar_verses(spark, root):
 def q_salary_regression_job(spark, root):
     part = read_table(spark, root, "part")
     return jb.salary_regression_job(part, "p_retailprice", "p_size", "p_type", TYPE_LEVELS, "p_brand",
-                                    BRAND_SLOTS, folds=3, model_path=shared_path(spark, "models", "salary"))
+                                    BRAND_SLOTS, folds=3, model_path=shared_path(spark, "models", "salary"), grid={"regParam": [0.3, 0.8], "fitIntercept": [False, True], "elasticNetParam": [0.3, 0.8], "maxIter": [50]})
 
 
 @register("level_clustering_job")
@@ -1017,10 +1013,19 @@ def q_level_clustering_job(spark, root):
                                    model_path=shared_path(spark, "models", "levels"))
 
 
+# The registered queries search a smaller grid than the jobs' defaults, over all rows.
+SMALL_GRIDS = {
+    "logistic": {"sentencesInVerse": [4], "vectorSize": [32], "regParam": [0.01], "maxIter": [100]},
+    "forest": {"sentencesInVerse": [4], "vectorSize": [32], "numTrees": [10], "maxDepth": [5], "maxBins": [32]},
+    "mlp": {"sentencesInVerse": [4], "vectorSize": [32], "maxIter": [100]},
+    "nb_counts": {"sentencesInVerse": [4, 8]},
+    "nb_tfidf": {"sentencesInVerse": [4], "numFeatures": [4096, 8192], "minDocFreq": [1]},
+}
+
+
 def _verse_job(kind):
     def run(spark, root):
-        return jb.verse_classifier_job(_quality_docs(spark, root), kind, sentences_in_verse=(4,), folds=2,
-                                       vector_size=32)
+        return jb.verse_classifier_job(_quality_docs(spark, root), kind, grid=SMALL_GRIDS[kind], folds=2)
     run.__name__ = f"q_verse_classifier_{kind}"
     return run
 
@@ -1043,9 +1048,9 @@ def q_multiclass_text_lr(spark, root):
 @register("product_classifier_job")
 def q_product_classifier_job(spark, root):
     emb = read_table(spark, root, "embeddings")
-    dim = len(emb.select("embedding").first()[0])
+    dim = en.vector_width(emb, "embedding")
     wide = en.widen(emb, "embedding", dim).drop("embedding")
-    return jb.product_classifier_job(wide, [f"feat_{i + 1}" for i in range(dim)], "label", "vec_id", folds=2)
+    return jb.product_classifier_job(wide, [f"feat_{i + 1}" for i in range(dim)], "label", "vec_id", folds=2, max_depth=6)
 
 
 @register("vector_classifier_job")
@@ -1068,13 +1073,13 @@ def q_model_statistics(spark, root):
     from quarry.plans.stages import DocumentWords
     docs = read_table(spark, root, "documents").select("text", "lang")
     pipe = Pipeline(stages=[StringIndexer(inputCol="lang", outputCol="label"), DocumentWords(),
-                            CountVectorizer(inputCol="words", outputCol="features", minDF=3.0),
+                            CountVectorizer(inputCol="words", outputCol="features", vocabSize=VOCABULARY, minDF=3.0),
                             NaiveBayes()])
     return md.model_statistics(pipe.fit(docs))
 
 
 _STREAM_NB_SQL = f"""
-WITH words AS (SELECT doc_id, word FROM ({sq.DOC_WORDS})),
+WITH words AS (SELECT doc_id, word FROM ({sq.DOC_BAG})),
 cls AS (SELECT lang AS class, count(*) AS n_c FROM documents GROUP BY lang),
 idx AS (SELECT class, CAST(row_number() OVER (ORDER BY n_c DESC, class) - 1 AS DOUBLE) AS ci FROM cls),
 tot AS (SELECT sum(n_c) AS n, count(*) AS c FROM cls),
@@ -1104,12 +1109,13 @@ def q_stream_scored_documents(spark, root):
     from quarry.streaming import score_stream
     docs = read_table(spark, root, "documents").select("doc_id", "text", "lang")
     base = shared_path(spark, "stream")
+    terms = DocumentWords().transform(docs).select(F.explode("words").alias("w")).agg(F.count_distinct("w")).first()[0]
     pipe = Pipeline(stages=[StringIndexer(inputCol="lang", outputCol="label", handleInvalid="keep"),
-                            DocumentWords(), CountVectorizer(inputCol="words", outputCol="features"),
+                            DocumentWords(), CountVectorizer(inputCol="words", outputCol="features", vocabSize=max(1, terms)),
                             NaiveBayes()])
     model = save_model(pipe.fit(docs), f"{base}/model")
     src = f"{base}/incoming"
-    docs.repartition(4, "doc_id").write.mode("overwrite").parquet(src)
+    docs.write.mode("overwrite").parquet(src)
     score_stream(spark, PipelineModel.load(model), src, docs.schema, f"{base}/scored", f"{base}/checkpoint",
                  select=["doc_id", "lang", "prediction"])
     return spark.read.parquet(f"{base}/scored")
@@ -1125,8 +1131,7 @@ def q_document_word_numbers(spark, root):
     docs = read_table(spark, root, "documents").select("doc_id", "text")
     d = tx.remove_stop_words(tx.tokenize(tx.cleanse_text(tx.split_lines(docs))))
     e = tx.explode_words(d.select("doc_id", "line_no", "filtered"))
-    e = e.withColumn("_ord", F.col("line_no").cast("bigint") * 1_000_000 + F.col("word_pos"))
-    n = tx.number_lines(e, "doc_id", "_ord", "word_no", bucket_size=256)
+    n = tx.number_words(e, "doc_id", "line_no", "word_pos", "word_no")
     return n.select("doc_id", big("line_no").alias("line_no"), big("word_pos").alias("word_pos"),
                     big("word_no").alias("word_no"))
 
@@ -1187,10 +1192,81 @@ def q_nb_correct_flags(spark, root):
 WITH tf AS ({_DOC_TERMS_SQL}),
 st AS (SELECT term, CAST(sum(tf) AS BIGINT) AS term_count, count(*) AS doc_freq FROM tf GROUP BY term)
 SELECT CAST(row_number() OVER (ORDER BY term_count DESC, term) - 1 AS INTEGER) AS term_index, term,
-       term_count, doc_freq FROM st ORDER BY term_count DESC, term LIMIT 200000
+       term_count, doc_freq FROM st
 """)
 def q_vocabulary_full(spark, root):
-    """Count-vector vocabulary with Spark's default-sized limit (200,000 terms): numbered by the
-    exact distributed global index instead of a single merge (F11)."""
+    """Every distinct term, numbered by the exact distributed global index."""
     _, terms = _doc_terms(spark, root)
-    return tm.vocabulary(terms, vocab_size=200_000, min_df=1)
+    return tm.vocabulary(terms)
+
+
+_PLAIN_BAG = f"SELECT doc_id, lang, unnest({sq.drop_stop(sq.tokens('text'))}) AS word FROM documents"
+
+
+@register("text_nb_plain_words", f"""
+WITH {_nb_sql(_PLAIN_BAG)}
+SELECT doc_id, label, prediction FROM pred
+""")
+def q_text_nb_plain_words(spark, root):
+    """Naive Bayes on the multi-class jobs' own chain: tokens of the whole text without stop words (JB8)."""
+    from quarry.functions import text as tf
+    _, scored = _nb_scored(spark, root, tf.drop_stop_words(tf.tokens("text")))
+    return scored.select("doc_id", "label", "prediction")
+
+
+@register("fold_rmse_lineitem", f"""
+WITH d AS (SELECT l_quantity AS x, l_extendedprice AS y, {sq.seeded_hash(_LI_KEY_SQL, sp.FOLD_SEED)} % 3 AS fold FROM lineitem),
+k AS (SELECT DISTINCT fold FROM d),
+f AS (SELECT k.fold, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM k JOIN d ON d.fold <> k.fold GROUP BY k.fold)
+SELECT CAST(d.fold AS INTEGER) AS fold, round(sqrt(avg(power(a + b * x - y, 2))), 6) AS rmse FROM d JOIN f ON f.fold = d.fold GROUP BY d.fold
+""")
+def q_fold_rmse_lineitem(spark, root):
+    """3-fold cross-validation of one-feature least squares: RMSE of each held-out fold."""
+    from pyspark.ml.regression import LinearRegression
+    from pyspark.ml.functions import array_to_vector
+    li = read_table(spark, root, "lineitem").withColumn("_k", sp.row_key(["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]))
+    d = sp.assign_folds(li, "_k", 3).select(array_to_vector(F.array(F.col("l_quantity").cast("double"))).alias("features"),
+                                            F.col("l_extendedprice").cast("double").alias("label"), "fold").persist()
+    try:
+        rows = []
+        for k in range(3):
+            m = LinearRegression(solver="normal").fit(d.filter(F.col("fold") != k))
+            rows.append((k, float(mt.regression_metrics(m.transform(d.filter(F.col("fold") == k))).first()["rmse"])))
+        return spark.createDataFrame(rows, "fold int, rmse double").withColumn("rmse", r6("rmse"))
+    finally:
+        d.unpersist()
+
+
+@register("saved_linear_predictions", """
+WITH f AS (SELECT regr_slope(p_retailprice, p_size) AS b, regr_intercept(p_retailprice, p_size) AS a FROM part)
+SELECT p_partkey, round(a + b * p_size, 4) AS prediction FROM part CROSS JOIN f
+""")
+def q_saved_linear_predictions(spark, root):
+    """Least squares trained, saved, loaded and scored."""
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.regression import LinearRegression, LinearRegressionModel
+    from quarry.sources.models import load_or_train
+    d = read_table(spark, root, "part").select(
+        "p_partkey", array_to_vector(F.array(F.col("p_size").cast("double"))).alias("features"), F.col("p_retailprice").cast("double").alias("label"))
+    path = shared_path(spark, "models", "least-squares")
+    load_or_train(spark, path, lambda: LinearRegression(solver="normal").fit(d), kind=LinearRegressionModel)
+    model = load_or_train(spark, path, lambda: None, kind=LinearRegressionModel)
+    return model.transform(d).select("p_partkey", F.round("prediction", 4).alias("prediction"))
+
+
+@register("linear_summary", """
+WITH f AS (SELECT regr_slope(p_retailprice, p_size) AS b, regr_intercept(p_retailprice, p_size) AS a, regr_r2(p_retailprice, p_size) AS r2 FROM part),
+e AS (SELECT sqrt(avg(power(a + b * p_size - p_retailprice, 2))) AS rmse FROM part CROSS JOIN f)
+SELECT 'coefficient' AS metric, round(b, 4) AS value FROM f UNION ALL SELECT 'intercept', round(a, 4) FROM f
+UNION ALL SELECT 'r2', round(r2, 4) FROM f UNION ALL SELECT 'rmse', round(rmse, 4) FROM e
+""")
+def q_linear_summary(spark, root):
+    """Training summary and coefficients of a least-squares model."""
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.regression import LinearRegression
+    d = read_table(spark, root, "part").select(
+        array_to_vector(F.array(F.col("p_size").cast("double"))).alias("features"), F.col("p_retailprice").cast("double").alias("label"))
+    m = LinearRegression(solver="normal").fit(d)
+    own = md.training_summary(m).filter(F.col("metric").isin("rmse", "r2", "intercept"))
+    coef = md.explain_linear(m, ["coefficient"]).filter("name = 'coefficient'").toDF("metric", "value")
+    return own.unionByName(coef).select("metric", F.round("value", 4).alias("value"))

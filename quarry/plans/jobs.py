@@ -11,23 +11,37 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import (BinaryClassificationEvaluator, MulticlassClassificationEvaluator,
                                    RegressionEvaluator)
-from pyspark.ml.feature import (IDF, CountVectorizer, HashingTF, IndexToString, MaxAbsScaler, StringIndexer,
+from pyspark.ml.feature import (IDF, CountVectorizer, HashingTF, IndexToString, MaxAbsScaler, MinMaxScaler, StringIndexer,
                                 VectorIndexer)
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from quarry.functions.hashing import hash_fraction
 from quarry.operators import clusters as cl
 from quarry.operators import encoders as en
 from quarry.operators import metrics as mt
 from quarry.operators import sampling as sp
 from quarry.plans import models as md
-from quarry.plans.stages import DocumentWords, VerseSplitter
+from quarry.plans.stages import PlainWords, VerseSplitter
 from quarry.sources import models as ms
 
 
+# The original jobs' grids, fold counts and estimator settings.
+FOLDS = 10
+SALARY_GRID = {"regParam": [0.3, 0.8], "fitIntercept": [False, True], "elasticNetParam": [0.3, 0.8], "maxIter": [50, 100]}
+VERSE_GRIDS = {
+    "logistic": {"sentencesInVerse": [4, 8, 16], "vectorSize": [100, 200, 300], "regParam": [0.01], "maxIter": [100, 200]},
+    "forest": {"sentencesInVerse": [16], "vectorSize": [300], "numTrees": [10, 20, 30], "maxDepth": [20, 30], "maxBins": [32, 64, 128]},
+    "mlp": {"sentencesInVerse": [16], "vectorSize": [300], "maxIter": [100]},
+    "nb_counts": {"sentencesInVerse": [4, 8, 16]},
+    "nb_tfidf": {"sentencesInVerse": [4, 8, 16, 32], "numFeatures": [4096, 8192], "minDocFreq": [0, 1, 2]},
+}
+TEXT_VOCABULARY, TEXT_MIN_DOCS, TEXT_MAX_ITER = 15_000, 3, 30
+PRODUCT_TREES, PRODUCT_DEPTH = 20, 30
+
+
 def _spark() -> SparkSession:
     return SparkSession.getActiveSession()
 
@@ -39,7 +53,7 @@ def _metric_rows(rows) -> DataFrame:
 # --- JB1: salary-like regression --------------------------------------------------
 
 def salary_regression_job(table: DataFrame, label: str, numeric: str, level: str, level_map, category: str,
-                          names: Sequence[str], folds: int = 3, regs=(0.1, 0.3, 0.8), nets=(0.0, 0.8),
+                          names: Sequence[str], folds: int = FOLDS, grid: dict | None = None,
                           model_path: str | None = None, parallelism: int = 4, other: int | None = None,
                           key: str | None = None) -> DataFrame:
     """Examples (F3) -> elastic-net regression tuned by k-fold CV (E1, E2, E5) -> coefficients."""
@@ -47,8 +61,8 @@ def salary_regression_job(table: DataFrame, label: str, numeric: str, level: str
     ex = en.regression_examples(table, label, numeric, level, level_map, category, names, other=other)
     key = key or table.columns[0]
     ex = sp.assign_folds(ex, key, folds)
-    lr = LinearRegression(featuresCol="features", labelCol="label", maxIter=50)
-    grid = ParamGridBuilder().addGrid(lr.regParam, list(regs)).addGrid(lr.elasticNetParam, list(nets)).build()
+    lr = LinearRegression(featuresCol="features", labelCol="label")
+    grid = _points(lr, grid or SALARY_GRID)
     ev = RegressionEvaluator(metricName="rmse")
     cv = md.tune(lr, grid, ev, ex, "fold", parallelism)
     best_i, best_m = md.best_of_grid(cv, ev)
@@ -81,61 +95,125 @@ def level_clustering_job(table: DataFrame, value: str, numeric: str, level: str,
 
 # --- JB3..JB7: verse classifiers ---------------------------------------------------
 
-def _verse_estimator(kind: str, vector_size: int, seed: int):
+def _points(stage, grid: dict) -> list[dict]:
+    """All combinations of a stage's parameters, in the grid's order."""
+    b = ParamGridBuilder()
+    for name, values in grid.items():
+        b = b.addGrid(stage.getParam(name), list(values))
+    return b.build() or [{}]
+
+
+def _verse_classifier(kind: str, seed: int):
     from pyspark.ml.classification import (LogisticRegression, MultilayerPerceptronClassifier, NaiveBayes,
                                            RandomForestClassifier)
-    from pyspark.ml.feature import Word2Vec
+    if kind == "logistic":
+        return LogisticRegression()
+    if kind == "forest":
+        return RandomForestClassifier(seed=seed, maxMemoryInMB=512)
+    if kind == "mlp":
+        return MultilayerPerceptronClassifier(blockSize=300, seed=1234)
+    if kind in ("nb_counts", "nb_tfidf"):
+        return NaiveBayes()
+    raise ValueError(kind)
+
+
+def _feature_points(kind: str, grid: dict) -> list[dict]:
+    """The feature settings of a grid; the classifier's own settings are searched inside each."""
     if kind in ("logistic", "forest", "mlp"):
-        w2v = Word2Vec(inputCol="verse", outputCol="features", vectorSize=vector_size, minCount=0, seed=seed)
-        if kind == "logistic":
-            clf = LogisticRegression(maxIter=100, regParam=0.01)
-            grid = lambda b: b.addGrid(clf.regParam, [0.01, 0.1])
-        elif kind == "forest":
-            clf = RandomForestClassifier(numTrees=20, maxDepth=5, seed=seed, maxMemoryInMB=512)
-            grid = lambda b: b.addGrid(clf.maxDepth, [4, 6])
-        else:
-            clf = MultilayerPerceptronClassifier(layers=[vector_size, 50, 2], maxIter=100, blockSize=128, seed=1234)
-            grid = lambda b: b
-        return Pipeline(stages=[w2v, clf]), grid
-    if kind == "nb_counts":
-        cv = CountVectorizer(inputCol="verse", outputCol="features")
-        clf = NaiveBayes(smoothing=1.0)
-        return Pipeline(stages=[cv, clf]), (lambda b: b.addGrid(clf.smoothing, [0.5, 1.0]))
+        return [{"vectorSize": s} for s in grid["vectorSize"]]
     if kind == "nb_tfidf":
-        htf = HashingTF(inputCol="verse", outputCol="tf", numFeatures=8192)
-        idf = IDF(inputCol="tf", outputCol="features", minDocFreq=1)
-        clf = NaiveBayes(smoothing=1.0)
-        return Pipeline(stages=[htf, idf, clf]), (lambda b: b.addGrid(htf.numFeatures, [4096, 8192]))
-    raise ValueError(kind)
+        return [{"numFeatures": f, "minDocFreq": d} for f in grid["numFeatures"] for d in grid["minDocFreq"]]
+    return [{}]
+
+
+def _fit_features(kind: str, point: dict, train: DataFrame, seed: int) -> list:
+    """Fitted feature stages (verse -> features) on the training rows."""
+    if kind in ("logistic", "forest", "mlp"):
+        return [md.train_word2vec(train, "verse", "features", vector_size=point["vectorSize"], seed=seed)]
+    if kind == "nb_counts":
+        # as many terms as the training verses have, so nothing is cut
+        words = train.select(F.explode("verse").alias("w")).agg(F.count_distinct("w")).first()[0]
+        return [CountVectorizer(inputCol="verse", outputCol="features", vocabSize=max(1, words)).fit(train)]
+    tf_stage = HashingTF(inputCol="verse", outputCol="tf", numFeatures=point["numFeatures"])
+    idf = IDF(inputCol="tf", outputCol="features", minDocFreq=point["minDocFreq"]).fit(tf_stage.transform(train))
+    return [tf_stage, idf]
 
 
-def verse_classifier_job(docs: DataFrame, kind: str = "logistic", sentences_in_verse: Sequence[int] = (4,),
-                         folds: int = 3, vector_size: int = 50, seed: int = 1, id: str = "doc_id",
-                         text: str = "text", label: str = "label", stem: str = "none",
-                         parallelism: int = 4) -> DataFrame:
-    """Two-class verse classifier tuned by k-fold CV; AUC per grid point (JB3..JB7).
+def verse_classifier_job(docs: DataFrame, kind: str = "logistic", grid: dict | None = None, folds: int = FOLDS,
+                         seed: int = 1, id: str = "doc_id", text: str = "text", label: str = "label", stem: str = "s",
+                         model_path: str | None = None) -> DataFrame:
+    """Two-class verse classifier: mean AUC of the folds for each grid point, the best one refitted (JB3..JB7).
 
-    Folds are drawn per document (no document in train and test). The verse prefix is
-    computed once per ``sentences_in_verse`` value (the only data-shaping parameter)
-    and cached for all folds and model grid points.
+    The chain is cleanse, tokenize, stop words, stem, verses. Folds are drawn per document
+    (no document in train and test). The verses of each length are made once; features
+    are fitted once per fold and feature setting and serve every classifier setting. The
+    best point over all lengths is fitted on all rows and saved under ``model_path`` with
+    its ``VerseSplitter`` and label index in front, ready for requests.
     """
-    rows = []
+    from pyspark.ml import PipelineModel
+    grid = grid or VERSE_GRIDS[kind]
     ev = BinaryClassificationEvaluator(metricName="areaUnderROC")
-    if not isinstance(docs.schema[label].dataType, (T.NumericType, T.BooleanType)):
-        # class names -> 0..k-1 by frequency, so the evaluator and the models see numeric labels
-        docs = StringIndexer(inputCol=label, outputCol="_label_index").fit(docs).transform(docs).drop(label) \
-            .withColumnRenamed("_label_index", label)
-    for n in sentences_in_verse:
-        verses = VerseSplitter(idCol=id, textCol=text, carryCols=[label], sentencesInVerse=n,
-                               stem=stem).transform(docs)
-        verses = sp.assign_folds(verses.withColumn(label, F.col(label).cast("double")), id, folds)
-        est, grid_fn = _verse_estimator(kind, vector_size, seed)
-        grid = grid_fn(ParamGridBuilder()).build() or [{}]
-        cvm = md.tune(est, grid, ev, verses, "fold", parallelism)
-        for i, m in enumerate(cvm.avgMetrics):
-            rows.append((f"n={n}|grid={i}", m))
-    best = max(v for _, v in rows)
-    return _metric_rows(rows + [("best_auc", best)])
+    index = StringIndexer(inputCol=label, outputCol="label_index", stringOrderType="alphabetAsc").fit(
+        docs.filter(F.col(label).isNotNull()))
+    if len(index.labels) != 2:
+        raise ValueError(f"{label}: {len(index.labels)} classes; the verse classifiers tell two apart")
+    known = index.transform(docs.filter(F.col(label).isNotNull()))
+    own = {k: v for k, v in grid.items() if k not in ("sentencesInVerse", "vectorSize", "numFeatures", "minDocFreq")}
+    rows, best = [], None
+
+    def classifier(point):
+        c = _verse_classifier(kind, seed).setLabelCol("label_index")
+        return c.setLayers([point["vectorSize"], 50, 2]) if kind == "mlp" else c
+
+    def splitter(n):
+        return VerseSplitter(idCol=id, textCol=text, carryCols=["label_index"], sentencesInVerse=n, stem=stem)
+
+    for n in grid["sentencesInVerse"]:
+        verses = sp.assign_folds(splitter(n).transform(known), id, folds).persist()
+        try:
+            for point in _feature_points(kind, grid):
+                totals: dict[str, float] = {}
+                settings = _points(classifier(point), own)
+                for k in range(folds):
+                    train, test = verses.filter(F.col("fold") != k), verses.filter(F.col("fold") == k)
+                    made = PipelineModel(stages=_fit_features(kind, point, train, seed))
+                    train, test = made.transform(train).persist(), made.transform(test).persist()
+                    try:
+                        for i, setting in enumerate(settings):
+                            auc = ev.setLabelCol("label_index").evaluate(classifier(point).fit(train, {p: v for p, v in setting.items()})
+                                                                         .transform(test))
+                            totals[i] = totals.get(i, 0.0) + auc / folds
+                    finally:
+                        train.unpersist()
+                        test.unpersist()
+                for i, setting in enumerate(settings):
+                    named = {"sentencesInVerse": n, **point, **{p.name: v for p, v in setting.items()}}
+                    rows.append(("|".join(f"{a}={v}" for a, v in named.items()), totals[i]))
+                    if best is None or totals[i] > best[0]:
+                        best = (totals[i], n, point, {p.name: v for p, v in setting.items()})
+        finally:
+            verses.unpersist()
+    if model_path:
+        auc, n, point, setting = best
+        verses = splitter(n).transform(known).persist()
+        try:
+            features = _fit_features(kind, point, verses, seed)
+            model = classifier(point).copy().setParams(**setting).fit(PipelineModel(stages=features).transform(verses))
+            ms.save_model(PipelineModel(stages=[splitter(n), *features, model]), model_path)
+            ms.save_model(index, f"{model_path}-labels")
+        finally:
+            verses.unpersist()
+    return _metric_rows(rows + [("best_auc", best[0])])
+
+
+def verse_predictions_job(spark: SparkSession, requests: DataFrame, model_path: str, id: str = "doc_id") -> DataFrame:
+    """Score requests with a saved verse classifier: one answer and a class map per text."""
+    from pyspark.ml.feature import StringIndexerModel
+    from quarry.plans.scoring import score_documents
+    model, labels = ms.load_model(model_path), StringIndexerModel.load(f"{model_path}-labels").labels
+    scored = score_documents(model.transform(requests), id, labels)
+    names = F.array(*[F.lit(x) for x in labels])
+    return scored.select(id, "n_verses", "predicted_label", F.map_from_arrays(names, "mean_probability").alias("class_probabilities"))
 
 
 # --- JB8, JB9: multi-class text ------------------------------------------------------
@@ -143,7 +221,7 @@ def verse_classifier_job(docs: DataFrame, kind: str = "logistic", sentences_in_v
 def multiclass_text_job(docs: DataFrame, kind: str = "nb", id: str = "doc_id", text: str = "text",
                         label: str = "lang", folds: int = 3, parallelism: int = 4,
                         model_path: str | None = None) -> DataFrame:
-    """80/20 document split, label index (F6), words, TF-IDF, NB or LR tuned by CV; test metrics.
+    """The whole text's tokens without stop words: no line filter, no ASCII cleanse. 80/20 document split, label index (F6), words, TF-IDF, NB or LR tuned by CV; test metrics.
 
     The words do not depend on any grid parameter, so they are computed once before
     the search (and cached by ``tune``) instead of once per grid point and fold; the
@@ -151,7 +229,7 @@ def multiclass_text_job(docs: DataFrame, kind: str = "nb", id: str = "doc_id", t
     """
     from pyspark.ml import PipelineModel
     from pyspark.ml.classification import LogisticRegression, NaiveBayes
-    words = DocumentWords(textCol=text, outputCol="words")
+    words = PlainWords(textCol=text, outputCol="words")
     d = sp.hash_split(docs.select(id, text, label).na.drop(subset=[text, label]), id)
     train = sp.assign_folds(words.transform(d.filter(F.col("split") == "train")), id, folds)
     test = d.filter(F.col("split") == "test")
@@ -161,8 +239,8 @@ def multiclass_text_job(docs: DataFrame, kind: str = "nb", id: str = "doc_id", t
         clf = NaiveBayes(labelCol="label_index", smoothing=1.0)
         grid = ParamGridBuilder().addGrid(tfs.numFeatures, [4096, 8192]).build()
     else:
-        tfs = CountVectorizer(inputCol="words", outputCol="tf", vocabSize=15000, minDF=3)
-        clf = LogisticRegression(labelCol="label_index", maxIter=30)
+        tfs = CountVectorizer(inputCol="words", outputCol="tf", vocabSize=TEXT_VOCABULARY, minDF=TEXT_MIN_DOCS)
+        clf = LogisticRegression(labelCol="label_index", maxIter=TEXT_MAX_ITER)
         grid = ParamGridBuilder().addGrid(clf.regParam, [0.01, 0.1, 1.0]).build()
     pipe = Pipeline(stages=[idx, tfs, IDF(inputCol="tf", outputCol="features"), clf])
     ev = MulticlassClassificationEvaluator(labelCol="label_index", metricName="accuracy")
@@ -179,11 +257,15 @@ def multiclass_text_job(docs: DataFrame, kind: str = "nb", id: str = "doc_id", t
 # --- JB10: embeddings, synonyms, similarity ---------------------------------------------
 
 def verse_embeddings(docs: DataFrame, sentences_in_verse: int = 4, vector_size: int = 50, seed: int = 1,
-                     id: str = "doc_id", text: str = "text"):
+                     id: str = "doc_id", text: str = "text", stem: str = "s", model_path: str | None = None):
     """Word2Vec over the verses of a corpus (F13). Returns (model, verses)."""
-    verses = VerseSplitter(idCol=id, textCol=text, carryCols=[], sentencesInVerse=sentences_in_verse
+    verses = VerseSplitter(idCol=id, textCol=text, carryCols=[], sentencesInVerse=sentences_in_verse, stem=stem
                            ).transform(docs)
-    return md.train_word2vec(verses, "verse", "vec", vector_size=vector_size, seed=seed), verses
+    model = md.train_word2vec(verses, "verse", "vec", vector_size=vector_size, seed=seed)
+    if model_path:  # what answers requests is the saved model
+        from pyspark.ml.feature import Word2VecModel
+        model = Word2VecModel.load(ms.save_model(model, model_path))
+    return model, verses
 
 
 def synonyms_job(docs: DataFrame, k: int = 5, n_query_words: int = 3, **w2v) -> DataFrame:
@@ -205,7 +287,7 @@ def request_similarity_job(docs: DataFrame, requests: DataFrame, request_id: str
     from quarry.operators.pairs import best_match_within
     model, _ = verse_embeddings(docs, **w2v)
     lines = VerseSplitter(idCol=request_id, textCol=request_text, carryCols=[], sentencesInVerse=1,
-                          outputCol="verse").transform(requests)
+                          outputCol="verse", stem="s", multiwordLines=False).transform(requests)
     vec = model.transform(lines).select(request_id, "verse_id", F.col("vec"))
     return best_match_within(vec, request_id, "verse_id", "vec")
 
@@ -213,23 +295,27 @@ def request_similarity_job(docs: DataFrame, requests: DataFrame, request_id: str
 # --- JB11: wide-feature classifier -----------------------------------------------
 
 def product_classifier_job(table: DataFrame, feature_cols: Sequence[str], label: str, key: str,
-                           folds: int = 3, num_trees: int = 20, parallelism: int = 4) -> DataFrame:
+                           folds: int = FOLDS, num_trees: int = PRODUCT_TREES, max_depth: int = PRODUCT_DEPTH,
+                           parallelism: int = 4, model_path: str | None = None) -> DataFrame:
     """Wide features (F5) -> label index (F6, fitted inside CV) -> vector index (F8) -> forest (M5)
-    -> index to string (F7); CV f1 (E3)."""
+    -> index to string (F7); CV f1 on 80% of the rows, metrics (E3) on the others; model saved (S7)."""
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import VectorAssembler
-    data = sp.assign_folds(table.withColumn(label, F.col(label).cast("string")), key, folds)
+    split = sp.hash_split(table.withColumn(label, F.col(label).cast("string")), key)
+    data, held = sp.assign_folds(split.filter(F.col("split") == "train"), key, folds), split.filter(F.col("split") == "test")
     idx = StringIndexer(inputCol=label, outputCol="label_index", handleInvalid="keep")
     asm = VectorAssembler(inputCols=list(feature_cols), outputCol="raw")
     vix = VectorIndexer(inputCol="raw", outputCol="features", maxCategories=10, handleInvalid="keep")
-    rf = RandomForestClassifier(labelCol="label_index", numTrees=num_trees, maxDepth=6, seed=1, maxMemoryInMB=512)
+    rf = RandomForestClassifier(labelCol="label_index", numTrees=num_trees, maxDepth=max_depth, seed=1, maxMemoryInMB=512)
     pipe = Pipeline(stages=[idx, asm, vix, rf])
-    grid = ParamGridBuilder().addGrid(rf.maxDepth, [6]).build()
+    grid = ParamGridBuilder().addGrid(rf.maxDepth, [max_depth]).build()
     ev = MulticlassClassificationEvaluator(labelCol="label_index", metricName="f1")
     cvm = md.tune(pipe, grid, ev, data, "fold", parallelism)
     labels = cvm.bestModel.stages[0].labels
     pred = IndexToString(inputCol="prediction", outputCol="predicted_label", labels=labels).transform(
-        cvm.bestModel.transform(data))
+        cvm.bestModel.transform(held))
+    if model_path:
+        ms.save_model(cvm.bestModel, model_path)
     m = mt.multiclass_metrics(pred.withColumn("label_s", F.col(label)), "label_s", "predicted_label").first()
     return _metric_rows([("cv_f1", cvm.avgMetrics[0])] + list(m.asDict().items()))
 
@@ -269,34 +355,32 @@ def baseline_trainers_job(table: DataFrame, label: str, arr: str, key: str, seed
     linear regression and k-means on one labelled-vector table."""
     src = table.select(key, F.col(label).cast("double").alias("label"),
                        array_to_vector(F.col(arr).cast("array<double>")).alias("features"))
-    train = sp.hash_sample(src, key, 0.7)
-    test = sp.holdout_complement(src.select(key, "label"), train.select(key, "label")).join(src, [key, "label"])
-    train = train.persist()
+    # the sample and its complement are one condition on the key's hash: no join
+    inside = hash_fraction(key, sp.SAMPLE_SEED, 0.7)
+    train, test = src.filter(inside).persist(), src.filter(~inside).persist()
     rows = []
-    # NB needs non-negative features: shift each feature by its minimum (one aggregation).
-    mins = src.select(vector_to_array("features").alias("a")).select(
-        F.posexplode("a").alias("i", "x")).groupBy("i").agg(F.min("x").alias("m")).orderBy("i")
-    shift = [float(r["m"]) for r in mins.collect()]  # one number per feature
-
-    def nonneg(df):
-        a = vector_to_array("features")
-        return df.withColumn("features", array_to_vector(
-            F.transform(a, lambda x, i: x - F.array(*[F.lit(s) for s in shift])[i])))
-
-    nbm = md.train_nb(nonneg(train))
-    rows.append(("nb_accuracy", mt.multiclass_metrics(nbm.transform(nonneg(test))).first()["accuracy"]))
-    svm_train = train.withColumn("label", (F.col("label") > 4).cast("double"))
-    svm_test = test.withColumn("label", (F.col("label") > 4).cast("double"))
-    svm = md.train_svm(svm_train, max_iter=50)
-    rows.append(("svm_auc", BinaryClassificationEvaluator(rawPredictionCol="rawPrediction").evaluate(
-        svm.transform(svm_test))))
-    lrm = md.train_logistic(train, family="multinomial", max_iter=50)
-    rows.append(("lr_accuracy", mt.multiclass_metrics(lrm.transform(test)).first()["accuracy"]))
-    lin = md.train_linear(train, reg=0.3, elastic_net=0.8, max_iter=50)
-    rows.append(("linear_rmse", mt.regression_metrics(lin.transform(test)).first()["rmse"]))
-    km = md.train_kmeans(train, k=10, seed=1)
-    rows.append(("kmeans_cost", km.summary.trainingCost))
-    train.unpersist()
+    try:
+        # NB needs non-negative features: scaled to 0..1 by the training rows' ranges
+        scaler = MinMaxScaler(inputCol="features", outputCol="scaled").fit(train)
+
+        def scaled(df):
+            return scaler.transform(df).withColumn("scaled", array_to_vector(
+                F.transform(vector_to_array("scaled"), lambda x: F.greatest(x, F.lit(0.0)))))
+
+        nbm = md.train_nb(scaled(train), features="scaled")
+        rows.append(("nb_accuracy", mt.multiclass_metrics(nbm.transform(scaled(test))).first()["accuracy"]))
+        svm = md.train_svm(train.withColumn("label", (F.col("label") > 4).cast("double")), max_iter=50)
+        rows.append(("svm_auc", BinaryClassificationEvaluator(rawPredictionCol="rawPrediction").evaluate(
+            svm.transform(test.withColumn("label", (F.col("label") > 4).cast("double"))))))
+        lrm = md.train_logistic(train, family="multinomial", max_iter=50)
+        rows.append(("lr_accuracy", mt.multiclass_metrics(lrm.transform(test)).first()["accuracy"]))
+        lin = md.train_linear(train, reg=0.3, elastic_net=0.8, max_iter=50)
+        rows.append(("linear_rmse", mt.regression_metrics(lin.transform(test)).first()["rmse"]))
+        km = md.train_kmeans(train, k=10, seed=1)
+        rows.append(("kmeans_cost", km.summary.trainingCost))
+    finally:
+        train.unpersist()
+        test.unpersist()
     return _metric_rows(rows)
 
 
@@ -310,9 +394,8 @@ def salary_predictions_job(spark: SparkSession, table: DataFrame, model_path: st
     ex = en.regression_examples(table, label, numeric, level, level_map, category, names)
 
     def train():
-        lr = LinearRegression(featuresCol="features", labelCol="label", maxIter=50)
-        grid = ParamGridBuilder().addGrid(lr.regParam, [0.1, 0.8]).addGrid(lr.elasticNetParam, [0.0, 0.8]).build()
-        return md.tune(lr, grid, RegressionEvaluator(metricName="rmse"), sp.assign_folds(ex, key, 3), "fold")
+        lr = LinearRegression(featuresCol="features", labelCol="label")
+        return md.tune(lr, _points(lr, SALARY_GRID), RegressionEvaluator(metricName="rmse"), sp.assign_folds(ex, key, 3), "fold")
 
     model = ms.load_or_train(spark, model_path, train, kind=CrossValidatorModel)
     return model.bestModel.transform(ex).select(key, "label", "prediction")
@@ -386,12 +469,11 @@ def text_csv_job(spark: SparkSession, csv_path: str, text: str = "lyrics", label
     return multiclass_text_job(docs, kind, id="row_key", text=text, label=label, folds=folds)
 
 
-def text_dirs_verse_job(spark: SparkSession, dirs, kind: str = "nb_counts", sentences_in_verse=(4,),
-                        folds: int = 3, vector_size: int = 50) -> DataFrame:
+def text_dirs_verse_job(spark: SparkSession, dirs, kind: str = "nb_counts",
+                        folds: int = FOLDS, grid: dict | None = None, model_path: str | None = None) -> DataFrame:
     """JB3..JB7 on a class-per-folder text tree ({label: glob}): each file is one document,
     its folder the class; folds are drawn per file."""
     from quarry.sources.files import read_labeled_text
     docs = read_labeled_text(spark, dirs, whole=True).select(F.col("id").alias("doc_id"),
                                                              F.col("value").alias("text"), "label")
-    return verse_classifier_job(docs, kind, sentences_in_verse=sentences_in_verse, folds=folds,
-                                vector_size=vector_size)
+    return verse_classifier_job(docs, kind, grid=grid, folds=folds, model_path=model_path)

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,8 +58,9 @@ def train_mlp(df: DataFrame, features="features", label="label", hidden=(50,), m
               block_size=128, seed=1234):
     """Multilayer perceptron; input and output sizes come from the data (M6)."""
     from pyspark.ml.classification import MultilayerPerceptronClassifier
-    first = df.select(features).first()
-    n_features = first[0].size
+    from pyspark.ml.functions import vector_to_array
+    from quarry.operators.encoders import vector_width
+    n_features = vector_width(df.select(vector_to_array(features).alias("a")), "a")
     n_classes = int(df.agg(F.max(label)).first()[0]) + 1
     return MultilayerPerceptronClassifier(featuresCol=features, labelCol=label,
                                           layers=mlp_layers(n_features, n_classes, hidden), maxIter=max_iter,
@@ -74,9 +74,15 @@ def train_svm(df: DataFrame, features="features", label="label", max_iter=100, r
 
 
 def train_word2vec(df: DataFrame, input_col="verse", output_col="embedding", vector_size=100, min_count=0,
-                   seed=1, num_partitions=1, max_iter=1, window_size=5):
-    """Word2Vec; a row's vector is the mean of its word vectors."""
+                   seed=1, num_partitions=None, max_iter=None, window_size=5):
+    """Word2Vec; a row's vector is the mean of its word vectors.
+
+    Partitions default to the cluster's parallelism. Each sees its share of the sentences
+    an iteration and the vectors are averaged, so iterations grow with their square root.
+    """
     from pyspark.ml.feature import Word2Vec
+    num_partitions = num_partitions or max(2, df.sparkSession.sparkContext.defaultParallelism)
+    max_iter = max_iter or max(1, round(num_partitions ** 0.5))
     return Word2Vec(inputCol=input_col, outputCol=output_col, vectorSize=vector_size, minCount=min_count,
                     seed=seed, numPartitions=num_partitions, maxIter=max_iter, windowSize=window_size).fit(df)
 
@@ -85,8 +91,7 @@ def synonyms(model, words: DataFrame, word_col: str = "word", k: int = 5) -> Dat
     """Top-k most similar vocabulary words per requested word.
 
     Requested text is split into words; unknown words give no rows. The requested
-    words are the bounded side (their vectors are count-checked and shipped); the
-    model vocabulary is scanned as a DataFrame.
+    words' vectors are shipped in blocks; the model vocabulary is scanned as a DataFrame.
     """
     from quarry.operators.pairs import nearest_neighbors
     vocab = model.getVectors()                             # (word, vector)
@@ -112,7 +117,7 @@ def explain_linear(model, names: Sequence[str], params: dict | None = None) -> D
     """(name, coefficient) per feature slot plus the intercept and chosen params."""
     spark = SparkSession.getActiveSession()
     coef = model.coefficients.toArray().tolist()
-    rows = [("intercept", float(model.intercept))] + [(n, float(c)) for n, c in zip(names, coef)]
+    rows = [("intercept", float(model.intercept))] + [(n, float(c)) for n, c in zip(names, coef, strict=True)]
     rows += [(f"param:{k}", float(v)) for k, v in (params or {}).items()]
     return spark.createDataFrame(rows, "name string, coefficient double")
 
@@ -120,8 +125,11 @@ def explain_linear(model, names: Sequence[str], params: dict | None = None) -> D
 def model_statistics(model, best_metric: float | None = None) -> DataFrame:
     """(stage, param, value) for every set param of every stage, plus the best metric."""
     spark = SparkSession.getActiveSession()
-    stages = getattr(model, "stages", [model])
     rows = []
+    if hasattr(model, "bestModel"):  # a cross-validated model: its best model, and the folds' mean metrics
+        rows += [("cv", f"avg_metric_{i}", str(m)) for i, m in enumerate(model.avgMetrics)]
+        model = model.bestModel
+    stages = getattr(model, "stages", [model])
     for i, st in enumerate(stages):
         for p, v in st.extractParamMap().items():
             if isinstance(v, (int, float, str, bool)):
@@ -161,8 +169,3 @@ def tune(estimator, grid, evaluator, data: DataFrame, fold_col: str = "fold", pa
         return cv.fit(data)
     finally:
         data.unpersist()
-
-
-def fit_pipeline(stages, data: DataFrame):
-    """Fit a ``Pipeline`` of stages."""
-    return Pipeline(stages=list(stages)).fit(data)

@@ -14,11 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def score(df: DataFrame, model) -> DataFrame:
-    """``model.transform`` over a whole table."""
-    return model.transform(df)
-
-
 def probability_map(pred: DataFrame, labels: Sequence[str], prob: str = "probability",
                     out: str = "class_probabilities") -> DataFrame:
     """class -> probability for the known labels only.

@@ -47,6 +47,14 @@ def hash_bucket(expr: str, n: int) -> str:
     return f"((('0x' || substr(md5(CAST({expr} AS VARCHAR)), 1, 8))::BIGINT) % {n})"
 
 
+def seeded_hash(expr: str, seed: int) -> str:
+    return f"(('0x' || substr(md5('{seed}:' || coalesce(CAST({expr} AS VARCHAR), '')), 1, 8))::BIGINT)"
+
+
+def below(expr: str, seed: int, share: float) -> str:
+    return f"({seeded_hash(expr, seed)} < {round(share * (1 << 32))})"
+
+
 # documents -> (doc_id, lang, line_no, line) for kept lines
 DOC_LINES = f"""
 SELECT doc_id, lang, source, unnest(generate_series(1, len(ls))) AS line_no, unnest(ls) AS line
@@ -58,3 +66,8 @@ DOC_WORDS = f"""
 SELECT doc_id, lang, line_no, unnest(generate_series(1, len(ws))) AS word_pos, unnest(ws) AS word
 FROM (SELECT doc_id, lang, line_no, {line_words('line')} AS ws FROM ({DOC_LINES}))
 """
+
+# documents -> (doc_id, lang, word): all words of the whole text
+DOC_BAG = f"""
+SELECT doc_id, lang, unnest({line_words('text')}) AS word FROM documents
+"""

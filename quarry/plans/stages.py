@@ -10,6 +10,7 @@ from pyspark.ml import Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from quarry.functions import text as tf
 from quarry.operators import text as tx
@@ -30,25 +31,29 @@ class VerseSplitter(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     stem = Param(Params._dummy(), "stem", "none, s or porter2", TypeConverters.toString)
     removeStopWords = Param(Params._dummy(), "removeStopWords", "drop English stop words",
                             TypeConverters.toBoolean)
+    multiwordLines = Param(Params._dummy(), "multiwordLines", "only lines with a space, as the text reader keeps",
+                           TypeConverters.toBoolean)
 
     def __init__(self, idCol="doc_id", textCol="text", carryCols=("label",), outputCol="verse",
-                 sentencesInVerse=1, stem="none", removeStopWords=True):
+                 sentencesInVerse=1, stem="none", removeStopWords=True, multiwordLines=True):
         super().__init__()
         self._setDefault(idCol="doc_id", textCol="text", carryCols=["label"], outputCol="verse",
-                         sentencesInVerse=1, stem="none", removeStopWords=True)
+                         sentencesInVerse=1, stem="none", removeStopWords=True, multiwordLines=True)
         self._set(idCol=idCol, textCol=textCol, carryCols=list(carryCols), outputCol=outputCol,
-                  sentencesInVerse=sentencesInVerse, stem=stem, removeStopWords=removeStopWords)
+                  sentencesInVerse=sentencesInVerse, stem=stem, removeStopWords=removeStopWords,
+                  multiwordLines=multiwordLines)
 
     def _transform(self, df: DataFrame) -> DataFrame:
         g = self.getOrDefault
         carry = [c for c in g(self.carryCols) if c in df.columns]
         stop = tf.ENGLISH_STOP_WORDS if g(self.removeStopWords) else None
         return tx.text_verses(df, n=g(self.sentencesInVerse), id=g(self.idCol), text=g(self.textCol),
-                              stop_words=stop, stem=g(self.stem), out=g(self.outputCol), carry=carry)
+                              stop_words=stop, stem=g(self.stem), out=g(self.outputCol), carry=carry,
+                              multiword_lines=g(self.multiwordLines))
 
 
 class DocumentWords(Transformer, DefaultParamsReadable, DefaultParamsWritable):
-    """(text) -> words array: the whole document as one bag (kept lines, cleaned, no stop words)."""
+    """(text) -> words array: the whole document as one bag (all lines, cleaned, no stop words)."""
 
     textCol = Param(Params._dummy(), "textCol", "text column", TypeConverters.toString)
     outputCol = Param(Params._dummy(), "outputCol", "words column", TypeConverters.toString)
@@ -62,3 +67,78 @@ class DocumentWords(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     def _transform(self, df: DataFrame) -> DataFrame:
         g = self.getOrDefault
         return df.withColumn(g(self.outputCol), tx.document_words(g(self.textCol), stem=g(self.stem)))
+
+
+class PlainWords(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """(text) -> words array: tokens of the whole text without stop words; letters of any language stay."""
+
+    textCol = Param(Params._dummy(), "textCol", "text column", TypeConverters.toString)
+    outputCol = Param(Params._dummy(), "outputCol", "words column", TypeConverters.toString)
+
+    def __init__(self, textCol="text", outputCol="words"):
+        super().__init__()
+        self._setDefault(textCol="text", outputCol="words")
+        self._set(textCol=textCol, outputCol=outputCol)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        g = self.getOrDefault
+        return df.withColumn(g(self.outputCol), tf.drop_stop_words(tf.tokens(g(self.textCol))))
+
+
+class TextStep(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """One step of the text chain over a column: ``cleanse``, ``tokens``, ``stop_words``, ``s_stem`` or ``unite``.
+
+    ``cleanse`` and ``tokens`` take text, the others an array of words; ``unite`` joins it
+    with spaces.
+    """
+
+    step = Param(Params._dummy(), "step", "name of the step", TypeConverters.toString)
+    inputCol = Param(Params._dummy(), "inputCol", "input column", TypeConverters.toString)
+    outputCol = Param(Params._dummy(), "outputCol", "output column", TypeConverters.toString)
+
+    def __init__(self, step="cleanse", inputCol="text", outputCol="clean"):
+        super().__init__()
+        self._setDefault(step="cleanse", inputCol="text", outputCol="clean")
+        self._set(step=step, inputCol=inputCol, outputCol=outputCol)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        g = self.getOrDefault
+        c = F.col(g(self.inputCol))
+        made = {"cleanse": lambda: tf.cleanse(c), "tokens": lambda: tf.tokens(c), "stop_words": lambda: tf.drop_stop_words(c),
+                "s_stem": lambda: F.transform(c, tf.s_stem), "unite": lambda: F.array_join(c, " ")}
+        return df.withColumn(g(self.outputCol), made[g(self.step)]())
+
+
+class LineNumberer(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """Consecutive numbers of rows within ``idCol`` in the order of ``orderCol``."""
+
+    idCol = Param(Params._dummy(), "idCol", "document id column", TypeConverters.toString)
+    orderCol = Param(Params._dummy(), "orderCol", "position column", TypeConverters.toString)
+    outputCol = Param(Params._dummy(), "outputCol", "number column", TypeConverters.toString)
+
+    def __init__(self, idCol="id", orderCol="pos", outputCol="line_no"):
+        super().__init__()
+        self._setDefault(idCol="id", orderCol="pos", outputCol="line_no")
+        self._set(idCol=idCol, orderCol=orderCol, outputCol=outputCol)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        g = self.getOrDefault
+        return tx.number_lines(df, g(self.idCol), g(self.orderCol), g(self.outputCol))
+
+
+class WordExploder(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """A row per word, with its position (T4); all other columns are kept."""
+
+    inputCol = Param(Params._dummy(), "inputCol", "array of words", TypeConverters.toString)
+    outputCol = Param(Params._dummy(), "outputCol", "word column", TypeConverters.toString)
+    positionCol = Param(Params._dummy(), "positionCol", "position column", TypeConverters.toString)
+
+    def __init__(self, inputCol="words", outputCol="word", positionCol="word_pos"):
+        super().__init__()
+        self._setDefault(inputCol="words", outputCol="word", positionCol="word_pos")
+        self._set(inputCol=inputCol, outputCol=outputCol, positionCol=positionCol)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        g = self.getOrDefault
+        keep = [c for c in df.columns if c != g(self.inputCol)]
+        return tx.explode_rows(df, keep, F.col(g(self.inputCol)), g(self.outputCol), g(self.positionCol))

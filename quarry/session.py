@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -19,8 +21,10 @@ RECOMMENDED_CONF = {
 def shared_root(spark: SparkSession) -> str:
     """The cluster's shared folder for lineage cuts and written tables.
 
-    Reads ``spark.checkpoint.dir`` from the session. Only when it is unset (local
-    tests) a fresh local folder is created and registered as checkpoint dir.
+    Reads ``spark.checkpoint.dir`` from the session. Only a local session may leave it
+    unset: then a fresh local folder is made and registered, and removed when Python
+    ends. On a cluster an unset folder is an error, as executors would each write to
+    their own disk.
     """
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir", None)
@@ -32,13 +36,21 @@ def shared_root(spark: SparkSession) -> str:
     if not base:
         base = sc.getCheckpointDir()
     if not base:
+        if not is_local(sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="quarry-ckpt-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
         sc.setCheckpointDir(base)
     elif sc.getCheckpointDir() is None:
         sc.setCheckpointDir(base)
     return base.rstrip("/")
 
 
+def is_local(master: str) -> bool:
+    """Whether executors run inside the driver (``local``, ``local[n]``)."""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     """A path below :func:`shared_root`; ``unique`` adds a fresh run folder."""
     segs = [shared_root(spark), "quarry"]
@@ -65,41 +77,3 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "quarr
     spark.sparkContext.setLogLevel("ERROR")
     shared_root(spark)
     return spark
-
-
-def apply_recommended(spark: SparkSession) -> None:
-    """Set recommended SQL settings that the session does not set itself."""
-    for k, v in RECOMMENDED_CONF.items():
-        try:
-            cur = spark.conf.get(k, None)
-        except Exception:  # noqa: BLE001
-            cur = None
-        if cur is None:
-            spark.conf.set(k, v)
-
-
-def spread(df, bytes_per_partition: int = 1 << 20):
-    """Round-robin a scan that has fewer splits than the cluster has cores.
-
-    A no-op on a cluster reading many files (the scan already has at least as many
-    splits as cores). A small single-file table (one row group, one split) gets one
-    partition per ``bytes_per_partition`` of input, capped at the core count, so
-    CPU-heavy text work uses every core while a tiny table stays in one partition.
-    Filters and column pruning still reach the scan below the exchange.
-    """
-    try:
-        spark = df.sparkSession
-        sc = spark.sparkContext
-        want = sc.defaultParallelism
-        have = df.rdd.getNumPartitions()
-        if have >= want:
-            return df
-        conf = sc._jsc.hadoopConfiguration()
-        size = 0
-        for f in df.inputFiles():
-            p = sc._jvm.org.apache.hadoop.fs.Path(f)
-            size += p.getFileSystem(conf).getFileStatus(p).getLen()
-    except Exception:  # noqa: BLE001 - no RDD/JVM access (e.g. a remote session): leave the plan as is
-        return df
-    n = int(min(want, max(1, size // bytes_per_partition)))
-    return df.repartition(n) if n > have else df

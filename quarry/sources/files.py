@@ -100,60 +100,3 @@ def parse_labeled_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(
         parts[0].cast("double").alias("label"),
         F.transform(F.slice(parts, 2, 1 << 30), lambda x: x.cast("double")).alias("values"))
-
-
-# --- IDX record files (image / label records) -------------------------------------------
-
-IDX_IMAGES_MAGIC = 2051
-IDX_LABELS_MAGIC = 2049
-
-
-def _idx_rows(kind: str):
-    """mapInPandas body: one IDX file (binary content) -> its records, in batches."""
-    import numpy as np
-    import pandas as pd
-
-    def parse(batches):
-        for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"]):
-                buf = memoryview(content)
-                magic, count = (int.from_bytes(buf[i:i + 4], "big") for i in (0, 4))
-                if kind == "images":
-                    if magic != IDX_IMAGES_MAGIC:
-                        raise ValueError(f"{path}: not an image record file")
-                    rows, cols = (int.from_bytes(buf[i:i + 4], "big") for i in (8, 12))
-                    px = np.frombuffer(buf, dtype=np.uint8, offset=16, count=count * rows * cols)
-                    px = px.reshape(count, rows * cols).astype(np.float64)
-                    for start in range(0, count, 4096):
-                        stop = min(count, start + 4096)
-                        yield pd.DataFrame({"path": path, "idx": np.arange(start, stop, dtype=np.int64),
-                                            "pixels": list(px[start:stop])})
-                else:
-                    if magic != IDX_LABELS_MAGIC:
-                        raise ValueError(f"{path}: not a label record file")
-                    lab = np.frombuffer(buf, dtype=np.uint8, offset=8, count=count).astype(np.float64)
-                    yield pd.DataFrame({"path": path, "idx": np.arange(count, dtype=np.int64), "label": lab})
-    return parse
-
-
-def read_idx(spark: SparkSession, images: str, labels: str) -> DataFrame:
-    """IDX image records + label records -> (idx, label double, features vector).
-
-    Each file is read as one binary row (``binaryFile``) and decoded inside a task with
-    numpy (``mapInPandas``), never on the driver; image and label rows are matched on
-    their record index.
-    """
-    from pyspark.ml.functions import array_to_vector
-    img = (spark.read.format("binaryFile").load(images).select("path", "content")
-           .mapInPandas(_idx_rows("images"), "path string, idx long, pixels array<double>"))
-    lab = (spark.read.format("binaryFile").load(labels).select("path", "content")
-           .mapInPandas(_idx_rows("labels"), "path string, idx long, label double"))
-    return img.drop("path").join(lab.drop("path"), "idx").select(
-        "idx", "label", array_to_vector("pixels").alias("features"))
-
-
-def idx_to_parquet(spark: SparkSession, images: str, labels: str, out: str) -> str:
-    """IDX image + label records -> (label double, features vector) Parquet (S5), all records,
-    decoded and written by the executors."""
-    read_idx(spark, images, labels).select("label", "features").write.mode("overwrite").parquet(out)
-    return out

@@ -6,8 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 
-_CACHE: dict[str, object] = {}
-
 
 def save_model(model, path: str) -> str:
     """Overwrite-save any ML writable (pipeline, CV model, single model)."""
@@ -35,17 +33,12 @@ def load_model(path: str, kind="pipeline"):
 
 
 def load_or_train(spark: SparkSession, path: str, train_fn: Callable[[], object], kind="pipeline"):
-    """Load the model at ``path`` (memoised per process); train, save and return it when missing."""
-    if path in _CACHE:
-        return _CACHE[path]
-    model = None
+    """Load the model at ``path``; train, save and return it only where there is none.
+
+    A model that is there but can't be read is an error, not a reason to overwrite it.
+    """
     if path_exists(spark, path):
-        try:
-            model = load_model(path, kind)
-        except Exception:  # noqa: BLE001 - unreadable folder: train anew
-            model = None
-    if model is None:
-        model = train_fn()
-        save_model(model, path)
-    _CACHE[path] = model
+        return load_model(path, kind)
+    model = train_fn()
+    save_model(model, path)
     return model

@@ -4,20 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.session import spread
 
-# Tables whose rows carry whole texts: CPU-heavy per row, worth spreading when a scan
-# has fewer splits than cores. Numeric tables are cheap per row and are read as they are.
-TEXT_TABLES = frozenset({"documents", "conversations", "pages", "benchmark"})
-
-
-def read_table(spark: SparkSession, root: str, name: str, spread_small: bool | None = None) -> DataFrame:
+def read_table(spark: SparkSession, root: str, name: str, partitions: int | None = None) -> DataFrame:
     """Read ``<root>/<name>.parquet``; filters and projections push into the scan.
 
-    ``spread_small`` (default: text tables only) spreads a scan with fewer splits than
-    cores (see ``quarry.session.spread``); a no-op when the scan is already wide.
+    The scan's own splits are kept. A caller who knows that a table has fewer splits than
+    the work needs may ask for ``partitions`` (or set ``spark.quarry.partitions`` for the
+    session); the rows are then dealt round by round.
     """
     df = spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
-    if spread_small is None:
-        spread_small = name in TEXT_TABLES
-    return spread(df) if spread_small else df
+    n = partitions if partitions is not None else int(spark.conf.get("spark.quarry.partitions", "0"))
+    return df.repartition(n) if n else df

@@ -110,12 +110,12 @@ def test_global_index_equals_window(spark):
     assert got == want
 
 
-def test_vocabulary_large_path_equals_merge_path(spark):
+def test_vocabulary_is_the_head_of_the_whole_numbering(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     from quarry.operators import text as tx
     terms = tm.document_terms(docs.select("doc_id", tx.document_words("text").alias("words")), "doc_id", "words")
     a = sorted(map(tuple, tm.vocabulary(terms, vocab_size=300).collect()))
-    b = sorted(map(tuple, tm.vocabulary(terms, vocab_size=300, merge_limit=10).collect()))
+    b = sorted(map(tuple, tm.vocabulary(terms).filter("term_index < 300").collect()))
     assert a == b and len(a) == 300
 
 
@@ -138,12 +138,33 @@ def test_labeled_records_with_name_rule(spark, tmp_path):
     assert back == [(0.0, [0.0, 3.0]), (1.0, [1.0, 2.5])]
 
 
-def test_spread_is_a_noop_on_wide_scans(spark, tmp_path):
-    from quarry.session import spread
-    p = str(tmp_path / "wide")
-    spark.range(1000).repartition(8).write.parquet(p)
-    wide = spark.read.parquet(p)
-    assert wide.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
-    assert spread(wide) is wide
-    tiny = spark.read.parquet("/root/testdata/sf0.001/region.parquet")
-    assert spread(tiny) is tiny          # a few KB: one partition is enough
+def test_partitions_are_the_callers_choice(spark):
+    from quarry.sources.tables import read_table
+    assert read_table(spark, "/root/testdata/sf0.001", "region").rdd.getNumPartitions() == 1
+    assert read_table(spark, "/root/testdata/sf0.001", "region", partitions=3).rdd.getNumPartitions() == 3
+
+
+def test_small_weights_seeds_and_independent_folds(spark):
+    df = spark.range(100_000).withColumnRenamed("id", "k")
+    n = sp.hash_split(df, "k", (0.004, 0.996), ("a", "b")).filter("split = 'a'").count()
+    assert 300 < n < 500
+    assert 1 <= sp.hash_sample(df, "k", 0.0001).count() < 40
+    assert sp.hash_sample(df, "k", 0.1, seed=1).exceptAll(sp.hash_sample(df, "k", 0.1, seed=2)).count() > 5000
+    train = sp.hash_split(df, "k").filter("split = 'train'")
+    folds = [r["count"] for r in sp.assign_folds(train, "k", 50).groupBy("fold").count().collect()]
+    assert len(folds) == 50 and max(folds) < 1.3 * min(folds)
+
+
+def test_widths_must_agree(spark):
+    import pytest
+    from quarry.operators.encoders import vector_width
+    assert vector_width(spark.createDataFrame([([1.0, 2.0],), (None,), ([3.0, 4.0],)], "a array<double>"), "a") == 2
+    with pytest.raises(ValueError, match="lengths"):
+        vector_width(spark.createDataFrame([([1.0],), ([3.0, 4.0],)], "a array<double>"), "a")
+
+
+def test_index_to_string_keeps_rows_and_names_unknown_indices(spark):
+    from quarry.operators.encoders import index_to_string
+    df = spark.createDataFrame([(1, 0.0), (2, 1.0), (3, 7.0), (4, None)], "k int, i double")
+    got = {r["k"]: r["i_label"] for r in index_to_string(df, "i", ["a", "b"]).collect()}
+    assert got == {1: "a", 2: "b", 3: "Unknown", 4: "Unknown"}

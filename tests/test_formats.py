@@ -63,28 +63,6 @@ def test_text_csv_job(spark, tmp_path):
     assert out["accuracy"] > 0.8
 
 
-def test_idx_records_roundtrip(spark, tmp_path):
-    import numpy as np
-    from pyspark.ml.functions import vector_to_array
-    from quarry.sources.files import read_idx
-    rng = np.random.default_rng(0)
-    imgs = rng.integers(0, 256, size=(7, 3, 2), dtype=np.uint8)
-    labs = rng.integers(0, 10, size=7, dtype=np.uint8)
-    (tmp_path / "img").mkdir()
-    (tmp_path / "lab").mkdir()
-    head = lambda *xs: b"".join(int(x).to_bytes(4, "big") for x in xs)
-    (tmp_path / "img" / "images.idx").write_bytes(head(2051, 7, 3, 2) + imgs.tobytes())
-    (tmp_path / "lab" / "labels.idx").write_bytes(head(2049, 7) + labs.tobytes())
-    got = read_idx(spark, str(tmp_path / "img"), str(tmp_path / "lab")).select(
-        "idx", "label", vector_to_array("features").alias("a")).orderBy("idx").collect()
-    assert [r["label"] for r in got] == [float(x) for x in labs]
-    assert all(r["a"] == [float(v) for v in imgs[r["idx"]].reshape(-1)] for r in got)
-    from quarry.sources.files import idx_to_parquet
-    out = idx_to_parquet(spark, str(tmp_path / "img"), str(tmp_path / "lab"), str(tmp_path / "pq"))
-    back = spark.read.parquet(out)
-    assert back.columns == ["label", "features"] and back.count() == 7
-
-
 def test_text_dirs_verse_job(spark, tmp_path):
     rng = random.Random(4)
     words = {"rock": ["guitar", "loud", "stage", "drum"], "pop": ["dance", "love", "radio", "star"]}
@@ -94,6 +72,14 @@ def test_text_dirs_verse_job(spark, tmp_path):
         for i in range(12):
             lines = [" ".join(rng.choice(ws) for _ in range(5)) for _ in range(8)]
             (d / f"{i}.txt").write_text("\n".join(lines))
+    dirs, path = {g: str(tmp_path / g / "*") for g in words}, str(tmp_path / "model")
     out = {r["metric"]: r["value"] for r in jb.text_dirs_verse_job(
-        spark, {g: str(tmp_path / g / "*") for g in words}, folds=2).collect()}
-    assert out["best_auc"] > 0.9
+        spark, dirs, folds=2, grid={"sentencesInVerse": [2, 4]}, model_path=path).collect()}
+    assert out["best_auc"] > 0.9 and len(out) == 3
+    # the saved model answers requests: one row and one class map per text
+    req = spark.createDataFrame([(1, "guitar loud drum\nstage loud"), (2, "dance love radio")], "doc_id int, text string")
+    got = {r["doc_id"]: r for r in jb.verse_predictions_job(spark, req, path).collect()}
+    assert {k: r["predicted_label"] for k, r in got.items()} == {1: "rock", 2: "pop"}
+    assert set(got[1]["class_probabilities"]) == {"rock", "pop"}
+    again = {r["doc_id"]: r for r in jb.verse_predictions_job(spark, req, path).collect()}
+    assert again == got

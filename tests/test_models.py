@@ -37,7 +37,7 @@ def test_auc_ties_average_ranks_and_evaluator(spark):
     neg = [s for s, y in rows if y == 0]
     want = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
     for b in (1, 2, 5):
-        assert abs(mt.auc_roc(df, "s", "y", b).first()["auc"] - want) < 1e-12
+        assert abs(mt.auc_roc(df.repartition(b), "s", "y").first()["auc"] - want) < 1e-12
     ev = BinaryClassificationEvaluator(rawPredictionCol="s", labelCol="y")
     assert abs(ev.evaluate(df) - want) < 1e-9
 
@@ -186,7 +186,6 @@ def test_load_or_train_trains_once(spark, tmp_path):
 
     p = str(tmp_path / "m")
     a = ms.load_or_train(spark, p, train, kind=LogisticRegressionModel)
-    ms._CACHE.clear()
     b = ms.load_or_train(spark, p, train, kind=LogisticRegressionModel)
     assert len(calls) == 1 and isinstance(b, LogisticRegressionModel)
     assert a.coefficients == b.coefficients
@@ -223,3 +222,86 @@ def test_ranked_probabilities_shares(spark):
     assert [x["rank"] for x in r] == [1, 2, 3]
     assert abs(sum(x["share"] for x in r) - 100.0) < 1e-9
     assert sum(x["is_predicted"] for x in r) == 1 and r[0]["is_predicted"]
+
+
+def test_auc_leaves_out_rows_without_a_label(spark):
+    df = spark.createDataFrame([(0.9, 1.0), (0.1, 0.0), (0.5, None), (None, 0.0)], "s double, y double")
+    r = mt.auc_roc(df, "s", "y").first()
+    assert (r["auc"], r["n_pos"], r["n_neg"]) == (1.0, 1, 1)
+
+
+def test_nb_ignores_documents_without_a_label(spark):
+    docs = spark.createDataFrame([(1, "a", ["x"]), (2, "b", ["y"]), (3, None, ["z", "z"])], "doc_id int, label string, words array<string>")
+    model = nb.nb_model(docs, "label", "words")
+    assert model.classes == ["a", "b"] and model.vocab_size == 2
+
+
+def test_nb_plan_does_not_grow_with_the_classes(spark):
+    docs = spark.createDataFrame([(i, f"c{i:03d}", [f"w{i}", "shared"]) for i in range(300)],
+                                 "doc_id int, label string, words array<string>")
+    model = nb.nb_model(docs, "label", "words")
+    got = nb.nb_score(model, docs, carry=("label",)).select("label", "prediction").collect()
+    assert len(got) == 300 and all(r["label"] == r["prediction"] for r in got)
+
+
+def test_least_squares_uses_whole_rows_only(spark):
+    df = spark.createDataFrame([(0.0, 1.0), (1.0, 2.0), (2.0, 3.0), (50.0, None), (None, -9.0)], "x double, y double")
+    b, a = mt.least_squares(df, "x", "y")
+    assert abs(b - 1.0) < 1e-12 and abs(a - 1.0) < 1e-12
+
+
+def test_number_lines_keeps_null_rows_and_explode_drops_null_elements(spark):
+    from quarry.operators import text as tx
+    df = spark.createDataFrame([("a", 1), ("a", 2), (None, 1), ("b", None)], "k string, o int")
+    got = sorted((r["k"] or "", r["o"] or 0, r["line_no"]) for r in tx.number_lines(df, "k", "o").collect())
+    assert got == [("", 1, 1), ("a", 1, 1), ("a", 2, 2), ("b", 0, 1)]
+    arr = spark.createDataFrame([(1, ["x", None, "y"])], "k int, a array<string>")
+    assert [r["e"] for r in tx.explode_rows(arr, ["k"], F.col("a"), "e").collect()] == ["x", "y"]
+    assert [(r["e"], r["p"]) for r in tx.explode_rows(arr, ["k"], F.col("a"), "e", "p").collect()] == [("x", 1), ("y", 3)]
+
+
+def test_an_unreadable_model_is_not_overwritten(spark, tmp_path):
+    import pytest
+    from quarry.sources import models as ms
+    (tmp_path / "m").mkdir()
+    (tmp_path / "m" / "junk").write_text("x")
+    with pytest.raises(Exception):
+        ms.load_or_train(spark, str(tmp_path / "m"), lambda: pytest.fail("trained anew"))
+    assert (tmp_path / "m" / "junk").read_text() == "x"
+
+
+def test_statistics_open_a_cross_validated_model(spark):
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.regression import LinearRegression
+    from pyspark.ml.tuning import ParamGridBuilder
+    d = spark.createDataFrame([(float(i), 2.0 * i, i % 2) for i in range(20)], "x double, label double, fold int").select(
+        array_to_vector(F.array("x")).alias("features"), "label", "fold")
+    lr = LinearRegression()
+    cv = md.tune(lr, ParamGridBuilder().addGrid(lr.regParam, [0.0, 0.5]).build(), RegressionEvaluator(), d)
+    rows = md.model_statistics(cv).collect()
+    assert {"avg_metric_0", "avg_metric_1", "regParam"} <= {r["param"] for r in rows}
+
+
+def test_shared_folder_is_needed_beyond_local_sessions():
+    import pytest
+    from quarry import session as ss
+
+    class Conf:
+        def get(self, *a):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return Conf()
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ss.shared_root(Session())
+    assert ss.is_local("local[4]") and not ss.is_local("local-cluster[2,1,512]")
