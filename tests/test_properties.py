@@ -38,6 +38,6 @@ def test_array_lane_equals_row_lane_on_random_texts(spark, docs, n):
     r = tx.build_verses(d, n=n, words="filtered", label="label")
     key = ["doc_id", "verse_id", "label", "verse"]
     assert sorted(map(tuple, a.select(*key).collect())) == sorted(map(tuple, r.select(*key).collect()))
-    words = df.select("doc_id", tx.document_words("text").alias("w"))
+    words = df.select("doc_id", tx.document_words("text", multiword_lines=True).alias("w"))
     flat = df.select("doc_id", F.flatten(tx.line_word_arrays("text")).alias("w"))
     assert sorted(map(tuple, words.collect())) == sorted(map(tuple, flat.collect()))
