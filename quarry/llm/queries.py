@@ -12,6 +12,7 @@ from quarry.llm import (
     crf_quality,
     gru_lm,
     kn_toxicity,
+    oracles,
     prefix_tokens,
     tput_topk,
     vector_shards,
@@ -76,4 +77,5 @@ def op10_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_crf_quality, op2_sainte_lague_mix, op3_vector_shards, op4_combo_jaccard, op5_prefix_tokens, op6_gru_lm, op7_kn_toxicity, op8_warc_chunks,
     op9_tput_topk, op10_word_bpe)}
-ORACLES: dict[str, str] = {}
+ORACLES = {"op2_sainte_lague_mix": oracles.MIX, "op4_combo_jaccard": oracles.JACCARD, "op8_warc_chunks": oracles.WARC,
+           "op9_tput_topk": oracles.TOP}
