@@ -9,9 +9,12 @@ def read_table(spark: SparkSession, root: str, name: str, partitions: int | None
     """Read ``<root>/<name>.parquet``; filters and projections push into the scan.
 
     The scan's own splits are kept. A caller who knows that a table has fewer splits than
-    the work needs may ask for ``partitions`` (or set ``spark.quarry.partitions`` for the
-    session); the rows are then dealt round by round.
+    the work needs may ask for ``partitions`` (or name tables for the session in
+    ``spark.quarry.partitions``, as in ``documents=8,pages=8``); the rows are then dealt
+    round by round.
     """
     df = spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
-    n = partitions if partitions is not None else int(spark.conf.get("spark.quarry.partitions", "0"))
-    return df.repartition(n) if n else df
+    if partitions is None:
+        asked = dict(x.split("=") for x in spark.conf.get("spark.quarry.partitions", "").split(",") if x)
+        partitions = int(asked.get(name, 0))
+    return df.repartition(partitions) if partitions else df
