@@ -218,15 +218,8 @@ def verse_predictions_job(spark: SparkSession, requests: DataFrame, model_path:
 
 # --- JB8, JB9: multi-class text ------------------------------------------------------
 
-def multiclass_text_job(docs: DataFrame, kind: str = "nb", id: str = "doc_id", text: str = "text",
-                        label: str = "lang", folds: int = 3, parallelism: int = 4,
-                        model_path: str | None = None) -> DataFrame:
-    """The whole text's tokens without stop words: no line filter, no ASCII cleanse. 80/20 document split, label index (F6), words, TF-IDF, NB or LR tuned by CV; test metrics.
-
-    The words do not depend on any grid parameter, so they are computed once before
-    the search (and cached by ``tune``) instead of once per grid point and fold; the
-    saved model gets the word stage back in front of the tuned stages.
-    """
+def _multiclass_train(docs: DataFrame, kind: str, id: str, text: str, label: str, folds: int, parallelism: int):
+    """(fitted pipeline with the word stage in front, CV model, evaluator, test rows)."""
     from pyspark.ml import PipelineModel
     from pyspark.ml.classification import LogisticRegression, NaiveBayes
     words = PlainWords(textCol=text, outputCol="words")
@@ -245,15 +238,48 @@ def multiclass_text_job(docs: DataFrame, kind: str = "nb", id: str = "doc_id", t
     pipe = Pipeline(stages=[idx, tfs, IDF(inputCol="tf", outputCol="features"), clf])
     ev = MulticlassClassificationEvaluator(labelCol="label_index", metricName="accuracy")
     cvm = md.tune(pipe, grid, ev, train, "fold", parallelism)
-    full = PipelineModel(stages=[words, *cvm.bestModel.stages])
+    return PipelineModel(stages=[words, *cvm.bestModel.stages]), cvm, ev, test
+
+
+def multiclass_text_job(docs: DataFrame, kind: str = "nb", id: str = "doc_id", text: str = "text",
+                        label: str = "lang", folds: int = 3, parallelism: int = 4,
+                        model_path: str | None = None) -> DataFrame:
+    """80/20 document split, label index (F6), tokens of the whole text without stop words (no line
+    filter, no ASCII cleanse), TF-IDF, NB or LR tuned by CV; test metrics (E3).
+
+    The words do not depend on any grid parameter, so they are computed once before
+    the search (and cached by ``tune``) instead of once per grid point and fold; the
+    saved model gets the word stage back in front of the tuned stages.
+    """
+    full, cvm, ev, test = _multiclass_train(docs, kind, id, text, label, folds, parallelism)
     if model_path:
         ms.save_model(full, model_path)
-    pred = full.transform(test)
-    m = mt.multiclass_metrics(pred, "label_index", "prediction").first()
+    m = mt.multiclass_metrics(full.transform(test), "label_index", "prediction").first()
     _, best = md.best_of_grid(cvm, ev)
     return _metric_rows(list(m.asDict().items()) + [("cv_accuracy", best)])
 
 
+def multiclass_text_reports(docs: DataFrame, kind: str = "nb", id: str = "doc_id", text: str = "text", label: str = "lang",
+                            folds: int = 3, parallelism: int = 4) -> dict[str, DataFrame]:
+    """The job's other outputs: overview (A1), rows per class (A2), confusion (A3) and first predictions (O2)."""
+    full, _, _, test = _multiclass_train(docs, kind, id, text, label, folds, parallelism)
+    names = full.stages[1].labels
+    pred = en.index_to_string(full.transform(test).select(id, label, "prediction"), "prediction", names, "predicted")
+    return {"overview": mt.dataset_overview(docs, text), "classes": mt.class_distribution(docs, label),
+            "confusion": mt.confusion_counts(pred, label, "predicted"),
+            "sample": mt.sample_predictions(pred.select(id, label, "predicted"), 20, (id,))}
+
+
+def multiclass_text_predictions(spark: SparkSession, docs: DataFrame, requests: DataFrame, model_path: str, kind: str = "lr",
+                                id: str = "doc_id", text: str = "text", label: str = "lang", folds: int = 3) -> DataFrame:
+    """Load the text classifier (or train and save it where there is none) and answer requests: class and class map."""
+    from quarry.plans.scoring import probability_map
+    model = ms.load_or_train(spark, model_path, lambda: _multiclass_train(docs, kind, id, text, label, folds, 4)[0])
+    names = model.stages[1].labels
+    pred = probability_map(model.transform(requests.select(id, text)), names)
+    return en.index_to_string(pred, "prediction", names, "predicted").select(id, "predicted", "class_probabilities")
+
+
 # --- JB10: embeddings, synonyms, similarity ---------------------------------------------
 
 def verse_embeddings(docs: DataFrame, sentences_in_verse: int = 4, vector_size: int = 50, seed: int = 1,

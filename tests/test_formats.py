@@ -83,3 +83,21 @@ def test_text_dirs_verse_job(spark, tmp_path):
     assert set(got[1]["class_probabilities"]) == {"rock", "pop"}
     again = {r["doc_id"]: r for r in jb.verse_predictions_job(spark, req, path).collect()}
     assert again == got
+
+
+def test_multiclass_reports_and_predictions(spark, tmp_path):
+    rng = random.Random(6)
+    words = {"rock": ["guitar", "loud", "stage", "drum"], "pop": ["dance", "love", "radio", "star"], "folk": ["hills", "river", "añil", "été"]}
+    rows = [(i, " ".join(rng.choice(ws) for _ in range(12)), g) for i, (g, ws) in enumerate(list(words.items()) * 20)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    out = jb.multiclass_text_reports(docs, "nb", folds=2)
+    assert out["overview"].first()["n_rows"] == 60
+    assert {r["lang"]: r["n"] for r in out["classes"].collect()} == {"rock": 20, "pop": 20, "folk": 20}
+    conf = out["confusion"].collect()
+    right = sum(r["n"] for r in conf if r["lang"] == r["predicted"])
+    assert right > 0.8 * sum(r["n"] for r in conf) and out["sample"].count() <= 20
+    req = spark.createDataFrame([(1, "river hills été"), (2, "drum guitar loud")], "doc_id int, text string")
+    for _ in range(2):  # trained once, then loaded
+        got = {r["doc_id"]: r for r in jb.multiclass_text_predictions(spark, docs, req, str(tmp_path / "m"), folds=2).collect()}
+        assert {k: r["predicted"] for k, r in got.items()} == {1: "folk", 2: "rock"}
+        assert set(got[1]["class_probabilities"]) == set(words)
