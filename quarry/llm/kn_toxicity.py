@@ -186,19 +186,25 @@ class Judge:
         self.model, self.curve = model, curve
 
     def scores(self, texts: list[bytes | None], cache: _Hashes) -> np.ndarray:
-        """Scores of whole texts; about ``GROUP`` words are worked on at a time."""
+        """Scores of whole texts."""
         if self.model is None:
             return np.zeros(len(texts))
-        parts, group, words = [np.zeros((0, 3))], [], 0
-        for t in texts:
-            group.append(word_hashes(t or b"", cache))
-            words += len(group[-1])
-            if words >= GROUP:
-                parts.append(text_evidence(self.model, group))
-                group, words = [], 0
-        if group:
-            parts.append(text_evidence(self.model, group))
-        return 1 / (1 + np.exp(-np.clip(np.concatenate(parts) @ self.curve[:-1] + self.curve[-1], -30, 30)))
+        x = whole_evidence(self.model, texts, cache)
+        return 1 / (1 + np.exp(-np.clip(x @ self.curve[:-1] + self.curve[-1], -30, 30)))
+
+
+def whole_evidence(model: KneserNey, texts: list[bytes | None], cache: _Hashes) -> np.ndarray:
+    """``text_evidence`` of whole texts, about ``GROUP`` words at a time."""
+    parts, group, words = [np.zeros((0, 3))], [], 0
+    for t in texts:
+        group.append(word_hashes(t or b"", cache))
+        words += len(group[-1])
+        if words >= GROUP:
+            parts.append(text_evidence(model, group))
+            group, words = [], 0
+    if group:
+        parts.append(text_evidence(model, group))
+    return np.concatenate(parts)
 
 
 def sample_counts(picked: DataFrame) -> DataFrame:
@@ -246,8 +252,8 @@ def fit_judge(docs: DataFrame, labels: DataFrame, use: Column | None = None, sam
     halves = docs.sparkSession.sparkContext.broadcast([model_of(table, table["fold"] != k).arrays() for k in (0, 1)])
 
     def crossed(batch: pa.RecordBatch, cache: _Hashes):
-        folds, found = batch.column(0).to_pylist(), [word_hashes(t or b"", cache) for t in as_bytes(batch, 2)]
-        both = [text_evidence(KneserNey.from_arrays(m), found) for m in halves.value]
+        folds, texts = batch.column(0).to_pylist(), as_bytes(batch, 2)
+        both = [whole_evidence(KneserNey.from_arrays(m), texts, cache) for m in halves.value]
         return [batch.column(3), batch.column(1), [both[f][i].tolist() for i, f in enumerate(folds)]]
 
     fitted = map_rows(picked, crossed, "key string, y int, x array<double>", _Hashes).orderBy("key", "y", "x").collect()
