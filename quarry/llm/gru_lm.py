@@ -12,7 +12,7 @@ with unseen ones, which together count as one word with Good-Turing's share. A s
 gated recurrent unit carries the state.
 
 Training is truncated backpropagation through time in numpy: windows of ``STEPS`` words,
-the state carried from window to window of a document. A fixed share of all training
+the state carried from window to window of a piece of a document. A fixed share of all training
 documents is used, so the work grows with the table; each chunk trains from the round's
 weights, and weights are averaged in two levels by the number of tokens. Scoring carries
 the state across windows too, from the first word to the end of the whole document.
@@ -46,6 +46,7 @@ BINS, ENDINGS = 6, 12  # classes of other words: count bins x endings
 OTHERS = BINS * ENDINGS
 HIDDEN = 24
 STEPS = 16
+PIECE = 512          # training cuts documents into pieces of so many words, each a lane of its own
 LN10 = math.log(10.0)
 
 
@@ -248,8 +249,13 @@ def _window(docs: list[np.ndarray], lengths: np.ndarray, t0: int, size: int) ->
     return x, y
 
 
-def train(w: dict[str, np.ndarray], codes: list[np.ndarray], lanes: int = 64, rate: float = 0.01) -> tuple[dict[str, np.ndarray], int]:
-    """Truncated backpropagation over documents, one pass with Adam; new weights and the tokens seen."""
+def train(w: dict[str, np.ndarray], codes: list[np.ndarray], lanes: int = 128, rate: float = 0.01) -> tuple[dict[str, np.ndarray], int]:
+    """Truncated backpropagation over documents, one pass with Adam; new weights and the tokens seen.
+
+    Long documents are cut into pieces, so that every window is full; within a piece the
+    state is carried from window to window. All words are used.
+    """
+    codes = [c[k:k + PIECE] for c in codes for k in range(0, len(c), PIECE)]
     w = {k: v.copy() for k, v in w.items()}
     m, s = {k: np.zeros_like(v) for k, v in w.items()}, {k: np.zeros_like(v) for k, v in w.items()}
     seen = turn = 0
@@ -272,6 +278,7 @@ def train(w: dict[str, np.ndarray], codes: list[np.ndarray], lanes: int = 64, ra
             dflat[real] = log_probs(w, flat[real], target[real], g)[1]
             dh = np.zeros_like(h)
             n_live = len(x)
+            into = np.empty((size * n_live, 3 * HIDDEN), dtype=h.dtype)
             for t in range(size - 1, -1, -1):
                 dh = dh + dflat[t * n_live:(t + 1) * n_live]
                 r, z, n, un = trace[t]
@@ -280,9 +287,14 @@ def train(w: dict[str, np.ndarray], codes: list[np.ndarray], lanes: int = 64, ra
                 dz = dh * (before - n) * z * (1.0 - z)
                 dr = dn * un * r * (1.0 - r)
                 du = np.hstack([dr, dz, dn * r])
-                np.add.at(g["input"], x[:, t], np.hstack([dr, dz, dn]))
+                into[t * n_live:(t + 1) * n_live] = np.hstack([dr, dz, dn])
                 g["gates"] += before.T @ du
                 dh = dh * z + du @ w["gates"].T
+            # rows of one input word are summed in one sweep over the sorted words
+            fed = x[:, :size].T.ravel()
+            order = np.argsort(fed, kind="stable")
+            words, first = np.unique(fed[order], return_index=True)
+            g["input"][words] = np.add.reduceat(into[order], first, axis=0)
             turn += 1
             seen += len(real)
             fade1, fade2 = 1 - 0.9 ** turn, 1 - 0.99 ** turn
@@ -316,12 +328,15 @@ def document_scores(w: dict[str, np.ndarray], codes: list[np.ndarray], lanes: in
 class ChunkCodes:
     """Codes, counts and shares of the words of one chunk."""
 
-    def __init__(self, vocabulary: Vocabulary, blocks: pd.DataFrame):
+    def __init__(self, vocabulary: Vocabulary, blocks: pd.DataFrame, needed: set[bytes] | None = None):
+        """``needed``: only these words, and the end, get codes."""
         top = {w: i for i, (w, _) in enumerate(vocabulary.top)}
         self.number: dict[bytes, int] = {}
         code, count, share = [], [], []
         for words, counts in zip(blocks["words"], blocks["counts"], strict=True):
             for w, c in zip(_inflate(words).split(b" "), np.frombuffer(_inflate(counts), dtype="<u8").tolist(), strict=True):
+                if needed is not None and w not in needed:
+                    continue
                 self.number[w] = len(code)
                 at = top.get(w)
                 count.append(c)
@@ -394,9 +409,10 @@ def _learner(words, start, shapes: dict[str, tuple], rate: float):
     def learn(packed: pd.DataFrame, blocks: pd.DataFrame) -> pd.DataFrame:
         if not len(packed):
             return pd.DataFrame({"lane": [], "weights": [], "tokens": []})
-        codes = ChunkCodes(Vocabulary.from_arrays(words.value), blocks)
+        texts = [t for _, _, t in _texts(packed)]
+        codes = ChunkCodes(Vocabulary.from_arrays(words.value), blocks, {END}.union(*(t.split() for t in texts)))
         w = _weights_of(start.value, {n: np.empty(s, dtype=np.float32) for n, s in shapes.items()})
-        w, seen = train(w, [codes.code[codes.of(t)] for _, _, t in _texts(packed)], rate=rate)
+        w, seen = train(w, [codes.code[codes.of(t)] for t in texts], rate=rate)
         return pd.DataFrame({"lane": [int(packed["chunk"].iloc[0] >> 24) % 16], "weights": [_weights_row(w)], "tokens": [seen]})
     return learn
 
