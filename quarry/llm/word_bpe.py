@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 import sys
 import types
 import unicodedata
@@ -31,7 +32,6 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -40,6 +40,10 @@ from pyspark.sql import functions as F
 from quarry.llm.common import as_bytes
 
 
+# Fixed value: the word pattern of the tokenizer file.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
 def byte_letters() -> list[str]:
     """The printable letter of each byte: itself where printable, else the next from 256 on."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -65,23 +69,26 @@ class WordTokenizer:
             raise ValueError(f"{path}: another kind of tokenizer")
         self.tok = Tokenizer.from_file(path)
         self.model = self.tok.model
-        self.words_of = regex.compile(split["pattern"]["Regex"]).findall
+        if split["pattern"]["Regex"] != PATTERN:
+            raise ValueError(f"{path}: another pattern")
+        # the same words by the standard library's classes; letters it sees otherwise are found by _agrees
+        self.words_of = re.compile(r"[^\W\d_]+|'(?:s|t|re|ve|m|ll|d)|\d|(?:[^\s\w]|_)+").findall
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.special_re = regex.compile("|".join(regex.escape(t) for t in self.special)) if self.special else None
+        self.special_re = re.compile("|".join(re.escape(t) for t in self.special)) if self.special else None
         self.letters = byte_letters()
         self.split = pre_tokenizers.Split(Regex(split["pattern"]["Regex"]), "removed", invert=True)
         # letters that this library's Unicode tables may see otherwise go the tokenizer's own way
         self.agreed: dict[str, bool] = {}
         odd = "".join(c for c in map(chr, range(128)) if not self._agrees(c))
-        self.odd_ascii = regex.compile(f"[{regex.escape(odd)}]").search if odd else lambda t: None
+        self.odd_ascii = re.compile(f"[{re.escape(odd)}]").search if odd else lambda t: None
 
     def _agrees(self, c: str) -> bool:
         ok = self.agreed.get(c)
         if ok is None:
             probe = f"a{c}a 1{c}1 -{c}- {c}{c}"
             normal = unicodedata.normalize("NFC", probe).replace("Σ", "σ").lower()
-            theirs = regex.sub(r"\s+", " ", self.tok.normalizer.normalize_str(probe))
-            ok = self.agreed[c] = (regex.sub(r"\s+", " ", normal) == theirs
+            theirs = re.sub(r"\s+", " ", self.tok.normalizer.normalize_str(probe))
+            ok = self.agreed[c] = (re.sub(r"\s+", " ", normal) == theirs
                                    and self.words_of(normal) == [w for w, _ in self.split.pre_tokenize_str(normal)])
         return ok
 
