@@ -12,8 +12,8 @@ with unseen ones, which together count as one word with Good-Turing's share. A s
 gated recurrent unit carries the state.
 
 Training is truncated backpropagation through time in numpy: windows of ``STEPS`` words,
-the state carried from window to window of a piece of a document. A fixed share of all training
-documents is used, so the work grows with the table; each chunk trains from the round's
+the state carried from window to window of a piece of a document. Every training document
+is used once, in one of the rounds; each chunk trains from the round's
 weights, and weights are averaged in two levels by the number of tokens. Scoring carries
 the state across windows too, from the first word to the end of the whole document.
 
@@ -417,12 +417,13 @@ def _learner(words, start, shapes: dict[str, tuple], rate: float):
     return learn
 
 
-def lm_scores(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", share: int = 8, rounds: int = 3,
+def lm_scores(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", share: int = 1, rounds: int = 3,
               chunk_bytes: int = 8 << 20, buckets: int | None = None, seed: int = 31) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document.
 
-    ``training`` marks the documents to learn from; one in ``share`` of them, by a seeded
-    hash of id and text, trains the recurrent weights, in ``rounds`` disjoint parts.
+    ``training`` marks the documents to learn from. They train the recurrent weights in ``rounds``
+    disjoint parts by a seeded hash of id and text; with ``share`` 1 the parts cover all of them,
+    above that one in ``share``.
     """
     spark = docs.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -313,6 +313,25 @@ def test_lm_base_score_and_counts(spark, odd, none):
     assert gru_lm.lm_scores(none, training).count() == 0
 
 
+def test_lm_learns_from_all_training_documents_for_held_out_text(spark):
+    # a word is followed by the next one of a ring: counts of words alone do not tell it
+    rng = random.Random(6)
+    rows = []
+    for i in range(1500):
+        at = rng.randrange(40)
+        rows.append((i, " ".join(f"w{(at + k) % 40}" for k in range(rng.randint(40, 80)))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+
+    def held_out_score(**how):
+        got = gru_lm.lm_scores(docs, doc_crc("doc_id") % 7 != 2, buckets=3, **how).where("held_out").collect()
+        tokens = sum(r.n_tokens for r in got)
+        assert len(got) > 150
+        return sum(r.score for r in got) / tokens, sum(r.base_score for r in got) / tokens
+
+    (score, base), (eighth, _) = held_out_score(), held_out_score(share=8)
+    assert score > base + 0.2 and score > eighth + 0.1
+
+
 def test_lm_probabilities_sum_to_one_and_training_helps():
     rng = np.random.default_rng(4)
     words = [f"w{k}".encode() for k in range(40)]
