@@ -7,8 +7,8 @@ comparison little. A document's evidence is the difference of the two length-nor
 log-likelihoods, over the whole text and over its most telling window of ``WINDOW``
 words; a logistic curve fitted by cross-fitting turns it into a score from 0 to 1.
 
-The models are fitted on a bounded sample of labelled documents, the ``sample`` rows of
-each class with the smallest seeded keys; counting runs on the executors. Every document
+The models are fitted on a bounded sample of labelled documents, up to ``sample`` rows of
+each class by itself, those with the smallest seeded keys; counting runs on the executors. Every document
 is scored over its whole text. Only words are inputs.
 
 Defined results: null and empty texts have no evidence and get the curve's value at
@@ -19,6 +19,7 @@ empty table gives an empty frame.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -30,6 +31,7 @@ WINDOW = 32
 MARGIN = 0.85
 FLOOR = 1e-3
 GROUP = 200_000
+FOLDS = 10           # of the curve's cross-fitting: evidence of nine tenths is close to the final model's
 START = 0x5851F42D4C957F2D  # stands before the first word
 # ASCII upper case becomes lower case, ASCII other than letters, digits and ' a space
 FOLD = bytes(c + 32 if 65 <= c <= 90 else (c if c > 127 or chr(c).isalnum() or c == 39 else 32) for c in range(256))
@@ -73,20 +75,46 @@ class Lookup:
         return self.values[np.where(self.keys[at] == keys, at + 1, 0)]
 
 
-def discounts(counts: np.ndarray) -> np.ndarray:
-    """Kneser-Ney discounts of counts 1, 2 and 3 or more, from the counts of counts."""
-    n = [max(1.0, float((counts == k).sum())) for k in (1, 2, 3, 4)]
+def discounts(met: np.ndarray) -> np.ndarray:
+    """Kneser-Ney discounts of counts 1, 2 and 3 or more; ``met``: how many have counts 1, 2, 3 and 4."""
+    n = np.maximum(1.0, met)
     y = n[0] / (n[0] + 2 * n[1])
     d = [k - (k + 1) * y * n[k] / n[k - 1] for k in (1, 2, 3)]
     return np.clip(d, [0.5, 0.7, 0.9], [1.0, 2.0, 3.0])
 
 
+def few_types(word: np.ndarray, chance: np.ndarray, words: int) -> np.ndarray:
+    """Chances (words x 5) that 0 to 4 of a word's bigram types are met, each by its own chance."""
+    p = np.zeros((words, 5))
+    p[:, 0] = 1.0
+    some = np.flatnonzero(chance > 0)
+    some = some[np.lexsort((-chance[some], word[some]))]
+    word, chance = word[some], chance[some]
+    rank = np.arange(len(word)) - np.searchsorted(word, word)
+    turns = np.argsort(rank, kind="stable")
+    edges = np.searchsorted(rank[turns], np.arange(rank.max(initial=-1) + 2))
+    for at, end in zip(edges, edges[1:]):  # one type of each word, until all surely have more than 4
+        i = turns[at:end]
+        i = i[p[word[i]].sum(axis=1) > 1e-9]
+        if not len(i):
+            break
+        before, m = p[word[i]], chance[i][:, None]
+        p[word[i]] = before * (1.0 - m) + np.hstack([np.zeros((len(i), 1)), before[:, :-1] * m])
+    return p
+
+
 class KneserNey:
-    """Both classes' interpolated bigram models over one vocabulary."""
+    """Both classes' interpolated bigram models over one vocabulary.
+
+    Continuation counts grow slower than the text, so those of unequal classes don't compare.
+    All rows count; the lower order takes the counts expected at as many words as the smaller
+    class has. Classes of equal size keep their plain counts.
+    """
 
     def __init__(self, first: np.ndarray, second: np.ndarray, pair: np.ndarray, counts: np.ndarray):
         """Bigram types: hashes of both words and of the pair, counts (types x 2 classes)."""
-        met = (counts > 0).astype(np.float64)
+        total = counts.sum(axis=0)
+        met = 1.0 - (1.0 - (total.min() / total if total.min() > 0 else np.ones(2))) ** counts
         words, at = np.unique(np.concatenate([first, second]), return_inverse=True)
         a, b = at[:len(first)], at[len(first):]
 
@@ -94,17 +122,25 @@ class KneserNey:
             return np.stack([np.bincount(index, values[:, c], len(words)) for c in (0, 1)], axis=1)
 
         def discounted(c: np.ndarray) -> np.ndarray:
-            return np.stack([np.maximum(0.0, c[:, k] - np.append(0.0, discounts(c[:, k]))[np.minimum(c[:, k], 3).astype(int)])
-                             for k in (0, 1)], axis=1)
+            d = np.append(0.0, discounts(np.array([(c == k).sum() for k in (1, 2, 3, 4)])))
+            return np.maximum(0.0, c - d[np.minimum(c, 3).astype(int)])
+
+        def discounted_types(c: int) -> np.ndarray:
+            p = few_types(b, met[:, c], len(words))
+            d = discounts(p[:, 1:].sum(axis=0))
+            return np.maximum(0.0, cont[:, c] - p[:, 1:3] @ d[:2] - d[2] * np.maximum(0.0, 1.0 - p[:, :3].sum(axis=1)))
 
         history, cont, types = per(a, counts), per(b, met), np.maximum(1.0, met.sum(axis=0))
-        kept, kept_cont = discounted(counts.astype(np.float64)), discounted(cont)
+        kept = np.stack([discounted(counts[:, c].astype(np.float64)) for c in (0, 1)], axis=1)
+        kept_cont = np.stack([discounted_types(c) for c in (0, 1)], axis=1)
         # backed-off mass of a class's lower order, and of each history
         self.rest = 1.0 - kept_cont.sum(axis=0) / types
         weight = np.where(history > 0, 1.0 - per(a, kept) / np.maximum(1, history), 1.0)
-        common = (np.bincount(b, minlength=len(words)) + 1.0) / (len(first) + len(words) + 1.0)
+        either = 1.0 - (1.0 - met[:, 0]) * (1.0 - met[:, 1])
+        mass = either.sum() + len(words) + 1.0
+        common = (np.bincount(b, either, len(words)) + 1.0) / mass
         lower = kept_cont / types + self.rest * common[:, None]
-        self.unseen = 1.0 / (len(first) + len(words) + 1.0)
+        self.unseen = 1.0 / mass
         # per word: lower-order probabilities as second word, backoff weights as first word, shared probability
         self.words = Lookup(words, np.hstack([lower, weight, common[:, None]]).astype(np.float32))
         self.pairs = Lookup(pair, (kept / np.maximum(1, history[a])).astype(np.float32))
@@ -241,22 +277,23 @@ def fit_judge(docs: DataFrame, labels: DataFrame, use: Column | None = None, sam
     rows, sizes = labelled_sample(docs, labels, id_col, text_col, label_col, sample, seed, use)
     if len(sizes) < 2:
         return Judge(None, None)
-    sample = min(sample, *sizes.values())  # equal shares: continuation counts of unequal samples don't compare
-    fold = F.pmod(F.crc32("key"), F.lit(2)).cast("int").alias("fold")
+    fold = F.pmod(F.crc32("key"), F.lit(FOLDS)).cast("int").alias("fold")
     picked = [rows.where(F.col("y") == y).orderBy("key", "text").limit(sample) for y in (0, 1)]
     picked = cut(picked[0].unionByName(picked[1]).select(fold, "y", "text", "key"))
     got = sample_counts(picked.select("fold", "y", "text")).toArrow()
     table = {c: got.column(c).to_numpy() for c in got.column_names}
     order = np.lexsort((table["second"], table["first"], table["y"], table["fold"]))
     table = {c: v[order] for c, v in table.items()}
-    halves = docs.sparkSession.sparkContext.broadcast([model_of(table, table["fold"] != k).arrays() for k in (0, 1)])
+    sent = docs.sparkSession.sparkContext.broadcast(table)
 
-    def crossed(batch: pa.RecordBatch, cache: _Hashes):
-        folds, texts = batch.column(0).to_pylist(), as_bytes(batch, 2)
-        both = [whole_evidence(KneserNey.from_arrays(m), texts, cache) for m in halves.value]
-        return [batch.column(3), batch.column(1), [both[f][i].tolist() for i, f in enumerate(folds)]]
+    def crossed(pdf: pd.DataFrame) -> pd.DataFrame:
+        model = model_of(sent.value, sent.value["fold"] != pdf["fold"].iloc[0])
+        x = whole_evidence(model, list(pdf["text"]), _Hashes())
+        return pd.DataFrame({"key": pdf["key"], "y": pdf["y"], "x": x.tolist()})
 
-    fitted = map_rows(picked, crossed, "key string, y int, x array<double>", _Hashes).orderBy("key", "y", "x").collect()
+    # a fold has about ``sample / FOLDS`` rows of each class
+    dealt = picked.withColumn("text", F.col("text").cast("binary")).repartition(FOLDS, "fold")
+    fitted = dealt.groupBy("fold").applyInPandas(crossed, "key string, y int, x array<double>").orderBy("key", "y", "x").collect()
     y = np.array([r["y"] for r in fitted], dtype=float)
     x = np.array([r["x"] for r in fitted])
     drawn = {k: max(1.0, float((y == k).sum())) for k in (0, 1)}

@@ -398,6 +398,36 @@ def test_toxicity_on_held_out_documents(spark):
     assert clean.columns == docs.columns and clean.count() < 560
 
 
+def test_toxicity_with_few_toxic_labels(spark):
+    rows, labels = toxic_rows()
+    fewer = {i for i, y in labels if y and i % 32}  # 22 of 175 toxic rows stay
+    rows, labels = [r for r in rows if r[0] not in fewer], [x for x in labels if x[0] not in fewer]
+    docs, truth = spark.createDataFrame(rows, "doc_id long, text string"), dict(labels)
+    judge = kn_toxicity.fit_judge(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), doc_crc("doc_id") % 3 != 0)
+    got = [r for r in kn_toxicity.toxicity(docs, judge).collect() if zlib.crc32(str(r.doc_id).encode()) % 3 == 0]
+    called = Counter((truth[r.doc_id], r.predicted) for r in got)
+    assert called[1, 1] > called[1, 0] and called[0, 1] <= 2
+
+
+def test_lower_orders_of_unequal_classes_compare():
+    # both classes speak alike, one has ten times the text
+    rng = np.random.default_rng(8)
+    share = 1.0 / np.arange(1, 61)
+    pairs = np.outer(share, share).ravel() / share.sum() ** 2
+    first, second = (x.ravel().astype(np.uint64) for x in np.meshgrid(np.arange(60), np.arange(60), indexing="ij"))
+    counts = np.stack([rng.multinomial(n, pairs) for n in (20_000, 2_000)], axis=1).astype(float)
+    met = counts.sum(axis=1) > 0
+    m = kn_toxicity.KneserNey(first[met], second[met], (first * np.uint64(60) + second)[met], counts[met])
+    lower = m.words.values[1:, :2].astype(float)
+    assert m.rest[0] == pytest.approx(m.rest[1], abs=0.01)
+    assert abs(np.log(lower[:20, 1] / lower[:20, 0]).mean()) < 0.1
+
+
+def test_chances_of_few_types():
+    p = kn_toxicity.few_types(np.array([0, 0, 0, 2, 2]), np.array([1.0, 0.5, 0.25, 0.5, 0.0]), 3)
+    assert np.allclose(p, [[0, 0.375, 0.5, 0.125, 0], [1, 0, 0, 0, 0], [0.5, 0.5, 0, 0, 0]])
+
+
 def test_toxicity_of_odd_rows(spark, odd, none):
     rows, labels = toxic_rows()
     judge = kn_toxicity.fit_judge(spark.createDataFrame(rows, "doc_id long, text string"),
