@@ -78,3 +78,39 @@ s AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) A
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
+
+# Cuts by counting lines in a list; the rebuilt text is the text.
+FIM = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS h FROM documents),
+l AS (SELECT *, string_split(t, chr(10)) AS parts, CAST(CASE WHEN t = '' THEN 0 WHEN right(t, 1) = chr(10) THEN len(string_split(t, chr(10))) - 1
+             ELSE len(string_split(t, chr(10))) END AS BIGINT) AS n,
+             [CAST('0x' || substr(h, 8 * k + 1, 8) AS BIGINT) FOR k IN [0, 1, 2, 3]] AS r FROM d),
+c AS (SELECT *, least(r[1] % (n + 1), r[2] % (n + 1)) AS a, greatest(r[1] % (n + 1), r[2] % (n + 1)) AS b,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR r[3] % 100 >= 100 THEN 'plain'
+                  WHEN r[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM l),
+u AS (SELECT *, [p || chr(10) FOR p IN parts[1:len(parts) - 1]] || CASE WHEN parts[-1] = '' THEN [] ELSE parts[-1:] END AS units FROM c),
+p AS (SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle,
+             array_to_string(units[b + 1:], '') AS suffix FROM u)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256 FROM p"""
+
+_TERMS = (r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+
+# Scores of every document that shares a term with an item.
+SEARCH = f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS row, {_TERMS.format("text")} AS terms FROM documents WHERE text IS NOT NULL),
+g AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(len(terms)) AS BIGINT) AS total FROM d WHERE len(terms) > 0),
+p AS (SELECT row, any_value(doc_id) AS doc_id, CAST(any_value(n) AS BIGINT) AS n, term, CAST(count(*) AS BIGINT) AS tf
+      FROM (SELECT row, doc_id, len(terms) AS n, unnest(terms) AS term FROM d) GROUP BY row, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+      FROM (SELECT term, count(*) AS df FROM p GROUP BY term), g),
+i AS (SELECT DISTINCT item_id, text, unnest({_TERMS.format("text")}) AS term FROM benchmark),
+s AS (SELECT item_id, text, row, any_value(doc_id) AS doc_id,
+             CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // total)))) AS BIGINT) AS score
+      FROM i JOIN p USING (term) JOIN w USING (term), g GROUP BY item_id, text, row),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10"""

@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 
 from quarry.llm import (
     apportion,
+    bm25_packing,
     combo_join,
     crf_quality,
     gru_lm,
     kn_toxicity,
     oracles,
     prefix_tokens,
+    rmq_search,
+    skiplist_fim,
     tput_topk,
     vector_shards,
     warc_chunks,
@@ -74,8 +77,20 @@ def op10_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op11_skiplist_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return skiplist_fim.fill_in_middle(read_docs(spark, sf_dir), with_output=False)
+
+
+def op12_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bm25_packing.pack_documents(read_docs(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op13_rmq_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rmq_search.ranked_search(read_docs(spark, sf_dir), read_docs(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_crf_quality, op2_sainte_lague_mix, op3_vector_shards, op4_combo_jaccard, op5_prefix_tokens, op6_gru_lm, op7_kn_toxicity, op8_warc_chunks,
-    op9_tput_topk, op10_word_bpe)}
+    op9_tput_topk, op10_word_bpe, op11_skiplist_fim, op12_bm25_packing, op13_rmq_search)}
 ORACLES = {"op2_sainte_lague_mix": oracles.MIX, "op4_combo_jaccard": oracles.JACCARD, "op8_warc_chunks": oracles.WARC,
-           "op9_tput_topk": oracles.TOP}
+           "op9_tput_topk": oracles.TOP, "op11_skiplist_fim": oracles.FIM, "op13_rmq_search": oracles.SEARCH}
