@@ -647,7 +647,7 @@ SELECT doc_id, class, round(p, 4) AS probability FROM probs
 """)
 def q_nb_class_probabilities(spark, root):
     model, scored = _nb_scored(spark, root)
-    m = nb.class_probabilities(scored, model.classes)
+    m = nb.class_probabilities(scored, model.names())
     return m.select("doc_id", F.explode("class_probabilities").alias("class", "p")).select(
         "doc_id", "class", F.round("p", 4).alias("probability"))
 
@@ -659,7 +659,7 @@ SELECT doc_id, class, round(p, 4) AS probability, CAST(rk AS BIGINT) AS rank,
 """)
 def q_nb_ranked_probabilities(spark, root):
     model, scored = _nb_scored(spark, root)
-    r = nb.ranked_probabilities(scored, model.classes, "doc_id")
+    r = nb.ranked_probabilities(scored, model.names(), "doc_id")
     return r.select("doc_id", "class", F.round("probability", 4).alias("probability"), big("rank").alias("rank"),
                     F.round("share", 4).alias("share"), "is_predicted")
 
@@ -1003,7 +1003,7 @@ def q_similar_verses(spark, root):
 def q_salary_regression_job(spark, root):
     part = read_table(spark, root, "part")
     return jb.salary_regression_job(part, "p_retailprice", "p_size", "p_type", TYPE_LEVELS, "p_brand",
-                                    BRAND_SLOTS, folds=3, model_path=shared_path(spark, "models", "salary"), grid={"regParam": [0.3, 0.8], "fitIntercept": [False, True], "elasticNetParam": [0.3, 0.8], "maxIter": [50]})
+                                    BRAND_SLOTS, model_path=shared_path(spark, "models", "salary"))
 
 
 @register("level_clustering_job")
@@ -1018,8 +1018,6 @@ SMALL_GRIDS = {
     "logistic": {"sentencesInVerse": [4], "vectorSize": [32], "regParam": [0.01], "maxIter": [100]},
     "forest": {"sentencesInVerse": [4], "vectorSize": [32], "numTrees": [10], "maxDepth": [5], "maxBins": [32]},
     "mlp": {"sentencesInVerse": [4], "vectorSize": [32], "maxIter": [100]},
-    "nb_counts": {"sentencesInVerse": [4, 8]},
-    "nb_tfidf": {"sentencesInVerse": [4], "numFeatures": [4096, 8192], "minDocFreq": [1]},
 }
 
 
@@ -1030,13 +1028,13 @@ def _verse_job(kind):
     return run
 
 
-for _k in ("logistic", "forest", "mlp", "nb_counts", "nb_tfidf"):
+for _k in ("logistic", "forest", "mlp"):
     register(f"verse_classifier_{_k}")(_verse_job(_k))
 
 
 @register("multiclass_text_nb")
 def q_multiclass_text_nb(spark, root):
-    return jb.multiclass_text_job(read_table(spark, root, "documents"), "nb", folds=2)
+    return jb.multiclass_text_job(read_table(spark, root, "documents"), "nb")
 
 
 @register("multiclass_text_lr")
@@ -1100,25 +1098,23 @@ SELECT doc_id, lang, ci AS prediction FROM (
 
 @register("stream_scored_documents", _STREAM_NB_SQL)
 def q_stream_scored_documents(spark, root):
-    """Documents arriving as Parquet files are scored by a saved pipeline in a stream."""
-    from pyspark.ml.classification import NaiveBayes
-    from pyspark.ml.feature import CountVectorizer, StringIndexer
-    from pyspark.ml import Pipeline, PipelineModel
-    from quarry.plans.stages import DocumentWords
-    from quarry.sources.models import save_model
-    from quarry.streaming import score_stream
+    """Documents arriving as Parquet files are scored by a saved table-backed model in a stream."""
+    from quarry.streaming import answer_stream, publish
     docs = read_table(spark, root, "documents").select("doc_id", "text", "lang")
     base = shared_path(spark, "stream")
-    terms = DocumentWords().transform(docs).select(F.explode("words").alias("w")).agg(F.count_distinct("w")).first()[0]
-    pipe = Pipeline(stages=[StringIndexer(inputCol="lang", outputCol="label", handleInvalid="keep"),
-                            DocumentWords(), CountVectorizer(inputCol="words", outputCol="features", vocabSize=max(1, terms)),
-                            NaiveBayes()])
-    model = save_model(pipe.fit(docs), f"{base}/model")
-    src = f"{base}/incoming"
-    docs.write.mode("overwrite").parquet(src)
-    score_stream(spark, PipelineModel.load(model), src, docs.schema, f"{base}/scored", f"{base}/checkpoint",
-                 select=["doc_id", "lang", "prediction"])
-    return spark.read.parquet(f"{base}/scored")
+    publish(nb.nb_model(docs.select("lang", tx.document_words("text").alias("words")), "lang", "words"), f"{base}/model", 1)
+    docs.write.mode("overwrite").parquet(f"{base}/incoming")
+
+    def answer(model, settings, batch):
+        scored = nb.nb_score(model, batch.select("doc_id", "lang", tx.document_words("text").alias("words")), carry=("lang",))
+        # class indexes by falling frequency, as the label indexer numbers them
+        ranked = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("o"), "class")))
+        order = model.class_table.agg(F.transform(ranked, lambda x: x["class"]).alias("x")).scalar()
+        index = F.array_position(order, F.col("prediction")) - 1
+        return scored.select("doc_id", "lang", index.cast("double").alias("prediction"))
+
+    answer_stream(spark, f"{base}/model", f"{base}/incoming", docs.schema, f"{base}/scored", f"{base}/checkpoint", answer)
+    return spark.read.parquet(f"{base}/scored").select("doc_id", "lang", "prediction")
 
 
 @register("document_word_numbers", f"""
@@ -1136,23 +1132,37 @@ def q_document_word_numbers(spark, root):
                     big("word_no").alias("word_no"))
 
 
-@register("document_class_scores")
+_VERSE_MEAN_SQL = f"""
+WITH v AS (SELECT doc_id, lang, (line_no - 1) // 4 + 1 AS part, word AS term, {_TRAIN} AS train FROM ({sq.DOC_WORDS})),
+r AS (SELECT doc_id, lang, part, train, term, count(*) AS tf FROM v GROUP BY ALL),
+rt AS (SELECT DISTINCT doc_id, lang, part, train FROM r),
+cls AS (SELECT lang AS c, count(*) AS n FROM rt WHERE train AND lang IS NOT NULL GROUP BY lang),
+ctf AS (SELECT lang AS c, term, sum(tf) AS tf FROM r WHERE train AND lang IS NOT NULL GROUP BY ALL),
+cc AS (SELECT cls.c, ln(n + 1.0) - ln(sum(n) OVER () + count(*) OVER ()) AS prior, ln(coalesce(s, 0) + (SELECT count(DISTINCT term) FROM ctf)) AS den
+       FROM cls LEFT JOIN (SELECT c, sum(tf) AS s FROM ctf GROUP BY c) USING (c)),
+te AS (SELECT * FROM rt WHERE NOT train),
+x AS (SELECT doc_id, part, sum(tf) AS x FROM r WHERE NOT train AND term IN (SELECT term FROM ctf) GROUP BY ALL),
+g AS (SELECT doc_id, part, c, sum(r.tf * ln(ctf.tf + 1.0)) AS g FROM r JOIN ctf USING (term) WHERE NOT train GROUP BY ALL),
+sc AS (SELECT te.doc_id, te.part, cc.c, prior - coalesce(x, 0) * den + coalesce(g, 0) AS score FROM te CROSS JOIN cc
+       LEFT JOIN x ON x.doc_id = te.doc_id AND x.part = te.part LEFT JOIN g ON g.doc_id = te.doc_id AND g.part = te.part AND g.c = cc.c),
+ex AS (SELECT *, exp(score - max(score) OVER (PARTITION BY doc_id, part)) AS e FROM sc),
+pr AS (SELECT doc_id, part, c, e / sum(e) OVER (PARTITION BY doc_id, part) AS p FROM ex),
+m AS (SELECT doc_id, c, avg(p) AS p, count(*) AS n FROM pr GROUP BY doc_id, c),
+a AS (SELECT doc_id, any_value(n) AS n, first(c ORDER BY p DESC, c) AS c FROM m GROUP BY doc_id)
+"""
+
+
+@register("document_class_scores", f"""{_VERSE_MEAN_SQL}
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_verses, c AS predicted_label FROM documents d LEFT JOIN a USING (doc_id) WHERE NOT {_TRAIN}
+""")
 def q_document_class_scores(spark, root):
-    """Verse classifier (4-line verses, counts + NB) scored per document by mean verse probability."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.classification import NaiveBayes
-    from pyspark.ml.feature import CountVectorizer, StringIndexer
-    from quarry.plans.scoring import score_documents
-    from quarry.plans.stages import VerseSplitter
-    docs = read_table(spark, root, "documents").select("doc_id", "text", "lang")
-    d = sp.hash_split(docs, "doc_id")
-    pipe = Pipeline(stages=[StringIndexer(inputCol="lang", outputCol="label", handleInvalid="keep"),
-                            VerseSplitter(carryCols=["label"], sentencesInVerse=4),
-                            CountVectorizer(inputCol="verse", outputCol="features", minDF=2.0), NaiveBayes()])
-    model = pipe.fit(d.filter(F.col("split") == "train"))
-    pred = model.transform(d.filter(F.col("split") == "test"))
-    return score_documents(pred, "doc_id", model.stages[0].labels).select(
-        "doc_id", "n_verses", "predicted_label")
+    """Verse classifier (4-line verses, counts + NB over all terms) scored per document by mean verse probability."""
+    from quarry.streaming.answers import verse_answers
+    d = sp.hash_split(read_table(spark, root, "documents").select("doc_id", "text", "lang"), "doc_id")
+    train = tx.text_verses(d.filter(F.col("split") == "train"), n=4, label="lang", out="words")
+    model = nb.nb_model(train, "lang", "words")
+    test = d.filter(F.col("split") == "test")
+    return verse_answers(model, {"sentencesInVerse": "4", "stem": "none"}, test).select("doc_id", "n_verses", "predicted_label")
 
 
 @register("salary_predictions")
@@ -1270,3 +1280,6 @@ def q_linear_summary(spark, root):
     own = md.training_summary(m).filter(F.col("metric").isin("rmse", "r2", "intercept"))
     coef = md.explain_linear(m, ["coefficient"]).filter("name = 'coefficient'").toDF("metric", "value")
     return own.unionByName(coef).select("metric", F.round("value", 4).alias("value"))
+
+
+from quarry.plans import search_queries  # noqa: E402, F401  (registers its queries)

@@ -9,22 +9,25 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
-from pyspark.ml.evaluation import (BinaryClassificationEvaluator, MulticlassClassificationEvaluator,
-                                   RegressionEvaluator)
-from pyspark.ml.feature import (IDF, CountVectorizer, HashingTF, IndexToString, MaxAbsScaler, MinMaxScaler, StringIndexer,
-                                VectorIndexer)
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.feature import (IDF, CountVectorizer, CountVectorizerModel, IndexToString, MaxAbsScaler, MinMaxScaler,
+                                StringIndexer, VectorIndexer)
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.hashing import hash_fraction
+from quarry.operators import bayes as nb
+from quarry.operators import bayes_search as bs
 from quarry.operators import clusters as cl
 from quarry.operators import encoders as en
 from quarry.operators import metrics as mt
+from quarry.operators import moments as mo
 from quarry.operators import sampling as sp
+from quarry.operators import text as tx
 from quarry.plans import models as md
-from quarry.plans.stages import PlainWords, VerseSplitter
+from quarry.plans.stages import BucketWords, PlainWords, VerseSplitter
 from quarry.sources import models as ms
 
 
@@ -39,6 +42,8 @@ VERSE_GRIDS = {
     "nb_tfidf": {"sentencesInVerse": [4, 8, 16, 32], "numFeatures": [4096, 8192], "minDocFreq": [0, 1, 2]},
 }
 TEXT_VOCABULARY, TEXT_MIN_DOCS, TEXT_MAX_ITER = 15_000, 3, 30
+TEXT_BUCKETS, TEXT_RIDGE = [4096, 8192], [0.01, 0.1, 1.0]
+TEXT_FOLDS = {"nb": 5, "lr": 3}
 PRODUCT_TREES, PRODUCT_DEPTH = 20, 30
 
 
@@ -54,24 +59,37 @@ def _metric_rows(rows) -> DataFrame:
 
 def salary_regression_job(table: DataFrame, label: str, numeric: str, level: str, level_map, category: str,
                           names: Sequence[str], folds: int = FOLDS, grid: dict | None = None,
-                          model_path: str | None = None, parallelism: int = 4, other: int | None = None,
-                          key: str | None = None) -> DataFrame:
-    """Examples (F3) -> elastic-net regression tuned by k-fold CV (E1, E2, E5) -> coefficients."""
-    from pyspark.ml.regression import LinearRegression
+                          model_path: str | None = None, other: int | None = None, key: str | None = None) -> DataFrame:
+    """Examples (F3) -> elastic-net regression tuned by k-fold CV (E1, E2, E5) -> coefficients.
+
+    The grid is searched on the folds' moments (``operators.moments``): one scan for all
+    points and folds. The best point is fitted once more by ``LinearRegression``, saved
+    under ``model_path``.
+    """
     ex = en.regression_examples(table, label, numeric, level, level_map, category, names, other=other)
-    key = key or table.columns[0]
-    ex = sp.assign_folds(ex, key, folds)
-    lr = LinearRegression(featuresCol="features", labelCol="label")
-    grid = _points(lr, grid or SALARY_GRID)
-    ev = RegressionEvaluator(metricName="rmse")
-    cv = md.tune(lr, grid, ev, ex, "fold", parallelism)
-    best_i, best_m = md.best_of_grid(cv, ev)
+    best, model = _best_linear(sp.assign_folds(ex, key or table.columns[0], folds), grid or SALARY_GRID)
     if model_path:
-        ms.save_model(cv, model_path)
+        ms.save_model(model, model_path)
     slots = list(names) + (["Other"] if (other is None or other >= len(names)) else [])
     slot_names = [numeric, level] + [f"{category}={n}" for n in slots]
-    params = {p.name: v for p, v in grid[best_i].items()} | {"cv_rmse": best_m}
-    return md.explain_linear(cv.bestModel, slot_names, params)
+    params = {k: v for k, v in best.items() if k not in ("fold_rmse", "rmse")} | {"cv_rmse": best["rmse"]}
+    return md.explain_linear(model, slot_names, params)
+
+
+def _best_linear(examples: DataFrame, grid: dict):
+    """(best grid point with its RMSE, the model of that point fitted on all rows)."""
+    from pyspark.ml.regression import LinearRegression
+    best = min(mo.grid_search(mo.fold_moments(examples), grid_points(grid)), key=lambda p: p["rmse"])
+    own = {k: v for k, v in best.items() if k not in ("fold_rmse", "rmse")}
+    return best, LinearRegression(featuresCol="features", labelCol="label").setParams(**own).fit(examples)
+
+
+def grid_points(grid: dict) -> list[dict]:
+    """All combinations of a grid's values, in its order."""
+    out: list[dict] = [{}]
+    for name, values in grid.items():
+        out = [{**p, name: v} for p in out for v in values]
+    return out
 
 
 # --- JB2: level clustering -------------------------------------------------------
@@ -130,13 +148,32 @@ def _fit_features(kind: str, point: dict, train: DataFrame, seed: int) -> list:
     """Fitted feature stages (verse -> features) on the training rows."""
     if kind in ("logistic", "forest", "mlp"):
         return [md.train_word2vec(train, "verse", "features", vector_size=point["vectorSize"], seed=seed)]
+    buckets = _bucket_counts("verse", point["numFeatures"])
+    counted = buckets[1].transform(buckets[0].transform(train))
+    return [*buckets, IDF(inputCol="tf", outputCol="features", minDocFreq=point["minDocFreq"]).fit(counted)]
+
+
+def _bucket_counts(words: str, size: int) -> list:
+    """Stages from words to the vector ``tf`` of their counts in ``size`` portable hash buckets."""
+    return [BucketWords(inputCol=words, outputCol="buckets", numFeatures=size),
+            CountVectorizerModel.from_vocabulary([str(i) for i in range(size)], inputCol="buckets", outputCol="tf")]
+
+
+def _nb_verse_search(known: DataFrame, kind: str, grid: dict, folds: int, id: str, text: str, label: str, stem: str):
+    """(setting, mean AUC) of every point of a naive Bayes grid, best first: all folds and points from one term table."""
+    lengths, smooth = grid["sentencesInVerse"], grid.get("smoothing", [1.0])
+    rows = bs.verse_variants(known, lengths, id, text, label, folds, stem)
     if kind == "nb_counts":
-        # as many terms as the training verses have, so nothing is cut
-        words = train.select(F.explode("verse").alias("w")).agg(F.count_distinct("w")).first()[0]
-        return [CountVectorizer(inputCol="verse", outputCol="features", vocabSize=max(1, words)).fit(train)]
-    tf_stage = HashingTF(inputCol="verse", outputCol="tf", numFeatures=point["numFeatures"])
-    idf = IDF(inputCol="tf", outputCol="features", minDocFreq=point["minDocFreq"]).fit(tf_stage.transform(train))
-    return [tf_stage, idf]
+        scored = bs.nb_fold_scores(rows, smooth)
+    else:
+        sizes = grid["numFeatures"]
+        scored = bs.nb_fold_scores(bs.bucket_variants(rows, sizes), smooth, sizes * len(lengths), grid["minDocFreq"])
+    out = []
+    for variant, point, auc in bs.grid_means(bs.fold_auc(scored), "auc"):
+        own = {} if kind == "nb_counts" else {"numFeatures": sizes[variant % len(sizes)], "minDocFreq": grid["minDocFreq"][point // len(smooth)]}
+        own |= {"smoothing": smooth[point % len(smooth)]} if "smoothing" in grid else {}
+        out.append(({"sentencesInVerse": lengths[variant // (1 if kind == "nb_counts" else len(sizes))], **own}, auc))
+    return out
 
 
 def verse_classifier_job(docs: DataFrame, kind: str = "logistic", grid: dict | None = None, folds: int = FOLDS,
@@ -145,10 +182,12 @@ def verse_classifier_job(docs: DataFrame, kind: str = "logistic", grid: dict | N
     """Two-class verse classifier: mean AUC of the folds for each grid point, the best one refitted (JB3..JB7).
 
     The chain is cleanse, tokenize, stop words, stem, verses. Folds are drawn per document
-    (no document in train and test). The verses of each length are made once; features
-    are fitted once per fold and feature setting and serve every classifier setting. The
-    best point over all lengths is fitted on all rows and saved under ``model_path`` with
-    its ``VerseSplitter`` and label index in front, ready for requests.
+    (no document in train and test). Naive Bayes searches its whole grid by subtraction
+    from one term table (``bayes_search``). For the others the verses of each length are
+    made once; features are fitted once per fold and feature setting and serve every
+    classifier setting. The best point over all lengths is fitted on all rows and saved
+    under ``model_path`` with its ``VerseSplitter`` and label index in front, ready for
+    requests (counts + naive Bayes as Parquet tables of terms and classes).
     """
     from pyspark.ml import PipelineModel
     grid = grid or VERSE_GRIDS[kind]
@@ -159,7 +198,13 @@ def verse_classifier_job(docs: DataFrame, kind: str = "logistic", grid: dict | N
         raise ValueError(f"{label}: {len(index.labels)} classes; the verse classifiers tell two apart")
     known = index.transform(docs.filter(F.col(label).isNotNull()))
     own = {k: v for k, v in grid.items() if k not in ("sentencesInVerse", "vectorSize", "numFeatures", "minDocFreq")}
-    rows, best = [], None
+    rows, best, lengths = [], None, grid["sentencesInVerse"]
+    if kind in ("nb_counts", "nb_tfidf"):
+        found = _nb_verse_search(known, kind, grid, folds, id, text, label, stem)
+        rows = [("|".join(f"{a}={v}" for a, v in named.items()), auc) for named, auc in found]
+        named, auc = found[0]
+        point = {k: named[k] for k in ("numFeatures", "minDocFreq") if k in named}
+        best, lengths = (auc, named["sentencesInVerse"], point, {k: named[k] for k in ("smoothing",) if k in named}), []
 
     def classifier(point):
         c = _verse_classifier(kind, seed).setLabelCol("label_index")
@@ -168,7 +213,7 @@ def verse_classifier_job(docs: DataFrame, kind: str = "logistic", grid: dict | N
     def splitter(n):
         return VerseSplitter(idCol=id, textCol=text, carryCols=["label_index"], sentencesInVerse=n, stem=stem)
 
-    for n in grid["sentencesInVerse"]:
+    for n in lengths:
         verses = sp.assign_folds(splitter(n).transform(known), id, folds).persist()
         try:
             for point in _feature_points(kind, grid):
@@ -193,7 +238,11 @@ def verse_classifier_job(docs: DataFrame, kind: str = "logistic", grid: dict | N
                         best = (totals[i], n, point, {p.name: v for p, v in setting.items()})
         finally:
             verses.unpersist()
-    if model_path:
+    if model_path and kind == "nb_counts":  # as tables: no vocabulary on the driver
+        _, n, _, setting = best
+        verses = tx.text_verses(known, n=n, id=id, text=text, label=label, stem=stem, out="words")
+        nb.nb_model(verses, label, "words", **setting).save(model_path, {"sentencesInVerse": str(n), "stem": stem, "text": text})
+    elif model_path:
         auc, n, point, setting = best
         verses = splitter(n).transform(known).persist()
         try:
@@ -207,7 +256,14 @@ def verse_classifier_job(docs: DataFrame, kind: str = "logistic", grid: dict | N
 
 
 def verse_predictions_job(spark: SparkSession, requests: DataFrame, model_path: str, id: str = "doc_id") -> DataFrame:
-    """Score requests with a saved verse classifier: one answer and a class map per text."""
+    """Score requests with a saved verse classifier: one answer and a class map per text.
+
+    Counts + naive Bayes are tables that the verses' words are joined with; the others are pipelines.
+    """
+    if ms.path_exists(spark, f"{model_path}/settings/_SUCCESS"):
+        from quarry.streaming.answers import verse_answers
+        model, settings = nb.NBModel.load(spark, model_path)
+        return verse_answers(model, settings, requests, id, settings["text"])
     from pyspark.ml.feature import StringIndexerModel
     from quarry.plans.scoring import score_documents
     model, labels = ms.load_model(model_path), StringIndexerModel.load(f"{model_path}-labels").labels
@@ -218,51 +274,53 @@ def verse_predictions_job(spark: SparkSession, requests: DataFrame, model_path:
 
 # --- JB8, JB9: multi-class text ------------------------------------------------------
 
-def _multiclass_train(docs: DataFrame, kind: str, id: str, text: str, label: str, folds: int, parallelism: int):
-    """(fitted pipeline with the word stage in front, CV model, evaluator, test rows)."""
+def _multiclass_train(docs: DataFrame, kind: str, id: str, text: str, label: str, folds: int | None, parallelism: int):
+    """(fitted pipeline with the word stage in front, best mean accuracy of the folds, test rows)."""
     from pyspark.ml import PipelineModel
     from pyspark.ml.classification import LogisticRegression, NaiveBayes
+    folds = folds or TEXT_FOLDS[kind]
     words = PlainWords(textCol=text, outputCol="words")
     d = sp.hash_split(docs.select(id, text, label).na.drop(subset=[text, label]), id)
     train = sp.assign_folds(words.transform(d.filter(F.col("split") == "train")), id, folds)
     test = d.filter(F.col("split") == "test")
     idx = StringIndexer(inputCol=label, outputCol="label_index", handleInvalid="keep")
     if kind == "nb":
-        tfs = HashingTF(inputCol="words", outputCol="tf", numFeatures=4096)
-        clf = NaiveBayes(labelCol="label_index", smoothing=1.0)
-        grid = ParamGridBuilder().addGrid(tfs.numFeatures, [4096, 8192]).build()
-    else:
-        tfs = CountVectorizer(inputCol="words", outputCol="tf", vocabSize=TEXT_VOCABULARY, minDF=TEXT_MIN_DOCS)
-        clf = LogisticRegression(labelCol="label_index", maxIter=TEXT_MAX_ITER)
-        grid = ParamGridBuilder().addGrid(clf.regParam, [0.01, 0.1, 1.0]).build()
+        variants = train.select(F.lit(0).alias("variant"), F.col(id).alias("id"), F.lit(0).alias("part"), "fold",
+                                F.col(label).cast("string").alias("label"), "words")
+        scored = bs.nb_fold_scores(bs.bucket_variants(variants, TEXT_BUCKETS), (1.0,), TEXT_BUCKETS)
+        best, _, accuracy = bs.grid_means(bs.fold_accuracy(scored), "accuracy")[0]
+        pipe = Pipeline(stages=[idx, *_bucket_counts("words", TEXT_BUCKETS[best]), IDF(inputCol="tf", outputCol="features"),
+                                NaiveBayes(labelCol="label_index", smoothing=1.0)])
+        return PipelineModel(stages=[words, *pipe.fit(train).stages]), accuracy, test
+    tfs = CountVectorizer(inputCol="words", outputCol="tf", vocabSize=TEXT_VOCABULARY, minDF=TEXT_MIN_DOCS)
+    clf = LogisticRegression(labelCol="label_index", maxIter=TEXT_MAX_ITER)
     pipe = Pipeline(stages=[idx, tfs, IDF(inputCol="tf", outputCol="features"), clf])
     ev = MulticlassClassificationEvaluator(labelCol="label_index", metricName="accuracy")
-    cvm = md.tune(pipe, grid, ev, train, "fold", parallelism)
-    return PipelineModel(stages=[words, *cvm.bestModel.stages]), cvm, ev, test
+    cvm = md.tune(pipe, _points(clf, {"regParam": TEXT_RIDGE}), ev, train, "fold", parallelism)
+    return PipelineModel(stages=[words, *cvm.bestModel.stages]), md.best_of_grid(cvm, ev)[1], test
 
 
 def multiclass_text_job(docs: DataFrame, kind: str = "nb", id: str = "doc_id", text: str = "text",
-                        label: str = "lang", folds: int = 3, parallelism: int = 4,
+                        label: str = "lang", folds: int | None = None, parallelism: int = 4,
                         model_path: str | None = None) -> DataFrame:
     """80/20 document split, label index (F6), tokens of the whole text without stop words (no line
     filter, no ASCII cleanse), TF-IDF, NB or LR tuned by CV; test metrics (E3).
 
-    The words do not depend on any grid parameter, so they are computed once before
-    the search (and cached by ``tune``) instead of once per grid point and fold; the
-    saved model gets the word stage back in front of the tuned stages.
+    Naive Bayes searches both bucket numbers in all folds from one term table; for LR the
+    words are made once before the search and cached by ``tune``. ``folds`` is 5 for NB and
+    3 for LR unless given. The saved model has the word stage in front of the tuned ones.
     """
-    full, cvm, ev, test = _multiclass_train(docs, kind, id, text, label, folds, parallelism)
+    full, best, test = _multiclass_train(docs, kind, id, text, label, folds, parallelism)
     if model_path:
         ms.save_model(full, model_path)
     m = mt.multiclass_metrics(full.transform(test), "label_index", "prediction").first()
-    _, best = md.best_of_grid(cvm, ev)
     return _metric_rows(list(m.asDict().items()) + [("cv_accuracy", best)])
 
 
 def multiclass_text_reports(docs: DataFrame, kind: str = "nb", id: str = "doc_id", text: str = "text", label: str = "lang",
-                            folds: int = 3, parallelism: int = 4) -> dict[str, DataFrame]:
+                            folds: int | None = None, parallelism: int = 4) -> dict[str, DataFrame]:
     """The job's other outputs: overview (A1), rows per class (A2), confusion (A3) and first predictions (O2)."""
-    full, _, _, test = _multiclass_train(docs, kind, id, text, label, folds, parallelism)
+    full, _, test = _multiclass_train(docs, kind, id, text, label, folds, parallelism)
     names = full.stages[1].labels
     pred = en.index_to_string(full.transform(test).select(id, label, "prediction"), "prediction", names, "predicted")
     return {"overview": mt.dataset_overview(docs, text), "classes": mt.class_distribution(docs, label),
@@ -271,7 +329,7 @@ def multiclass_text_reports(docs: DataFrame, kind: str = "nb", id: str = "doc_id
 
 
 def multiclass_text_predictions(spark: SparkSession, docs: DataFrame, requests: DataFrame, model_path: str, kind: str = "lr",
-                                id: str = "doc_id", text: str = "text", label: str = "lang", folds: int = 3) -> DataFrame:
+                                id: str = "doc_id", text: str = "text", label: str = "lang", folds: int | None = None) -> DataFrame:
     """Load the text classifier (or train and save it where there is none) and answer requests: class and class map."""
     from quarry.plans.scoring import probability_map
     model = ms.load_or_train(spark, model_path, lambda: _multiclass_train(docs, kind, id, text, label, folds, 4)[0])
@@ -413,18 +471,13 @@ def baseline_trainers_job(table: DataFrame, label: str, arr: str, key: str, seed
 # --- predict side of JB1 / JB2 -------------------------------------------------------
 
 def salary_predictions_job(spark: SparkSession, table: DataFrame, model_path: str, label: str, numeric: str,
-                           level: str, level_map, category: str, names: Sequence[str], key: str) -> DataFrame:
+                           level: str, level_map, category: str, names: Sequence[str], key: str, folds: int = FOLDS) -> DataFrame:
     """Load the tuned regression (or train and save it once) and score a whole table."""
-    from pyspark.ml.tuning import CrossValidatorModel
-    from pyspark.ml.regression import LinearRegression
+    from pyspark.ml.regression import LinearRegressionModel
     ex = en.regression_examples(table, label, numeric, level, level_map, category, names)
-
-    def train():
-        lr = LinearRegression(featuresCol="features", labelCol="label")
-        return md.tune(lr, _points(lr, SALARY_GRID), RegressionEvaluator(metricName="rmse"), sp.assign_folds(ex, key, 3), "fold")
-
-    model = ms.load_or_train(spark, model_path, train, kind=CrossValidatorModel)
-    return model.bestModel.transform(ex).select(key, "label", "prediction")
+    model = ms.load_or_train(spark, model_path, lambda: _best_linear(sp.assign_folds(ex, key, folds), SALARY_GRID)[1],
+                             kind=LinearRegressionModel)
+    return model.transform(ex).select(key, "label", "prediction")
 
 
 def level_predictions_job(spark: SparkSession, table: DataFrame, model_path: str, value: str, numeric: str,
@@ -450,7 +503,7 @@ def level_predictions_job(spark: SparkSession, table: DataFrame, model_path: str
 
 # --- the jobs on their original input formats ------------------------------------------
 
-def survey_salary_job(spark: SparkSession, csv_path: str, folds: int = 10, model_path: str | None = None):
+def survey_salary_job(spark: SparkSession, csv_path: str, folds: int = FOLDS, model_path: str | None = None):
     """JB1 on a survey CSV: role filter before projection (P4), [experience, English level,
     19 language slots] (F3), elastic-net regression tuned by CV, coefficients (E9)."""
     from quarry.operators.filters import role_filter
@@ -484,7 +537,7 @@ def product_csv_job(spark: SparkSession, csv_path: str, folds: int = 10, n_featu
 
 
 def text_csv_job(spark: SparkSession, csv_path: str, text: str = "lyrics", label: str = "genre",
-                 kind: str = "nb", folds: int = 5):
+                 kind: str = "nb", folds: int | None = None):
     """JB8 / JB9 on a CSV with a text and a class column (inferred schema, rows with nulls dropped).
 
     Rows carry no id, so the split and folds hash the text itself.

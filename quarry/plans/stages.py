@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import text as tf
+from quarry.functions.hashing import hash_bucket
 from quarry.operators import text as tx
 
 
@@ -85,6 +86,24 @@ class PlainWords(Transformer, DefaultParamsReadable, DefaultParamsWritable):
         return df.withColumn(g(self.outputCol), tf.drop_stop_words(tf.tokens(g(self.textCol))))
 
 
+class BucketWords(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """(words) -> the portable hash bucket of every word, as text."""
+
+    inputCol = Param(Params._dummy(), "inputCol", "array of words", TypeConverters.toString)
+    outputCol = Param(Params._dummy(), "outputCol", "bucket array column", TypeConverters.toString)
+    numFeatures = Param(Params._dummy(), "numFeatures", "number of buckets", TypeConverters.toInt)
+
+    def __init__(self, inputCol="words", outputCol="buckets", numFeatures=4096):
+        super().__init__()
+        self._setDefault(inputCol="words", outputCol="buckets", numFeatures=4096)
+        self._set(inputCol=inputCol, outputCol=outputCol, numFeatures=numFeatures)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        g = self.getOrDefault
+        n = g(self.numFeatures)
+        return df.withColumn(g(self.outputCol), F.transform(g(self.inputCol), lambda w: hash_bucket(w, n).cast("string")))
+
+
 class TextStep(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     """One step of the text chain over a column: ``cleanse``, ``tokens``, ``stop_words``, ``s_stem`` or ``unite``.
 
