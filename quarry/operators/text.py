@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.functions import stemming as st
 from quarry.functions import text as tf
 
 
@@ -134,16 +135,24 @@ def stem_column(c, mode: str = "s", is_array: bool = True) -> Column:
     if mode == "s":
         return F.transform(col, tf.s_stem) if is_array else tf.s_stem(col)
     if mode == "porter2":
-        from quarry.functions.porter2 import porter2_words, porter2_word
-        return porter2_words(col) if is_array else porter2_word(col)
+        return F.transform(col, st.stem) if is_array else st.stem(col)
     if mode in (None, "none"):
         return col
     raise ValueError(f"unknown stem mode {mode!r}")
 
 
-def stem_words(df: DataFrame, c: str = "word", out: str = "stem", mode: str = "s") -> DataFrame:
-    """Stem a word column or a word-array column (T5)."""
-    return df.withColumn(out, stem_column(c, mode, _is_array(df, c)))
+def stem_words(df: DataFrame, c: str = "word", out: str = "stem", mode: str = "s", distinct: bool = False) -> DataFrame:
+    """Stem a word column or a word-array column (T5).
+
+    With ``porter2`` a word column goes through the table of its distinct words, each
+    stemmed once and joined back; ``distinct`` says that the rows are such a table.
+    """
+    if mode != "porter2" or _is_array(df, c):
+        return df.withColumn(out, stem_column(c, mode, _is_array(df, c)))
+    if distinct:
+        return st.stem_projection(df, c, out)
+    table = st.stem_projection(df.select(F.col(c).alias("_word")).filter(F.col("_word").isNotNull()).distinct(), "_word", out)
+    return df.join(table, F.col(c) == F.col("_word"), "left").drop("_word")
 
 
 def unite_sentence(df: DataFrame, keys: Sequence[str] = ("doc_id", "line_no"),
@@ -203,8 +212,7 @@ def line_word_arrays(text, stop_words: Sequence[str] | None = tf.ENGLISH_STOP_WO
         if stem == "s":
             lw = F.transform(lw, lambda ws: F.transform(ws, tf.s_stem))
         else:
-            from quarry.functions.porter2 import porter2_lines
-            lw = porter2_lines(lw)
+            lw = F.transform(lw, lambda ws: stem_column(ws, stem, True))
     return lw
 
 

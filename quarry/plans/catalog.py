@@ -217,8 +217,10 @@ def q_labeled_text_lines(spark, root):
 
 @register("union_labeled", "SELECT doc_id, lang AS label FROM documents")
 def q_union_labeled(spark, root):
-    """One frame per class found in the table, null included, each given its label again."""
-    docs = read_table(spark, root, "documents").select("doc_id", "lang")
+    """One folder per class, null included, written in one scan; each is read alone (the others are pruned) and labelled again."""
+    path = shared_path(spark, "classes")
+    read_table(spark, root, "documents").select("doc_id", "lang").write.partitionBy("lang").parquet(path)
+    docs = spark.read.schema("doc_id long, lang string").parquet(path)
     classes = [r["lang"] for r in docs.select("lang").distinct().collect()]  # a row per class
     return sp.union_labeled({k: docs.filter(F.col("lang").eqNullSafe(F.lit(k))).select("doc_id") for k in classes})
 
@@ -857,13 +859,18 @@ from quarry.plans import jobs as jb  # noqa: E402
 from quarry.plans import models as md  # noqa: E402
 
 
-@register("porter2_stems")
+@register("porter2_stems", f"""
+WITH b AS ({sq.DOC_BAG}),
+{sq.porter2("b")},
+c AS (SELECT word, count(*) AS occurrences FROM b GROUP BY word)
+SELECT word, occurrences, stem FROM c JOIN stems USING (word)
+""")
 def q_porter2_stems(spark, root):
     """Distinct words with their English Snowball stems and occurrence counts (rows check)."""
     docs = read_table(spark, root, "documents").select("doc_id", "text")
     words = tx.explode_rows(docs, [], tx.document_words("text"), "word")
     counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("occurrences"))
-    return tx.stem_words(counted, "word", "stem", mode="porter2")
+    return tx.stem_words(counted, "word", "stem", mode="porter2", distinct=True)
 
 
 @register("linear_normal_equation", """
@@ -1282,4 +1289,4 @@ def q_linear_summary(spark, root):
     return own.unionByName(coef).select("metric", F.round("value", 4).alias("value"))
 
 
-from quarry.plans import search_queries  # noqa: E402, F401  (registers its queries)
+from quarry.plans import operator_queries, search_queries  # noqa: E402, F401  (they register their queries)

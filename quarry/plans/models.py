@@ -74,15 +74,14 @@ def train_svm(df: DataFrame, features="features", label="label", max_iter=100, r
 
 
 def train_word2vec(df: DataFrame, input_col="verse", output_col="embedding", vector_size=100, min_count=0,
-                   seed=1, num_partitions=None, max_iter=None, window_size=5):
+                   seed=1, num_partitions=8, max_iter=3, window_size=5):
     """Word2Vec; a row's vector is the mean of its word vectors.
 
-    Partitions default to the cluster's parallelism. Each sees its share of the sentences
-    an iteration and the vectors are averaged, so iterations grow with their square root.
+    Each partition sees its share of the sentences an iteration and the vectors are
+    averaged, so more partitions want more iterations. Both are the caller's to set and
+    do not follow the cluster's cores; ``model_statistics`` reports them.
     """
     from pyspark.ml.feature import Word2Vec
-    num_partitions = num_partitions or max(2, df.sparkSession.sparkContext.defaultParallelism)
-    max_iter = max_iter or max(1, round(num_partitions ** 0.5))
     return Word2Vec(inputCol=input_col, outputCol=output_col, vectorSize=vector_size, minCount=min_count,
                     seed=seed, numPartitions=num_partitions, maxIter=max_iter, windowSize=window_size).fit(df)
 

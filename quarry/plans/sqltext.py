@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from quarry.functions import stemming as st
 from quarry.functions import text as tf
 
 
@@ -71,3 +72,56 @@ FROM (SELECT doc_id, lang, line_no, {line_words('line')} AS ws FROM ({DOC_LINES}
 DOC_BAG = f"""
 SELECT doc_id, lang, unnest({line_words('text')}) AS word FROM documents
 """
+
+
+def porter2(words: str) -> str:
+    """CTEs up to ``stems`` (word, stem) for the relation ``words`` (word): a step each."""
+    def cut(n, add=""):
+        return f"left(w, length(w) - {n})" + (f" || {q(add)}" if add else "")
+
+    def region(start):
+        found = f"length(regexp_extract(substr(w, {start} + 1), {q('(' + st.FIRST_REGION + ')')}, 1))"
+        return f"CASE WHEN {found} > 0 THEN {start} + {found} ELSE length(w) END"
+
+    def first_suffix(rules):
+        return "CASE " + " ".join(f"WHEN suffix(w, {q(s)}) THEN CASE WHEN {c} THEN {cut(len(s), new)} ELSE w END" for s, c, new in rules) + " ELSE w END"
+
+    def inside(s, r):
+        return f"length(w) - {len(s)} >= {r}"
+
+    prefixes = q(f"^({'|'.join(st.R1_PREFIXES)})")
+    two = {"ogi": " AND suffix(w, 'logi')", "li": " AND regexp_matches(w, '[cdeghkmnrt]li$')"}
+    short, double, off, fix = q(st.SHORT_END), q(st.DOUBLE_END), q("^(.*[aeiouy].*)(ingly|edly|ing|ed)$"), "left(w, length(w) - 1)"
+    steps = {
+        "a0": f"regexp_replace(w, {q(chr(40) + chr(39) + 's' + chr(39) + '|' + chr(39) + 's|' + chr(39) + ')$')}, '')",
+        "a1": f"CASE WHEN suffix(w, 'sses') THEN {cut(2)} WHEN suffix(w, 'ied') OR suffix(w, 'ies') THEN "
+              f"CASE WHEN length(w) > 4 THEN {cut(2)} ELSE {cut(1)} END WHEN suffix(w, 'us') OR suffix(w, 'ss') THEN w "
+              f"WHEN regexp_matches(w, '[aeiouy].+s$') THEN {cut(1)} ELSE w END",
+        "b0": f"CASE WHEN suffix(w, 'eedly') THEN CASE WHEN length(w) - 5 >= r1 THEN {cut(5, 'ee')} ELSE w END "
+              f"WHEN suffix(w, 'eed') THEN CASE WHEN length(w) - 3 >= r1 THEN {cut(3, 'ee')} ELSE w END "
+              f"WHEN regexp_matches(w, {off}) THEN regexp_extract(w, {off}, 1) || '~' ELSE w END",
+        "b1": f"CASE WHEN NOT suffix(w, '~') THEN w WHEN regexp_matches({fix}, '(at|bl|iz)$') THEN {fix} || 'e' "
+              f"WHEN regexp_matches({fix}, {double}) THEN {cut(2)} "
+              f"WHEN r1 >= length(w) - 1 AND regexp_matches({fix}, {short}) THEN {fix} || 'e' ELSE {fix} END",
+        "c0": r"regexp_replace(w, '^(.+[^aeiouy])[yY]$', '\1i')",
+        "c2": first_suffix([(s, inside(s, "r1") + two.get(s, ""), new) for s, new in st.STEP2]),
+        "c3": first_suffix([(s, inside(s, "r2" if s == "ative" else "r1"), new) for s, new in st.STEP3]),
+        "c4": first_suffix([(s, inside(s, "r2") + (" AND regexp_matches(w, '[st]ion$')" if s == "ion" else ""), "") for s in st.STEP4]),
+        "c5": f"CASE WHEN suffix(w, 'e') THEN CASE WHEN length(w) - 1 >= r2 OR (length(w) - 1 >= r1 AND NOT regexp_matches({fix}, {short})) "
+              f"THEN {fix} ELSE w END WHEN suffix(w, 'll') AND length(w) - 1 >= r2 THEN {fix} ELSE w END",
+    }
+    known = " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in st.EXCEPTIONS.items())
+    after = "[" + ", ".join(map(q, st.AFTER_1A)) + "]"
+    lead = q("^'")
+    out = [rf"m0 AS (SELECT word, regexp_replace(regexp_replace(regexp_replace(word, {lead}, ''), '^y', 'Y'), '([aeiouy])y', '\1Y', 'g') AS w "
+           f"FROM (SELECT DISTINCT word FROM {words}))",
+           f"m1 AS (SELECT *, CASE WHEN regexp_matches(w, {prefixes}) THEN length(regexp_extract(w, {prefixes}, 1)) ELSE {region('0')} END AS r1 FROM m0)",
+           f"m2 AS (SELECT *, {region('r1')} AS r2, CAST(NULL AS VARCHAR) AS early FROM m1)"]
+    last = "m2"
+    for name, step in steps.items():
+        early = step if name == "a1" else "early"
+        out.append(f"{name} AS (SELECT word, r1, r2, {early} AS early, {step} AS w FROM {last})")
+        last = name
+    out.append(f"stems AS (SELECT word, CASE WHEN length(word) <= 2 THEN word WHEN word IN ({', '.join(map(q, st.EXCEPTIONS))}) THEN CASE word {known} END "
+               f"WHEN list_contains({after}, early) THEN early ELSE translate(w, 'Y', 'y') END AS stem FROM {last})")
+    return ",\n".join(out)

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from quarry.functions import text as tf
 from quarry.functions.hashing import hash_bucket
+from quarry.operators import encoders as en
+from quarry.operators import filters as fl
 from quarry.operators import text as tx
 
 
@@ -161,3 +163,87 @@ class WordExploder(Transformer, DefaultParamsReadable, DefaultParamsWritable):
         g = self.getOrDefault
         keep = [c for c in df.columns if c != g(self.inputCol)]
         return tx.explode_rows(df, keep, F.col(g(self.inputCol)), g(self.outputCol), g(self.positionCol))
+
+
+class RegressionExamples(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """(label, number, level, category, ...) -> label and [number, level code, one-hot slots]."""
+
+    labelCol = Param(Params._dummy(), "labelCol", "label column", TypeConverters.toString)
+    numericCol = Param(Params._dummy(), "numericCol", "numeric column", TypeConverters.toString)
+    levelCol = Param(Params._dummy(), "levelCol", "level column", TypeConverters.toString)
+    levelNames = Param(Params._dummy(), "levelNames", "known levels", TypeConverters.toListString)
+    levelCodes = Param(Params._dummy(), "levelCodes", "code of each known level", TypeConverters.toListFloat)
+    categoryCol = Param(Params._dummy(), "categoryCol", "category column", TypeConverters.toString)
+    categories = Param(Params._dummy(), "categories", "known categories, in order of their slots", TypeConverters.toListString)
+    otherSlot = Param(Params._dummy(), "otherSlot", "slot of other categories; -1: one after the known ones", TypeConverters.toInt)
+    outputCol = Param(Params._dummy(), "outputCol", "feature vector column", TypeConverters.toString)
+
+    def __init__(self, labelCol="label", numericCol="number", levelCol="level", levelNames=(), levelCodes=(), categoryCol="category",
+                 categories=(), otherSlot=-1, outputCol="features"):
+        super().__init__()
+        self._setDefault(labelCol="label", numericCol="number", levelCol="level", levelNames=[], levelCodes=[], categoryCol="category",
+                         categories=[], otherSlot=-1, outputCol="features")
+        self._set(labelCol=labelCol, numericCol=numericCol, levelCol=levelCol, levelNames=list(levelNames), levelCodes=list(levelCodes),
+                  categoryCol=categoryCol, categories=list(categories), otherSlot=otherSlot, outputCol=outputCol)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        g = self.getOrDefault
+        levels = dict(zip(g(self.levelNames), g(self.levelCodes), strict=True))
+        return en.regression_examples(df, g(self.labelCol), g(self.numericCol), g(self.levelCol), levels, g(self.categoryCol), g(self.categories),
+                                      g(self.outputCol), other=None if g(self.otherSlot) < 0 else g(self.otherSlot))
+
+
+class ClusteringExamples(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """(value, number, level, ...) -> dense [value, number, level code]."""
+
+    valueCol = Param(Params._dummy(), "valueCol", "value column", TypeConverters.toString)
+    numericCol = Param(Params._dummy(), "numericCol", "numeric column", TypeConverters.toString)
+    levelCol = Param(Params._dummy(), "levelCol", "level column", TypeConverters.toString)
+    levelNames = Param(Params._dummy(), "levelNames", "known levels", TypeConverters.toListString)
+    levelCodes = Param(Params._dummy(), "levelCodes", "code of each known level", TypeConverters.toListFloat)
+    outputCol = Param(Params._dummy(), "outputCol", "feature vector column", TypeConverters.toString)
+
+    def __init__(self, valueCol="value", numericCol="number", levelCol="level", levelNames=(), levelCodes=(), outputCol="features"):
+        super().__init__()
+        self._setDefault(valueCol="value", numericCol="number", levelCol="level", levelNames=[], levelCodes=[], outputCol="features")
+        self._set(valueCol=valueCol, numericCol=numericCol, levelCol=levelCol, levelNames=list(levelNames), levelCodes=list(levelCodes), outputCol=outputCol)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        g = self.getOrDefault
+        levels = dict(zip(g(self.levelNames), g(self.levelCodes), strict=True))
+        return en.clustering_examples(df, g(self.valueCol), g(self.numericCol), g(self.levelCol), levels, g(self.outputCol))
+
+
+class WideExamples(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """Many numeric columns -> one vector; the others are kept."""
+
+    inputCols = Param(Params._dummy(), "inputCols", "feature columns", TypeConverters.toListString)
+    labelCol = Param(Params._dummy(), "labelCol", "label column", TypeConverters.toString)
+    outputCol = Param(Params._dummy(), "outputCol", "feature vector column", TypeConverters.toString)
+
+    def __init__(self, inputCols=(), labelCol="label", outputCol="features"):
+        super().__init__()
+        self._setDefault(inputCols=[], labelCol="label", outputCol="features")
+        self._set(inputCols=list(inputCols), labelCol=labelCol, outputCol=outputCol)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        g = self.getOrDefault
+        return en.wide_examples(df, g(self.inputCols), g(self.labelCol), g(self.outputCol))
+
+
+class Labeler(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """A constant label, and an id where ``idCol`` is given, for rows of unknown class."""
+
+    labelCol = Param(Params._dummy(), "labelCol", "label column", TypeConverters.toString)
+    labelValue = Param(Params._dummy(), "labelValue", "the label", TypeConverters.toFloat)
+    idCol = Param(Params._dummy(), "idCol", "id column; empty: none", TypeConverters.toString)
+    idValue = Param(Params._dummy(), "idValue", "the id", TypeConverters.toString)
+
+    def __init__(self, labelCol="label", labelValue=-1.0, idCol="", idValue="unknown"):
+        super().__init__()
+        self._setDefault(labelCol="label", labelValue=-1.0, idCol="", idValue="unknown")
+        self._set(labelCol=labelCol, labelValue=labelValue, idCol=idCol, idValue=idValue)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        g = self.getOrDefault
+        return fl.with_unknown_label(df, g(self.labelCol), g(self.labelValue), g(self.idCol) or None, g(self.idValue))

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,6 +67,35 @@ def read_class_dirs(spark: SparkSession, dirs: Mapping[str, str], whole: bool =
     return out
 
 
+def read_numbered_lines(spark: SparkSession, path, sep: str | None = "\n", reader_filter: bool = True) -> DataFrame:
+    """Lines of text files with their file, byte block and number inside the file (S3, W1): (id, block, line_no, value).
+
+    A large file is read in splits by many tasks. A line knows its split's first byte
+    (``block``) and its place among the split's rows; lines of earlier splits of the file
+    are a prefix over one row per (file, split). So a number needs no task that sees the
+    whole file, and is the same for every split size. With ``reader_filter`` only lines
+    that are not empty and contain a space are kept and numbered (P2, P3). ``path`` may
+    be a ``{label: glob}`` mapping; then ``label`` is a column. Compressed files are one split.
+    """
+    if isinstance(path, Mapping):
+        out = None
+        for label, glob in path.items():
+            r = read_numbered_lines(spark, glob, sep, reader_filter).withColumn("label", F.lit(label))
+            out = r if out is None else out.unionByName(r)
+        return out
+    r = spark.read.text(path, lineSep=sep).select(
+        F.col("_metadata.file_path").alias("id"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("_row"), "value")  # ascends with the rows of a split
+    if reader_filter:
+        r = r.filter((F.col("value") != "") & F.col("value").contains(" "))
+    sizes = r.groupBy("id", "block").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # a row per split
+    before = sizes.select("id", "block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("id", "block").orderBy("_row"))
+    return (r.withColumn("_place", place).join(before, ["id", "block"])
+            .select("id", "block", (F.col("_before") + F.col("_place")).cast("long").alias("line_no"), "value"))
+
+
 def write_labeled_vectors(df: DataFrame, path: str, label: str, arr: str) -> str:
     """(label double, features vector) Parquet (S5): one projection, executors write."""
     from quarry.operators.encoders import labeled_vectors

@@ -1,18 +1,9 @@
-"""English Snowball ("Porter2") stemmer, written from the published algorithm description.
-
-A small per-word helper. Spark calls it through Arrow-batched pandas UDFs over word
-arrays; each Python worker memoises stems, so a word is stemmed about once per
-worker however often it occurs, and the corpus is not shuffled for stemming.
-"""
+"""English Snowball ("Porter2") word by word, from the published algorithm: what the column expressions are held against."""
 
 from __future__ import annotations
 
 from functools import lru_cache
 
-import pandas as pd
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
 # --- fixed values of the algorithm ---------------------------------------------
 VOWELS = frozenset("aeiouy")
 DOUBLES = ("bb", "dd", "ff", "gg", "mm", "nn", "pp", "rr", "tt")
@@ -180,24 +171,3 @@ def stem(word: str) -> str:
         if len(w) - 1 >= r2 and w.endswith("ll"):
             w = w[:-1]
     return w.replace("Y", "y")
-
-
-def _stem_list(ws):
-    if ws is None:
-        return None
-    return [stem(x) if x is not None else None for x in ws]
-
-
-@F.pandas_udf(T.StringType())
-def porter2_word(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: stem(x) if x is not None else None)
-
-
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def porter2_words(s: pd.Series) -> pd.Series:
-    return s.map(_stem_list)
-
-
-@F.pandas_udf(T.ArrayType(T.ArrayType(T.StringType())))
-def porter2_lines(s: pd.Series) -> pd.Series:
-    return s.map(lambda lines: None if lines is None else [_stem_list(l) for l in lines])

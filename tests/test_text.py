@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from quarry.functions import text as tf
-from quarry.functions.porter2 import stem
+from quarry.functions import stemming as st
+from tests.porter2_plain import stem
 from quarry.operators import text as tx
 
 
@@ -96,10 +97,30 @@ def test_porter2_known_pairs(word, expected):
     assert stem(word) == expected
 
 
-def test_porter2_udf_on_arrays(spark):
-    df = spark.createDataFrame([(["running", "cats"],), (None,)], ["w"])
-    got = tx.stem_words(df, "w", "s2", mode="porter2").orderBy(F.col("w").isNull()).collect()
-    assert got[0]["s2"] == ["run", "cat"] and got[1]["s2"] is None
+def test_porter2_columns_equal_the_plain_stemmer(spark):
+    import random
+    rng = random.Random(11)
+    ends = [e for e, _ in st.STEP2 + st.STEP3] + st.STEP4 + ["s", "sses", "ies", "ied", "ed", "edly", "ing", "ingly", "eed", "eedly", "e", "ll", "l", "y",
+                                                             "'s", "'s'", "'", "logi", "tion", "sion", "us", "ss", "ly", ""]
+    words = ["", "a", "by", "sky", "yy", "ayy", "yay", "byy", "'tis", "o'clock's", "x1ed", "naïve", "bed", "shred", "hop", "hoping", "hopping", "falling",
+             "hissing", "failing", "cry", "say", "enjoyed", "generically", "communing", "arsenal", *st.EXCEPTIONS, *st.AFTER_1A, "innings", "exceeds"]
+    for _ in range(3000):
+        core = "".join(rng.choice(["b", "c", "d", "t", "l", "y", "a", "e", "i", "o", "s", "nn", "th", "gener", "w", "x"]) for _ in range(rng.randint(0, 4)))
+        words.append(core + rng.choice(ends) + (rng.choice(ends) if rng.random() < 0.3 else ""))
+    df = spark.createDataFrame([(w,) for w in words] + [(None,), ("hoping",)], "w string")
+    want = {w: stem(w) for w in words} | {None: None}
+    for made in (tx.stem_words(df, "w", "s2", mode="porter2"), tx.stem_words(df, "w", "s2", mode="porter2", distinct=True)):
+        got = made.collect()
+        assert len(got) == len(words) + 2 and {r["w"]: r["s2"] for r in got} == want
+    arrays = spark.createDataFrame([(words[:400],), (None,), (["running", "cats", None],)], "w array<string>")
+    got = {tuple(r["w"]) if r["w"] is not None else None: r["s2"] for r in tx.stem_words(arrays, "w", "s2", mode="porter2").collect()}
+    assert got == {tuple(words[:400]): [stem(w) for w in words[:400]], None: None, ("running", "cats", None): ["run", "cat", None]}
+
+
+def test_verse_chain_stems_with_porter2(spark):
+    df = spark.createDataFrame([(1, "running dogs barked\nhopefulness is dying"), (2, None)], "doc_id int, text string")
+    got = tx.text_verses(df, n=2, stem="porter2").collect()
+    assert [r["verse"] for r in got] == [["run", "dog", "bark", "hope", "die"]]
 
 
 def test_request_lines_skip_blank(spark):
