@@ -243,25 +243,35 @@ def read_chunks(spark: SparkSession, manifest: DataFrame, folder: str, chunk_byt
                     if rows:
                         yield _batch(rows, schema)
 
-    # one archive to a task: their number follows the data
+    # one archive to a task: a stated number of partitions is not coalesced, paths being a few bytes
     paths = manifest.select("path")
-    return paths.repartition(F.col("path")).mapInArrow(read, CHUNKS)
+    return paths.repartition(max(1, paths.count())).mapInArrow(read, CHUNKS)
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
 
-def archived_pages(chunks: DataFrame) -> DataFrame:
-    """One row per record: its last chunk, with a revisit's length taken from its response."""
+def last_chunks(chunks: DataFrame, path: str) -> DataFrame:
+    """The last chunk of every record, written below ``path``: archives are read once for both kinds of record."""
     last = chunks.where("is_last").select(
         "record_id", (F.col("start") + F.col("n_bytes")).alias("n"), "digest", "record_type", "refers_to", "stated_digest")
+    last.write.mode("overwrite").parquet(path)
+    return chunks.sparkSession.read.schema(last.schema).parquet(path)
+
+
+def archived_pages(last: DataFrame) -> DataFrame:
+    """One row per record of its last chunk, with a revisit's length taken from its response.
+
+    A revisit whose response is not there, or has another digest, is an error.
+    """
     held = last.where("record_type = 'response'")
     responses = held.select(F.col("record_id").alias("refers_to"), F.col("n").alias("_n"), F.col("digest").alias("_d"))
-    revisits = (last.where("record_type = 'revisit'").drop("n", "digest")
-                .join(responses.hint("merge"), "refers_to", "left").where(F.col("_d") == F.col("stated_digest")))
+    revisits = last.where("record_type = 'revisit'").drop("n", "digest").join(responses.hint("merge"), "refers_to", "left")
+    sound = F.when(F.col("_d").eqNullSafe(F.col("stated_digest")), F.col("_n")).otherwise(
+        F.raise_error(F.concat(F.lit("no response with this payload: "), F.col("record_id"))).cast("long"))
     return held.select("record_id", "n", "digest", "record_type", "refers_to").unionByName(
-        revisits.select("record_id", F.col("_n").alias("n"), F.col("_d").alias("digest"), "record_type", "refers_to"))
+        revisits.select("record_id", sound.alias("n"), F.col("stated_digest").alias("digest"), "record_type", "refers_to"))
 
 
 def warc_round_trip(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", url_col: str | None = "url",
@@ -270,7 +280,7 @@ def warc_round_trip(pages: DataFrame, id_col: str = "page_id", html_col: str = "
     spark = pages.sparkSession
     folder = folder or shared_path(spark, "warc")
     manifest = write_archives(pages, folder, id_col, html_col, url_col, min_revisit_bytes, chunk_bytes=chunk_bytes)
-    back = archived_pages(read_chunks(spark, manifest, folder, chunk_bytes, with_data=False))
+    back = archived_pages(last_chunks(read_chunks(spark, manifest, folder, chunk_bytes, with_data=False), f"{folder}/last"))
     t = pages.schema[id_col].dataType
     return back.select(page_of(F.col("record_id")).cast(t).alias("page_id"), F.col("n").cast("long").alias("payload_bytes"),
                        F.col("digest").alias("payload_digest"), "record_type",
