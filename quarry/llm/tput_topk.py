@@ -3,9 +3,9 @@
 The components of a vector are cut into ``lists`` slices; a slice's partial inner product
 is an object's entry in that score list. For a block of queries:
 
-1. every task gathers the local top k of each list and the exact scores of those objects;
-   the k-th best exact score of a query over all tasks is a safe cutoff: at least k
-   objects reach it;
+1. every task computes its objects' entries, gathers the local top k of each list and resolves
+   the whole scores of those objects alone; the k-th best whole score of a query over all
+   tasks is a safe cutoff: at least k objects reach it;
 2. the cutoffs are broadcast. An object can only reach cutoff T if one of its list
    entries is at least T / lists, so each task collects its entries from that value on
    (partial scores may be negative; the sum argument does not need a sign);
@@ -59,15 +59,23 @@ def _matrix(col: pa.Array, dims: int) -> np.ndarray:
 
 
 def _dot(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Exact integer inner products (queries x rows) as int64."""
+    """Exact integer inner products (queries x rows): int64, or Python integers where they may outgrow 53 bits."""
     if q.size == 0 or x.size == 0:
         return np.zeros((len(q), len(x)), dtype=np.int64)
     if np.abs(q).max() * np.abs(x).max() * q.shape[1] < 2.0 ** 53:
         return (q @ x.T).astype(np.int64)
     qi = np.array([[int(v) for v in r] for r in q], dtype=object)
     xi = np.array([[int(v) for v in r] for r in x], dtype=object)
-    top = (1 << 63) - 1
-    return np.array([[max(-top - 1, min(top, int(v))) for v in r] for r in qi @ xi.T], dtype=np.int64)
+    return qi @ xi.T
+
+
+TOP = (1 << 63) - 1
+
+
+def resolved(parts: list[np.ndarray], i: int, at: np.ndarray) -> np.ndarray:
+    """Whole scores of query ``i`` for the rows ``at``: the list entries are added before anything is cut to 64 bits."""
+    total = sum(p[i][at].astype(object) if p.dtype == object else p[i][at] for p in parts)
+    return np.array([max(-TOP - 1, min(TOP, int(v))) for v in total], dtype=np.int64) if total.dtype == object else total
 
 
 def _slices(dims: int, lists: int) -> list[slice]:
@@ -77,6 +85,8 @@ def _slices(dims: int, lists: int) -> list[slice]:
 
 def _best(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Positions of the k best of one query, ties to the smaller id."""
+    if score.dtype == object:
+        return np.array(sorted(range(len(score)), key=lambda j: (-score[j], ids[j]))[:k], dtype=np.int64)
     if len(score) > 4 * k:
         at = np.flatnonzero(score >= np.partition(score, len(score) - k)[len(score) - k])
     else:
@@ -105,12 +115,13 @@ def search_block(data: DataFrame, ids: np.ndarray, queries: np.ndarray, k: int,
         for b in batches:
             vid, x = b.column(0).to_numpy(), _matrix(b.column(1), dims)
             parts = [_dot(q[:, s], x[:, s]) for s in cuts]
-            whole, out = sum(parts), []
-            for i in range(len(qid)):
+            out = []
+            for i in range(len(qid)):  # whole scores of the lists' heads only
                 near = {int(j) for p in parts for j in _best(p[i], vid, k + 1)}
                 at = np.array([j for j in sorted(near) if vid[j] != qid[i]], dtype=np.int64)
-                at = at[_best(whole[i][at], vid[at], k)]
-                out.append((np.full(len(at), qid[i]), vid[at], whole[i][at]))
+                score = resolved(parts, i, at)
+                best = _best(score, vid[at], k)
+                out.append((np.full(len(best), qid[i]), vid[at][best], score[best]))
             yield _rows(out)
 
     found = _top_of(data.mapInArrow(local_lists, "query_id long, vec_id long, score long"), k)
@@ -127,9 +138,9 @@ def search_block(data: DataFrame, ids: np.ndarray, queries: np.ndarray, k: int,
             for i in range(len(qid)):
                 seen = np.zeros(len(vid), dtype=bool)
                 for p in parts:  # p >= T / lists, in whole numbers
-                    seen |= p[i] >= -((-int(least[i])) // len(cuts))
+                    seen |= (p[i] >= -((-int(least[i])) // len(cuts))).astype(bool)
                 at = np.flatnonzero(seen & (vid != qid[i]))
-                score = sum(p[i][at] for p in parts)
+                score = resolved(parts, i, at)  # of the collected objects only
                 at, score = at[score >= least[i]], score[score >= least[i]]
                 best = _best(score, vid[at], k)
                 out.append((np.full(len(best), qid[i]), vid[at][best], score[best]))

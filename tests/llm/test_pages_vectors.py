@@ -113,3 +113,48 @@ def test_few_candidates_and_large_components(spark):
     assert small == [int(1024 * 1e11) * 2048 - 3072 * 1024]
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert tput_topk.top_k(empty, F.col("vec_id") % 100 == 0).count() == 0
+
+
+def test_scores_are_added_before_they_are_cut(spark):
+    rows = [(0, [9765625.0, 9765625.0]), (1, [9765625.0, -9765624.9990234375]), (2, [-9765625.0, 9765625.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.vec_id): r.score for r in tput_topk.top_k(vectors, F.col("vec_id") == 0, k=2).collect()}
+    assert got == {(0, 1): 10_000_000_000, (0, 2): 0}
+
+
+def test_only_heads_and_collected_rows_are_resolved(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    parts = [rng.integers(-50, 50, size=(1, 4000)) for _ in range(4)]
+    whole = sum(parts)[0]
+    seen = []
+    for p in parts:
+        seen += list(tput_topk._best(p[0], np.arange(4000), 11))
+    heads = np.array(sorted(set(map(int, seen))))
+    cutoff = np.sort(tput_topk.resolved(parts, 0, heads))[-10]
+    collected = np.flatnonzero(np.any([p[0] >= -((-int(cutoff)) // 4) for p in parts], axis=0))
+    assert set(np.argsort(-whole, kind="stable")[:10]) <= set(collected)
+    assert len(heads) <= 44 and len(collected) < 4000
+    assert (tput_topk.resolved(parts, 0, collected) == whole[collected]).all()
+
+
+def test_many_archives_are_read_by_many_tasks_and_once(spark):
+    pages = spark.createDataFrame([(i, "u", f"page {i} " * 50) for i in range(50)], "page_id long, url string, html string").repartition(50)
+    folder = shared_path(spark, "warc-many")
+    manifest = warc_chunks.write_archives(pages, folder, archive_bytes=1)
+    assert manifest.count() == 50
+    chunks = warc_chunks.read_chunks(spark, manifest, folder)
+    last = warc_chunks.last_chunks(chunks.withColumn("n_bytes", F.col("n_bytes")), f"{folder}/last")
+    assert len([p for p in last.select(F.input_file_name()).distinct().collect()]) > 20
+    assert warc_chunks.archived_pages(last).count() == 50
+
+
+def test_a_revisit_without_its_response_is_an_error(spark):
+    pages = spark.createDataFrame([(1, "u", "same"), (2, "u", "same"), (3, "u", "other")], "page_id long, url string, html string")
+    folder = shared_path(spark, "warc-torn")
+    manifest = warc_chunks.write_archives(pages, folder)
+    last = warc_chunks.last_chunks(warc_chunks.read_chunks(spark, manifest, folder), f"{folder}/last")
+    assert warc_chunks.archived_pages(last).count() == 3
+    for torn in (last.where("not (record_type = 'response' and record_id like '%:2:%')"),
+                 last.withColumn("stated_digest", F.when(F.col("record_type") == "revisit", F.lit("X")).otherwise(F.col("stated_digest")))):
+        with pytest.raises(Exception, match="no response with this payload"):
+            warc_chunks.archived_pages(torn).collect()
