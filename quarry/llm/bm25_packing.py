@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 from quarry.llm.common import as_bytes
 from quarry.session import shared_path
 
+SALTS = 64
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -228,8 +229,10 @@ def pack_documents(docs: DataFrame, path: str, window: int = 2048, end_id: int =
     shards, part = max(1, -(-total // shard_tokens)), max(1, shard_tokens // 8)
     heavy = (rows.groupBy("key").agg(F.sum("weight").alias("w")).where(F.col("w") > part)
              .select("key", F.ceil(F.col("w") / part).alias("parts")))
+    # a heavy key's rows are spread over SALTS keys of the join, where they would else meet in one task
+    heavy = heavy.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
     piece = F.when(F.col("parts").isNotNull(), F.pmod(F.xxhash64("row"), F.col("parts")))
-    dealt = rows.join(heavy, "key", "left").select(
+    dealt = rows.withColumn("salt", F.pmod(F.col("row"), F.lit(SALTS))).join(heavy, ["key", "salt"], "left").select(
         "doc_id", "n", "heads", "ids",
         F.pmod(F.xxhash64("key", F.coalesce(piece, F.lit(0))), F.lit(shards)).alias("shard"))
     return _pack_shards(dealt, window, id_type, with_ids)
