@@ -38,6 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import as_bytes, cut
+from quarry.session import shared_path
 
 END = b"\n"          # no word holds it
 CLASSES, MEMBERS = 32, 32
@@ -80,13 +81,13 @@ def _chunks(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[tup
         yield base + no, ids, flags, texts
 
 
-def word_blocks(docs: DataFrame, buckets: int, chunk_bytes: int) -> DataFrame:
+def word_blocks(chunks: DataFrame, buckets: int) -> DataFrame:
     """(bucket, chunk, words, counts): distinct words of each chunk with their training counts."""
     def run(batches):
-        for chunk, _, train, texts in _chunks(batches, chunk_bytes):
+        for chunk, packed in _rows_of(batches):
             counts: Counter[bytes] = Counter()
             seen: set[bytes] = {END}
-            for f, t in zip(train, texts, strict=True):
+            for _, f, t in _texts(packed):
                 words = t.split()
                 if f:
                     counts.update(words)
@@ -100,7 +101,7 @@ def word_blocks(docs: DataFrame, buckets: int, chunk_bytes: int) -> DataFrame:
                 "bucket": pa.array(list(parts), pa.int32()), "chunk": pa.array([chunk] * len(parts), pa.int64()),
                 "words": pa.array([_squeeze(b" ".join(ws)) for ws in parts.values()], pa.binary()),
                 "counts": pa.array([_squeeze(np.array([counts[w] for w in ws], dtype="<u4").tobytes()) for ws in parts.values()], pa.binary())})
-    return docs.mapInArrow(run, "bucket int, chunk long, words binary, counts binary")
+    return chunks.mapInArrow(run, "bucket int, chunk long, words binary, counts binary")
 
 
 def counted(blocks: DataFrame, top: int = TOP) -> DataFrame:
@@ -360,25 +361,50 @@ class ChunkCodes:
         return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
 
 
-def packed_texts(docs: DataFrame, id_type: str, chunk_bytes: int, keep: Column | None = None) -> DataFrame:
-    """(chunk, doc_ids, flags, sizes, texts): the texts of each chunk (those marked ``keep``), packed."""
+def written_chunks(docs: DataFrame, id_type: str, chunk_bytes: int, folder: str) -> DataFrame:
+    """(chunk, doc_ids, flags, parts, sizes, texts) of about ``chunk_bytes`` of lower-cased text, written below ``folder``.
+
+    Counting, every round of training and scoring read the same chunks, so a word's number in
+    a chunk holds whatever the order in which the source gives its rows.
+    """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
-    ddl = f"chunk long, doc_ids array<{id_type}>, flags array<boolean>, sizes array<long>, texts binary"
+    ddl = f"chunk long, doc_ids array<{id_type}>, flags array<boolean>, parts array<int>, sizes array<long>, texts binary"
     schema = to_arrow_schema(StructType.fromDDL(ddl))
-    marked = docs.select("doc_id", F.struct("train", (F.lit(True) if keep is None else keep).alias("keep")).alias("f"), "text")
 
     def run(batches):
-        for chunk, ids, flags, texts in _chunks(batches, chunk_bytes):
-            at = [i for i, f in enumerate(flags) if f["keep"]]
-            if at:
-                row = (chunk, [ids[i] for i in at], [flags[i]["train"] for i in at], [len(texts[i]) for i in at],
-                       _squeeze(b"".join(texts[i] for i in at)))
-                yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
-    return marked.mapInArrow(run, ddl)
+        for chunk, ids, marks, texts in _chunks(batches, chunk_bytes):
+            row = (chunk, ids, [m["train"] for m in marks], [m["part"] for m in marks], [len(t) for t in texts], _squeeze(b"".join(texts)))
+            yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
+
+    docs.select("doc_id", F.struct("train", "part").alias("m"), "text").mapInArrow(run, ddl).write.parquet(folder)
+    return docs.sparkSession.read.schema(StructType.fromDDL(ddl)).parquet(folder)
 
 
-def _texts(packed: pd.DataFrame) -> Iterator[tuple]:
+def training_part(chunks: DataFrame, part: int) -> DataFrame:
+    """The chunks' training documents of one part."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    schema = to_arrow_schema(chunks.schema)
+
+    def run(batches):
+        for b in batches:
+            for r in b.to_pylist():
+                at = [i for i, (f, p) in enumerate(zip(r["flags"], r["parts"], strict=True)) if f and p == part]
+                if at:
+                    texts = [t for _, _, t in _texts({k: [r[k]] for k in ("doc_ids", "flags", "sizes", "texts")})]
+                    row = (r["chunk"], *([r[k][i] for i in at] for k in ("doc_ids", "flags", "parts", "sizes")), _squeeze(b"".join(texts[i] for i in at)))
+                    yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
+    return chunks.mapInArrow(run, chunks.schema)
+
+
+def _rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, dict]]:
+    """(chunk, its columns) of rows of the chunk table."""
+    for b in batches:
+        for r in b.to_pylist():
+            yield r["chunk"], {k: [r[k]] for k in ("doc_ids", "flags", "sizes", "texts")}
+
+
+def _texts(packed) -> Iterator[tuple]:
     for ids, flags, sizes, blob in zip(packed["doc_ids"], packed["flags"], packed["sizes"], packed["texts"], strict=True):
         joined, at = (_inflate(blob) if sum(sizes) else b""), 0
         for i, f, n in zip(ids, flags, sizes, strict=True):
@@ -429,16 +455,17 @@ def lm_scores(docs: DataFrame, training: Column, id_col: str = "doc_id", text_co
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     named = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(training, F.lit(False)).alias("train"), F.col(text_col).cast("string").alias("text"))
     id_type = named.schema["doc_id"].dataType.simpleString()
-    table = cut(counted(word_blocks(named, buckets, chunk_bytes)))
+    part = F.pmod(F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.crc32("text")), F.lit(share * rounds))
+    chunks = written_chunks(named.withColumn("part", part.cast("int")), id_type, chunk_bytes, shared_path(spark, "lm-chunks"))
+    table = cut(counted(word_blocks(chunks, buckets)))
     vocabulary = Vocabulary([(r["words"], r["counts"]) for r in table.where("chunk is null").collect()])  # one row per bucket
     answers = table.where("chunk is not null")
     words = spark.sparkContext.broadcast(vocabulary.arrays())
     w = first_weights(vocabulary)
 
-    part = F.pmod(F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.crc32("text")), F.lit(share * rounds))
     for k in range(rounds):
         start = spark.sparkContext.broadcast(_weights_row(w))
-        some = packed_texts(named, id_type, chunk_bytes, F.col("train") & (part == k))
+        some = training_part(chunks, k)
         learned = some.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(
             _learner(words, start, {n: v.shape for n, v in w.items()}, 0.01 / (1 + k)), "lane int, weights binary, tokens long")
         means = learned.where("tokens > 0").groupBy("lane").applyInPandas(lambda pdf: _mean(pdf), "weights binary, tokens long")
@@ -461,6 +488,5 @@ def lm_scores(docs: DataFrame, training: Column, id_col: str = "doc_id", text_co
                         base if model is None else float(model[i] + codes.share[n].sum()) / LN10))
         return pd.DataFrame(out, columns=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    texts = packed_texts(named, id_type, chunk_bytes)
-    return texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(
+    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(
         score, f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quarry.llm import apportion, combo_join, crf_quality, gru_lm, kn_toxicity, prefix_tokens, vector_shards, word_bpe
 from quarry.llm.common import doc_crc
@@ -313,6 +314,18 @@ def test_lm_base_score_and_counts(spark, odd, none):
     assert gru_lm.lm_scores(none, training).count() == 0
 
 
+def test_lm_reads_the_same_chunks_in_every_pass(spark):
+    rng = random.Random(16)
+    rows = [(i, prose(rng, rng.randint(1, 30))) for i in range(120)]
+    # each read of the source deals its rows anew
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4, F.rand()).select("doc_id", "text")
+    got = gru_lm.lm_scores(docs, doc_crc("doc_id") % 7 != 2, chunk_bytes=800, buckets=2, rounds=2).collect()
+    c = Counter(w for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2 for w in [*t.lower().split(), "\n"])
+    n, v = sum(c.values()), len(c)
+    want = {i: sum(math.log10((c[w] + 1) / (n + v + 1)) for w in [*t.lower().split(), "\n"]) for i, t in rows}
+    assert len(got) == 120 and all(abs(r.base_score - want[r.doc_id]) < 1e-6 and math.isfinite(r.score) for r in got)
+
+
 def test_lm_learns_from_all_training_documents_for_held_out_text(spark):
     # a word is followed by the next one of a ring: counts of words alone do not tell it
     rng = random.Random(6)

@@ -100,3 +100,54 @@ def test_run_gives_the_last_stage(spark, tables):
     out = cp.run(spark, folder)
     assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and out.count() > 0
     assert len(cp.STAGES) == 5 and cp.ORACLE_SQL is None
+
+
+ODD = "doc_id long, text string, lang string, source string, n_chars long, _key string, size int, node int, taken long, class string"
+
+
+def odd_tables(spark, folder, rows, labels):
+    spark.createDataFrame(rows, ODD).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return spark.read.parquet(f"{folder}/documents.parquet")
+
+
+def test_each_stage_on_odd_rows_and_clashing_columns(spark, tmp_path):
+    from tests.llm.conftest import odd_rows
+    rows = [(i, t, "en", s, 1, "k", 1, 2, 3, "x") for i, t, s in odd_rows()]
+    rows += [(None, None, None, None, None, None, None, None, None, None)] * 2
+    labels = [(i, int(i % 3 != 0), int(i % 4 == 0)) for i in range(100, 140)] + [(None, 1, 0), (1, None, None)]
+    docs = odd_tables(spark, str(tmp_path), rows, labels)
+    have = Counter(tuple(r) for r in docs.collect())
+    for name, stage in cp.STAGES[:3]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns and not Counter(tuple(r) for r in out.collect()) - have, name
+    mixed = cp.STAGES[3][1](spark, docs, str(tmp_path))
+    texts = defaultdict(set)  # two rows may share id and source
+    for r in have:
+        texts[(r[0], r[3])].add(r[1] or "")
+    assert mixed.columns == docs.columns
+    assert all(any(r.text in t for t in texts[(r.doc_id, r.source)]) for r in mixed.collect())
+    last = cp.STAGES[4][1](spark, docs, str(tmp_path)).collect()
+    assert Counter(r.doc_id for r in last) == Counter(r[0] for r in docs.collect())
+
+
+def test_each_stage_on_an_empty_table(spark, tmp_path):
+    docs = odd_tables(spark, str(tmp_path), [], [])
+    for name, stage in cp.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.count() == 0, name
+    assert cp.run(spark, str(tmp_path)).count() == 0
+
+
+def test_mixing_many_rows_without_an_id(spark):
+    rng = random.Random(31)
+    rows = [(None, prose(rng, 20), "en", f"s{i % 4}", 1, None, None, None, None, None) for i in range(400)]
+    docs = spark.createDataFrame(rows, ODD)
+    out = cp.mixing(spark, docs, "").collect()
+    sizes = Counter(r[3] for r in rows)
+    names = sorted(sizes)
+    want = apportion.capped_targets([20 * sizes[s] for s in names], [(1, 2, 3)[k % 3] for k in range(4)], 3)
+    got = Counter()
+    for r in out:
+        got[r.source] += len(words(r.text))
+    assert all(abs(got[s] - t) <= 4 * 64 for s, t in zip(names, want))
