@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from quarry.functions.hashing import hash_bucket
 from quarry.operators.sampling import assign_folds
 from quarry.operators.text import explode_rows, line_word_arrays
-from quarry.session import shared_root
+from quarry.session import shared_path, shared_root
 
 ROW = ("variant", "id", "part")
 
@@ -64,11 +64,10 @@ def bucket_variants(rows: DataFrame, sizes: Sequence[int], words: str = "words")
             .withColumn("variant", F.col("variant") * len(sizes) + F.col("_b.j")).drop("_b"))
 
 
-def _term_table(rows: DataFrame) -> DataFrame:
-    """(variant, id, part, fold, label, term, tf), written once."""
-    keys = [*ROW, "fold", "label"]
-    shared_root(rows.sparkSession)
-    return explode_rows(rows, keys, F.col("words"), "term").groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf")).checkpoint()
+def _written(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written and read again: what made it runs once, later reads take the columns they need."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _outside(total: Column, by_fold: Column, fold: Column) -> Column:
@@ -85,9 +84,12 @@ def nb_fold_scores(rows: DataFrame, smoothings: Sequence[float] = (1.0,), idf_fe
     """
     spark = rows.sparkSession
     points = [(d, s) for d in (min_doc_freqs if idf_features else (0,)) for s in smoothings]
-    terms = _term_table(rows)
+    folder, own = shared_path(spark, "nb-search"), [*ROW, "fold", "label"]
+    rows = _written(rows.select(*own, "words", F.size("words").alias("size")), f"{folder}/rows")
+    terms = explode_rows(rows, own, F.col("words"), "term").groupBy(*own, "term").agg(F.count(F.lit(1)).alias("tf"))
+    terms = _written(terms, f"{folder}/terms")
     # what the classes hold, by fold: rows and occurrences
-    sizes = (rows.groupBy("variant", "label", "fold").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("words")).alias("s"))
+    sizes = (rows.groupBy("variant", "label", "fold").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("s"))
              .groupBy("variant", "label").agg(F.sum("n").alias("n"), F.sum("s").alias("s"),
                                               F.map_from_entries(F.collect_list(F.struct("fold", "n"))).alias("n_in"),
                                               F.map_from_entries(F.collect_list(F.struct("fold", "s"))).alias("s_in")))
