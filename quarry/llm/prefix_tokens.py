@@ -6,12 +6,14 @@ last piece of the shorter prefix before it, and count[p] = count[p - len(piece)]
 gives the exact count at every prefix p from left to right. No piece of these models
 reaches across the start of a word (a space is only ever the head of a piece) or across
 a line break, so a text is a sequence of segments; the table of a segment, its count at
-each of its prefixes, is computed once a worker and a text's table is the running sum of
-its segments' tables. Truncation and budget questions are answered from the tables.
+each of its prefixes, comes from one pass of an automaton that names the pieces ending at
+each place, is kept in the worker while it is asked for, and a text's table is the running
+sum of its segments' tables. Truncation and budget questions are answered from the tables.
 
 Defined results: null and empty texts have no tokens; equal rows give equal rows; an
 empty table gives an empty frame. Nothing is normalised, truncated or padded, and special
-strings are ordinary text, as the library's default is.
+strings are ordinary text, as the library's default is. A very long text is counted whole,
+segment by segment; a long segment without spaces takes time and room in proportion to it.
 """
 
 from __future__ import annotations
@@ -19,7 +21,9 @@ from __future__ import annotations
 import re
 import sys
 import types
+from collections.abc import Iterable, Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -45,11 +49,18 @@ class PrefixTables:
         self.score = {p.piece: p.score for p in spec.pieces if p.type == 1}
         if any(SPACE in p.lstrip(SPACE) or "\n" in p for p in self.score):
             raise ValueError(f"{path}: pieces reach across words")
-        self.longest = max(map(len, self.score))
-        self.whole: dict[str, bool] = {}   # pieces that encode to themselves
-        self.pairs: dict[tuple[str, str], bool] = {}
+        if not self.score.keys() >= set().union(*self.score):
+            raise ValueError(f"{path}: a letter of a piece is no piece")
+        # only pieces that encode to themselves can stand in an encoding; all that end at a place are found in one pass
+        self.pieces = [p for p in self.score if self.merge(p) == [p]]
+        self.machine = ahocorasick.Automaton()
+        for k, p in enumerate(self.pieces):
+            self.machine.add_word(p, (k, len(p)))
+        self.machine.make_automaton()
+        self.pairs: dict[int, bool] = {}
         self.most = most
         self.counts: dict[str, bytes | tuple] = {}
+        self.older: dict[str, bytes | tuple] = {}
         self.last = _Last(self)
         self.segments = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n").findall
 
@@ -67,43 +78,53 @@ class PrefixTables:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def fits(self, a: str, b: str) -> bool:
-        key = (a, b)
-        ok = self.pairs.get(key)
-        if ok is None:
-            if len(self.pairs) > 4 * self.most:
-                self.pairs.clear()
-            ok = self.pairs[key] = self.merge(a + b) == [a, b]
+    def fits(self, a: int, b: int) -> bool:
+        """Whether pieces a and b side by side encode to themselves."""
+        if len(self.pairs) > 4 * self.most:
+            self.pairs.clear()
+        x, y = self.pieces[a], self.pieces[b]
+        ok = self.pairs[a << 32 | b] = self.merge(x + y) == [x, y]
         return ok
 
-    def table(self, segment: str) -> tuple[int, ...]:
+    def table(self, segment: str) -> list[int]:
         """Token counts of the segment's prefixes of 1, 2, ... characters."""
-        score, whole, longest = self.score, self.whole, self.longest
-        count, tail = [0], [None]
-        for i in range(1, len(segment) + 1):
-            c = segment[i - 1]
-            if c not in score:  # outside the vocabulary: a token for each of its bytes
-                count.append(count[i - 1] + len(c.encode("utf-8", "replace")))
-                tail.append(None)
+        pairs, done = self.pairs, 0
+        count, tail = [0] * (len(segment) + 1), [-1] * (len(segment) + 1)
+        for end, (k, size) in self.machine.iter(segment):
+            if end < done:  # this prefix has its one compatible piece
                 continue
-            for j in range(max(0, i - longest), i):
-                p = segment[j:i]
-                if p not in score:
+            if end > done:
+                done = self.letters(segment, count, done, end)
+            at = end + 1 - size
+            before = tail[at]
+            if before >= 0:
+                ok = pairs.get(before << 32 | k)
+                if not (self.fits(before, k) if ok is None else ok):
                     continue
-                ok = whole.get(p)
-                if ok is None:
-                    ok = whole[p] = self.merge(p) == [p]
-                if ok and (tail[j] is None or self.fits(tail[j], p)):
-                    count.append(count[j] + 1)
-                    tail.append(p)
-                    break
-        return tuple(count[1:])
+            done = end + 1
+            count[done], tail[done] = count[at] + 1, k
+        self.letters(segment, count, done, len(segment))
+        return count[1:]
+
+    @staticmethod
+    def letters(segment: str, count: list[int], start: int, end: int) -> int:
+        """Letters outside the vocabulary: a token for each of their bytes."""
+        for i in range(start, end):
+            count[i + 1] = count[i] + len(segment[i].encode("utf-8", "replace"))
+        return end
 
     def split(self, text: str) -> list[str]:
         return self.segments(SPACE + text.replace(" ", SPACE)) if text else []
 
-    def total(self, text: str) -> int:
-        return sum(map(self.last.__getitem__, self.split(text)))
+    def totals(self, texts: Iterable[str], room: int = 1 << 21) -> Iterator[int]:
+        """The count of each text. New segments of some texts of about ``room`` characters are filled in
+        sorted order, so that neighbours walk the same part of the automaton."""
+        for group in _groups(texts, room):
+            parts = [self.split(t) for t in group]
+            for s in sorted(set().union(*parts).difference(self.last)):
+                self.last[s]
+            for p in parts:
+                yield sum(map(self.last.__getitem__, p))
 
     def prefix_counts(self, text: str) -> np.ndarray:
         """Exact count of text[:p] for p = 0 .. len(text)."""
@@ -133,8 +154,19 @@ class PrefixTables:
         return max(0, before + (inside[-1] if inside else 0) - 1)
 
 
+def _groups(texts: Iterable[str], room: int) -> Iterator[list[str]]:
+    group, held = [], 0
+    for t in texts:
+        group.append(t)
+        held += len(t)
+        if held >= room:
+            yield group
+            group, held = [], 0
+    yield group
+
+
 class _Last(dict):
-    """Segment -> its whole count; fills the tables, which are dropped together when they are many."""
+    """Segment -> its whole count; fills the tables. When they are many, those not asked for since the last time go."""
 
     def __init__(self, tables: PrefixTables):
         super().__init__()
@@ -142,11 +174,14 @@ class _Last(dict):
 
     def __missing__(self, segment: str) -> int:
         t = self.tables
-        if len(self) >= t.most:
+        if 2 * len(self) >= t.most:
             self.clear()
-            t.counts.clear()
-        got = t.table(segment)
-        t.counts[segment] = bytes(got) if got[-1] < 256 and max(got) < 256 else got
+            t.older, t.counts = t.counts, {}
+        got = t.older.get(segment)
+        if got is None:
+            got = t.table(segment)
+            got = bytes(got) if max(got) < 256 else tuple(got)
+        t.counts[segment] = got
         self[segment] = got[-1]
         return got[-1]
 
@@ -162,13 +197,11 @@ def tables_at(path: str) -> PrefixTables:
 def token_counts(docs: DataFrame, path: str, limit: int = 4096, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit, fit_chars (characters of the longest prefix within the limit)."""
     def count(batch: pa.RecordBatch, tables: PrefixTables):
-        sizes, tokens, fit = [], [], []
-        for raw in as_bytes(batch, 1):
-            text = (raw or b"").decode("utf-8", "replace")
-            n = tables.total(text)
-            sizes.append(len(raw or b""))
-            tokens.append(n)
-            fit.append(len(text) if n <= limit else tables.longest_within(text, limit))
+        raw = [r or b"" for r in as_bytes(batch, 1)]
+        sizes = [len(r) for r in raw]
+        tokens = list(tables.totals(r.decode("utf-8", "replace") for r in raw))
+        texts = (r.decode("utf-8", "replace") for r in raw)
+        fit = [len(t) if n <= limit else tables.longest_within(t, limit) for t, n in zip(texts, tokens, strict=True)]
         return [batch.column(0), sizes, tokens, [n > limit for n in tokens], fit]
 
     t = docs.schema[id_col].dataType.simpleString()
