@@ -37,7 +37,7 @@ SPACE = "▁"
 class PrefixTables:
     """Prefix tables of segments for a sentencepiece BPE model with byte fallback."""
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 800_000):
         from sentencepiece import sentencepiece_model_pb2 as pb
         spec = pb.ModelProto()
         with open(path, "rb") as f:
@@ -116,7 +116,7 @@ class PrefixTables:
     def split(self, text: str) -> list[str]:
         return self.segments(SPACE + text.replace(" ", SPACE)) if text else []
 
-    def totals(self, texts: Iterable[str], room: int = 1 << 21) -> Iterator[int]:
+    def totals(self, texts: Iterable[str], room: int = 1 << 19) -> Iterator[int]:
         """The count of each text. New segments of some texts of about ``room`` characters are filled in
         sorted order, so that neighbours walk the same part of the automaton."""
         for group in _groups(texts, room):
