@@ -54,6 +54,7 @@ def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[Sequence] |
             out = pa.RecordBatch.from_arrays(arrays, schema=target)
             if out.num_rows:
                 yield out
+        pa.default_memory_pool().release_unused()  # workers outlive their tasks
 
     return df.mapInArrow(run, schema)
 
@@ -70,6 +71,7 @@ def filter_rows(df: DataFrame, text_col: str, keep: Callable[[list, object], Seq
                 out = b.filter(pa.array([bool(k) for k in keep(as_bytes(b, at), state)], pa.bool_()))
                 if out.num_rows:
                     yield out
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, df.schema)
 

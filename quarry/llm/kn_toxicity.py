@@ -43,7 +43,7 @@ def folded_words(raw: bytes) -> list[bytes]:
 
 class _Hashes(dict):
     def __missing__(self, w: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 100_000:
             self.clear()
         h = self[w] = xxhash.xxh3_64_intdigest(w)
         return h
