@@ -175,6 +175,33 @@ def test_shards_are_level_and_groups_stay(spark):
     assert all(len(x) == 1 for x in at.values())
 
 
+def plain_pack(weights, room):
+    """The rule by definition, in plain Python: largest first, highest dot product that fits, else most bytes left."""
+    room, chosen = [list(r) for r in room], [0] * len(weights)
+    for i in sorted(range(len(weights)), key=lambda i: (-weights[i][0], i)):
+        w, best, at = weights[i], None, None
+        for s, r in enumerate(room):
+            dot = sum(x * y for x, y in zip(r, w, strict=True))
+            if all(x >= y for x, y in zip(r, w, strict=True)) and (best is None or dot > best):
+                best, at = dot, s
+        if at is None:
+            at = max(range(len(room)), key=lambda s: (room[s][0], -s))
+        chosen[i] = at
+        room[at] = [x - y for x, y in zip(room[at], w, strict=True)]
+    return chosen
+
+
+def test_pack_against_the_rule():
+    rng = random.Random(11)
+    for n, shards in ((0, 3), (1, 1), (60, 4), (200, 7)):
+        # whole numbers, so that both add up without rounding; small ones, so that ties occur
+        weights = [[rng.randint(1, 30), rng.randint(0, 9), rng.randint(1, 3)] for _ in range(n)]
+        total = [sum(w[d] for w in weights) for d in range(3)]
+        room = [[t // shards for t in total] for _ in range(shards)]
+        got = vector_shards.pack(np.array(weights, dtype=float).reshape(-1, 3), np.array(room, dtype=float))
+        assert got.tolist() == plain_pack(weights, room)
+
+
 def test_a_group_above_a_shard_is_split_evenly(spark):
     docs = spark.createDataFrame([(i, "same text" if i < 700 else f"other {i:05d}") for i in range(1000)], "doc_id long, text string")
     got = vector_shards.vector_shards(docs, n_shards=4).collect()
