@@ -9,14 +9,15 @@ x classes; the best cut of each node (at most trees x 2^level rows) is all that
 the driver.
 
 Bagging weights and each node's features are seeded hashes of ids, the same on any
-cluster. Ties go to the first feature, then the lowest cut. A node splits while a cut gains
+cluster; the weights are drawn once and written beside the bins. Ties go to the first feature, then the lowest cut. A node splits while a cut gains
 and both sides hold ``min_rows``; its class is its most frequent one, ties to the first.
 Null features count as below every cut; rows without a label train nothing.
 """
 
 from __future__ import annotations
 
-import json
+import math
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -48,8 +49,19 @@ def cut_points(df: DataFrame, features: str, bins: int) -> list[list[float]]:
 
 
 def constant(value: list, kind: str) -> Column:
-    """A nested list as one literal (folded by the optimizer), whatever its length."""
-    return F.from_json(F.lit(json.dumps(value)), kind)
+    """A nested list as one literal, whatever its length: array() of literals folds, while from_json would be parsed again for every element."""
+    def text(v) -> str:
+        if isinstance(v, list):
+            return f"array({', '.join(map(text, v))})"
+        if isinstance(v, tuple):
+            return f"struct({', '.join(map(text, v))})"
+        return str(v) if isinstance(v, int) else f"{v!r}D" if math.isfinite(v) else f"double('{v}')"
+    return F.expr(f"cast({text(value)} as {kind})")
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once a row, where a plain column would be computed again for every element that reads it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def binned(features: str | Column, cuts: list[list[float]]) -> Column:
@@ -72,16 +84,16 @@ class Forest:
     def _table(self) -> Column:
         width = 2 ** self.depth
         flat = [self.splits.get((t, k), (-1, 0)) for t in range(self.trees) for k in range(width - 1)]
-        return constant([{"f": f, "b": b} for f, b in flat], "array<struct<f:int,b:int>>")
+        return constant(flat, "array<struct<f:int,b:int>>")
 
-    def nodes(self, bins: str) -> Column:
+    def nodes(self, bins: Column) -> Column:
         """array<int>: the node of every tree in which a row ends."""
         width, table = 2 ** self.depth - 1, self._table()
 
         def walk(t: Column) -> Column:
             def down(k: Column, _: Column) -> Column:
                 s = F.get(table, t * width + k)
-                turn = F.when(F.get(F.col(bins), s["f"]) >= s["b"], 2).otherwise(1)
+                turn = F.when(F.get(bins, s["f"]) >= s["b"], 2).otherwise(1)
                 return F.when(s["f"].isNull() | (s["f"] < 0), k).otherwise(2 * k + turn)
             return F.aggregate(F.sequence(F.lit(1), F.lit(self.depth)), F.lit(0), down)
         return F.transform(F.sequence(F.lit(0), F.lit(self.trees - 1)), walk) if self.depth else F.array_repeat(F.lit(0), self.trees)
@@ -96,27 +108,30 @@ class Forest:
             rows = self.leaves.get((t, k)) or [0.0] * many
             return [x / (sum(rows) or 1.0) for x in rows]
         table = constant([share(t, k) for t in range(self.trees) for k in range(width)], "array<array<double>>")
-        at = df.withColumn("_bins", binned(features, self.cuts)).withColumn("_at", self.nodes("_bins")).withColumn("_t", table)
-        leaf = F.transform("_at", lambda k, t: F.get(F.col("_t"), t * width + k))
-        at = at.withColumn("_leaf", leaf)
-        votes = F.transform(F.sequence(F.lit(0), F.lit(many - 1)), lambda c: F.aggregate(
-            "_leaf", F.lit(0.0), lambda a, v: a + F.get(v, c)) / F.lit(float(self.trees)))
-        at = at.withColumn("votes", F.transform(votes, lambda v: F.round(v, 9)))
+        leaf = lambda at: F.transform(at, lambda k, t: F.get(table, t * width + k))
+        mean = lambda rows: F.transform(F.sequence(F.lit(0), F.lit(many - 1)), lambda c: F.round(F.aggregate(
+            rows, F.lit(0.0), lambda a, v: a + F.get(v, c)) / F.lit(float(self.trees)), 9))
+        at = df.withColumn("votes", bound(binned(features, self.cuts), lambda b: bound(self.nodes(b), lambda k: bound(leaf(k), mean))))
         names = F.array(*[F.lit(c) for c in self.classes])
-        return at.withColumn(out, F.get(names, F.array_position("votes", F.array_max("votes")) - 1)).drop("_bins", "_at", "_t", "_leaf")
+        return at.withColumn(out, F.get(names, F.array_position("votes", F.array_max("votes")) - 1))
 
 
-def _bag(id: str, tree: Column, seed: int, bagging: bool) -> Column:
-    """How often a row counts in a tree: Poisson(1) by the inverse of its distribution at a seeded hash."""
+def _bags(id: str, trees: int, seed: int, bagging: bool) -> Column:
+    """array<int>: how often a row counts in each tree, Poisson(1) by the inverse of its distribution at a seeded hash."""
     if not bagging:
-        return F.lit(1)
-    u = seeded_hash(F.concat_ws(":", tree.cast("string"), F.col(id).cast("string")), seed) / F.lit(float(1 << 32))
-    total, p, out = 0.0, 0.36787944117144233, F.lit(0)
-    for k in range(6):
-        total += p
-        out = out + F.when(u >= F.lit(total), 1).otherwise(0)
-        p /= k + 1
-    return out
+        return F.array_repeat(F.lit(1), trees)
+
+    def drawn(u: Column) -> Column:
+        total, p, out = 0.0, 0.36787944117144233, F.lit(0)
+        for k in range(6):
+            total += p
+            out = out + F.when(u >= F.lit(total), 1).otherwise(0)
+            p /= k + 1
+        return out
+    # the lambda binds a tree's hash, so it is taken once for the six steps
+    shares = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: seeded_hash(
+        F.concat_ws(":", t.cast("string"), F.col(id).cast("string")), seed) / F.lit(float(1 << 32)))
+    return F.transform(shares, drawn)
 
 
 def grow(df: DataFrame, features: str, label: str, id: str, trees: int = 1, depth: int = 3, bins: int = 32, per_node: int | None = None,
@@ -130,36 +145,42 @@ def grow(df: DataFrame, features: str, label: str, id: str, trees: int = 1, dept
         return Forest([], cuts, trees, 0)
     names = F.array(*[F.lit(c) for c in classes])
     path = shared_path(spark, "trees")
-    known.select(F.col(id).alias("id"), (F.array_position(names, F.col(label)) - 1).cast("int").alias("y"),
-                 binned(features, cuts).alias("bins")).write.parquet(path)
+    known.select((F.array_position(names, F.col(label)) - 1).cast("int").alias("y"),
+                 binned(features, cuts).alias("bins"), _bags(id, trees, seed, bagging).alias("bags")).write.parquet(path)
     rows = spark.read.parquet(path)
     forest = Forest(classes, cuts, trees, 0)
     tree = F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("t")
     for level in range(depth + 1):
         forest.depth = level
-        at = rows.withColumn("_at", forest.nodes("bins")).select("id", "y", "bins", "_at", tree)
-        at = at.select("t", F.get("_at", F.col("t")).alias("k"), "y", "bins", _bag("id", F.col("t"), seed, bagging).alias("w")).where("w > 0")
+        at = rows.withColumn("_at", forest.nodes(F.col("bins"))).select("y", "bins", "bags", "_at", tree)
+        at = at.select("t", F.get("_at", F.col("t")).alias("k"), "y", "bins", F.get("bags", F.col("t")).alias("w")).where("w > 0")
         at = at.where(F.col("k") >= 2 ** level - 1)  # others ended above
         for r in at.groupBy("t", "k").pivot("y", list(range(len(classes)))).agg(F.sum("w")).collect():  # a row per node
             forest.leaves[(r["t"], r["k"])] = [float(r[str(c)] or 0) for c in range(len(classes))]
         if level == depth:
             break
-        for r in _best_cuts(at, len(cuts), per_node, min_rows, seed).collect():
+        nodes = [n for n in forest.leaves if n[1] >= 2 ** level - 1]
+        for r in _best_cuts(at, nodes, len(cuts), per_node, min_rows, seed).collect():
             forest.splits[(r["t"], r["k"])] = (r["f"], r["b"])
         if not any(k >= 2 ** level - 1 for _, k in forest.splits):
             break
     return forest
 
 
-def _best_cuts(at: DataFrame, features: int, per_node: int | None, min_rows: int, seed: int) -> DataFrame:
-    """(t, k, f, b): the best cut of every node that has one."""
-    each = at.select("t", "k", "y", "w", F.posexplode("bins").alias("f", "b"))
+def _best_cuts(at: DataFrame, nodes: Sequence[tuple[int, int]], features: int, per_node: int | None, min_rows: int, seed: int) -> DataFrame:
+    """(t, k, f, b): the best cut of every node that has one; ``nodes``: the (t, k) of ``at``."""
     if per_node is not None and per_node < features:
-        # a node's features: the smallest seeded hashes of (tree, node, feature)
+        # a node's features: the smallest seeded hashes of (tree, node, feature); one row a node, and only they leave a row's bins
         key = lambda f: seeded_hash(F.concat_ws(":", F.col("t").cast("string"), F.col("k").cast("string"), f.cast("string")), seed + 1)
         ranked = F.array_sort(F.transform(F.sequence(F.lit(0), F.lit(features - 1)), lambda f: F.struct(key(f).alias("h"), f.alias("f"))))
-        nodes = at.select("t", "k").distinct().withColumn("f", F.explode(F.transform(F.slice(ranked, 1, per_node), lambda x: x["f"])))
-        each = each.join(nodes, ["t", "k", "f"])
+        spark = at.sparkSession
+        table = spark.createDataFrame(sorted(nodes), "t int, k int").select(
+            "t", "k", F.transform(F.slice(ranked, 1, per_node), lambda x: x["f"]).alias("tried"))
+        tried = at.join(F.broadcast(table), ["t", "k"])
+        each = tried.select("t", "k", "y", "w", F.explode(F.transform("tried", lambda f: F.struct(f.alias("f"), F.get(F.col("bins"), f).alias("b")))).alias("x"))
+        each = each.select("t", "k", "y", "w", "x.f", "x.b").where("b is not null")
+    else:
+        each = at.select("t", "k", "y", "w", F.posexplode("bins").alias("f", "b"))
     counts = each.groupBy("t", "k", "f", "b", "y").agg(F.sum("w").cast("double").alias("c"))
     # left of a cut at b are the bins below b
     bins = counts.groupBy("t", "k", "f", "b").agg(F.map_from_entries(F.collect_list(F.struct("y", "c"))).alias("m"))

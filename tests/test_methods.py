@@ -159,6 +159,34 @@ def test_a_forest_beats_the_majority_and_does_not_depend_on_partitions(labelled)
     assert sum(held[i] == y for i, _, y in rows) > 1.4 * Counter(y for _, _, y in rows).most_common(1)[0][1]
 
 
+def test_only_the_features_of_a_node_leave_its_rows(labelled):
+    _, df = labelled
+    nodes = [(t, 0) for t in range(3)]
+    at = df.where("y is not null and x is not null").select(
+        F.explode(F.array(*[F.lit(t) for t, _ in nodes])).alias("t"), F.lit(0).alias("k"), F.length("y").alias("y"),
+        F.transform("x", lambda v: F.floor(v).cast("int")).alias("bins"), F.lit(1).alias("w"))
+    plan = tr._best_cuts(at, nodes, 4, 2, 1, 1)._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode" not in plan and "BROADCAST" in plan.upper()   # no row per feature of the whole vector, no shuffled join
+
+
+def test_a_prediction_bins_a_row_once(labelled):
+    _, df = labelled
+    forest = tr.Forest(["a", "b"], [[0.0], [1.0]], 2, 1, {(0, 0): (0, 1), (1, 0): (1, 1)}, {(t, k): [float(k == 1), float(k == 2)] for t in (0, 1) for k in (1, 2)})
+    made = forest.predict(df, "x")
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("[[0.0],[1.0]]") == 1
+    got = {r["id"]: (r["prediction"], r["votes"]) for r in made.where("x is not null").collect()}
+    assert all(v == ("b" if x[0] >= 0 and x[1] >= 1 else "a", [((x[0] < 0) + (x[1] < 1)) / 2, ((x[0] >= 0) + (x[1] >= 1)) / 2]) for i, x, _ in labelled[0] for v in [got[i]])
+
+
+def test_constants_are_literals_of_the_plan(spark):
+    made = spark.range(2).select(F.transform(F.array(F.col("id")), lambda i: F.get(tr.constant([[1.5, -2e-7], [], [float("inf")]], "array<array<double>>"), i)).alias("x"))
+    assert [r["x"] for r in made.collect()] == [[[1.5, -2e-7]], [[]]]
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "json" not in plan and "array(1.5" not in plan   # nothing is parsed or built for a row
+    assert spark.range(1).select(tr.constant([[], []], "array<array<double>>").alias("x"), tr.constant([(-1, 0)], "array<struct<f:int,b:int>>").alias("y")).first() == (
+        [[], []], [(-1, 0)])
+
+
 def test_trees_of_little_data(spark):
     one = spark.createDataFrame([(1, [1.0], "a"), (2, [2.0], "a")], "id long, x array<double>, y string")
     assert tr.grow(one, "x", "y", "id").splits == {}
