@@ -42,3 +42,10 @@ def test_query_matches_oracle(spark, con, name):
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
     assert rows_key(df.columns, [tuple(r) for r in df.collect()]) == rows_key(ocols, res.fetchall())
+
+
+def test_bounded_tables_are_broadcast_and_words_written_once(spark):
+    from quarry.plans import catalog
+    root = "/root/testdata/sf0.001"
+    assert "strategy=broadcast" in catalog.QUERIES["count_vectors"](spark, root)._jdf.queryExecution().optimizedPlan().toString()
+    assert all("/nb-ml/" in f for f in catalog.QUERIES["nb_ml_predictions"](spark, root).inputFiles())
