@@ -229,3 +229,17 @@ def test_mean_answers_equal_the_pipeline_form(spark):
     for r in theirs:
         assert ours[r["doc_id"]]["predicted_label"] == r["predicted_label"] and ours[r["doc_id"]]["n_verses"] == r["n_verses"]
         assert np.allclose([ours[r["doc_id"]]["class_probabilities"][c] for c in pipe.stages[0].labels], r["mean_probability"], atol=1e-9)
+
+
+def test_bucket_weights_are_broadcast_or_joined_alike(rows, monkeypatch):
+    hashed = bs.bucket_variants(rows, [8, 32]).unionByName(bs.bucket_variants(rows.filter("id < 3"), [8, 32]))  # keys twice
+
+    def scored():
+        out = bs.nb_fold_scores(hashed, (1.0,), [8, 32], (0, 3))
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        return "strategy=broadcast" in plan, {(r["variant"], r["point"], r["id"]): r["scores"] for r in out.collect()}
+    small, whole = scored()
+    monkeypatch.setattr(bs, "BROADCAST_CELLS", 0)
+    large, again = scored()
+    assert small and not large and whole.keys() == again.keys()
+    assert all(np.allclose(whole[k], again[k], atol=1e-8) for k in whole)
