@@ -22,7 +22,8 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm.common import as_bytes, cut, filter_rows, labelled_sample, map_rows
@@ -271,6 +272,27 @@ def model_of(table: dict[str, np.ndarray], use: np.ndarray) -> KneserNey:
     return KneserNey(first[at], second[at], pair, counts)
 
 
+def _columns(counts: DataFrame) -> dict[str, np.ndarray]:
+    """The sample's counts as sorted columns; what Arrow holds of them is released."""
+    got = counts.coalesce(1).sortWithinPartitions("fold", "y", "first", "second").toArrow()
+    return {c: got.column(c).to_numpy() for c in got.column_names}
+
+
+def whole_model(spark: SparkSession, sent: Broadcast) -> KneserNey:
+    """The models of all count rows, made in a task: the driver gets no more than the finished arrays."""
+    def make(batches):
+        for _ in batches:
+            words, of_words, pairs, of_pairs, rest, unseen = model_of(sent.value, np.ones(len(sent.value["n"]), dtype=bool)).arrays()
+            yield pa.RecordBatch.from_pydict({"words": [words.tobytes()], "of_words": [of_words.tobytes()], "pairs": [pairs.tobytes()],
+                                              "of_pairs": [of_pairs.tobytes()], "rest": [rest.tolist()], "unseen": [float(unseen)]})
+
+    made = spark.range(0, 1, 1, 1).mapInArrow(make, "words binary, of_words binary, pairs binary, of_pairs binary, rest array<double>, unseen double")
+    row = made.first()
+    words, pairs = (np.frombuffer(row[c], np.uint64) for c in ("words", "pairs"))
+    of_words, of_pairs = (np.frombuffer(row[c], np.float32).reshape(-1, k) for c, k in (("of_words", 5), ("of_pairs", 2)))
+    return KneserNey.from_arrays((words, of_words, pairs, of_pairs, np.array(row["rest"]), row["unseen"]))
+
+
 def fit_judge(docs: DataFrame, labels: DataFrame, use: Column | None = None, sample: int = 1500, seed: int = 23,
               id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Judge:
     """Fit on at most ``sample`` labelled documents of each class (rows of ``docs`` where ``use``)."""
@@ -280,11 +302,7 @@ def fit_judge(docs: DataFrame, labels: DataFrame, use: Column | None = None, sam
     fold = F.pmod(F.crc32("key"), F.lit(FOLDS)).cast("int").alias("fold")
     picked = [rows.where(F.col("y") == y).orderBy("key", "text").limit(sample) for y in (0, 1)]
     picked = cut(picked[0].unionByName(picked[1]).select(fold, "y", "text", "key"))
-    got = sample_counts(picked.select("fold", "y", "text")).toArrow()
-    table = {c: got.column(c).to_numpy() for c in got.column_names}
-    order = np.lexsort((table["second"], table["first"], table["y"], table["fold"]))
-    table = {c: v[order] for c, v in table.items()}
-    sent = docs.sparkSession.sparkContext.broadcast(table)
+    sent = docs.sparkSession.sparkContext.broadcast(_columns(sample_counts(picked.select("fold", "y", "text"))))
 
     def crossed(pdf: pd.DataFrame) -> pd.DataFrame:
         model = model_of(sent.value, sent.value["fold"] != pdf["fold"].iloc[0])
@@ -299,7 +317,9 @@ def fit_judge(docs: DataFrame, labels: DataFrame, use: Column | None = None, sam
     drawn = {k: max(1.0, float((y == k).sum())) for k in (0, 1)}
     weight = np.where(y > 0, sizes[1] / drawn[1], sizes[0] / drawn[0])  # back to the labels' own shares
     curve = fit_curve(x, y, weight / weight.mean())
-    return Judge(model_of(table, np.ones(len(table["n"]), dtype=bool)), curve)
+    model = whole_model(docs.sparkSession, sent)
+    sent.destroy()
+    return Judge(model, curve)
 
 
 def toxicity(docs: DataFrame, judge: Judge, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from quarry.llm import apportion, combo_join, crf_quality, gru_lm, kn_toxicity, prefix_tokens, vector_shards, word_bpe
@@ -468,6 +469,27 @@ def test_chances_of_few_types():
     assert np.allclose(p, [[0, 0.375, 0.5, 0.125, 0], [1, 0, 0, 0, 0], [0.5, 0.5, 0, 0, 0]])
 
 
+def test_the_driver_makes_no_toxicity_model(spark, monkeypatch):
+    """Models are made in tasks (the driver's memory was exceeded); they equal one made here from the same counts."""
+    rows, labels = toxic_rows()
+    sample = spark.createDataFrame([(i % 10, int(i % 4 == 0), t) for i, t in rows], "fold int, y int, text string")
+    table = kn_toxicity._columns(kn_toxicity.sample_counts(sample))
+    key = list(zip(*(table[c].tolist() for c in ("fold", "y", "first", "second")), strict=True))
+    assert key == sorted(set(key))
+    want = kn_toxicity.model_of(table, np.ones(len(table["n"]), dtype=bool)).arrays()
+
+    made = kn_toxicity.model_of
+
+    def in_a_task(*a):
+        assert TaskContext.get() is not None, "a model made by the driver"
+        return made(*a)
+    monkeypatch.setattr(kn_toxicity, "model_of", in_a_task)
+    got = kn_toxicity.whole_model(spark, spark.sparkContext.broadcast(table)).arrays()
+    assert len(want) == len(got) and all(np.array_equal(a, b) for a, b in zip(want, got, strict=True))
+    judge = kn_toxicity.fit_judge(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert judge.model is not None
+
+
 def test_toxicity_of_odd_rows(spark, odd, none):
     rows, labels = toxic_rows()
     judge = kn_toxicity.fit_judge(spark.createDataFrame(rows, "doc_id long, text string"),
