@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark import TaskContext
 from pyspark.sql import functions as F
@@ -275,6 +276,29 @@ def test_join_keeps_one_of_each(spark, odd, none):
     assert combo_join.jaccard_components(none).count() == 0
 
 
+def test_combinations_go_on_in_small_batches():
+    """2,000 nodes of 40 frequent tokens make 1.6 million combinations; they aren't held at once."""
+    rng = np.random.default_rng(4)
+    toks = rng.integers(-(1 << 62), 1 << 62, (2000, 60))
+    at = [sorted(rng.choice(60, 40, replace=False).tolist()) for _ in toks]
+    nodes = pa.RecordBatch.from_pydict({
+        "node": pa.array(range(2000), pa.int64()), "n": pa.array([200] * 2000, pa.int64()), "comp": pa.array([7] * 2000, pa.int64()),
+        "toks": pa.array(toks.tolist(), pa.list_(pa.int64())), "heavy": pa.array(at, pa.list_(pa.int32())),
+        "short": pa.array([k % 3 == 0 for k in range(2000)], pa.bool_())})
+    got = list(combo_join.combination_batches(iter([nodes.slice(0, 900), nodes.slice(900)]), most=10_000))
+    assert all(0 < b.num_rows < 10_000 + 780 for b in got)
+    rows = Counter(zip(*(c.to_pylist() for c in pa.Table.from_batches(got).columns), strict=True))
+    assert sum(rows.values()) == 2000 * 780
+    u = (1 << 64) - 1
+    for k in (0, 1, 1500):
+        own = [toks[k][p].item() & u for p in at[k]]
+        for x in range(40):
+            for y in range(x + 1, 40):
+                s = ((own[x] ^ (own[x] >> 31)) * 0x9E3779B97F4A7C15 + own[y] * 0xC2B2AE3D27D4EB4F) & u
+                s ^= s >> 32
+                assert rows[(s - (1 << 64) if s >> 63 else s, k, 200, 7, k % 3 == 0)] == 1
+
+
 # token counts
 
 def test_prefix_tokens(odd, none):
