@@ -1,6 +1,7 @@
 """Grid searches from one aggregation against models fitted fold by fold."""
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -243,3 +244,20 @@ def test_bucket_weights_are_broadcast_or_joined_alike(rows, monkeypatch):
     large, again = scored()
     assert small and not large and whole.keys() == again.keys()
     assert all(np.allclose(whole[k], again[k], atol=1e-8) for k in whole)
+
+
+def test_a_terms_folds_are_written_once_and_joined_as_one_row(rows):
+    out = bs.nb_fold_scores(rows)
+    assert any("/per-term/" in f for f in out.inputFiles())
+    joins = [x for x in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in x and "term#" in x]
+    assert len(joins) == 1 and not re.search(r"fold#\d+ = fold#", joins[0])
+
+
+def test_words_are_hashed_once_for_all_verses_and_sizes(spark):
+    docs = spark.createDataFrame([(1, "apple pear plum\nfig lime nut\n", "a"), (2, "", "a"), (3, None, "b"), (4, "kiwi fig", "b")],
+                                 "doc_id long, text string, label string")
+    plain = bs.bucket_variants(bs.verse_variants(docs, [1, 2], "doc_id", "text", "label", 3), [8, 32])
+    once = bs.bucket_variants(bs.verse_variants(docs, [1, 2], "doc_id", "text", "label", 3, hashed=True), [8, 32], hashed=True)
+    assert sorted(map(str, once.collect())) == sorted(map(str, plain.collect())) and plain.count() == 10
+    plan = once._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("md5") == 2   # of the id for its fold, and of a word: the text chain is run in one place
